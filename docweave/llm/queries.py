@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_pairs import count_tokens
 from .exact_dedup import exact_groups
+from .language import predict_languages
 from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .packing import pack
+from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
 
 
@@ -34,6 +36,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"))
 
@@ -46,9 +52,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_ngram_jaccard_join, op3_token_counts, op4_best_fit_packing, op6_mix_sources, op7_url_filters, op8_exact_dedup)
+    for f in (op2_ngram_jaccard_join, op3_token_counts, op4_best_fit_packing, op5_substring_dedup, op6_mix_sources, op7_url_filters, op8_exact_dedup, op9_language_id)
 }
 
 ORACLE_SQL = {
