@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .byte_pairs import count_tokens
 from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
 from .language import predict_languages
+from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .packing import pack
@@ -61,9 +63,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(_read(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_embedding_near_dedup, op2_ngram_jaccard_join, op3_token_counts, op4_best_fit_packing, op5_substring_dedup, op6_mix_sources, op7_url_filters, op8_exact_dedup, op9_language_id)
+    for f in (op1_embedding_near_dedup, op2_ngram_jaccard_join, op3_token_counts, op4_best_fit_packing, op5_substring_dedup, op6_mix_sources, op7_url_filters, op8_exact_dedup, op9_language_id, op10_line_dedup)
 }
 
 ORACLE_SQL = {
