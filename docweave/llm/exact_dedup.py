@@ -30,8 +30,8 @@ def exact_groups(docs: DataFrame, keep: str = "largest", partitions: int | None
     never kept unless its whole group has none; keep_id is then null. An empty table gives an empty result.
 
     A text of very many copies is known from its digest, counted first, and is sorted
-    under several keys (text, salt), so that it spans several partitions; its parts
-    are then merged by their full text. Only such texts' digests are broadcast: one
+    under several salts, so that it spans several partitions; its size and the id that
+    stays are aggregated by its full text before any shuffle. Only such texts' digests are broadcast: one
     needs over a ten-thousandth of the rows, so there are fewer than 10,000."""
     best = F.max if keep == "largest" else F.min
     rows = docs.select("doc_id", lower_ascii(F.coalesce("text", F.lit(""))).alias("norm"))
@@ -43,14 +43,15 @@ def exact_groups(docs: DataFrame, keep: str = "largest", partitions: int | None
     rows = rows.withColumn("h", F.xxhash64("norm")).join(F.broadcast(hot), "h", "left")
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD))).otherwise(-1).alias("salt")
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.select("doc_id", "norm", salt).repartitionByRange(n, "norm", "salt").sortWithinPartitions("norm", "salt")
-    same = Window.partitionBy("norm", "salt")
+    # Splitters are sampled from leading text and a hash, so that long texts do not travel to the driver as samples.
+    lead = F.substring("norm", 1, 32).alias("lead")
+    ordered = rows.select(lead, "h", salt, "doc_id", "norm").repartitionByRange(n, "lead", "h", "salt").sortWithinPartitions("lead", "h", "salt", "norm")
+    same = Window.partitionBy("lead", "h", "salt", "norm")
     found = ordered.select(
-        "doc_id", "norm", F.sha2("norm", 256).alias("text_sha256"), best("doc_id").over(same).alias("keep_id"),
-        F.count("*").over(same).alias("group_size"), F.max("salt").over(same).alias("part"), F.row_number().over(same.orderBy("salt")).alias("nth"),
+        "doc_id", F.sha2("norm", 256).alias("text_sha256"), best("doc_id").over(same).alias("keep_id"), F.count("*").over(same).alias("group_size"),
     )
     whole = (
-        found.filter("part >= 0 and nth = 1").groupBy("norm").agg(best("keep_id").alias("k"), F.sum("group_size").alias("g"))
+        rows.filter("hot").groupBy("norm").agg(best("doc_id").alias("k"), F.count("*").alias("g"))
         .select(F.sha2("norm", 256).alias("text_sha256"), "k", "g")
     )
     out = found.select("doc_id", "text_sha256", "keep_id", "group_size").join(F.broadcast(whole), "text_sha256", "left")
