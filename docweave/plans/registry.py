@@ -1,4 +1,295 @@
-"""Queries and their SQL by name."""
+"""Queries over the driver's tables by name, with DuckDB SQL for each."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from docweave.functions import text as T
+from docweave.operators import edit as E
+from docweave.operators import flow as O
+from docweave.operators import tables as B
+
+from . import carriers as C
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+PAIRS = [("the", "THE & co"), ("and", "$1 <and>"), ("THE", "x"), ("{{none}}", "y")]
+
+
+def query(sql: str):
+    def add(f):
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _long(tables: DataFrame, cells: Column) -> DataFrame:
+    """(table_id, row, col, text) of row arrays."""
+    rows = tables.select("table_id", F.posexplode(cells).alias("row", "r")).select("table_id", "row", F.posexplode("r").alias("col", "text"))
+    return rows.select("table_id", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "text")
+
+
+_P = f"WITH {C.PARAGRAPHS} "
+_C = f"WITH {C.CELLS} "
+_I = f"WITH {C.IMAGES} "
+_E = f"WITH {C.ENTRIES} "
+_CELL = "SELECT table_id, CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, text FROM "
+
+
+@query(_P + f"""SELECT doc, string_agg(CASE WHEN paragraph % 4 = 0 AND {C.TRIM.format("text")} <> '' THEN '## ' ELSE '' END || {C.TRIM.format("text")}, chr(10) || chr(10) ORDER BY paragraph)
+FILTER ({C.TRIM.format("text")} <> '') AS markdown FROM p GROUP BY doc""")
+def flow_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = C.paragraphs(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    blocks = p.select("doc", F.col("paragraph").alias("ord"), F.lit("para").alias("kind"), "text", F.when(F.col("paragraph") % 4 == 0, 2).alias("heading_level"), none.alias("table_md"), none.alias("image_ref"), none.alias("script"))
+    return O.flow_markdown(blocks).select("doc", F.when(F.col("markdown") != "", F.col("markdown")).alias("markdown"))
+
+
+@query("""WITH n AS (SELECT doc_id % 50 AS doc, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id) AS number, doc_id FROM labels)
+SELECT doc, '---' || chr(10) || chr(10) || string_agg('[^' || number || ']: note ' || doc_id, chr(10) ORDER BY number) AS markdown FROM n GROUP BY doc""")
+def footnote_block(spark, sf_dir):
+    n = C.read(spark, sf_dir, "labels").select((F.col("doc_id") % 50).alias("doc"), "doc_id")
+    n = n.withColumn("number", F.row_number().over(C.by_order("doc", "doc_id"))).select("doc", F.col("number").alias("ord"), "number", F.concat(F.lit("note "), F.col("doc_id").cast("string")).alias("text"))
+    none = F.lit(None).cast("string")
+    blocks = n.filter("false").select("doc", "ord", none.alias("kind"), none.alias("text"), F.lit(1).alias("heading_level"), none.alias("table_md"), none.alias("image_ref"), none.alias("script"))
+    return O.flow_markdown(blocks, n)
+
+
+@query("""WITH h AS (SELECT conv_id AS doc, turn, role, text FROM conversations),
+b AS (SELECT doc, string_agg(text, chr(10) ORDER BY turn) AS t FROM h WHERE role <> 'system' GROUP BY doc),
+s AS (SELECT doc, '--- headers ---' || chr(10) || string_agg(text, chr(10) ORDER BY turn) AS t FROM h WHERE role = 'system' GROUP BY doc)
+SELECT coalesce(b.doc, s.doc) AS doc, concat_ws(chr(10) || chr(10), s.t, b.t) AS text FROM b FULL JOIN s ON b.doc = s.doc""")
+def text_dump(spark, sf_dir):
+    c = C.read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("ord"), F.col("text").alias("line"), "role")
+    return O.text_dump({"headers": c.filter("role = 'system'"), "body": c.filter("role <> 'system'")})
+
+
+@query(_P + "SELECT doc, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY doc")
+def paragraph_count(spark, sf_dir):
+    return C.paragraphs(spark, sf_dir).groupBy("doc").agg(F.count("*").alias("n"))
+
+
+@query(_P + f"SELECT doc, CAST(paragraph AS BIGINT) AS paragraph, {C.TRIM.format('text')} AS text FROM p WHERE {C.TRIM.format('text')} <> ''")
+def nonblank_paragraphs(spark, sf_dir):
+    p = C.paragraphs(spark, sf_dir).withColumn("text", T.trimmed(F.col("text")))
+    return p.filter("text <> ''").select("doc", F.col("paragraph").cast("long").alias("paragraph"), "text")
+
+
+@query(_P + "SELECT doc, string_agg(text, chr(10) ORDER BY paragraph) AS text FROM p GROUP BY doc")
+def section_text(spark, sf_dir):
+    return C.paragraphs(spark, sf_dir).groupBy("doc").agg(O.joined(F.col("text"), F.col("paragraph"), "\n").alias("text"))
+
+
+@query(f"""WITH h AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS nth FROM conversations)
+SELECT conv_id AS doc, role AS kind, turn AS ord, {C.TRIM.format("text")} AS text FROM h WHERE nth = 1 AND conv_id % 5 <> 0""")
+def hf_dedupe(spark, sf_dir):
+    return O.distinct_headers(C.headers(spark, sf_dir)).select("doc", "kind", "ord", "text")
+
+
+@query("""SELECT event_id AS doc, '[eq ' || user_id || '/' || event_id % 3 || '/0] ' || props AS line FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")
+def equation_lines(spark, sf_dir):
+    e = C.read(spark, sf_dir, "events").filter(F.from_json("props", "k INT")["k"].isNotNull())
+    return e.select(F.col("event_id").alias("doc"), F.format_string("[eq %d/%d/0] %s", "user_id", F.col("event_id") % 3, "props").alias("line"))
+
+
+@query(_P + """, k AS (SELECT doc, paragraph, CASE WHEN paragraph % 5 = 1 THEN 'equation' WHEN paragraph % 5 = 2 THEN 'table' WHEN paragraph % 5 = 3 THEN 'image' END AS kind FROM p)
+SELECT doc, CAST(paragraph AS BIGINT) AS paragraph, CAST(-1 AS BIGINT) AS sub, 'para' AS kind FROM p UNION ALL SELECT doc, paragraph, 0, kind FROM k WHERE kind IS NOT NULL""")
+def flow_blocks(spark, sf_dir):
+    p = C.paragraphs(spark, sf_dir)
+    k = F.col("paragraph") % 5
+    controls = p.withColumns({"control_idx": F.lit(0), "script": F.when(k == 1, "x"), "rows": F.when(k.isin(1, 2), 1), "cols": F.when(k.isin(1, 2), 1), "mime": F.when(k == 3, "image/png")})
+    return O.flow_blocks(p, controls).select("doc", F.col("paragraph").cast("long").alias("paragraph"), F.col("sub").cast("long").alias("sub"), "kind")
+
+
+@query(_C + _CELL + "c WHERE (row + col) % 4 <> 1 UNION ALL SELECT table_id, CAST(row AS BIGINT), CAST(col AS BIGINT), '' FROM c WHERE (row + col) % 4 = 1")
+def table_grid(spark, sf_dir):
+    t = C.tables(spark, sf_dir)
+    cells = _long(t, F.col("cells")).filter((F.col("row") + F.col("col")) % 4 != 1).withColumn("cell_idx", F.col("row") * 4 + F.col("col"))
+    dims = t.select("table_id", F.size("cells").alias("rows"), F.lit(4).alias("cols"))
+    g = B.grid(cells, dims)
+    return g.select("table_id", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "text")
+
+
+@query(_C + r""", x AS (SELECT table_id, row, '| ' || string_agg(replace(replace(text, '|', '\|'), chr(10), ' '), ' | ' ORDER BY col) || ' |' AS line FROM c GROUP BY ALL),
+y AS (SELECT table_id, row * 2 AS o, line FROM x UNION ALL SELECT table_id, 1, '| --- | --- | --- | --- |' FROM x WHERE row = 0)
+SELECT table_id, string_agg(line, chr(10) ORDER BY o) AS markdown FROM y GROUP BY table_id""")
+def table_markdown(spark, sf_dir):
+    return C.tables(spark, sf_dir).select("table_id", B.markdown(F.col("cells")).alias("markdown"))
+
+
+@query(_C + _CELL + "c UNION ALL SELECT DISTINCT table_id, CAST(n AS BIGINT), CAST(k AS BIGINT), CASE WHEN k = 0 THEN 'new' WHEN k = 1 THEN 'row' ELSE '' END FROM c, unnest([0, 1, 2, 3]) AS u(k)")
+def append_row(spark, sf_dir):
+    return _long(C.tables(spark, sf_dir), B.append_row(F.col("cells"), F.array(F.lit("new"), F.lit("row"))))
+
+
+@query(_C + "SELECT table_id, CAST(CASE WHEN row > 1 THEN row - 1 ELSE row END AS BIGINT) AS row, CAST(col AS BIGINT) AS col, text FROM c WHERE row <> 1")
+def delete_row(spark, sf_dir):
+    return _long(C.tables(spark, sf_dir), B.delete_row(F.col("cells"), F.lit(1)))
+
+
+@query(_C + _CELL + "c UNION ALL SELECT DISTINCT table_id, CAST(row AS BIGINT), CAST(4 AS BIGINT), CASE row WHEN 0 THEN 'h' WHEN 1 THEN 'v' ELSE '' END FROM c")
+def append_column(spark, sf_dir):
+    return _long(C.tables(spark, sf_dir), B.append_column(F.col("cells"), F.array(F.lit("h"), F.lit("v"))))
+
+
+@query(_C + "SELECT table_id, CAST(row AS BIGINT) AS row, CAST(CASE WHEN col > 1 THEN col - 1 ELSE col END AS BIGINT) AS col, text FROM c WHERE col <> 1")
+def delete_column(spark, sf_dir):
+    return _long(C.tables(spark, sf_dir), B.delete_column(F.col("cells"), F.lit(1)))
+
+
+@query(_C + "SELECT table_id, CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, CASE WHEN row = 1 AND col = 2 THEN 'set $1' ELSE text END AS text FROM c")
+def set_cell(spark, sf_dir):
+    return _long(C.tables(spark, sf_dir), B.set_cell(F.col("cells"), F.lit(1), F.lit(2), F.lit("set $1")))
+
+
+@query(_C + "SELECT table_id, CAST(row AS BIGINT) AS row, CAST(CASE WHEN row = 0 AND col > 2 THEN col - 2 ELSE col END AS BIGINT) AS col, text FROM c WHERE NOT (row = 0 AND col IN (1, 2))")
+def merge_horizontal(spark, sf_dir):
+    return _long(C.tables(spark, sf_dir), B.merge_horizontal(F.col("cells"), F.lit(0), F.lit(0), F.lit(3)))
+
+
+@query(_C + "SELECT table_id, CAST(row AS BIGINT) AS row, CAST(CASE WHEN row IN (1, 2) AND col > 1 THEN col - 1 ELSE col END AS BIGINT) AS col, text FROM c WHERE NOT (row IN (1, 2) AND col = 1)")
+def merge_vertical(spark, sf_dir):
+    return _long(C.tables(spark, sf_dir), B.merge_vertical(F.col("cells"), F.lit(1), F.lit(0), F.lit(3)))
+
+
+@query(_I + """SELECT doc, seq, lower(CASE WHEN contains(lower(mime), 'png') THEN 'png' WHEN contains(lower(mime), 'jpeg') THEN 'jpg' WHEN contains(lower(mime), 'svg') THEN 'svg' WHEN contains(lower(mime), 'emf') THEN 'emf' ELSE 'bin' END) AS ext FROM i""")
+def image_ext(spark, sf_dir):
+    return C.images(spark, sf_dir).select("doc", "seq", T.extension(F.col("mime")).alias("ext"))
+
+
+@query(_I + """SELECT seq, CASE WHEN byte_length < 1024 THEN byte_length || 'B' ELSE printf('%.1f', round(byte_length / 1024.0::DOUBLE, 1)) || 'KB' END AS label FROM i""")
+def image_placeholder(spark, sf_dir):
+    return C.images(spark, sf_dir).select("seq", T.size_label(F.col("byte_length")).alias("label"))
+
+
+@query(_I + """SELECT doc, seq, row_number() OVER (PARTITION BY doc ORDER BY seq) || '. [section 0, para ' || seq || ', ctrl 0] ' || mime || ' (' || byte_length || ' bytes)' AS line,
+printf('img_%03d', row_number() OVER (PARTITION BY doc ORDER BY seq)) AS name FROM i""")
+def image_list(spark, sf_dir):
+    i = C.images(spark, sf_dir).withColumn("n", F.row_number().over(C.by_order("doc", "seq")))
+    return i.select("doc", "seq", F.format_string("%d. [section 0, para %d, ctrl 0] %s (%d bytes)", "n", "seq", "mime", "byte_length").alias("line"), F.format_string("img_%03d", "n").alias("name"))
+
+
+@query(r"""WITH s AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN '개요 ' WHEN 1 THEN 'outline' WHEN 2 THEN 'Heading ' ELSE 'My Outline  ' END || page_id % 12 AS style FROM pages)
+SELECT page_id, style, CASE WHEN l = '7' THEN 6 ELSE CAST(nullif(l, '') AS INT) END AS level FROM (SELECT *, regexp_extract(style, '(?i)(?:개요|Outline)\s*([1-7])', 1) AS l FROM s)""")
+def heading_levels(spark, sf_dir):
+    n = F.col("page_id") % 5
+    style = F.concat(F.when(n == 0, "개요 ").when(n == 1, "outline").when(n == 2, "Heading ").otherwise("My Outline  "), (F.col("page_id") % 12).cast("string"))
+    return C.read(spark, sf_dir, "pages").select("page_id", style.alias("style")).withColumn("level", T.heading_level(F.col("style")))
+
+
+@query("""SELECT user_id AS doc, CAST(count(*) FILTER (event_type = 'click') AS BIGINT) AS clicks, CAST(count(*) FILTER (event_type = 'view') AS BIGINT) AS views, CAST(count(DISTINCT event_type) AS BIGINT) AS kinds FROM events GROUP BY user_id""")
+def doc_info(spark, sf_dir):
+    e = C.read(spark, sf_dir, "events")
+    return e.groupBy(F.col("user_id").alias("doc")).agg(F.count_if(F.col("event_type") == "click").alias("clicks"), F.count_if(F.col("event_type") == "view").alias("views"), F.count_distinct("event_type").alias("kinds"))
+
+
+@query("""SELECT conv_id AS doc, row_number() OVER (PARTITION BY conv_id ORDER BY turn) || '. ' || role || ' [clickhere] = ' || substring(text, 1, 40) AS line FROM conversations""")
+def field_list(spark, sf_dir):
+    c = C.read(spark, sf_dir, "conversations").withColumn("n", F.row_number().over(C.by_order("conv_id", "turn")))
+    return c.select(F.col("conv_id").alias("doc"), F.format_string("%d. %s [clickhere] = %s", "n", "role", F.substring("text", 1, 40)).alias("line"))
+
+
+@query("SELECT conv_id AS doc, min_by(text, turn) AS value FROM conversations WHERE role = 'user' GROUP BY conv_id")
+def field_lookup(spark, sf_dir):
+    c = C.read(spark, sf_dir, "conversations").filter("role = 'user'")
+    return c.groupBy(F.col("conv_id").alias("doc")).agg(F.min_by("text", "turn").alias("value"))
+
+
+@query(_E + "SELECT DISTINCT doc, entry, CAST(dense_rank() OVER (PARTITION BY doc ORDER BY entry) AS BIGINT) AS n FROM e")
+def bindata_sorted(spark, sf_dir):
+    e = C.entry_rows(spark, sf_dir).select("doc", "entry").distinct()
+    return e.withColumn("n", F.row_number().over(C.by_order("doc", "entry")).cast("long"))
+
+
+@query("SELECT conv_id AS doc, turn, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, count(*) OVER (PARTITION BY conv_id) AS pages FROM conversations) WHERE n <= greatest(0, least(3, pages))")
+def page_limit(spark, sf_dir):
+    c = C.read(spark, sf_dir, "conversations").withColumn("n", F.row_number().over(C.by_order("conv_id", "turn")))
+    return c.filter("n <= 3").select(F.col("conv_id").alias("doc"), "turn", "text")
+
+
+def _last_sql(s: str, k: str, v: str) -> str:
+    back = f"instr(reverse({s}), reverse({k}))"
+    at = f"(length({s}) - {back} - length({k}) + 2)"
+    return f"CASE WHEN {back} > 0 THEN substring({s}, 1, {at} - 1) || {v} || substring({s}, {at} + length({k})) ELSE {s} END"
+
+
+_FILL = "WITH " + C.PARAGRAPHS + f""", f1 AS (SELECT doc, paragraph, instr(text, 'the') > 0 AS h0, {_last_sql("text", "'the'", "'THE &amp; co'")} AS t FROM p),
+f2 AS (SELECT *, instr(t, 'and') > 0 AS h1, {_last_sql("t", "'and'", "'$1 &lt;and&gt;'")} AS u FROM f1), f3 AS (SELECT *, instr(u, 'THE') > 0 AS h2, {_last_sql("u", "'THE'", "'x'")} AS text FROM f2) """
+
+
+@query(_FILL + "SELECT doc, CAST(paragraph AS BIGINT) AS paragraph, text FROM f3")
+def template_fill(spark, sf_dir):
+    f = E.fill_template(C.paragraphs(spark, sf_dir), PAIRS)
+    return f.select("doc", F.col("paragraph").cast("long").alias("paragraph"), "text")
+
+
+@query(_FILL + """SELECT 'the' AS key, CAST(count(*) FILTER (h0) AS BIGINT) AS hits FROM f3 UNION ALL SELECT 'and', count(*) FILTER (h1) FROM f3 UNION ALL SELECT 'THE', count(*) FILTER (h2) FROM f3 UNION ALL SELECT '{{none}}', 0""")
+def template_counts(spark, sf_dir):
+    return E.template_counts(C.paragraphs(spark, sf_dir), PAIRS).select("key", "hits")
+
+
+@query(_P + f"SELECT doc, CAST(paragraph AS BIGINT) AS paragraph, instr(text, 'the') > 0 AS hit, {_last_sql('text', chr(39) + 'the' + chr(39), chr(39) + '[T]' + chr(39))} AS text FROM p")
+def replace_last(spark, sf_dir):
+    p = C.paragraphs(spark, sf_dir)
+    return p.select("doc", F.col("paragraph").cast("long").alias("paragraph"), (F.position(F.lit("the"), F.col("text")) > 0).alias("hit"), T.replace_last(F.col("text"), F.lit("the"), F.lit("[T]")).alias("text"))
+
+
+@query("SELECT page_id, replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM pages")
+def xml_escape(spark, sf_dir):
+    return C.read(spark, sf_dir, "pages").select("page_id", T.xml_escape(F.col("html")).alias("escaped"))
+
+
+def _paras(spark, sf_dir, change) -> DataFrame:
+    p = C.paragraphs(spark, sf_dir).groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("paragraph", "text"))), lambda x: x["text"]).alias("paras"))
+    return p.select("doc", F.posexplode(change(F.col("paras"))).alias("paragraph", "text")).select("doc", F.col("paragraph").cast("long").alias("paragraph"), "text")
+
+
+@query(_P + "SELECT doc, CAST(paragraph AS BIGINT) AS paragraph, text FROM p UNION ALL SELECT doc, count(*), 'appended' FROM p GROUP BY doc")
+def append_paragraph(spark, sf_dir):
+    return _paras(spark, sf_dir, lambda p: E.append_paragraph(p, F.lit("appended")))
+
+
+@query(_P + "SELECT doc, CAST(CASE WHEN paragraph > 2 THEN paragraph - 1 ELSE paragraph END AS BIGINT) AS paragraph, text FROM p WHERE paragraph <> 2")
+def delete_paragraph(spark, sf_dir):
+    return _paras(spark, sf_dir, lambda p: E.delete_paragraph(p, F.lit(2)))
+
+
+@query(_P + "SELECT doc, CAST(paragraph AS BIGINT) AS paragraph, CASE WHEN paragraph = 1 THEN 'set $& text' ELSE text END AS text FROM p")
+def set_paragraph(spark, sf_dir):
+    return _paras(spark, sf_dir, lambda p: E.set_paragraph(p, F.lit(1), F.lit("set $& text")))
+
+
+@query("""SELECT conv_id, turn, '<hp:fldBegin name="f"/><hp:t>v &amp; $1</hp:t><hp:x/><hp:t>v &amp; $1</hp:t><hp:fldEnd/><hp:t>' || turn || '</hp:t>' AS xml FROM conversations""")
+def field_set(spark, sf_dir):
+    xml = F.concat(F.lit('<hp:fldBegin name="f"/><hp:t>'), F.replace(F.replace(F.col("text"), F.lit("<"), F.lit("")), F.lit("&"), F.lit("")), F.lit("</hp:t><hp:x/><hp:t></hp:t><hp:fldEnd/><hp:t>"), F.col("turn").cast("string"), F.lit("</hp:t>"))
+    return C.read(spark, sf_dir, "conversations").select("conv_id", "turn", E.set_field(xml, "f", "v & $1").alias("xml"))
+
+
+@query("SELECT user_id AS doc, max(event_id) + 1 AS new_id FROM events GROUP BY user_id")
+def style_alloc(spark, sf_dir):
+    return E.next_id(C.read(spark, sf_dir, "events").select(F.col("user_id").alias("doc"), F.col("event_id").alias("id")), ["doc"])
+
+
+@query(_E + ", m AS (SELECT doc, min_by(entry, seq) AS entry FROM e WHERE entry = 'BinData/image2.png' GROUP BY doc) SELECT e.doc, seq, e.entry, CASE WHEN m.entry IS NOT NULL THEN 'new' ELSE bytes END AS bytes FROM e LEFT JOIN m ON e.doc = m.doc AND e.entry = m.entry")
+def replace_image(spark, sf_dir):
+    return E.replace_entry(C.entry_rows(spark, sf_dir), "image2.png", F.lit("new").cast("binary")).select("doc", "seq", "entry", F.col("bytes").cast("string").alias("bytes"))
+
+
+@query(_E + "SELECT doc, seq, entry FROM e WHERE entry <> 'BinData/image2.png'")
+def delete_image(spark, sf_dir):
+    return E.delete_entry(C.entry_rows(spark, sf_dir), "image2.png").select("doc", "seq", "entry")
+
+
+@query(_E + """, d AS (SELECT DISTINCT doc FROM e), n AS (SELECT doc, k FROM d, range(1, 9) AS r(k)) SELECT n.doc, 'BinData/image' || min(k) || '.jpg' AS entry FROM n LEFT JOIN e ON e.doc = n.doc AND e.entry = 'BinData/image' || k || '.jpg' WHERE e.doc IS NULL GROUP BY n.doc""")
+def insert_image_name(spark, sf_dir):
+    return E.free_name(C.entry_rows(spark, sf_dir), "jpg")
+
+
+@query("""SELECT doc_id, CAST(length(regexp_replace(text, '[^\\x{3000}-\\x{303F}\\x{3040}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{AC00}-\\x{D7A3}\\x{FF00}-\\x{FFEF}]', '', 'g')) AS BIGINT) AS wide,
+round((length(regexp_replace(text, '[^\\x{3000}-\\x{303F}\\x{3040}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{AC00}-\\x{D7A3}\\x{FF00}-\\x{FFEF}]', '', 'g')) * 0.45::DOUBLE + length(text) * 0.55::DOUBLE) * 12, 3) AS width FROM (SELECT doc_id, substring(text, 1, 60) || '한글' || chr(12289) AS text FROM documents)""".replace("\\\\", "\\"))
+def text_width(spark, sf_dir):
+    s = F.concat(F.substring("text", 1, 60), F.lit("한글、"))
+    return C.read(spark, sf_dir, "documents").select("doc_id", F.regexp_count(s, F.lit(T.WIDE)).cast("long").alias("wide"), F.round(T.text_width(s, F.lit(12)), 3).alias("width"))
