@@ -99,9 +99,10 @@ def near_lines(docs: DataFrame, least_chars: int = 20) -> tuple[DataFrame, DataF
     split = _halves(F.col("line"), F.lit(0), None)
     level = texts.select("id", "line", F.inline(split)).join(met.select("id", "key", "role"), ["id", "key", "role"], "left_semi").select("id", "key", "role", "part")
     leaves, deep = [], stored(level)
+    shorter = F.char_length("part") - F.when(F.col("role") == LONG, 1).otherwise(0)  # alike for both of a pair
     while True:
-        leaves.append(deep.filter(F.char_length("part") <= LEAF))
-        deep = deep.filter(F.char_length("part") > LEAF)
+        leaves.append(deep.filter(shorter <= LEAF))
+        deep = deep.filter(shorter > LEAF)
         if deep.isEmpty():
             break
         parts = deep.select("id", F.inline(_halves(F.col("part"), F.col("key"), F.col("role")))).select("id", "key", "role", "part")
