@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import batches_of
+
 #: The split of text into words that byte-level BPE files with "use_regex" mean.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Word counts that a worker remembers before it starts anew.
@@ -130,6 +132,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
                 "n_tokens": [counter.of_text(t) if t else 0 for t in batch["text"]],
             })
 
+    batches_of(docs.sparkSession, 1000)
     kind = docs.schema["doc_id"].dataType.simpleString()
     counted = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text").mapInPandas(
         rows, f"doc_id {kind}, n_bytes long, n_tokens long"

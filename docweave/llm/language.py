@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import runs
+from .shared import batches_of, runs
 
 LOG_BUCKETS = 16
 #: A script for each UTF-8 lead byte. 0 none, 1 Latin (ASCII letters and
@@ -157,6 +157,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 8.0, spans: bool =
     of (lang, words), words being runs of letters. Repeated rows are all returned; an
     empty table gives an empty result."""
     kinds = len(model.languages)
+    batches_of(docs.sparkSession, 5000)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**LOG_BUCKETS floats a language
 
     def label(model: Model, waiting: list, pred: list, score: list, found: list) -> None:

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bit_words, components, fold, gram_hashes, in_bits, mix, runs, stored, word_hashes
+from .shared import batches_of, bit_words, components, fold, gram_hashes, in_bits, mix, runs, stored, word_hashes
 
 #: Counters of the sketch that orders shingles, and how many travel in one row.
 SKETCH_LOG, PIECE_LOG = 24, 16
@@ -88,7 +88,7 @@ def _sets_and_sketch(docs: DataFrame, n: int) -> DataFrame:
                 size.append(len(hashes))
                 node.append(fold(hashes))
                 seen.append(hashes)
-                if len(seen) == 2000:
+                if len(seen) == 500:
                     _count(counts, seen)
                     seen = []
             _count(counts, seen)
@@ -184,6 +184,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tuple[DataFrame, DataFrame]:
     """(sets, links): sets is (doc_id, n_shingles, node) of every row of docs; links
     is (node, component) for nodes linked with others by Jaccard >= num / den."""
+    batches_of(docs.sparkSession, 1000)
     both = stored(_sets_and_sketch(docs, n))
     sets = both.filter("piece is null").select("doc_id", "n_shingles", "node")
     full = sets.filter("n_shingles > 0")

@@ -22,7 +22,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Texts are hashed in runs of about so many bytes, so that a batch of long texts needs little memory.
-_RUN_BYTES = 1 << 20
+_RUN_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -99,6 +99,12 @@ def fold(hashes: np.ndarray) -> int:
     return int(mix(total ^ mix(np.array([len(hashes)])))[0].astype(np.int64))
 
 
+def batches_of(spark: SparkSession, rows: int) -> None:
+    """From now on Python workers of this session get so many rows at a time: what they
+    hold of a table of texts is bounded by it. Batches change no result."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def shared_path(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share;
     where that is unset, as in tests, below a local temporary folder."""

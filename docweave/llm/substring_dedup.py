@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import _stream, bit_words, gram_hashes, in_bits, mix, runs, stored, word_hashes
+from .shared import _stream, batches_of, bit_words, gram_hashes, in_bits, mix, runs, stored, word_hashes
 
 ANCHOR = 8
 #: The sketch has two rows of cells; a row has 8 cells for each anchor expected, within these powers of two.
@@ -187,6 +187,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     pass groups more windows; what is removed does not depend on it."""
     if window < ANCHOR + 1:
         raise ValueError(f"window must be over {ANCHOR} words")
+    batches_of(docs.sparkSession, 2000)
     ids = docs.select(F.col("doc_id").cast("long"), "text")
     n_bytes = ids.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = n_bytes / 6.5 * 2 / (window - ANCHOR + 2)
