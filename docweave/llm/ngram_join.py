@@ -171,14 +171,24 @@ def _can_reach(num: int, den: int):
     return (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & ((F.col("pa") < 0) | (rest >= need))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach num / den."""
+def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach num / den. Only texts of these nodes'
+    first documents are hashed again; what the bit set lets through besides, the joins drop."""
+    members = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(first, "node")
+    texts = in_bits(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", bit_words(members, "doc_id", 24))
+
+    def hashed(batches):
+        for batch in batches:
+            sets = [s for s in shingle_sets(batch["text"].tolist(), n) if len(s)]
+            yield pd.DataFrame({"node": [fold(s) for s in sets], "hashes": [s.view(np.int64) for s in sets]})
+
+    sets = texts.select("text").mapInPandas(hashed, "node long, hashes array<long>")
     a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     b = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
     return pairs.join(a, "a").join(b, "b").withColumn("both", both).filter(
         F.col("both") * (den + num) >= num * (F.size("ha") + F.size("hb"))
-    ).select("a", "b")
+    ).select("a", "b").distinct()
 
 
 def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -206,23 +216,8 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
     )
     star = stored(star)
 
-    first = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    members = lists.select("node").distinct().join(first, "node")
-    texts = in_bits(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", bit_words(members, "doc_id", 24))
-
-    def hashed(batches):
-        for batch in batches:
-            ids, nodes, out = [], [], []
-            for doc_id, hashes in zip(batch["doc_id"], shingle_sets(batch["text"].tolist(), n), strict=True):
-                if len(hashes):
-                    ids.append(doc_id), nodes.append(fold(hashes)), out.append(hashes.view(np.int64))
-            yield pd.DataFrame({"doc_id": ids, "node": nodes, "hashes": out})
-
-    hashes = stored(
-        texts.filter("doc_id is not null").mapInPandas(hashed, "doc_id long, node long, hashes array<long>")
-        .join(members, ["doc_id", "node"]).dropDuplicates(["node"]).select("node", "hashes")
-    )
-    links = stored(_verified(star, hashes, num, den))
+    first = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    links = stored(_verified(star, docs, first, n, num, den))
     merged = components(links)
 
     left = lists.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -236,8 +231,8 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
         .join(star.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
         .join(star, ["a", "b"], "left_anti")
     )
-    links = links.unionByName(_verified(rest, hashes, num, den))
-    return sets, components(links)
+    rest = stored(rest)
+    return sets, components(links.unionByName(_verified(rest, docs, first, n, num, den)))
 
 
 def _by(key: str):
