@@ -12,8 +12,9 @@ No pair is lost, and no list is expanded into all its pairs:
   shingles last that a merged counting sketch holds for frequent, so a passage that
   very many documents share stands at the end.
 * Equal sets are one node. In each list every node is first compared with the list's
-  smallest node only; after the verified links are merged into components, only pairs
-  of different components are compared, so a group of near copies stays linear.
+  smallest node only, then with its largest; after the verified links are merged into
+  components, only pairs of different components are compared, so a group of near
+  copies stays near linear. Sizes, places and signatures drop pairs that cannot link.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ from .shared import batches_of, bit_words, components, fold, gram_hashes, in_bit
 
 #: Counters of the sketch that orders shingles, and how many travel in one row.
 SKETCH_LOG, PIECE_LOG = 24, 16
+#: 64-bit words of a set's signature: each shingle flips one bit, so two signatures
+#: differ in no more bits than the sets have elements that the other lacks.
+SIGNATURE = 8
 #: No subsets are enumerated above this size.
 MOST_SMALL = 16
 
@@ -51,6 +55,11 @@ def shingle_sets(texts: list[str | None], n: int):
                 yield np.empty(0, np.uint64)
 
 
+def signature(hashes: np.ndarray) -> np.ndarray:
+    bits = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % (64 * SIGNATURE), minlength=64 * SIGNATURE) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def least_shared(n: int, m: int, num: int, den: int) -> int:
     """The smallest intersection with which sets of n and m reach Jaccard num / den."""
     return -(-num * (n + m) // (num + den))
@@ -77,29 +86,30 @@ def boundary(sizes: dict[int, int], list_length: float, num: int, den: int) -> i
 
 
 def _sets_and_sketch(docs: DataFrame, n: int) -> DataFrame:
-    """Rows (doc_id, n_shingles, node) for documents, and rows (piece, counts) with
+    """Rows (doc_id, n_shingles, node, bits) for documents, and rows (piece, counts) with
     each task's counters of all shingles; one pass writes both."""
 
     def rows(batches):
         counts = np.zeros(1 << SKETCH_LOG, np.uint16)
         for batch in batches:
-            size, node, seen = [], [], []
+            size, node, bits, seen = [], [], [], []
             for hashes in shingle_sets(batch["text"].tolist(), n):
                 size.append(len(hashes))
                 node.append(fold(hashes))
+                bits.append(signature(hashes))
                 seen.append(hashes)
                 if len(seen) == 500:
                     _count(counts, seen)
                     seen = []
             _count(counts, seen)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": size, "node": node, "piece": None, "counts": None})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": size, "node": node, "bits": bits, "piece": None, "counts": None})
         pack = zstandard.ZstdCompressor(level=1).compress
         for piece in range(1 << (SKETCH_LOG - PIECE_LOG)):
             part = counts[piece << PIECE_LOG : (piece + 1) << PIECE_LOG]
             if part.any():
-                yield pd.DataFrame({"doc_id": [None], "n_shingles": [None], "node": [None], "piece": [piece], "counts": [pack(part.tobytes())]})
+                yield pd.DataFrame({"doc_id": [None], "n_shingles": [None], "node": [None], "bits": [None], "piece": [piece], "counts": [pack(part.tobytes())]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(rows, "doc_id long, n_shingles long, node long, piece int, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(rows, "doc_id long, n_shingles long, node long, bits array<long>, piece int, counts binary")
 
 
 def _count(counts: np.ndarray, sets: list[np.ndarray]) -> None:
@@ -165,10 +175,12 @@ def _entries(docs: DataFrame, n: int, frequent: np.ndarray, small: int, num: int
 
 
 def _can_reach(num: int, den: int):
-    """Whether a and b, met in a list, may reach num / den by size and by what can follow."""
+    """Whether a and b, met in a list, may reach num / den by size, by what can follow, and by their signatures."""
     need = F.expr(f"({num} * (na + nb) + {num + den - 1}) div {num + den}")
     rest = F.least(F.col("na") - F.greatest("pa", F.lit(0)), F.col("nb") - F.greatest("pb", F.lit(0)))
-    return (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & ((F.col("pa") < 0) | (rest >= need))
+    apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    size = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & ((F.col("pa") < 0) | (rest >= need))
+    return size & (apart <= F.col("na") + F.col("nb") - 2 * need)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -196,8 +208,8 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
     is (node, component) for nodes linked with others by Jaccard >= num / den."""
     batches_of(docs.sparkSession, 1000)
     both = stored(_sets_and_sketch(docs, n))
+    full = both.filter("piece is null and n_shingles > 0")
     sets = both.filter("piece is null").select("doc_id", "n_shingles", "node")
-    full = sets.filter("n_shingles > 0")
     stats = full.agg(F.sum("n_shingles"), F.count("*")).first()
     sizes = {r[0]: r[1] for r in full.filter(F.col("n_shingles") <= MOST_SMALL).groupBy("n_shingles").count().collect()}
     total = stats[0] or 0
@@ -205,34 +217,41 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
     small = boundary(sizes, 1 + total / (1 << SKETCH_LOG), num, den)
 
     entries = _entries(docs, n, frequent, small, num, den)
+    first = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bits").alias("bits")))
     lists = stored(
         entries.select("*", F.min("node").over(_by("token")).alias("head"), F.max("node").over(_by("token")).alias("tail"))
-        .filter("head <> tail").drop("tail")
-    )
-    heads = lists.filter("node = head").select("token", "head", F.col("n").alias("nb"), F.col("pos").alias("pb")).dropDuplicates(["token", "head"])
-    star = (
-        lists.filter("node <> head").select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-        .join(heads, "token").filter(_can_reach(num, den)).select("a", F.col("head").alias("b")).distinct()
-    )
-    star = stored(star)
-
-    first = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    links = stored(_verified(star, docs, first, n, num, den))
-    merged = components(links)
-
-    left = lists.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    left = stored(
-        left.select("*", F.min("component").over(_by("token")).alias("low"), F.max("component").over(_by("token")).alias("high"))
-        .filter("low <> high").select("token", "node", "n", "pos", "component")
-    )
-    side = lambda s: left.select("token", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"), F.col("component").alias(f"c{s}"))
-    rest = (
-        side("a").join(side("b"), "token").filter("ca < cb").filter(_can_reach(num, den)).select("a", "b").distinct()
-        .join(star.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        .join(star, ["a", "b"], "left_anti")
+        .filter("head <> tail").drop("head", "tail").join(first.select("node", "bits"), "node")
     )
-    rest = stored(rest)
-    return sets, components(links.unionByName(_verified(rest, docs, first, n, num, den)))
+    cluster = None
+    tried = links = None
+    for head in (F.min, F.max):
+        left = _unsettled(lists, cluster)
+        left = left.withColumn("head", head("node").over(_by("token")))
+        heads = left.filter("node = head").select("token", *_side("b")).dropDuplicates(["token"])
+        star = left.filter("node <> head").select("token", *_side("a")).join(heads, "token").filter("ca <> cb")
+        star = star.filter(_can_reach(num, den)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        star = stored(star if tried is None else star.join(tried, ["a", "b"], "left_anti"))
+        tried = star if tried is None else tried.unionByName(star)
+        found = stored(_verified(star, docs, first, n, num, den))
+        links = found if links is None else links.unionByName(found)
+        cluster = components(links)
+
+    left = stored(_unsettled(lists, cluster))
+    rest = left.select("token", *_side("a")).join(left.select("token", *_side("b")), "token").filter("ca < cb").filter(_can_reach(num, den))
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    return sets, components(links.unionByName(_verified(stored(rest), docs, first, n, num, den)))
+
+
+def _side(s: str) -> list:
+    return [F.col(x).alias(f"{y}{s}" if y else s) for x, y in (("node", ""), ("n", "n"), ("pos", "p"), ("bits", "b"), ("component", "c"))]
+
+
+def _unsettled(lists: DataFrame, cluster: DataFrame | None) -> DataFrame:
+    """Entries of lists whose nodes are not all of one component."""
+    if cluster is None:
+        return lists.withColumn("component", F.col("node"))
+    left = lists.join(cluster, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return left.select("*", F.min("component").over(_by("token")).alias("low"), F.max("component").over(_by("token")).alias("high")).filter("low <> high").drop("low", "high")
 
 
 def _by(key: str):
