@@ -11,7 +11,7 @@ SPACE = r"\s\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F
 
 def trimmed(s: Column) -> Column:
     """Without white space, of any kind, at both ends."""
-    return F.regexp_replace(s, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.regexp_replace(s, rf"\A[{SPACE}]+|(?<![{SPACE}])[{SPACE}]+\z", "")
 
 
 def escape_cell(s: Column) -> Column:

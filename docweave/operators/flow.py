@@ -20,9 +20,8 @@ def joined(text: Column, order: Column, sep: str) -> Column:
     return F.array_join(F.transform(rows, lambda r: r["t"]), sep)
 
 
-def block_chunk() -> Column:
-    """A block as Markdown; null where it leaves no chunk."""
-    body = trimmed(F.col("text"))
+def block_chunk(body: Column) -> Column:
+    """A block as Markdown, its trimmed text being `body`; null where it leaves no chunk."""
     para = F.when(body != "", F.when(F.col("heading_level").isNotNull(), F.concat(F.repeat(F.lit("#"), F.col("heading_level")), F.lit(" "), body)).otherwise(body))
     return (
         F.when(F.col("kind") == "para", para).when(F.col("kind") == "table", F.col("table_md"))
@@ -32,7 +31,8 @@ def block_chunk() -> Column:
 
 def flow_markdown(blocks: DataFrame, footnotes: DataFrame | None = None) -> DataFrame:
     """(doc, markdown): chunks parted by a blank line, notes after a rule."""
-    chunks = blocks.select("doc", F.lit(0).alias("grp"), F.col("ord").cast("long").alias("ord"), block_chunk().alias("chunk"))
+    bodies = blocks.withColumn("_body", trimmed(F.col("text")))
+    chunks = bodies.select("doc", F.lit(0).alias("grp"), F.col("ord").cast("long").alias("ord"), block_chunk(F.col("_body")).alias("chunk"))
     if footnotes is not None:
         line = F.concat(F.lit("[^"), F.col("number").cast("string"), F.lit("]: "), F.col("text"))
         notes = footnotes.groupBy("doc").agg(joined(line, F.col("ord"), "\n").alias("lines"))
