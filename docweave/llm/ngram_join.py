@@ -14,7 +14,8 @@ No pair is lost, and no list is expanded into all its pairs:
 * Equal sets are one node. In each list every node is first compared with the list's
   smallest node only, then with its largest; after the verified links are merged into
   components, only pairs of different components are compared, so a group of near
-  copies stays near linear. Sizes, places and signatures drop pairs that cannot link.
+  copies stays near linear. Sizes, places and signatures drop pairs that cannot link;
+  distinct pairs of long sets are held against finer signatures before sets travel.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ SKETCH_LOG, PIECE_LOG = 24, 16
 #: 64-bit words of a set's signature: each shingle flips one bit, so two signatures
 #: differ in no more bits than the sets have elements that the other lacks.
 SIGNATURE = 8
+#: Short signatures of long sets have every bit at random. Sets over LONG_SET have one of
+#: FINE words too, which is kept by node and meets distinct pairs only.
+FINE, LONG_SET = 32, 256
 #: No subsets are enumerated above this size.
 MOST_SMALL = 16
 
@@ -55,8 +59,8 @@ def shingle_sets(texts: list[str | None], n: int):
                 yield np.empty(0, np.uint64)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    bits = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % (64 * SIGNATURE), minlength=64 * SIGNATURE) & 1
+def signature(hashes: np.ndarray, words: int = SIGNATURE) -> np.ndarray:
+    bits = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -86,30 +90,31 @@ def boundary(sizes: dict[int, int], list_length: float, num: int, den: int) -> i
 
 
 def _sets_and_sketch(docs: DataFrame, n: int) -> DataFrame:
-    """Rows (doc_id, n_shingles, node, bits) for documents, and rows (piece, counts) with
+    """Rows (doc_id, n_shingles, node, bits, fine) for documents, and rows (piece, counts) with
     each task's counters of all shingles; one pass writes both."""
 
     def rows(batches):
         counts = np.zeros(1 << SKETCH_LOG, np.uint16)
         for batch in batches:
-            size, node, bits, seen = [], [], [], []
+            size, node, bits, fine, seen = [], [], [], [], []
             for hashes in shingle_sets(batch["text"].tolist(), n):
                 size.append(len(hashes))
                 node.append(fold(hashes))
                 bits.append(signature(hashes))
+                fine.append(signature(hashes, FINE) if len(hashes) > LONG_SET else None)
                 seen.append(hashes)
                 if len(seen) == 500:
                     _count(counts, seen)
                     seen = []
             _count(counts, seen)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": size, "node": node, "bits": bits, "piece": None, "counts": None})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": size, "node": node, "bits": bits, "fine": fine, "piece": None, "counts": None})
         pack = zstandard.ZstdCompressor(level=1).compress
         for piece in range(1 << (SKETCH_LOG - PIECE_LOG)):
             part = counts[piece << PIECE_LOG : (piece + 1) << PIECE_LOG]
             if part.any():
-                yield pd.DataFrame({"doc_id": [None], "n_shingles": [None], "node": [None], "bits": [None], "piece": [piece], "counts": [pack(part.tobytes())]})
+                yield pd.DataFrame({"doc_id": [None], "n_shingles": [None], "node": [None], "bits": [None], "fine": [None], "piece": [piece], "counts": [pack(part.tobytes())]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(rows, "doc_id long, n_shingles long, node long, bits array<long>, piece int, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(rows, "doc_id long, n_shingles long, node long, bits array<long>, fine array<long>, piece int, counts binary")
 
 
 def _count(counts: np.ndarray, sets: list[np.ndarray]) -> None:
@@ -174,13 +179,28 @@ def _entries(docs: DataFrame, n: int, frequent: np.ndarray, small: int, num: int
     return docs.select("text").mapInPandas(rows, "token long, node long, n int, pos int")
 
 
+def _may_differ(x: str, y: str, num: int, den: int):
+    """Whether signatures x and y differ in no more bits than sets of na and nb that reach num / den."""
+    need = F.expr(f"({num} * (na + nb) + {num + den - 1}) div {num + den}")
+    apart = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda t, n: t + n)
+    return apart <= F.col("na") + F.col("nb") - 2 * need
+
+
+def _close(pairs: DataFrame, first: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) but those of long sets whose finer signatures show that they cannot link."""
+    fine = first.filter("fine is not null")
+    a = fine.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa"))
+    b = fine.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb"))
+    unknown = F.col("fa").isNull() | F.col("fb").isNull()
+    return pairs.join(a, "a", "left").join(b, "b", "left").filter(unknown | _may_differ("fa", "fb", num, den)).select("a", "b")
+
+
 def _can_reach(num: int, den: int):
     """Whether a and b, met in a list, may reach num / den by size, by what can follow, and by their signatures."""
     need = F.expr(f"({num} * (na + nb) + {num + den - 1}) div {num + den}")
     rest = F.least(F.col("na") - F.greatest("pa", F.lit(0)), F.col("nb") - F.greatest("pb", F.lit(0)))
-    apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     size = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & ((F.col("pa") < 0) | (rest >= need))
-    return size & (apart <= F.col("na") + F.col("nb") - 2 * need)
+    return size & _may_differ("ba", "bb", num, den)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -217,7 +237,7 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
     small = boundary(sizes, 1 + total / (1 << SKETCH_LOG), num, den)
 
     entries = _entries(docs, n, frequent, small, num, den)
-    first = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bits").alias("bits")))
+    first = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bits").alias("bits"), F.any_value("fine").alias("fine"), F.any_value("n_shingles").alias("n")))
     lists = stored(
         entries.select("*", F.min("node").over(_by("token")).alias("head"), F.max("node").over(_by("token")).alias("tail"))
         .filter("head <> tail").drop("head", "tail").join(first.select("node", "bits"), "node")
@@ -230,7 +250,7 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
         heads = left.filter("node = head").select("token", *_side("b")).dropDuplicates(["token"])
         star = left.filter("node <> head").select("token", *_side("a")).join(heads, "token").filter("ca <> cb")
         star = star.filter(_can_reach(num, den)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        star = stored(star if tried is None else star.join(tried, ["a", "b"], "left_anti"))
+        star = stored(_close(star if tried is None else star.join(tried, ["a", "b"], "left_anti"), first, num, den))
         tried = star if tried is None else tried.unionByName(star)
         found = stored(_verified(star, docs, first, n, num, den))
         links = found if links is None else links.unionByName(found)
@@ -239,7 +259,7 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
     left = stored(_unsettled(lists, cluster))
     rest = left.select("token", *_side("a")).join(left.select("token", *_side("b")), "token").filter("ca < cb").filter(_can_reach(num, den))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    return sets, components(links.unionByName(_verified(stored(rest), docs, first, n, num, den)))
+    return sets, components(links.unionByName(_verified(stored(_close(rest, first, num, den)), docs, first, n, num, den)))
 
 
 def _side(s: str) -> list:
