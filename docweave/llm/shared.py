@@ -165,7 +165,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-    before = None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
@@ -183,10 +182,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .distinct()
         )
         edges = stored(small)
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before:
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        # Settled: every node has one edge up, or is the smallest of its component.
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or (up = 1 and down = 1)").isEmpty():
             break
-        before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return edges.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
