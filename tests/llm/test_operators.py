@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.llm import byte_pairs, embedding_dedup, exact_dedup, language, line_dedup, mixing, ngram_join, packing, queries, substring_dedup, url_filter
+from docweave.llm import byte_pairs, embedding_dedup, exact_dedup, language, line_dedup, mixing, ngram_join, packing, queries, shared, substring_dedup, url_filter
 from docweave.llm.apportion import sainte_lague
 from tests.conftest import SF, rows_of
 
@@ -124,6 +124,39 @@ def test_ngram_frequent_passage_and_group(spark):
     assert all(got[i] == i for i in range(150)) and {got[i] for i in range(150, 300)} == {150}
 
 
+def test_ngram_long_sets_near_the_threshold(spark):
+    """Texts over LONG_SET that share 78 to 80.3 % of their shingles, one in a group of copies."""
+    r = random.Random(8)
+    head = [f"h{r.randrange(10**9)}" for _ in range(1000)]
+    texts = [" ".join(head + [f"t{i}x{r.randrange(10**9)}" for _ in range(m)]) for i, m in enumerate([*range(122, 136), 122, 124])]
+    texts += [texts[0]] * 3
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    parent = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if x == high else x for x in parent]
+    assert 1 < len(set(parent)) < len(texts)
+    got = ngram_join.ngram_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {g.doc_id: g.component_id for g in got} == dict(enumerate(parent))
+
+
+def test_components_equal_brute_force(spark):
+    """A chain, a random forest's edges with repeats, a star, a ring, nulls and loops."""
+    r = random.Random(3)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 20)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
+    edges += [(r.randrange(300, 360), r.randrange(300, 360)) for _ in range(40)] * 2 + [(None, 5), (7, 7), (999, 999)]
+    real = [(a, b) for a, b in edges if a is not None and a != b]
+    low = {n: n for e in real for n in e}
+    for _ in low:
+        for a, b in real:
+            low[a] = low[b] = min(low[a], low[b])
+    got = shared.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len(low) and {g.node: g.component for g in got} == low
+    assert shared.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_token_counts(docs, rows):
     from tokenizers import Tokenizer
 
