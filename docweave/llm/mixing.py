@@ -18,21 +18,12 @@ from .shared import WORD
 PRIMES = (1000003, 2000003, 3000017, 4000037, 5000011, 6000011, 7000003, 8000009)
 
 
-def mix_sources(
+def _placed(
     docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, ceiling: int = 2,
     block: int = 64, shard: int = 1 << 17, seed: int = 17,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row of docs (columns doc_id,
-    text and source; others are ignored).
-
-    size is the number of words of the text (null: 0). Sources by code point, null
-    last, weigh `weights`, repeating, and share `share` times all sizes; a target
-    stops at `ceiling` times its source's size and the excess is shared again by
-    weight. taken is how many words of the document the mix takes: whole passes, and
-    the words of chosen blocks of `block` words. It is at most ceiling * size. The
-    choice depends on the rows and the seed alone; equal doc_ids are told apart by size
-    only, so repeated rows take places in any order. Sources without words have
-    target 0. An empty table gives an empty result."""
+    """Every row's place in its shard's seeded order (words start to end), and what the
+    shard takes: `passes` whole ones, then `rest` of its n blocks, which are `partial` words."""
     sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     every = Window.partitionBy(F.lit(0))  # one row a source
@@ -72,10 +63,26 @@ def mix_sources(
     prime = F.element_at(F.array(*(F.lit(p) for p in PRIMES)), F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), F.lit(len(PRIMES))).cast("int") + 1)
     placed = placed.withColumn("prime", prime).withColumn("turn", F.pmod(F.xxhash64(F.lit(seed + 3), "source", "shard"), F.col("n")))
     placed = placed.withColumn("start", F.col("end") - F.col("size"))
+    return placed.withColumn("block", F.lit(block)).withColumn("partial", F.col("rest") * block)
+
+
+def mix_sources(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every row of docs (columns doc_id,
+    text and source; others are ignored).
+
+    size is the number of words of the text (null: 0). Sources by code point, null
+    last, weigh `weights`, repeating, and share `share` times all sizes; a target
+    stops at `ceiling` times its source's size and the excess is shared again by
+    weight. taken is how many words of the document the mix takes: whole passes, and
+    the words of chosen blocks of `block` words. It is at most ceiling * size. The
+    choice depends on the rows and the seed alone; equal doc_ids are told apart by size
+    only, so repeated rows take places in any order. Sources without words have
+    target 0. An empty table gives an empty result."""
+    placed = _placed(docs, **options)
     some = F.expr(
-        f"""CASE WHEN size = 0 OR rest = 0 THEN 0L ELSE aggregate(
-            filter(sequence(start div {block}, (end - 1) div {block}), b -> pmod(b * prime + turn, n) < rest), 0L,
-            (t, b) -> t + least(end, (b + 1) * {block}) - greatest(start, b * {block})) END"""
+        """CASE WHEN size = 0 OR rest = 0 THEN 0L ELSE aggregate(
+            filter(sequence(start div block, (end - 1) div block), b -> pmod(b * prime + turn, n) < rest), 0L,
+            (t, b) -> t + least(end, (b + 1) * block) - greatest(start, b * block)) END"""
     )
     return placed.select(
         "doc_id", "size", "source_size", "target", (F.col("passes") * F.col("size") + some).alias("taken")
@@ -83,10 +90,13 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """docs as the mix takes them: a document comes once for each whole pass and once
-    more if at least half of its words are in chosen blocks of the pass that is not
-    whole. Columns as in docs. Documents without words stay once."""
-    took = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max("taken").alias("_taken"), F.max("size").alias("_size"))
-    times = F.when(F.col("_size") == 0, 1).otherwise(F.floor(F.col("_taken") / F.greatest("_size", F.lit(1)) + 0.5)).cast("int")
+    """docs as the mix takes them (options as of mix_sources): a document comes once for
+    each whole pass of its shard, and once more if its middle word, in the shard's seeded
+    order, is among as many words as the pass that is not whole takes. So a shard's kept
+    words differ from its quota by half of one document and a block at most. Columns as
+    in docs. Documents without words stay once; rows that share a doc_id come alike."""
+    again = (F.col("start") + F.col("end") <= 2 * F.col("partial")).cast("int")
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("passes") + again).cast("int")
+    took = _placed(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max(times).alias("_times"))
     joined = docs.join(took, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.filter(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+    return joined.filter("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)

@@ -257,6 +257,27 @@ def test_mixing(docs, rows, spark):
     assert mixing.mix_sources(docs.filter("false")).count() == 0 and mixing.mixed_documents(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("words", [20, 300, 1000])
+def test_mixed_documents_keep_the_quotas(spark, words):
+    """Sources that take 0.5, 0.4 and 1.2 of their words, of several shards each: the words of whole documents come near the targets."""
+    r = random.Random(words)
+    counts = {"a": 120000, "b": 50000, "c": 35000}
+    table = []
+    for s, n in counts.items():
+        while n > 0:
+            k = min(n, r.randint(words // 2, 3 * words // 2))
+            table.append((len(table), "w " * k, s))
+            n -= k
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string")
+    options = {"weights": (3.0, 1.0, 2.1), "share": 122000 / 205000, "shard": 20000}
+    targets = dict(mixing.mix_sources(docs, **options).join(docs, "doc_id").groupBy("source").agg(F.first("target")).collect())
+    kept = mixing.mixed_documents(docs, **options).groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("w")))).collect()
+    assert targets["a"] == pytest.approx(60000, rel=0.01) and targets["c"] == pytest.approx(42000, rel=0.01)
+    shards = {s: -(-n // options["shard"]) for s, n in counts.items()}
+    assert len(kept) == 3 and all(abs(n - targets[s]) <= shards[s] * (3 * words // 4 + 64) + 64 for s, n in kept)
+    assert all(abs(n - targets[s]) <= 0.05 * targets[s] for s, n in kept)
+
+
 def test_urls(spark):
     urls = ["http://A.Com/x?q", "https://www.example.com/en/1", "https://b.example.com/en/", "b.net/es/", "http://b.net/es/1#t", "http://net/fr/", "http://xnet/fr/", None, "http://com", "x://y://z/w", "http://example.com/EN/", "http://h.org\n/p\nq"]
     pages = spark.createDataFrame([*enumerate(urls), (None, urls[0]), (0, urls[0])], "page_id long, url string").withColumn("host", F.lit("clash"))
