@@ -48,10 +48,12 @@ _TOGETHER = 2_000_000
 
 @dataclass
 class Model:
-    """languages; scores: bucket x language; uses: script x language."""
+    """languages; scores: bucket x language, about each bucket's mean; common: those means
+    over even odds for all buckets; uses: script x language."""
 
     languages: list[str]
     scores: np.ndarray
+    common: np.ndarray
     uses: np.ndarray
 
 
@@ -81,7 +83,7 @@ def learn(docs: DataFrame, per_language: int = 4000) -> Model:
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row for each language
     languages = sorted(counts)
     if not languages:
-        return Model([], np.zeros((1 << LOG_BUCKETS, 0), np.float32), np.zeros((SCRIPTS, 0), bool))
+        return Model([], np.zeros((1 << LOG_BUCKETS, 0), np.float32), np.zeros(1 << LOG_BUCKETS, np.float32), np.zeros((SCRIPTS, 0), bool))
     share = F.create_map(*(x for k in languages for x in (F.lit(k), F.lit(min(1.0, per_language / counts[k])))))[F.col("lang")]
     sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     width = (1 << LOG_BUCKETS) + SCRIPTS
@@ -103,16 +105,20 @@ def learn(docs: DataFrame, per_language: int = 4000) -> Model:
     sums[got["bucket"], got["lang"]] = got["n"]
     grams, scripts = sums[: 1 << LOG_BUCKETS], sums[1 << LOG_BUCKETS :]
     scores = np.log((grams + 0.3) / (grams.sum(0) + 0.3 * (1 << LOG_BUCKETS)))
-    return Model(languages, (WEIGHT * (scores - scores.mean(1, keepdims=True))).astype(np.float32), scripts >= USED * np.maximum(scripts.sum(0), 1))
+    mean = scores.mean(1, keepdims=True)
+    common = (WEIGHT * (mean[:, 0] + np.log(1 << LOG_BUCKETS))).astype(np.float32)
+    return Model(languages, (WEIGHT * (scores - mean)).astype(np.float32), common, scripts >= USED * np.maximum(scripts.sum(0), 1))
 
 
 def _emissions(model: Model, texts: list[bytes]):
-    """Scores (word x language), letters of each word, and each text's first word."""
+    """Scores (word x language), letters of each word, each text's first word, and what
+    the model's `common` adds to a word's scores, alike for all languages."""
     bucket, first, end, word_at, script = _features(texts)
     out = np.add.reduceat(model.scores[bucket], first, axis=0) if len(first) else np.empty((0, len(model.languages)), np.float32)
     uses = model.uses[script]
     out -= FOREIGN * (~uses & uses.any(1, keepdims=True))
-    return out, (end - first).astype(np.int64), word_at
+    common = np.add.reduceat(model.common[bucket], first) if len(first) else np.empty(0, np.float32)
+    return out, (end - first).astype(np.int64), word_at, common
 
 
 def viterbi(emissions: np.ndarray, first: np.ndarray, end: np.ndarray, penalty: float) -> np.ndarray:
@@ -147,71 +153,77 @@ def viterbi(emissions: np.ndarray, first: np.ndarray, end: np.ndarray, penalty:
     return labels
 
 
-def identify(docs: DataFrame, model: Model, penalty: float = 8.0, spans: bool = False, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `keep`, lang_pred, score, and spans if asked for, of every row of docs
+def identify(docs: DataFrame, model: Model, penalty: float = 8.0, spans: bool = False, keep: tuple[str, ...] = ("doc_id",), fit: bool = False) -> DataFrame:
+    """The columns `keep`, lang_pred, score, and spans and fit if asked for, of every row of docs
     (column text and those of keep; a kept column of one of those names is replaced).
 
     lang_pred is the language of most letters on the best path, `und` where the text is
     null or has no letter, or nothing was learned. score is those letters' share, times
     the softmax of the languages' total scores: 0 to 1, 0 for `und`. spans is an array
-    of (lang, words), words being runs of letters. Repeated rows are all returned; an
+    of (lang, words), words being runs of letters. fit is the mean score of a letter on
+    the best path, over letters at random (even odds for all buckets): above 0 where the
+    labels' languages explain the text, however many they are, and 0 for `und`. Repeated rows are all returned; an
     empty table gives an empty result."""
     kinds = len(model.languages)
     batches_of(docs.sparkSession, 5000)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**LOG_BUCKETS floats a language
 
-    def label(model: Model, waiting: list, pred: list, score: list, found: list) -> None:
+    def label(model: Model, waiting: list, pred: list, score: list, found: list, fits: list) -> None:
         emissions = np.concatenate([w[0] for w in waiting])
         letters = np.concatenate([w[1] for w in waiting])
         shift = np.cumsum([0, *(len(w[1]) for w in waiting)])
         first = np.concatenate([w[2][:-1] + s for w, s in zip(waiting, shift, strict=False)])
         end = np.concatenate([w[2][1:] + s for w, s in zip(waiting, shift, strict=False)])
-        texts = [t for w in waiting for t in w[3]]
+        common = np.concatenate([w[3] for w in waiting])
+        texts = [t for w in waiting for t in w[4]]
         labels = viterbi(emissions, first, end, penalty)
         tally, totals = np.zeros((len(first), kinds)), np.zeros((len(first), kinds))
         owner = np.repeat(np.arange(len(first)), end - first)
         np.add.at(tally, (owner, labels), letters)
+        path = np.bincount(owner, emissions[np.arange(len(labels)), labels] + common, len(first)) / np.maximum(tally.sum(1), 1)
         full = np.flatnonzero(end > first)
         if len(full):
             totals[full] = np.add.reduceat(emissions, first[full], axis=0, dtype=np.float64)
         for i, text in enumerate(texts):
             raw = np.frombuffer(text, np.uint8)
             if not _ASCII_LETTER[raw].any() and not _LETTER.search(text.decode("utf-8", "replace")):
-                pred.append("und"), score.append(0.0), found.append([])
+                pred.append("und"), score.append(0.0), found.append([]), fits.append(0.0)
                 continue
             best = int(tally[i].argmax())
             share = tally[i, best] / max(tally[i].sum(), 1)
             odds = np.exp(np.minimum(totals[i] - totals[i, best], 50))
-            pred.append(model.languages[best]), score.append(float(share / odds.sum()))
+            pred.append(model.languages[best]), score.append(float(share / odds.sum())), fits.append(float(path[i]))
             if spans:
                 own = labels[first[i] : end[i]]
                 cut = np.flatnonzero(np.diff(own, prepend=255))
                 found.append([(model.languages[own[c]], int(n)) for c, n in zip(cut, np.diff(cut, append=len(own)), strict=True)])
 
-    kind = "struct<lang_pred:string,score:double" + ",spans:array<struct<lang:string,words:bigint>>" * spans + ">"
+    kind = "struct<lang_pred:string,score:double" + ",spans:array<struct<lang:string,words:bigint>>" * spans + ",fit:double" * fit + ">"
 
     @F.pandas_udf(kind)
     def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for texts in batches:
-            pred, score, found, waiting, words = [], [], [], [], 0
+            pred, score, found, fits, waiting, words = [], [], [], [], [], 0
             for _, _, part in runs(texts.tolist()) if kinds else ():
                 waiting.append((*_emissions(model, part), part))
                 words += len(waiting[-1][1])
                 if words >= _TOGETHER:
-                    label(model, waiting, pred, score, found)
+                    label(model, waiting, pred, score, found, fits)
                     waiting, words = [], 0
             if waiting:
-                label(model, waiting, pred, score, found)
+                label(model, waiting, pred, score, found, fits)
             if not kinds:
-                pred, score, found = ["und"] * len(texts), [0.0] * len(texts), [[]] * len(texts)
+                pred, score, found, fits = ["und"] * len(texts), [0.0] * len(texts), [[]] * len(texts), [0.0] * len(texts)
             out = pd.DataFrame({"lang_pred": pred, "score": score})
             if spans:
                 out["spans"] = [[{"lang": k, "words": n} for k, n in f] for f in found]
+            if fit:
+                out["fit"] = fits
             yield out
 
     out = docs.select(*(c for c in keep), labelled("text").alias("_found"))
-    more = ["lang_pred", "score", *["spans"] * spans]
+    more = ["lang_pred", "score", *["spans"] * spans, *["fit"] * fit]
     return out.select(*(c for c in keep if c not in more), *(F.col("_found")[c].alias(c) for c in more))
 
 
@@ -227,9 +239,10 @@ def predict_languages(docs: DataFrame, per_language: int = 4000, penalty: float
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5, per_language: int = 4000, penalty: float = 8.0) -> DataFrame:
-    """docs without the rows whose language is `und` or scores below `least`."""
+def keep_identified(docs: DataFrame, per_language: int = 4000, penalty: float = 8.0) -> DataFrame:
+    """docs without the rows whose language is `und` and those that no learned languages
+    explain better than letters at random. A text may be of any number of languages."""
     model = learn(docs.filter(~held_out(F.col("doc_id"))), per_language)
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    good = identify(whole, model, penalty, keep=("row",)).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    good = identify(whole, model, penalty, keep=("row",), fit=True).filter((F.col("lang_pred") != "und") & (F.col("fit") > 0))
     return good.select("row.*")

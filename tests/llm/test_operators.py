@@ -324,6 +324,23 @@ def test_language(spark, docs):
     assert language.predict_languages(docs.filter("false")).count() == 0 and language.keep_identified(docs).columns == docs.columns
 
 
+def test_documents_of_several_languages_stay(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    text = {k: d.filter((F.col("lang") == k) & (F.length("text") > 400)).first().text for k in ("en", "fr", "de", "es")}
+    r = random.Random(6)
+    mixed = {
+        1001: " ".join([text["en"][:200], text["fr"][:150], text["de"][:150]]), 1002: " ".join([text["es"][:150], text["de"][:150], text["en"][:150]]),
+        1003: " ".join([text["fr"][:210], text["en"][:200]]), 1004: " ".join([text["de"][:200], text["es"][:200]]), 1005: " ".join(t[:200] for t in text.values()),
+    }
+    no_words = {2001: None, 2002: "12 !", 2003: "".join(r.choice("qxzjkvw ") for _ in range(300)), 2004: "".join(r.choice("абвгдежзик ") for _ in range(300))}
+    more = spark.createDataFrame([*mixed.items(), *no_words.items()], "doc_id long, text string")
+    kept = {x.doc_id for x in language.keep_identified(d.unionByName(more, allowMissingColumns=True)).collect()}
+    assert {x for x in kept if x > 1000} == set(mixed)
+    assert {x.doc_id for x in d.select("doc_id").collect()} <= kept
+    alone = d.filter("lang = 'en'")  # a corpus of one language is explained too
+    assert language.keep_identified(alone).count() == alone.count()
+
+
 def test_viterbi_equals_brute_force():
     from itertools import product
 
