@@ -26,6 +26,10 @@ _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 _SPLIT_HERE = (
     SPLIT.replace(r"[^\s\p{L}\p{N}]", rf"(?:(?!{_SPACE})[^\p{{L}}\p{{N}}])").replace(r"(?!\S)", f"(?!{_OTHER})").replace(r"\s", _SPACE)
 )
+#: Pairs that show a run of white space with a space inside or at its end.
+_RUNS = tuple(chr(c) + " " for c in range(0x3001) if regex.match(_SPACE, chr(c)))
+#: A run of white space up to its last space, if that begins a word; else words and runs whole.
+_PIECES = regex.compile(rf" ?{_OTHER}+|{_SPACE}+(?= {_OTHER})|{_SPACE}+{_OTHER}*")
 
 
 def _byte_symbols() -> list[str]:
@@ -101,11 +105,13 @@ class PairCounter(dict):
         return n
 
     def of_text(self, text: str) -> int:
-        """Words begin at a space that follows no space, so the text is cut there."""
+        """Words begin at a space that follows no white space, so the text is cut there. A run
+        of white space is one word up to its last character, whatever it is made of."""
         if not text:
             return 0
-        if "  " in text:
-            return sum(map(self.__getitem__, regex.findall(r"[^ ]+| +[^ ]*", text)))
+        if any(map(text.__contains__, _RUNS)):
+            parts = self.special.split(text) if self.special and "<|" in text else [text]
+            return len(parts) - 1 + sum(self[p] for part in parts for p in _PIECES.findall(part))
         first, *rest = text.split(" ")
         return (self[first] if first else 0) + sum(map(self.__getitem__, [" " + w for w in rest]))
 

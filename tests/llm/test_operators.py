@@ -170,6 +170,22 @@ def test_token_counts(docs, rows):
         assert counter.of_text(s) == len(t.encode(s, add_special_tokens=False).ids), s
 
 
+def test_token_counts_of_mixed_white_space(spark):
+    """Runs of white space that alternate spaces with others are one word of the split."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(_vocabulary("byte_bpe_50k.json"))
+    counter, r = byte_pairs.PairCounter(_vocabulary("byte_bpe_50k.json")), random.Random(4)
+    texts = [" \u00a0 \u00a0", "a \u00a0 \u00a0 \u00a0b", "\u00a0 \u00a0 a", "a \u00a0 \u00a0<|endoftext|>  b", "  \u00a0  \u00a0x", "\n \n \n x"]
+    bits = [" ", " ", "\u00a0", " \u00a0", "\n", "\t", "\u3000", "\u2009", "\x85", "\x1c", "a", "'s", ".", "7", "<|endoftext|>", "<|", "한"]
+    texts += ["".join(r.choice(bits) for _ in range(r.randint(1, 14))) for _ in range(4000)]
+    assert counter.of_text(texts[0]) == 1
+    for s in texts:
+        assert counter.of_text(s) == len(t.encode(s, add_special_tokens=False).ids), s
+    got = byte_pairs.count_tokens(spark.createDataFrame(list(enumerate(texts[:6])), "doc_id long, text string"), _vocabulary("byte_bpe_50k.json"))
+    assert [x.n_tokens for x in got.orderBy("doc_id").collect()] == [len(t.encode(s, add_special_tokens=False).ids) for s in texts[:6]]
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
