@@ -4,7 +4,7 @@ Lines of equal length within one substitution are equal once the same place is d
 from both; a line one character shorter equals the longer one with a character
 deleted. Variants are emitted as hashed keys, equal ones meet, and the edit distance of
 those that meet is verified. Deleting every place of long lines would be quadratic, so
-a line is first halved: an edit leaves one half as it is. Only lines that share a half with
+a line is first halved, but for short ones: an edit leaves one half as it is. Only lines that share a half with
 another are halved again, down to parts short enough to delete every place of.
 
 A group of equal variants is aggregated to its earliest line, never paired. DataFrame
@@ -20,6 +20,8 @@ from .shared import stored
 
 #: Parts up to this length are not halved again.
 LEAF = 24
+#: Pairs whose shorter line is shorter than this are not halved at all: halves of such lines are too common to tell much.
+WHOLE = 20
 #: A line on more rows than this, and than a ten-thousandth, is taken from its first row alone.
 HOT_LINES = 500
 #: As many lines' hashes are broadcast at most, 8 bytes each; more are joined by a shuffle.
@@ -81,15 +83,27 @@ def _variants(leaves: DataFrame) -> DataFrame:
     return leaves.select("id", "role", F.explode(keys).alias("key"))
 
 
+def _short_leaves(firsts: DataFrame) -> DataFrame:
+    """(id, key, role, part) of the short lines, whole, in each role whose pairs' shorter line is shorter than WHOLE."""
+    n = F.char_length("short")
+    roles = F.when(n < WHOLE, F.array(*map(F.lit, (SAME, SHORT, LONG)))).otherwise(F.array(F.lit(LONG)))
+    rows = firsts.filter("short is not null").select("id", F.col("short").alias("part"), F.explode(roles).alias("role"))
+    m = F.char_length("part") - F.when(F.col("role") == LONG, 1).otherwise(0)  # alike for both of a pair
+    return rows.select("id", F.xxhash64(F.lit(0), F.col("role") == SAME, m).alias("key"), "role", "part")
+
+
 def near_lines(docs: DataFrame, least_chars: int = 20) -> tuple[DataFrame, DataFrame]:
     """(firsts, later): firsts is (id, doc, pos, crc) of the earliest row of each
     distinct line; later is (id) of lines within one edit of an earlier one."""
     lines = _lines(docs)
-    firsts = stored(lines.groupBy("id").agg(F.min(F.struct("doc", "pos", "crc")).alias("first"), F.count("*").alias("rows")))
+    least = max(least_chars, WHOLE)
+    short = F.char_length("line").between(least_chars, WHOLE)  # one longer than the longest of WHOLE's pairs' shorter lines
+    kept = F.min(F.when(short, F.col("line"))).alias("short")
+    firsts = stored(lines.groupBy("id").agg(F.min(F.struct("doc", "pos", "crc")).alias("first"), F.count("*").alias("rows"), kept))
     total = firsts.agg(F.sum("rows")).first()[0] or 0
     hot = firsts.filter(F.col("rows") > max(HOT_LINES, total // 10_000)).select("id", F.col("first").alias("hot"))  # under 10,000
     once = lines.join(F.broadcast(hot), "id", "left").filter(F.col("hot").isNull() | (F.col("hot") == F.struct("doc", "pos", "crc")))
-    once = once.filter(F.char_length("line") >= least_chars)
+    once = once.filter(F.char_length("line") >= least)
     halves = F.transform(_halves(F.col("line"), F.lit(0), None), lambda h: F.struct(h["key"].alias("key"), h["role"].alias("role"), h["left"].alias("left")))
     met = stored(_meeting(once.select("id", F.inline(halves))).distinct())
 
@@ -98,7 +112,7 @@ def near_lines(docs: DataFrame, least_chars: int = 20) -> tuple[DataFrame, DataF
     texts = stored(once.select("id", "line").join(ids, "id").distinct())
     split = _halves(F.col("line"), F.lit(0), None)
     level = texts.select("id", "line", F.inline(split)).join(met.select("id", "key", "role"), ["id", "key", "role"], "left_semi").select("id", "key", "role", "part")
-    leaves, deep = [], stored(level)
+    leaves, deep = [_short_leaves(firsts)], stored(level)
     shorter = F.char_length("part") - F.when(F.col("role") == LONG, 1).otherwise(0)  # alike for both of a pair
     while True:
         leaves.append(deep.filter(shorter <= LEAF))
@@ -107,11 +121,12 @@ def near_lines(docs: DataFrame, least_chars: int = 20) -> tuple[DataFrame, DataF
             break
         parts = deep.select("id", F.inline(_halves(F.col("part"), F.col("key"), F.col("role")))).select("id", "key", "role", "part")
         deep = stored(_meeting(parts))
-    variants = _variants(leaves[0] if len(leaves) == 1 else _union(leaves))
+    variants = _variants(_union(leaves))
     order = variants.join(firsts.select("id", "first"), "id").select("id", "key", "role", "first")
     best = order.groupBy("key").agg(*(F.min(F.when(F.col("role") == r, F.struct("first", "id"))).alias(f"r{r}") for r in (SAME, SHORT, LONG)))
     rival = F.when(F.col("role") == SAME, F.col("r0")).when(F.col("role") == SHORT, F.col("r2")).otherwise(F.col("r1"))
     claims = order.join(best, "key").withColumn("rival", rival).filter(F.col("rival.first") < F.col("first")).select("id", F.col("rival.id").alias("by")).distinct()
+    texts = texts.select("id", "line").unionByName(firsts.filter("short is not null").select("id", F.col("short").alias("line")))
     a, b = texts.select("id", F.col("line").alias("a")), texts.select(F.col("id").alias("by"), F.col("line").alias("b"))
     verified = claims.join(a, "id").join(b, "by").filter(F.levenshtein("a", "b", 1) == 1)
     return firsts, verified.select("id").distinct()
@@ -130,7 +145,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
     of a character), comes earlier: at a smaller doc_id, or in the same document before.
 
     Lines end at newlines. Blank ones stay and are not compared; lines under
-    `least_chars` characters are compared for equality only. Lines are judged on the
+    `least_chars` characters, if it is set above 1, are compared for equality only. Lines are judged on the
     input, and equal by a 64-bit hash. A null text counts as empty and stays null; a null doc_id counts as larger than all.
     Rows that share doc_id and text count as one. Columns that docs has of
     those two names are replaced. An empty table gives an empty result."""

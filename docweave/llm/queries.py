@@ -64,7 +64,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(_read(spark, sf_dir, "documents"))
+    out = dedup_lines(_read(spark, sf_dir, "documents"), least_chars=0)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -406,3 +406,30 @@ def test_line_dedup(spark, broadcast, hot, monkeypatch):
     got = line_dedup.dedup_lines(df.withColumn("id", F.lit(1))).select("doc_id", "text", "n_lines", "n_removed")
     assert bad and _sorted(got) == sorted(want, key=str)
     assert line_dedup.dedup_lines(df.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("least,hot", [(0, 500), (0, 2), (12, 500), (25, 500)])
+def test_line_dedup_of_short_lines(spark, least, hot, monkeypatch):
+    """Lines of 1 to 27 characters against brute force, and op10 takes lines of every length."""
+    monkeypatch.setattr(line_dedup, "HOT_LINES", hot)
+    r = random.Random(9)
+    base = ["".join(r.choice("abé 한") for _ in range(n)) for n in (1, 2, 3, 6, 10, 13, 18, 19, 20, 21, 24, 26)]
+
+    def edit(x):
+        i, c = r.randrange(len(x)), r.choice("abcé 한")
+        return r.choice([x[:i] + x[i + 1 :], x[:i] + c + x[i:], x[:i] + c + x[i + 1 :], x]) or "a"
+
+    table = [(d, "\n".join(edit(edit(r.choice(base))) for _ in range(6))) for d in range(60)] + [(900, "Copyright 2019"), (901, "Copyright 2018")]
+    first = {}
+    for d, t in table:
+        for p, x in enumerate(t.split("\n")):
+            if x.strip():
+                first.setdefault(x, (d, p))
+    bad = {a for a in first for b in first if first[b] < first[a] and min(len(a), len(b)) >= least and _one_edit(a, b)}
+    want = [(d, "\n".join(x for p, x in enumerate(t.split("\n")) if not x.strip() or (first[x] == (d, p) and x not in bad))) for d, t in table]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    assert bad and _sorted(line_dedup.dedup_lines(df, least).select("doc_id", "text")) == sorted(want, key=str)
+    if least == 0:
+        monkeypatch.setattr(queries, "_read", lambda *_: df)
+        got = {x.doc_id: x.kept_sha256 for x in queries.op10_line_dedup(spark, "").collect()}
+        assert got == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in want} and got[901] == hashlib.sha256(b"").hexdigest()
