@@ -32,10 +32,14 @@ def xml_unescape(s: Column) -> Column:
     return s
 
 
+#: What a media type holds, in this order, and the extension it gets.
+EXTENSIONS = (("png", "png"), ("jpeg", "jpg"), ("jpg", "jpg"), ("gif", "gif"), ("bmp", "bmp"), ("svg", "svg"), ("webp", "webp"), ("emf", "emf"), ("wmf", "wmf"))
+
+
 def extension(mime: Column) -> Column:
     """File extension of an image by its media type; bin if none fits."""
     m, out = F.lower(mime), None
-    for part, ext in (("png", "png"), ("jpeg", "jpg"), ("jpg", "jpg"), ("gif", "gif"), ("bmp", "bmp"), ("svg", "svg"), ("webp", "webp"), ("emf", "emf"), ("wmf", "wmf")):
+    for part, ext in EXTENSIONS:
         out = F.when(m.contains(part), ext) if out is None else out.when(m.contains(part), ext)
     return out.otherwise("bin")
 
@@ -78,6 +82,14 @@ def replace_keys(s: Column, pairs: list[tuple[str, str]]) -> tuple[Column, list[
     return done["text"], [done["hits"][i] for i in range(len(pairs))]
 
 
+#: The suffix of a changed document's default path, by what was done.
+SUFFIXES = {
+    "replace_text": "modified", "fill_template": "filled", "append_paragraph": "appended", "delete_paragraph": "deleted", "append_row": "row-added", "delete_row": "row-deleted", "set_field": "field-set",
+    "set_paragraph": "para-set", "set_cell": "cell-set", "append_column": "col-added", "delete_column": "col-deleted", "insert_image": "img-added", "text_style": "styled", "paragraph_style": "para-styled",
+    "insert_table": "table-added", "merge_horizontal": "merged", "merge_vertical": "vmerged", "delete_image": "img-removed", "replace_image": "img",
+}
+
+
 def output_path(path: Column, suffix: str) -> Column:
     """base_suffix.ext."""
     return F.regexp_replace(path, r"(\.[^./]*)$", f"_{suffix}$1")

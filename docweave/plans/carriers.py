@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docweave.sources import package
+
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
@@ -76,5 +78,22 @@ def entry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTRIES = "e AS (SELECT user_id AS doc, event_id AS seq, 'BinData/image' || (event_id % 7 + 1) || '.' || CASE WHEN event_id % 3 = 0 THEN 'jpg' ELSE 'png' END AS entry, event_type AS bytes FROM events)"
 
 
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of a new package for each document, a paragraph for each line, named by doc_id."""
+    d = read(spark, sf_dir, "documents")
+    none = F.lit(None)
+    items = d.select(
+        F.concat(F.lit("/docs/"), F.col("doc_id").cast("string"), F.lit(".hwpx")).alias("doc"), F.lit(0).alias("pos"), F.lit("text").alias("type"), "text",
+        none.cast("array<string>").alias("headers"), none.cast("array<array<string>>").alias("rows"))
+    return package.create(items)
+
+
+def doc_id():
+    return F.regexp_extract("doc", r"(\d+)\.hwpx$", 1).cast("long").alias("doc")
+
+
+LINES = """l AS (SELECT doc_id AS doc, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS paragraph FROM documents)"""
+
+
 def by_order(key: str, *order: str) -> Window:
     return Window.partitionBy(key).orderBy(*order)

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from docweave.functions import text as T
 from docweave.operators import edit as E
 from docweave.operators import flow as O
+from docweave.operators import package_edit as P
+from docweave.operators import report as R
 from docweave.operators import tables as B
+from docweave.sources import package, views
 
 from . import carriers as C
 
@@ -69,7 +72,8 @@ def text_dump(spark, sf_dir):
 
 @query(_P + "SELECT doc, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY doc")
 def paragraph_count(spark, sf_dir):
-    return C.paragraphs(spark, sf_dir).groupBy("doc").agg(F.count("*").alias("n"))
+    dump = O.text_dump({"body": C.paragraphs(spark, sf_dir).select("doc", F.col("paragraph").alias("ord"), F.col("text").alias("line"))})
+    return R.dump_lines(dump)
 
 
 @query(_P + f"SELECT doc, CAST(paragraph AS BIGINT) AS paragraph, {C.TRIM.format('text')} AS text FROM p WHERE {C.TRIM.format('text')} <> ''")
@@ -92,7 +96,8 @@ def hf_dedupe(spark, sf_dir):
 @query("""SELECT event_id AS doc, '[eq ' || user_id || '/' || event_id % 3 || '/0] ' || props AS line FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")
 def equation_lines(spark, sf_dir):
     e = C.read(spark, sf_dir, "events").filter(F.from_json("props", "k INT")["k"].isNotNull())
-    return e.select(F.col("event_id").alias("doc"), F.format_string("[eq %d/%d/0] %s", "user_id", F.col("event_id") % 3, "props").alias("line"))
+    e = e.select(F.col("event_id").alias("doc"), F.col("user_id").alias("section"), (F.col("event_id") % 3).alias("paragraph"), F.lit(0).alias("control"), F.col("props").alias("script"))
+    return R.equation_lines(e).select("doc", "line")
 
 
 @query(_P + """, k AS (SELECT doc, paragraph, CASE WHEN paragraph % 5 = 1 THEN 'equation' WHEN paragraph % 5 = 2 THEN 'table' WHEN paragraph % 5 = 3 THEN 'image' END AS kind FROM p)
@@ -165,11 +170,12 @@ def image_placeholder(spark, sf_dir):
     return C.images(spark, sf_dir).select("seq", T.size_label(F.col("byte_length")).alias("label"))
 
 
-@query(_I + """SELECT doc, seq, row_number() OVER (PARTITION BY doc ORDER BY seq) || '. [section 0, para ' || seq || ', ctrl 0] ' || mime || ' (' || byte_length || ' bytes)' AS line,
-printf('img_%03d', row_number() OVER (PARTITION BY doc ORDER BY seq)) AS name FROM i""")
+@query(_I + """SELECT doc, seq, row_number() OVER (PARTITION BY doc ORDER BY seq) || '. [section 0, para ' || seq || ', ctrl 0] ' || mime || ' (' || byte_length || ' bytes, .' || ext || ')' AS line,
+printf('img_%03d', row_number() OVER (PARTITION BY doc ORDER BY seq)) AS name
+FROM (SELECT *, CASE WHEN contains(lower(mime), 'png') THEN 'png' WHEN contains(lower(mime), 'jpeg') THEN 'jpg' WHEN contains(lower(mime), 'svg') THEN 'svg' WHEN contains(lower(mime), 'emf') THEN 'emf' ELSE 'bin' END AS ext FROM i)""")
 def image_list(spark, sf_dir):
-    i = C.images(spark, sf_dir).withColumn("n", F.row_number().over(C.by_order("doc", "seq")))
-    return i.select("doc", "seq", F.format_string("%d. [section 0, para %d, ctrl 0] %s (%d bytes)", "n", "seq", "mime", "byte_length").alias("line"), F.format_string("img_%03d", "n").alias("name"))
+    i = C.images(spark, sf_dir).select("doc", F.lit(0).alias("section"), F.col("seq").alias("paragraph"), F.lit(0).alias("control"), "mime", "byte_length", T.extension(F.col("mime")).alias("ext"))
+    return R.image_lines(i).select("doc", F.col("paragraph").alias("seq"), "line", "name")
 
 
 @query(r"""WITH s AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN '개요 ' WHEN 1 THEN 'outline' WHEN 2 THEN 'Heading ' ELSE 'My Outline  ' END || page_id % 12 AS style FROM pages)
@@ -182,32 +188,31 @@ def heading_levels(spark, sf_dir):
 
 @query("""SELECT user_id AS doc, CAST(count(*) FILTER (event_type = 'click') AS BIGINT) AS clicks, CAST(count(*) FILTER (event_type = 'view') AS BIGINT) AS views, CAST(count(DISTINCT event_type) AS BIGINT) AS kinds FROM events GROUP BY user_id""")
 def doc_info(spark, sf_dir):
-    e = C.read(spark, sf_dir, "events")
-    return e.groupBy(F.col("user_id").alias("doc")).agg(F.count_if(F.col("event_type") == "click").alias("clicks"), F.count_if(F.col("event_type") == "view").alias("views"), F.count_distinct("event_type").alias("kinds"))
+    e = C.read(spark, sf_dir, "events").select(F.col("user_id").alias("doc"), F.col("event_type").alias("kind"))
+    return R.kind_counts(e, ["click", "view"]).select("doc", F.col("n_click").alias("clicks"), F.col("n_view").alias("views"), "kinds")
 
 
 @query("""SELECT conv_id AS doc, row_number() OVER (PARTITION BY conv_id ORDER BY turn) || '. ' || role || ' [clickhere] = ' || substring(text, 1, 40) AS line FROM conversations""")
 def field_list(spark, sf_dir):
-    c = C.read(spark, sf_dir, "conversations").withColumn("n", F.row_number().over(C.by_order("conv_id", "turn")))
-    return c.select(F.col("conv_id").alias("doc"), F.format_string("%d. %s [clickhere] = %s", "n", "role", F.substring("text", 1, 40)).alias("line"))
+    c = C.read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.lit(0).alias("section"), F.col("turn").alias("ord"), F.col("role").alias("name"), F.lit("clickhere").alias("type"), F.col("text").alias("value"))
+    return R.field_lines(c).select("doc", "line")
 
 
 @query("SELECT conv_id AS doc, min_by(text, turn) AS value FROM conversations WHERE role = 'user' GROUP BY conv_id")
 def field_lookup(spark, sf_dir):
-    c = C.read(spark, sf_dir, "conversations").filter("role = 'user'")
-    return c.groupBy(F.col("conv_id").alias("doc")).agg(F.min_by("text", "turn").alias("value"))
+    c = C.read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.lit(0).alias("section"), F.col("turn").alias("ord"), F.col("role").alias("name"), F.col("text").alias("value"))
+    return R.field_value(c, "user")
 
 
 @query(_E + "SELECT DISTINCT doc, entry, CAST(dense_rank() OVER (PARTITION BY doc ORDER BY entry) AS BIGINT) AS n FROM e")
 def bindata_sorted(spark, sf_dir):
-    e = C.entry_rows(spark, sf_dir).select("doc", "entry").distinct()
-    return e.withColumn("n", F.row_number().over(C.by_order("doc", "entry")).cast("long"))
+    return R.binary_entries(C.entry_rows(spark, sf_dir)).select("doc", "entry", F.col("n").cast("long").alias("n"))
 
 
 @query("SELECT conv_id AS doc, turn, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, count(*) OVER (PARTITION BY conv_id) AS pages FROM conversations) WHERE n <= greatest(0, least(3, pages))")
 def page_limit(spark, sf_dir):
-    c = C.read(spark, sf_dir, "conversations").withColumn("n", F.row_number().over(C.by_order("conv_id", "turn")))
-    return c.filter("n <= 3").select(F.col("conv_id").alias("doc"), "turn", "text")
+    c = C.read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), "turn", "text")
+    return R.first_rows(c, 3, "turn").drop("n")
 
 
 def _last_sql(s: str, k: str, v: str) -> str:
@@ -289,7 +294,100 @@ def insert_image_name(spark, sf_dir):
 
 
 @query("""SELECT doc_id, CAST(length(regexp_replace(text, '[^\\x{3000}-\\x{303F}\\x{3040}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{AC00}-\\x{D7A3}\\x{FF00}-\\x{FFEF}]', '', 'g')) AS BIGINT) AS wide,
-round((length(regexp_replace(text, '[^\\x{3000}-\\x{303F}\\x{3040}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{AC00}-\\x{D7A3}\\x{FF00}-\\x{FFEF}]', '', 'g')) * 0.45::DOUBLE + length(text) * 0.55::DOUBLE) * 12, 3) AS width FROM (SELECT doc_id, substring(text, 1, 60) || '한글' || chr(12289) AS text FROM documents)""".replace("\\\\", "\\"))
+round((length(regexp_replace(text, '[^\\x{3000}-\\x{303F}\\x{3040}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{AC00}-\\x{D7A3}\\x{FF00}-\\x{FFEF}]', '', 'g')) * 0.45::DOUBLE + length(text) * 0.55::DOUBLE) * 12, 3) AS width FROM (SELECT doc_id, text || '한글' || chr(12289) AS text FROM documents)""".replace("\\\\", "\\"))
 def text_width(spark, sf_dir):
-    s = F.concat(F.substring("text", 1, 60), F.lit("한글、"))
+    s = F.concat("text", F.lit("한글、"))
     return C.read(spark, sf_dir, "documents").select("doc_id", F.regexp_count(s, F.lit(T.WIDE)).cast("long").alias("wide"), F.round(T.text_width(s, F.lit(12)), 3).alias("width"))
+
+
+# Whole packages: made of documents, zipped, read again, reported on and edited.
+
+_L = f"WITH {C.LINES} "
+_BLANK = C.TRIM.format("text") + " = ''"
+
+
+def _dump(members: DataFrame) -> DataFrame:
+    t = views.body_tokens(members)
+    return R.full_text(members.select("doc"), views.paragraphs(t), views.headers_footers(t), views.footnotes(t), views.equations(t))
+
+
+@query(f"SELECT doc_id AS doc, CASE WHEN {_BLANK} THEN '{R.NO_TEXT}' ELSE text END AS text FROM documents")
+def package_text(spark, sf_dir):
+    zipped = package.packages(C.members(spark, sf_dir)).withColumnRenamed("doc", "path")
+    members = package.entries(zipped)
+    return R.text(members.select("doc"), _dump(members)).select(C.doc_id(), "text")
+
+
+@query(_L + f"""SELECT doc, coalesce(string_agg({C.TRIM.format("line")}, chr(10) || chr(10) ORDER BY paragraph) FILTER ({C.TRIM.format("line")} <> ''), '{R.NO_MARKDOWN}') AS markdown FROM l GROUP BY doc""")
+def package_markdown(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    t = views.body_tokens(members)
+    return R.markdown(members.select("doc"), views.flow(t, members), views.footnotes(t)).select(C.doc_id(), "markdown")
+
+
+@query(_FILL.replace(C.PARAGRAPHS, C.LINES + ", p AS (SELECT doc, paragraph, replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS text FROM l)") + """SELECT doc,
+replace(replace(replace(string_agg(text, chr(10) ORDER BY paragraph), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text, CAST(count(*) FILTER (h0) + count(*) FILTER (h1) + count(*) FILTER (h2) AS BIGINT) AS n FROM f3 GROUP BY doc""")
+def package_fill(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    edits = P.fill(members, PAIRS)
+    counts = edits.groupBy("doc").agg(F.sum("n").alias("n"))
+    return _dump(P.applied(members, edits)).join(counts, "doc").select(C.doc_id(), "text", "n")
+
+
+@query(_L + """SELECT doc, string_agg(CASE WHEN paragraph = 1 THEN 'set $& text' ELSE line END, chr(10) ORDER BY paragraph) AS text, CASE WHEN count(*) > 1 THEN 'ok' ELSE 'index_range' END AS code FROM l GROUP BY doc""")
+def package_set_paragraph(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    edits = P.set_paragraph_text(members, 1, "set $& text")
+    return _dump(P.applied(members, edits)).join(edits.select("doc", "code"), "doc").select(C.doc_id(), "text", "code")
+
+
+@query(_L + """SELECT doc, coalesce(string_agg(line, chr(10) ORDER BY paragraph) FILTER (paragraph <> 2), '') AS text, CASE WHEN count(*) > 2 THEN 'ok' ELSE 'index_range' END AS code, CAST(count(*) AS BIGINT) AS n FROM l GROUP BY doc""")
+def package_delete_paragraph(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    edits = P.delete_paragraph(members, 2)
+    return _dump(P.applied(members, edits)).join(edits.select("doc", "code", "n"), "doc").select(C.doc_id(), "text", "code", "n")
+
+
+_TABLE = (["item", "a|b"], [["1", "x & y"], ["2", "<z>"]])
+
+
+@query("""SELECT doc_id AS doc, CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, v.text AS text FROM documents CROSS JOIN (VALUES (0, 0, 'item'), (0, 1, 'a|b'), (1, 0, '1'), (1, 1, 'x & y'), (2, 0, '2'), (2, 1, '<z>')) AS v(row, col, text)""")
+def insert_table(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    t = views.body_tokens(P.applied(members, P.insert_table(members, *_TABLE)))
+    return views.table_cells(t).select(C.doc_id(), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "text")
+
+
+@query(r"""SELECT doc_id AS doc, '# ' || doc_id || '.hwpx' || chr(10) || '형식: .HWPX | 문단: ' || (len(string_split(text, chr(10))) + 1) || '개 | 표: 1개 | 이미지: 0개' || chr(10) || chr(10) || text || chr(10) || chr(10) || chr(10) ||
+'### 표 1 (3행 x 2열)' || chr(10) || '| item | a\|b |' || chr(10) || '| --- | --- |' || chr(10) || '| 1 | x & y |' || chr(10) || '| 2 | <z> |' AS text FROM documents""")
+def read_combined(spark, sf_dir):
+    made = C.members(spark, sf_dir)
+    members = P.applied(made, P.insert_table(made, *_TABLE))
+    t = views.body_tokens(members)
+    tables = views.tables(t).withColumn("markdown", B.markdown(F.col("cells")))
+    return R.combined(_dump(members), tables, views.images(t, members)).select(C.doc_id(), "text")
+
+
+@query("SELECT doc_id AS doc, CASE WHEN contains(text, 'the') THEN 'ok' ELSE 'target_missing' END AS code, CAST(CASE WHEN contains(text, 'the') THEN 1 ELSE 0 END AS BIGINT) AS runs FROM documents")
+def char_style_alloc(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    edits = P.apply_text_style(members, "the", color="FF0000", bold=True)
+    t = views.body_tokens(P.applied(members, edits))
+    runs = t.groupBy("doc").agg(F.count_if(F.col("tok").contains('charPrIDRef="1"')).alias("runs"))
+    return edits.filter(F.col("entry").contains("section")).select("doc", "code").join(runs, "doc").select(C.doc_id(), "code", "runs")
+
+
+@query("SELECT doc_id AS doc, CASE WHEN len(string_split(text, chr(10))) > 2 THEN 'ok' ELSE 'index_range' END AS code, CAST(CASE WHEN len(string_split(text, chr(10))) > 2 THEN 2 ELSE -1 END AS BIGINT) AS styled FROM documents")
+def para_style_alloc(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    edits = P.apply_paragraph_style(members, 2, align="CENTER", indent=10)
+    t = views.body_tokens(P.applied(members, edits))
+    styled = t.groupBy("doc").agg(F.coalesce(F.max(F.when(F.col("tok").contains('paraPrIDRef="1"'), F.col("paragraph"))), F.lit(-1)).cast("long").alias("styled"))
+    return edits.filter(F.col("entry").contains("section")).select("doc", "code").join(styled, "doc").select(C.doc_id(), "code", "styled")
+
+
+@query(_L + "SELECT doc, CAST(6 AS BIGINT) AS entries, CAST(count(*) AS BIGINT) AS paragraphs FROM l GROUP BY doc")
+def create_document(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    n = views.paragraphs(views.body_tokens(members)).groupBy("doc").agg(F.count("*").alias("paragraphs"))
+    return members.groupBy("doc").agg(F.count("*").alias("entries")).join(n, "doc").select(C.doc_id(), "entries", "paragraphs")

@@ -1,7 +1,7 @@
 """Zipped XML documents (.hwpx) as DataFrames, and back.
 
-binaryFile rows become entries by a small stdlib step in each task; the views of
-paragraphs, tables, images and fields are column expressions over the sections' XML.
+binaryFile rows become entries by a small stdlib step in each task; sources.views has the
+views of paragraphs, tables, images, notes and fields.
 """
 
 from __future__ import annotations
@@ -13,12 +13,25 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.functions.text import extension, xml_unescape
+from docweave.functions.text import extension, xml_escape
+from docweave.sources import views
+from docweave.sources.markup import tokens
 
 ENTRIES = "doc string, seq int, entry string, method int, bytes binary"
 #: The package's media type, stored uncompressed under this name.
 MIMETYPE = ("mimetype", b"application/hwp+zip")
-_MEDIA = {"png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "bmp": "image/bmp"}
+#: Name spaces of the format.
+_NS = "http://www.hancom.co.kr/hwpml/2011/"
+_XML = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+#: Parts of a new document but its section: version, container, header with one style of each kind, manifest.
+NEW_PARTS = (
+    ("version.xml", f'{_XML}<hv:HCFVersion xmlns:hv="{_NS}version" targetApplication="WORDPROCESSOR" major="5" minor="1" micro="0" buildNumber="1" xmlVersion="1.4"/>'),
+    ("META-INF/container.xml", f'{_XML}<ocf:container xmlns:ocf="urn:oasis:names:tc:opendocument:xmlns:container"><ocf:rootfiles><ocf:rootfile full-path="Contents/content.hpf" media-type="application/hwpml-package+xml"/></ocf:rootfiles></ocf:container>'),
+    ("Contents/header.xml", f'{_XML}<hh:head xmlns:hh="{_NS}head" xmlns:hc="{_NS}core" version="1.4" secCnt="1"><hh:refList><hh:fontfaces itemCnt="1"><hh:fontface lang="HANGUL" fontCnt="1"><hh:font id="0" face="Batang" type="TTF" isEmbedded="0"/></hh:fontface></hh:fontfaces>'
+     '<hh:charProperties itemCnt="1"><hh:charPr id="0" height="1000" textColor="#000000"><hh:fontRef hangul="0" latin="0"/></hh:charPr></hh:charProperties><hh:paraProperties itemCnt="1"><hh:paraPr id="0"><hh:align horizontal="JUSTIFY" vertical="BASELINE"/></hh:paraPr></hh:paraProperties>'
+     '<hh:styles itemCnt="1"><hh:style id="0" type="PARA" name="Normal" paraPrIDRef="0" charPrIDRef="0" nextStyleIDRef="0"/></hh:styles></hh:refList></hh:head>'),
+    ("Contents/content.hpf", f'{_XML}<opf:package xmlns:opf="http://www.idpf.org/2007/opf/"><opf:manifest><opf:item id="header" href="Contents/header.xml" media-type="application/xml"/><opf:item id="section0" href="Contents/section0.xml" media-type="application/xml"/></opf:manifest><opf:spine><opf:itemref idref="header"/><opf:itemref idref="section0"/></opf:spine></opf:package>'),
+)
 
 
 def read_files(spark: SparkSession, path: str, most_bytes: int = 1 << 28) -> DataFrame:
@@ -59,25 +72,18 @@ def sections(members: DataFrame) -> DataFrame:
 
 
 def paragraphs(parts: DataFrame) -> DataFrame:
-    """(doc, section, flat_para_idx, style, text): the nth paragraph element that closes,
-    its text nodes joined."""
-    found = parts.select("doc", "section", F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)(<hp:p [^>]*>.*?</hp:p>)"), 1)).alias("flat_para_idx", "p"))
-    nodes = F.regexp_extract_all("p", F.lit(r"<hp:t(?: [^>]*)?>([^<]*)</hp:t>"), 1)
-    return found.select("doc", "section", "flat_para_idx", F.regexp_extract("p", r'styleIDRef="(\d+)"', 1).alias("style"), xml_unescape(F.array_join(nodes, "")).alias("text"))
+    """Top-level paragraphs of parts, as views.paragraphs() gives them."""
+    return views.paragraphs(tokens(parts))
 
 
 def tables(parts: DataFrame) -> DataFrame:
-    """(doc, section, table_idx, cells) of tables that hold no table."""
-    found = parts.select("doc", "section", F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)(<hp:tbl (?:(?!<hp:tbl ).)*?</hp:tbl>)"), 1)).alias("table_idx", "t"))
-    text = lambda c: xml_unescape(F.array_join(F.regexp_extract_all(c, F.lit(r"<hp:t>([^<]*)</hp:t>"), 1), "\n"))
-    row = lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?s)(<hp:tc[ >].*?</hp:tc>)"), 1), text)
-    return found.select("doc", "section", "table_idx", F.transform(F.regexp_extract_all("t", F.lit(r"(?s)(<hp:tr[ >].*?</hp:tr>)"), 1), row).alias("cells"))
+    """Dense grids of parts' outermost tables, as views.tables() gives them."""
+    return views.tables(tokens(parts))
 
 
 def images(members: DataFrame) -> DataFrame:
     """(doc, seq, entry, mime, ext, byte_length, bytes) of binary members; bytes prune if not asked for."""
-    suffix = F.lower(F.regexp_extract("entry", r"\.([^./]*)$", 1))
-    mime = F.coalesce(F.create_map(*(F.lit(x) for kv in _MEDIA.items() for x in kv))[suffix], F.concat(F.lit("image/"), suffix))
+    mime = views.media_type(F.col("entry"))
     return members.filter(F.col("entry").startswith("BinData/")).select("doc", "seq", "entry", mime.alias("mime"), extension(mime).alias("ext"), F.octet_length("bytes").cast("long").alias("byte_length"), "bytes")
 
 
@@ -103,15 +109,12 @@ def create(items: DataFrame) -> DataFrame:
     row = lambda r: F.array_join(r, " | ")
     table = F.concat(F.array(row(F.col("headers")), F.array_join(F.transform("headers", lambda _: F.lit("---")), " | ")), F.transform("rows", row))
     lines = F.when(F.col("type") == "text", F.split("text", "\n")).when(F.col("type") == "table", table)
-    from docweave.functions.text import xml_escape
-
     para = F.transform(lines, lambda s: F.concat(F.lit('<hp:p id="0" paraPrIDRef="0" styleIDRef="0"><hp:run charPrIDRef="0"><hp:t>'), xml_escape(s), F.lit("</hp:t></hp:run></hp:p>")))
     body = items.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", F.array_join(para, "").alias("x")))).alias("ps"))
-    xml = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><hs:sec xmlns:hs="s" xmlns:hp="p">'), F.array_join(F.transform("ps", lambda p: p["x"]), ""), F.lit("</hs:sec>"))
-    rows = F.array(
-        F.struct(F.lit(0).alias("seq"), F.lit(MIMETYPE[0]).alias("entry"), F.lit(0).alias("method"), F.lit(MIMETYPE[1]).alias("bytes")),
-        F.struct(F.lit(1).alias("seq"), F.lit("Contents/section0.xml").alias("entry"), F.lit(8).alias("method"), F.encode(xml, "UTF-8").alias("bytes")),
-    )
+    xml = F.concat(F.lit(f'{_XML}<hs:sec xmlns:hs="{_NS}section" xmlns:hp="{_NS}paragraph" xmlns:hc="{_NS}core">'), F.array_join(F.transform("ps", lambda p: p["x"]), ""), F.lit("</hs:sec>"))
+    part = lambda seq, entry, method, content: F.struct(F.lit(seq).alias("seq"), F.lit(entry).alias("entry"), F.lit(method).alias("method"), content.alias("bytes"))
+    parts = [*((entry, F.lit(xml.encode())) for entry, xml in NEW_PARTS), ("Contents/section0.xml", F.encode(xml, "UTF-8"))]
+    rows = F.array(part(0, MIMETYPE[0], 0, F.lit(MIMETYPE[1])), *(part(i, entry, 8, content) for i, (entry, content) in enumerate(parts, 1)))
     return body.select("doc", F.inline(rows))
 
 
