@@ -15,12 +15,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of
+from .shared import in_slices
 
 #: The split of text into words that byte-level BPE files with "use_regex" mean.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Word counts that a worker remembers before it starts anew.
-MOST_WORDS = 1_000_000
+#: Pieces of a generation whose counts a worker remembers (it keeps the one before too), and the
+#: longest of them in characters: text without spaces is long pieces that seldom come again.
+MOST_WORDS, LONGEST = 300_000, 64
 #: The same as regex reads it: that module counts \x1c-\x1f as white space, the tokenizers library does not.
 _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 _SPLIT_HERE = (
@@ -32,7 +33,7 @@ _RUNS = tuple(chr(c) + " " for c in range(0x3001) if regex.match(_SPACE, chr(c))
 _PIECES = regex.compile(rf" ?{_OTHER}+|{_SPACE}+(?= {_OTHER})|{_SPACE}+{_OTHER}*")
 
 
-def _byte_symbols() -> list[str]:
+def byte_symbols() -> list[str]:
     """The printable character that byte-level BPE files write for each byte: printable
     Latin-1 ones stand for themselves, the others for U+0100 onwards in order."""
     kept = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -44,14 +45,16 @@ def _byte_symbols() -> list[str]:
 
 
 class PairCounter(dict):
-    """Words to token counts, filled as words are met and emptied when MOST_WORDS are held."""
+    """Pieces to token counts, filled as they are met. When MOST_WORDS are held a new
+    generation begins, which takes over from the old one what it meets again."""
 
     def __init__(self, path: str):
+        self.old: dict[str, int] = {}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self.rank = {pair: i for i, pair in enumerate(merges)}
-        self.symbol = dict(enumerate(_byte_symbols()))
+        self.symbol = dict(enumerate(byte_symbols()))
         self.split = regex.compile(_SPLIT_HERE)
         special = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
@@ -93,15 +96,19 @@ class PairCounter(dict):
 
     def __missing__(self, piece: str) -> int:
         """Of a piece of text that no word crosses into or out of; special strings in it count one."""
-        n = 0
-        if self.special and "<|" in piece:
+        n = self.old.get(piece)
+        if n is not None:
+            pass
+        elif self.special and "<|" in piece:
             parts = self.special.split(piece)
             n = len(parts) - 1 + sum(self.of_piece(p) for p in parts if p)
         else:
             n = self.of_piece(piece)
-        if len(self) >= MOST_WORDS:
-            self.clear()
-        self[piece] = n
+        if len(piece) <= LONGEST:
+            if len(self) >= MOST_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = n
         return n
 
     def of_text(self, text: str) -> int:
@@ -127,7 +134,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
     strings in a text count as one token each, as that library does by default. A null
     text counts as empty: 0 bytes and tokens. Repeated rows are all returned; an empty
     table gives an empty result. Texts are read whole; a worker remembers at most
-    MOST_WORDS word counts."""
+    2 * MOST_WORDS counts of pieces up to LONGEST characters."""
 
     def rows(batches):
         counter = _counters.setdefault(vocabulary, None) or PairCounter(vocabulary)
@@ -138,9 +145,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
                 "n_tokens": [counter.of_text(t) if t else 0 for t in batch["text"]],
             })
 
-    batches_of(docs.sparkSession, 1000)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    counted = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text").mapInPandas(
-        rows, f"doc_id {kind}, n_bytes long, n_tokens long"
-    )
+    sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    counted = in_slices(sized, rows, f"doc_id {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

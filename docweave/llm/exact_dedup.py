@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import fresh
+
 #: A group of more copies than this, and than a ten-thousandth of the rows, is spread over SPREAD keys.
 HOT_COPIES, SPREAD = 500, 32
 
@@ -63,7 +65,10 @@ def exact_groups(docs: DataFrame, keep: str = "largest", partitions: int | None
 
 
 def exact_dedup(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """docs with the rows that exact_groups() keeps, all columns as they are."""
-    gone = exact_groups(docs, keep).filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    """docs with the rows that exact_groups() keeps, all columns as they are: one row of each
+    group of equal texts, or all that share its doc_id and text. Null texts count as empty;
+    of a group without any doc_id all rows stay. An empty table gives an empty result."""
+    name, digest = fresh(docs, "gone_id", "gone_text")
+    gone = exact_groups(docs, keep).filter("not kept").select(F.col("doc_id").alias(name), F.col("text_sha256").alias(digest)).distinct()
     sha = F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), 256)
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (sha == F.col("_sha")), "left_anti")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(name)) & (sha == F.col(digest)), "left_anti")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of, runs
+from .shared import fresh, in_slices, runs, stored
 
 LOG_BUCKETS = 16
 #: A script for each UTF-8 lead byte. 0 none, 1 Latin (ASCII letters and
@@ -42,8 +43,8 @@ _LETTER = regex.compile(r"\p{L}")
 USED, FOREIGN = 0.001, 30.0
 #: Trigrams overlap, so their log-probabilities count half.
 WEIGHT = 0.5
-#: Words that are labelled together.
-_TOGETHER = 2_000_000
+#: Words that are labelled together: bounds what a worker holds, whatever comes in a batch.
+_TOGETHER = 400_000
 
 
 @dataclass
@@ -100,7 +101,7 @@ def learn(docs: DataFrame, per_language: int = 4000) -> Model:
         lang, bucket = np.nonzero(sums)
         yield pd.DataFrame({"lang": lang.astype(np.int32), "bucket": bucket.astype(np.int32), "n": sums[lang, bucket]})
 
-    got = sample.mapInPandas(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    got = in_slices(sample, count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     sums = np.zeros((width, len(languages)))
     sums[got["bucket"], got["lang"]] = got["n"]
     grams, scripts = sums[: 1 << LOG_BUCKETS], sums[1 << LOG_BUCKETS :]
@@ -126,7 +127,8 @@ def viterbi(emissions: np.ndarray, first: np.ndarray, end: np.ndarray, penalty:
     maximise the sum of emissions less `penalty` for each change. All texts take a step together."""
     order = np.argsort(first - end, kind="stable")
     start, length = first[order], (end - first)[order]
-    labels, cols = np.zeros(len(emissions), np.uint8), np.ascontiguousarray(emissions.T)
+    kind = np.uint8 if emissions.shape[1] <= 256 else np.uint16  # of a label
+    labels, cols = np.zeros(len(emissions), kind), np.ascontiguousarray(emissions.T)
     steps = int(length[0]) if len(length) else 0
     active = np.searchsorted(-length, -np.arange(steps), "left")  # texts longer than t
     score = np.zeros((cols.shape[0], len(order)), np.float64)
@@ -136,7 +138,7 @@ def viterbi(emissions: np.ndarray, first: np.ndarray, end: np.ndarray, penalty:
         s = score[:, :n]
         if t:
             best = s.max(0)
-            best_of.append(s.argmax(0).astype(np.uint8))
+            best_of.append(s.argmax(0).astype(kind))
             floor = best - penalty
             stays.append(s >= floor)
             np.maximum(s, floor, out=s)
@@ -165,7 +167,6 @@ def identify(docs: DataFrame, model: Model, penalty: float = 8.0, spans: bool =
     labels' languages explain the text, however many they are, and 0 for `und`. Repeated rows are all returned; an
     empty table gives an empty result."""
     kinds = len(model.languages)
-    batches_of(docs.sparkSession, 5000)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**LOG_BUCKETS floats a language
 
     def label(model: Model, waiting: list, pred: list, score: list, found: list, fits: list) -> None:
@@ -195,7 +196,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 8.0, spans: bool =
             pred.append(model.languages[best]), score.append(float(share / odds.sum())), fits.append(float(path[i]))
             if spans:
                 own = labels[first[i] : end[i]]
-                cut = np.flatnonzero(np.diff(own, prepend=255))
+                cut = np.flatnonzero(np.diff(own.astype(np.int64), prepend=-1))
                 found.append([(model.languages[own[c]], int(n)) for c, n in zip(cut, np.diff(cut, append=len(own)), strict=True)])
 
     kind = "struct<lang_pred:string,score:double" + ",spans:array<struct<lang:string,words:bigint>>" * spans + ",fit:double" * fit + ">"
@@ -233,16 +234,27 @@ def held_out(doc_id):
 
 
 def predict_languages(docs: DataFrame, per_language: int = 4000, penalty: float = 8.0) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row of docs, from a model of its rows that are not held out."""
+    """doc_id, held_out, lang_pred, score of every row of docs (columns doc_id, text and
+    lang; others are ignored), from a model of its rows that are not held out. Null,
+    empty and letterless texts are `und` with score 0; rows of null doc_id are not held out and not
+    learned from. Repeated rows are all returned; ties go to the language first by name.
+    An empty table gives an empty result."""
     model = learn(docs.filter(~held_out(F.col("doc_id"))), per_language)
     out = identify(docs, model, penalty)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, per_language: int = 4000, penalty: float = 8.0) -> DataFrame:
-    """docs without the rows whose language is `und` and those that no learned languages
-    explain better than letters at random. A text may be of any number of languages."""
+    """docs without the rows whose language is `und` (null, empty and letterless texts) and
+    those that no learned languages explain better than letters at random; columns as in
+    docs. A text may be of any number of languages, and very long ones are read whole. Rows
+    of null doc_id and repeated rows are judged by their text alike; a table without any
+    lang keeps nothing, an empty table gives an empty result."""
     model = learn(docs.filter(~held_out(F.col("doc_id"))), per_language)
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    good = identify(whole, model, penalty, keep=("row",), fit=True).filter((F.col("lang_pred") != "und") & (F.col("fit") > 0))
-    return good.select("row.*")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    known = {"hash": F.xxhash64(text), "crc": F.crc32(text), "bytes": F.octet_length(text)}
+    judged = identify(docs.select("text", *(c.alias(k) for k, c in known.items())), model, penalty, keep=tuple(known), fit=True)
+    names = fresh(docs, *(f"gone_{k}" for k in known))
+    gone = stored(judged.filter((F.col("lang_pred") == "und") | (F.col("fit") <= 0)).select(*(F.col(k).alias(n) for k, n in zip(known, names, strict=True))).distinct())
+    same = reduce(lambda a, b: a & b, (c == F.col(n) for c, n in zip(known.values(), names, strict=True)))
+    return docs.join(gone, same, "left_anti")

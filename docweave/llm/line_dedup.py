@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import fresh, own_columns, stored
 
 #: Parts up to this length are not halved again.
 LEAF = 24
@@ -30,12 +30,11 @@ SAME, SHORT, LONG = 0, 1, 2
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, doc, pos, crc, line) of every line that is not blank."""
+    """(id, doc, pos, digest, line) of every line that is not blank."""
     text = F.coalesce("text", F.lit(""))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     return (
-        docs.select(doc.alias("doc"), F.crc32(text).alias("crc"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-        .filter(F.col("line").rlike(r"\S")).select(F.xxhash64("line").alias("id"), "doc", "pos", "crc", "line")
+        docs.select(_order_of(F.col("doc_id")).alias("doc"), F.xxhash64(text).alias("digest"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+        .filter(F.col("line").rlike(r"\S")).select(F.xxhash64("line").alias("id"), "doc", "pos", "digest", "line")
     )
 
 
@@ -93,16 +92,16 @@ def _short_leaves(firsts: DataFrame) -> DataFrame:
 
 
 def near_lines(docs: DataFrame, least_chars: int = 20) -> tuple[DataFrame, DataFrame]:
-    """(firsts, later): firsts is (id, doc, pos, crc) of the earliest row of each
+    """(firsts, later): firsts is (id, doc, pos, digest) of the earliest row of each
     distinct line; later is (id) of lines within one edit of an earlier one."""
     lines = _lines(docs)
     least = max(least_chars, WHOLE)
     short = F.char_length("line").between(least_chars, WHOLE)  # one longer than the longest of WHOLE's pairs' shorter lines
     kept = F.min(F.when(short, F.col("line"))).alias("short")
-    firsts = stored(lines.groupBy("id").agg(F.min(F.struct("doc", "pos", "crc")).alias("first"), F.count("*").alias("rows"), kept))
+    firsts = stored(lines.groupBy("id").agg(F.min(F.struct("doc", "pos", "digest")).alias("first"), F.count("*").alias("rows"), kept))
     total = firsts.agg(F.sum("rows")).first()[0] or 0
     hot = firsts.filter(F.col("rows") > max(HOT_LINES, total // 10_000)).select("id", F.col("first").alias("hot"))  # under 10,000
-    once = lines.join(F.broadcast(hot), "id", "left").filter(F.col("hot").isNull() | (F.col("hot") == F.struct("doc", "pos", "crc")))
+    once = lines.join(F.broadcast(hot), "id", "left").filter(F.col("hot").isNull() | (F.col("hot") == F.struct("doc", "pos", "digest")))
     once = once.filter(F.char_length("line") >= least)
     halves = F.transform(_halves(F.col("line"), F.lit(0), None), lambda h: F.struct(h["key"].alias("key"), h["role"].alias("role"), h["left"].alias("left")))
     met = stored(_meeting(once.select("id", F.inline(halves))).distinct())
@@ -150,16 +149,17 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
     Rows that share doc_id and text count as one. Columns that docs has of
     those two names are replaced. An empty table gives an empty result."""
     firsts, later = near_lines(docs, least_chars)
-    kept = firsts.join(later, "id", "left_anti").groupBy(F.col("first.doc").alias("_doc"), F.col("first.crc").alias("_crc")).agg(F.collect_list("first.pos").alias("_kept"))
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    whole = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_d"), F.crc32(F.coalesce("text", F.lit(""))).alias("_c"))
-    rows = whole.join(kept, (F.col("_d") == F.col("_doc")) & (F.col("_c") == F.col("_crc")), "left")
-    lines = F.split("text", "\n", -1)
-    stays = F.filter(lines, lambda x, i: ~x.rlike(r"\S") | F.array_contains(F.coalesce("_kept", F.array().cast("array<int>")), i))
-    rows = rows.withColumn("_lines", lines).withColumn("_stays", stays)
-    return rows.select(
-        *(c for c in names if c != "text"), F.array_join("_stays", "\n").alias("text"),
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"), (F.size("_lines") - F.size("_stays")).cast("long").alias("n_removed"),
-    ).withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines"))).withColumn(
-        "n_removed", F.coalesce(F.when(F.col("text").isNull(), 0).otherwise(F.col("n_removed")), F.lit(0)).cast("long")
-    ).select(*names, "n_lines", "n_removed")
+    doc, digest, pos, own, own_digest, lines, stays, n, gone = fresh(docs, "kept_doc", "kept_digest", "kept_pos", "own_doc", "own_digest", "own_lines", "own_stays", "all_lines", "gone_lines")
+    kept = firsts.join(later, "id", "left_anti").groupBy(F.col("first.doc").alias(doc), F.col("first.digest").alias(digest)).agg(F.collect_list("first.pos").alias(pos))
+    base = docs.select(*own_columns(docs, "n_lines", "n_removed"))
+    rows = base.withColumns({own: _order_of(F.col("doc_id")), own_digest: F.xxhash64(F.coalesce("text", F.lit("")))})
+    rows = rows.join(kept, (F.col(own) == F.col(doc)) & (F.col(own_digest) == F.col(digest)), "left").withColumn(lines, F.split("text", "\n", -1))
+    rows = rows.withColumn(stays, F.filter(lines, lambda x, i: ~x.rlike(r"\S") | F.array_contains(F.coalesce(F.col(pos), F.array().cast("array<int>")), i)))
+    count = lambda c: F.when(F.col("text").isNull(), 0).otherwise(c).cast("long")
+    rows = rows.withColumns({n: count(F.size(lines)), gone: count(F.size(lines) - F.size(stays))}).withColumn("text", F.array_join(stays, "\n"))
+    return rows.select(*own_columns(base), F.col(n).alias("n_lines"), F.col(gone).alias("n_removed"))
+
+
+def _order_of(doc_id: Column) -> Column:
+    """doc_id as a value that sorts like it, null last, and that no id shares with null."""
+    return F.struct(doc_id.isNull().alias("none"), F.coalesce(doc_id.cast("long"), F.lit(0)).alias("id"))

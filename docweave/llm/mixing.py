@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .apportion import sainte_lague
-from .shared import WORD
+from .shared import WORD, fresh, own_columns
 
 #: Primes above any number of blocks in a shard; a multiplier of the blocks' permutation is one of them.
 PRIMES = (1000003, 2000003, 3000017, 4000037, 5000011, 6000011, 7000003, 8000009)
@@ -94,9 +94,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     each whole pass of its shard, and once more if its middle word, in the shard's seeded
     order, is among as many words as the pass that is not whole takes. So a shard's kept
     words differ from its quota by half of one document and a block at most. Columns as
-    in docs. Documents without words stay once; rows that share a doc_id come alike."""
+    in docs. Documents without words (null and empty texts) stay once; rows that share a
+    doc_id come alike. An empty table gives an empty result."""
     again = (F.col("start") + F.col("end") <= 2 * F.col("partial")).cast("int")
     times = F.when(F.col("size") == 0, 1).otherwise(F.col("passes") + again).cast("int")
-    took = _placed(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max(times).alias("_times"))
-    joined = docs.join(took, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.filter("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    name, count, copy = fresh(docs, "taken_id", "taken_times", "taken_copy")
+    took = _placed(docs, **options).groupBy(F.col("doc_id").alias(name)).agg(F.max(times).alias(count))
+    joined = docs.join(took, F.col("doc_id").eqNullSafe(F.col(name))).filter(F.col(count) > 0)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), count))).select(*own_columns(docs))

@@ -18,7 +18,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of
 
 #: Words whose ids a worker remembers before it starts anew.
 MOST_WORDS = 500_000
@@ -126,7 +125,6 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 4096, end_id: int = 1,
                     frame["doc_id"] = frame["doc_id"].astype("Int64")
                 yield frame
 
-    batches_of(docs.sparkSession, group)
     return docs.select("doc_id", "text").mapInPandas(
         rows, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )

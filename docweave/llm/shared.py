@@ -7,12 +7,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: A word is a run of bytes outside space and \t \n \v \f \r. Java syntax.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +27,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Texts are hashed in runs of about so many bytes, so that a batch of long texts needs little memory.
 _RUN_BYTES = 1 << 18
+#: A worker makes pandas frames of about so many bytes of the Arrow batches that it gets.
+SLICE_BYTES = 1 << 22
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -99,29 +105,81 @@ def fold(hashes: np.ndarray) -> int:
     return int(mix(total ^ mix(np.array([len(hashes)])))[0].astype(np.int64))
 
 
-def batches_of(spark: SparkSession, rows: int) -> None:
-    """From now on Python workers of this session get so many rows at a time: what they
-    hold of a table of texts is bounded by it. Batches change no result."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def in_slices(df: DataFrame, rows: Callable, schema: str) -> DataFrame:
+    """df.mapInPandas(rows, schema) with frames of about SLICE_BYTES. Spark bounds an Arrow
+    batch by bytes (64 MB unless the session says otherwise); Python objects are made of
+    one slice of it at a time. Integers stay integers beside nulls."""
+    kind = to_arrow_schema(StructType.fromDDL(schema))
+    whole = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            step = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+            for at in range(0, batch.num_rows, step):
+                yield batch.slice(at, step).to_pandas(types_mapper=whole.get)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in rows(frames(batches)):
+            yield from pa.Table.from_pandas(frame, kind, preserve_index=False).to_batches()
+
+    return df.mapInArrow(run, schema)
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share;
-    where that is unset, as in tests, below a local temporary folder."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share. Only a
+    local session may leave that unset, as in tests: it gets a temporary folder."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = "file://" + os.path.join(tempfile.gettempdir(), "docweave")
-    return f"{top.rstrip('/')}/docweave-{uuid.uuid4().hex}"
+    return f"{top.rstrip('/')}/docweave-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def delete_stored(spark: SparkSession) -> None:
+    """Deletes what stored() wrote for this session's application. Frames made of it must have been read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.dirname(shared_path(spark)))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of SLICE_BYTES while a job of this module's runs; the session's own limit comes back after it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(SLICE_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """The rows written once to the shared folder and read from there: later jobs
     start from files that outlive executors."""
     path = shared_path(df.sparkSession)
-    df.write.parquet(path)
+    with _small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many _ before it as keep it apart from the columns of df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def own_columns(df: DataFrame, *but: str) -> list:
+    """The columns of df as they are, whatever characters their names hold, without `but`."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]
+
+
 def bit_words(df: DataFrame, column: str, log_bits: int, probes: int = 2) -> np.ndarray:
     """A Bloom filter of a long column as at most 2**(log_bits - 6) 64-bit words.
     The size is fixed, so what the driver gathers and broadcasts is bounded;

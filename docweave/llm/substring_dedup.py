@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import _stream, batches_of, bit_words, gram_hashes, in_bits, mix, runs, stored, word_hashes
+from .shared import _stream, bit_words, gram_hashes, in_bits, in_slices, mix, runs, stored, word_hashes
 
 ANCHOR = 8
 #: The sketch has two rows of cells; a row has 8 cells for each anchor expected, within these powers of two.
@@ -93,7 +93,7 @@ def _pass_one(docs: DataFrame, window: int, log: int) -> DataFrame:
                 steps = np.diff((coded[a:b] & np.uint64((2 << PIECE_LOG) - 1)).astype(np.uint32), prepend=np.uint32(0))
                 yield pd.DataFrame({"doc_id": [None], "n_words": [None], "sha": [None], "crc": [None], "piece": [int(piece[a]) * 2 + row], "cells": [pack(steps.tobytes())]})
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, n_words long, sha string, crc long, piece int, cells binary")
+    return in_slices(docs.select("doc_id", "text"), rows, "doc_id long, n_words long, sha string, crc long, piece int, cells binary")
 
 
 def _repeated(pieces: DataFrame, log: int) -> np.ndarray:
@@ -169,7 +169,7 @@ def _pass_two(docs: DataFrame, window: int, log: int, bits: np.ndarray, copies:
                 last = np.append(cut[1:], len(start)) - 1
                 yield pd.DataFrame({"h1": None, "h2": None, "doc": doc[cut], "at": (start[cut] << 32) + crc[cut], "run": (start[last] - start[cut] + 1).astype(np.int32)})
 
-    return docs.select("doc", "text").mapInPandas(rows, "h1 long, h2 long, doc long, at long, run int")
+    return in_slices(docs.select("doc", "text"), rows, "h1 long, h2 long, doc long, at long, run int")
 
 
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -187,7 +187,6 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     pass groups more windows; what is removed does not depend on it."""
     if window < ANCHOR + 1:
         raise ValueError(f"window must be over {ANCHOR} words")
-    batches_of(docs.sparkSession, 2000)
     ids = docs.select(F.col("doc_id").cast("long"), "text")
     n_bytes = ids.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = n_bytes / 6.5 * 2 / (window - ANCHOR + 2)
@@ -228,8 +227,8 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]).astype({"doc_id": "Int64"})
 
     texts = in_bits(ids.withColumn("doc", key), "doc", bit_words(hit, "doc", 24))
-    changed = texts.withColumn("crc", F.crc32("text")).join(hit, ["doc", "crc"]).select("doc_id", "text", "starts").mapInPandas(
-        cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    changed = texts.withColumn("crc", F.crc32("text")).join(hit, ["doc", "crc"]).select("doc_id", "text", "starts")
+    changed = in_slices(changed, cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
     empty = hashlib.sha256(b"").hexdigest()
     if not len(out_of):
         copies = copies.filter("false")
