@@ -12,6 +12,7 @@ from .language import predict_languages
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .ngram_join import ngram_components
+from .oracles import ORACLE_SQL  # noqa: F401
 from .packing import pack
 from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
@@ -72,11 +73,3 @@ QUERIES = {
     f.__name__: f
     for f in (op1_embedding_near_dedup, op2_ngram_jaccard_join, op3_token_counts, op4_best_fit_packing, op5_substring_dedup, op6_mix_sources, op7_url_filters, op8_exact_dedup, op9_language_id, op10_line_dedup)
 }
-
-ORACLE_SQL = {
-    "op8_exact_dedup": """
-        WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents),
-        g AS (SELECT doc_id, norm, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n)
-        SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM g
-    """,
-}

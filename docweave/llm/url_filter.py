@@ -2,8 +2,11 @@
 
 Labelled outcomes of pages are counted by host; a host's rate is shrunk to its
 registered domain's, that to its suffix's, that to the rate of all, through
-beta-binomial priors whose strengths come from the data by moments. DataFrame
-functions only.
+beta-binomial priors. A prior is as wide as its parent's posterior and the spread of
+children around their parents together, so uncertainty is carried down; the spreads come
+from the data by moments, and stay wide where few labels tell them. What a host is shrunk
+to leaves its own labels out, so each label counts once, and a bound falls short of the
+limit unless a host or enough of its kin have labels. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: (verdict, host, path); a rule fits its host and all subdomains, if the path starts with its path.
@@ -23,6 +28,30 @@ RULES = (
 )
 
 
+#: Suffixes of two labels below which domains are registered.
+TWO_LABELS = (
+    "ac.jp", "ac.kr", "ac.nz", "ac.uk", "ac.za", "co.id", "co.il", "co.in", "co.jp", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.co", "com.hk", "com.mx", "com.my",
+    "com.pl", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn", "edu.au", "edu.cn", "go.jp", "go.kr", "gov.au", "gov.br", "gov.cn", "gov.in", "gov.uk", "ne.jp", "net.au", "net.br", "net.cn", "or.jp", "or.kr",
+    "org.au", "org.br", "org.cn", "org.nz", "org.tw", "org.uk", "org.za", "re.kr", "sch.uk",
+)
+#: The spread of children that is assumed before the data tell, as a share of rate * (1 - rate), and how much evidence it weighs.
+SPREAD, WEIGHT = 0.3, 1.0
+#: The weight of a prior in labels at the least: two make an even prior flat.
+LEAST_STRENGTH = 2.0
+
+
+def url_suffix(host: Column) -> Column:
+    """The last label, or the last two where domains are registered below those."""
+    two = F.substring_index(host, ".", -2)
+    return F.when(two.isin(*TWO_LABELS), two).otherwise(F.substring_index(host, ".", -1))
+
+
+def url_domain(host: Column) -> Column:
+    """The registered domain: the suffix and one label more."""
+    two = F.substring_index(host, ".", -2)
+    return F.when(two.isin(*TWO_LABELS), F.substring_index(host, ".", -3)).otherwise(two)
+
+
 def url_host(url: Column) -> Column:
     """What follows the first :// up to / ? # or the end, A-Z lower-cased; empty without ://."""
     return F.translate(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")), _UPPER, _LOWER)
@@ -50,19 +79,22 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return F.coalesce(*cases, none)
 
 
-def _strength(level: DataFrame) -> float:
-    """The beta-binomial prior's weight, in labels, from how children's rates spread
-    around their parent's, by moments. One row comes to the driver."""
-    m = F.col("prior")
-    got = level.filter("n > 0").agg(
-        F.sum(F.pow(F.col("k") / F.col("n") - m, 2) * F.col("n")).alias("spread"),
-        F.sum(m * (1 - m)).alias("binomial"), F.sum(m * (1 - m) * F.col("n")).alias("weighted"),
-    ).first()
-    if not got.weighted:
-        return 10.0
-    # E spread = binomial + rho * (weighted - binomial), strength = 1 / rho - 1
-    rho = (got.spread - got.binomial) / max(got.weighted - got.binomial, 1e-9)
-    return 1 / min(max(rho, 1e-3), 0.5) - 1
+def _moments(level: str, children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    """(level, extra, pairs): how much more labelled children differ from their parent than by chance, and the
+    weight of that, by moments; their quotient is the share of rate * (1 - rate) that is spread."""
+    up = parents.filter("n > 0").select(F.col(key).alias("_key"), (F.col("k") / F.col("n")).alias("m"))
+    c = children.filter("n > 0").join(up, F.col(key) == F.col("_key"))
+    own = F.col("m") * (1 - F.col("m"))
+    return c.agg(
+        F.lit(level).alias("level"), F.sum(F.col("n") * F.pow(F.col("k") / F.col("n") - F.col("m"), 2) - own).alias("extra"), F.sum(own * (F.col("n") - 1)).alias("pairs"))
+
+
+def _posterior(rows: DataFrame, n: Column, k: Column, spread: float) -> DataFrame:
+    """rows with m and v, the mean and variance of the parent's rate, made those after k bad ones of n labels."""
+    own = F.col("m") * (1 - F.col("m"))
+    s = F.greatest(own / (F.col("v") + spread * own) - 1, F.lit(LEAST_STRENGTH))
+    rows = rows.withColumn("_s", s).withColumns({"m": (F.col("_s") * F.col("m") + k) / (F.col("_s") + n), "_total": F.col("_s") + n})
+    return rows.withColumn("v", F.col("m") * (1 - F.col("m")) / (F.col("_total") + 1)).drop("_s", "_total")
 
 
 def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> DataFrame:
@@ -70,28 +102,31 @@ def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> Da
     among them, posterior mean of the bad rate and its bounds (z standard deviations).
 
     A page is bad if a label of its id (doc_id of labels = page_id) has quality 0 or
-    toxic 1; null grades are not bad. The registered domain is the host's last two
-    labels, the suffix its last. Without any label the rate of all is taken as 0.5."""
+    toxic 1; null grades are not bad. Without any label all rates are 0.5. Repeated rows
+    of pages count each; of labels of one page one bad one decides. What comes to the driver
+    is four rows of sums."""
     bad = labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(F.coalesce(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("long"), F.lit(0))).alias("bad"))
-    hosts = (
-        pages.select("page_id", url_host(F.col("url")).alias("host")).join(bad, "page_id", "left")
-        .groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
-        .withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
-    )
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    all_n, all_k = suffixes.agg(F.sum("n"), F.sum("k")).first()
-    overall = (all_k + 0.5) / (all_n + 1) if all_n else 0.5
-
-    def shrink(level: DataFrame) -> DataFrame:
-        s = _strength(level)
-        return level.withColumn("strength", F.lit(s)).withColumn("rate", (F.col("k") + s * F.col("prior")) / (F.col("n") + s))
-
-    suffixes = shrink(suffixes.withColumn("prior", F.lit(overall))).select("suffix", F.col("rate").alias("prior"))
-    domains = shrink(domains.join(suffixes, "suffix")).select("domain", F.col("rate").alias("prior"))
-    hosts = shrink(hosts.join(domains, "domain"))
-    sd = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("strength") + 1))
-    return hosts.select("host", "n", "k", "rate", F.greatest(F.lit(0.0), F.col("rate") - z * sd).alias("low"), F.least(F.lit(1.0), F.col("rate") + z * sd).alias("high"))
+    counted = pages.select("page_id", url_host(F.col("url")).alias("host")).join(bad, "page_id", "left")
+    hosts = stored(counted.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k")))
+    hosts = hosts.withColumns({"domain": url_domain(F.col("host")), "suffix": url_suffix(F.col("host")), "all": F.lit(0)})
+    up = lambda rows, *keys: rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    domains = up(hosts, "domain", "suffix", "all")
+    suffixes = up(domains, "suffix", "all")
+    every = up(suffixes, "all")
+    sums = every.select(F.lit("all").alias("level"), F.col("k").cast("double").alias("extra"), F.col("n").cast("double").alias("pairs"))
+    for name, children, parents, key in (("suffix", suffixes, every, "all"), ("domain", domains, suffixes, "suffix"), ("host", hosts, domains, "domain")):
+        sums = sums.unionByName(_moments(name, children, parents, key))
+    got = {r.level: (r.extra or 0.0, r.pairs or 0.0) for r in sums.collect()}
+    all_k, all_n = got.get("all", (0.0, 0.0))
+    spread = {level: min(max((extra + WEIGHT * SPREAD) / (pairs + WEIGHT), 0.001), 0.9) for level, (extra, pairs) in got.items()}
+
+    kin = hosts.join(domains.select("domain", F.col("n").alias("nd"), F.col("k").alias("kd")), "domain").join(suffixes.select("suffix", F.col("n").alias("ns"), F.col("k").alias("ks")), "suffix")
+    n, k, nd, kd, ns, ks = map(F.col, ("n", "k", "nd", "kd", "ns", "ks"))
+    kin = kin.withColumn("m", (all_k - ks + 0.5) / (all_n - ns + 1)).withColumn("v", F.col("m") * (1 - F.col("m")) / (all_n - ns + 2))
+    for level, own_n, own_k in (("suffix", ns - nd, ks - kd), ("domain", nd - n, kd - k), ("host", n, k)):
+        kin = _posterior(kin, own_n, own_k, spread.get(level, SPREAD))
+    low, high = (F.col("m") + x * F.sqrt("v") for x in (-z, z))
+    return kin.select("host", "n", "k", F.col("m").alias("rate"), F.greatest(F.lit(0.0), low).alias("low"), F.least(F.lit(1.0), high).alias("high"))
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = 0.5, z: float = 1.645) -> DataFrame:
@@ -100,13 +135,14 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float =
 
     verdict is the longest fitting rule's; without one, block where the lower
     posterior bound of the host's bad rate exceeds `limit`, else allow. A null url, or
-    one without ://, has host and path empty. Repeated rows are all returned; a host
-    of a third of all rows is pre-aggregated for its rate. An empty table gives an empty result."""
-    rates = host_reputation(pages, labels, z).select(F.col("host").alias("of"), "low")
+    one without ://, has host and path empty. Repeated rows are all returned. A host of a
+    third of all rows is one row of the blocked hosts; its pages are the side that Spark
+    splits. An empty table gives an empty result."""
+    blocked = host_reputation(pages, labels, z).filter(F.col("low") > limit).select(F.col("host").alias("of"))
     out = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     out = out.withColumn("fits", rule_of(F.col("host"), F.col("path"), rules))
-    judged = out.join(rates, F.col("host") == F.col("of"), "left")
+    judged = out.join(blocked, F.col("host") == F.col("of"), "left")
     return judged.select(
         "page_id", "host", "path", F.col("fits.rule").alias("rule"),
-        F.coalesce("fits.verdict", F.when(F.col("low") > limit, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce("fits.verdict", F.when(F.col("of").isNotNull(), "block").otherwise("allow")).alias("verdict"),
     )
