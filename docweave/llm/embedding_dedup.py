@@ -5,7 +5,8 @@ In each of several tables a vector gets a key for each probe: pseudo-random sign
 and Hadamard transforms rotate it, and the nearest signed axes name buckets. A bucket's
 vectors are compared in blocks by their exact cosine, a pair counting in the first
 bucket that it shares. Large buckets are cut into chunks whose pairs of chunks are
-separate tasks, so no bucket is one task's.
+separate tasks, so no bucket is one task's. Equal vectors are one class, which enters with
+its number of ids, so copies of a vector cost no comparisons.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import _stream, components, stored
+from .shared import _stream, components, in_slices, stored
 
 #: Vectors of a bucket that are compared in one task.
 CHUNK = 2048
@@ -70,7 +71,7 @@ def _usable(column: str = "embedding"):
 
 
 def _keyed(vectors: DataFrame, tables: int, hashes: int, probes: int) -> DataFrame:
-    """(id, v, keys) of usable vectors."""
+    """(id, v, ids, keys) of usable vectors (id, v, ids)."""
 
     def rows(batches):
         for batch in batches:
@@ -89,17 +90,17 @@ def _keyed(vectors: DataFrame, tables: int, hashes: int, probes: int) -> DataFra
                     k = bucket_keys(x, tables, hashes, probes, seed=int(dim))
                     for i, own_keys in zip(part, k, strict=True):
                         keys[i] = own_keys * 65536 + int(dim) % 65536
-            yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "keys": keys})
+            yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "ids": batch["ids"], "keys": keys})
 
     kind = vectors.schema["v"].dataType.simpleString()
-    return vectors.mapInPandas(rows, f"id long, v {kind}, keys array<long>")
+    return in_slices(vectors, rows, f"id long, v {kind}, ids long, keys array<long>")
 
 
 def _compare(blocks: DataFrame, least: float, probes: int) -> DataFrame:
-    """(id, n, low) for vectors of each block (key, i, j): how many links it has whose
+    """(id, n, low) for vectors of each block (key, i, j): how many ids it links with in pairs whose
     first shared bucket this is, and the smallest id that links reach in the block."""
 
-    def links(key: int, side: np.ndarray, ids: np.ndarray, v: list, keys: np.ndarray) -> pd.DataFrame | None:
+    def links(key: int, side: np.ndarray, ids: np.ndarray, many: np.ndarray, v: list, keys: np.ndarray) -> pd.DataFrame | None:
         if len(ids) < 2:
             return None
         x = np.stack(v).astype(np.float64)
@@ -124,7 +125,9 @@ def _compare(blocks: DataFrame, least: float, probes: int) -> DataFrame:
             p, q = table[a[at : at + 20_000]], table[b[at : at + 20_000]]
             same = (p[:, :, :, None] == q[:, :, None, :]).any(3)
             first[at : at + 20_000] = np.where(same, p, np.iinfo(np.int64).max).min((1, 2)) == key
-        n = np.bincount(a[first], minlength=len(ids)) + np.bincount(b[first], minlength=len(ids))
+        n = np.zeros(len(ids), np.int64)
+        np.add.at(n, a[first], many[b[first]])
+        np.add.at(n, b[first], many[a[first]])
         low = ids.copy()
         while True:
             before = low.copy()
@@ -148,11 +151,11 @@ def _compare(blocks: DataFrame, least: float, probes: int) -> DataFrame:
             yield from group(rest["key"].iloc[0], rest)
 
     def group(key, part):
-        found = links(int(key), part["side"].to_numpy(), part["id"].to_numpy(np.int64), part["v"].tolist(), np.stack(part["keys"].tolist()) if len(part) > 1 else None)
+        found = links(int(key), part["side"].to_numpy(np.int64), part["id"].to_numpy(np.int64), part["ids"].to_numpy(np.int64), part["v"].tolist(), np.stack(part["keys"].tolist()) if len(part) > 1 else None)
         if found is not None:
             yield found
 
-    return blocks.mapInPandas(rows, "id long, n long, low long")
+    return in_slices(blocks, rows, "id long, n long, low long")
 
 
 def near_vectors(
@@ -168,9 +171,14 @@ def near_vectors(
     that are null, empty, zero or hold null or non-finite numbers, and those of a null
     vec_id, link with nothing; a null vec_id has a null component and kept false. Equal rows count as one vector; other rows that share a
     vec_id add up their links. An empty table gives an empty result."""
-    usable = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("v")).filter(F.col("id").isNotNull() & _usable("v"))
-    keyed = _keyed(usable.dropDuplicates(), tables, hashes, probes)
-    placed = keyed.select("id", "v", "keys", F.explode("keys").alias("key"))
+    tag = [F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(7), "v").alias("h2")]  # 128 bits tell vectors apart
+    usable = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("v")).filter(F.col("id").isNotNull() & _usable("v")).select("id", "v", *tag)
+    members = stored(usable.select("id", "h1", "h2").distinct())
+    classes = stored(members.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("ids")))
+    named = classes.withColumnRenamed("rep", "id")
+    keyed = _keyed(usable.join(named, ["id", "h1", "h2"]).dropDuplicates(["id", "h1", "h2"]).select("id", "v", "ids"), tables, hashes, probes)
+    keyed = stored(keyed)
+    placed = keyed.select("id", "v", "ids", "keys", F.explode("keys").alias("key"))
     sizes = keyed.select(F.explode("keys").alias("key")).groupBy("key").count()
     hot = sizes.filter(F.col("count") > chunk).select("key", F.ceil(F.col("count") / chunk).cast("int").alias("chunks"))
     placed = placed.join(hot, "key", "left").withColumn("own", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("id"), F.col("chunks"))).cast("int"))
@@ -179,16 +187,19 @@ def near_vectors(
     own = F.coalesce("own", F.lit(0))
     blocks = placed.select(
         "key", F.least(own, "other").alias("i"), F.greatest(own, "other").alias("j"),
-        F.when(own == F.col("other"), 0).when(own < F.col("other"), 1).otherwise(2).alias("side"), "id", "v", "keys",
+        F.when(own == F.col("other"), 0).when(own < F.col("other"), 1).otherwise(2).alias("side"), "id", "ids", "v", "keys",
     )
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = _compare(blocks.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j"), least, probes)
-
-    found = stored(found)
-    counts = found.groupBy("id").agg(F.sum("n").alias("n_links"))
-    linked = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
-    out = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-    out = out.join(counts, F.col("vec_id") == F.col("id"), "left").drop("id").join(linked, F.col("vec_id") == F.col("node"), "left")
+    found = stored(_compare(blocks.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j"), least, probes))
+
+    counts = found.groupBy(F.col("id").alias("rep")).agg(F.sum("n").alias("n"))
+    each = members.join(classes, ["h1", "h2"]).join(counts, "rep", "left").select("id", "rep", (F.col("ids") - 1 + F.coalesce("n", F.lit(0))).alias("n"))
+    # An id of several vectors joins their classes.
+    several = each.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("a"), F.count("*").alias("k")).filter("k > 1 and a <> b").select("id", "b")
+    edges = found.select(F.col("id").alias("a"), F.col("low").alias("b")).unionByName(each.join(several, "id").select(F.col("rep").alias("a"), "b"))
+    linked = components(edges)
+    settled = each.join(linked, F.col("rep") == F.col("node"), "left").groupBy("id").agg(F.sum("n").alias("n_links"), F.min(F.coalesce("component", "rep")).alias("component"))
+    out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(settled, F.col("vec_id") == F.col("id"), "left")
     component = F.coalesce("component", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
