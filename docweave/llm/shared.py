@@ -4,6 +4,7 @@ shared folder for intermediate tables, fixed-size bit sets, components.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -121,10 +122,19 @@ def in_slices(df: DataFrame, rows: Callable, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in rows(frames(batches)):
             yield from pa.Table.from_pandas(frame, kind, preserve_index=False).to_batches()
+        _give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: a worker that has ended a task may stay idle for long."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def shared_path(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share. Only a
     local session may leave that unset, as in tests: it gets a temporary folder."""
