@@ -3,19 +3,26 @@
 Documents become sets of hashed word shingles. Small sets are joined on all their
 subsets of the one size that a similar pair of their sizes must share; large sets
 by scanning inverted lists of their rarest shingles. The boundary is the size up to
-which subsets cost no more rows than lists.
+which subsets cost no more rows than lists of the mean length.
 
 No pair is lost, and no list is expanded into all its pairs:
 
 * Lists use prefix filtering: with sets in one order of shingles, a pair of Jaccard
-  t shares one of the first n - ceil(t * n) + 1 shingles of each set. The order puts
-  shingles last that a merged counting sketch holds for frequent, so a passage that
-  very many documents share stands at the end.
-* Equal sets are one node. In each list every node is first compared with the list's
-  smallest node only, then with its largest; after the verified links are merged into
-  components, only pairs of different components are compared, so a group of near
-  copies stays near linear. Sizes, places and signatures drop pairs that cannot link;
-  distinct pairs of long sets are held against finer signatures before sets travel.
+  t shares one of the first n - ceil(t * n) + 1 shingles of each set. The order is by
+  how often a shingle occurs, counted exactly: those of one set come first and need no
+  list, so a set of many shingles of its own has no lists at all, and a set's place in a
+  list tells how much it can still share. Counted are SAMPLED of 256 hash classes of the
+  shingles, more than a prefix needs; the others follow them in the order, and last come
+  shingles that a merged counting sketch holds for very frequent. Only sets with too few
+  counted shingles get to those.
+* Equal sets are one node. In each round a list has one head, the node for which its shingle
+  stands foremost (it has the least of its own, so the others of a group of near copies
+  are likely linked with it), in the last round a node of the last component; and a node has one
+  candidate, the head that it meets in most lists and was not held against before. Verified
+  links are merged into components, and only lists of several components go on, so a
+  group of near copies is settled by links in proportion to its size. What is left then is
+  compared in pairs of different components. Sizes, places and signatures drop pairs that
+  cannot link; pairs of long sets are held against finer signatures before sets travel.
 """
 
 from __future__ import annotations
@@ -29,18 +36,26 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bit_words, components, fold, gram_hashes, in_bits, mix, runs, stored, word_hashes
+from .shared import components, fold, fresh, gram_hashes, in_slices, mix, runs, stored, word_hashes
 
-#: Counters of the sketch that orders shingles, and how many travel in one row.
+#: Counters of the sketch that finds very frequent shingles, and how many travel in one row.
 SKETCH_LOG, PIECE_LOG = 24, 16
+#: Hash classes of 256 whose shingles are counted.
+SAMPLED = 104
 #: 64-bit words of a set's signature: each shingle flips one bit, so two signatures
 #: differ in no more bits than the sets have elements that the other lacks.
 SIGNATURE = 8
 #: Short signatures of long sets have every bit at random. Sets over LONG_SET have one of
 #: FINE words too, which is kept by node and meets distinct pairs only.
 FINE, LONG_SET = 32, 256
-#: No subsets are enumerated above this size.
+#: No subsets are enumerated above this size, whatever lists cost: a set of it has 16 to 137 subsets, one of twice the size thousands.
 MOST_SMALL = 16
+#: As many document ids are broadcast at most, 8 bytes each; more are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
+#: Least hashes that a task gives to estimate how many distinct shingles there are.
+LEAST_HASHES = 1024
+#: Sets whose entries a task remembers to have made, so that a group of copies makes them once a task.
+MOST_SEEN = 100_000
 
 
 def shingle_sets(texts: list[str | None], n: int):
@@ -90,43 +105,61 @@ def boundary(sizes: dict[int, int], list_length: float, num: int, den: int) -> i
 
 
 def _sets_and_sketch(docs: DataFrame, n: int) -> DataFrame:
-    """Rows (doc_id, n_shingles, node, bits, fine) for documents, and rows (piece, counts) with
-    each task's counters of all shingles; one pass writes both."""
+    """Rows (doc_id, digest, n_shingles, node, bits, fine) for documents, and rows (piece, counts) with
+    each task's counters of all shingles and, at piece -1, its least hashes; one pass writes all."""
+    blank = {"doc_id": None, "digest": None, "n_shingles": None, "node": None, "bits": None, "fine": None}
 
-    def rows(batches):
-        counts = np.zeros(1 << SKETCH_LOG, np.uint16)
-        for batch in batches:
+    def rows(frames):
+        counts, least = np.zeros(1 << SKETCH_LOG, np.uint16), np.empty(0, np.uint64)
+        for frame in frames:
             size, node, bits, fine, seen = [], [], [], [], []
-            for hashes in shingle_sets(batch["text"].tolist(), n):
+            for hashes in shingle_sets(frame["text"].tolist(), n):
                 size.append(len(hashes))
                 node.append(fold(hashes))
                 bits.append(signature(hashes))
                 fine.append(signature(hashes, FINE) if len(hashes) > LONG_SET else None)
                 seen.append(hashes)
                 if len(seen) == 500:
-                    _count(counts, seen)
+                    least = _count(counts, seen, least)
                     seen = []
-            _count(counts, seen)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": size, "node": node, "bits": bits, "fine": fine, "piece": None, "counts": None})
+            least = _count(counts, seen, least)
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "digest": frame["digest"], "n_shingles": size, "node": node, "bits": bits, "fine": fine, "piece": None, "counts": None})
         pack = zstandard.ZstdCompressor(level=1).compress
+        yield pd.DataFrame({**blank, "piece": [-1], "counts": [least.tobytes()]})
         for piece in range(1 << (SKETCH_LOG - PIECE_LOG)):
             part = counts[piece << PIECE_LOG : (piece + 1) << PIECE_LOG]
             if part.any():
-                yield pd.DataFrame({"doc_id": [None], "n_shingles": [None], "node": [None], "bits": [None], "fine": [None], "piece": [piece], "counts": [pack(part.tobytes())]})
+                yield pd.DataFrame({**blank, "piece": [piece], "counts": [pack(part.tobytes())]})
+
+    return in_slices(docs.select(F.col("doc_id").cast("long"), "text", _digest().alias("digest")), rows, "doc_id long, digest long, n_shingles long, node long, bits array<long>, fine array<long>, piece int, counts binary")
+
+
+def _count(counts: np.ndarray, sets: list[np.ndarray], least: np.ndarray) -> np.ndarray:
+    """Counts the shingles of the sets; the least of all hashes so far."""
+    if not sets:
+        return least
+    hashes = np.concatenate(sets)
+    at, n = np.unique(hashes >> np.uint64(64 - SKETCH_LOG), return_counts=True)
+    counts[at] = np.minimum(counts[at] + n, 65535)
+    some = hashes if len(least) < LEAST_HASHES else hashes[hashes < least[-1]]
+    return np.unique(np.concatenate([least, some]))[:LEAST_HASHES]
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(rows, "doc_id long, n_shingles long, node long, bits array<long>, fine array<long>, piece int, counts binary")
 
+def _distinct(least: DataFrame) -> float:
+    """About how many distinct shingles there are, from the least hashes of all tasks (3 % off)."""
 
-def _count(counts: np.ndarray, sets: list[np.ndarray]) -> None:
-    if sets:
-        at, n = np.unique(np.concatenate(sets) >> np.uint64(64 - SKETCH_LOG), return_counts=True)
-        counts[at] = np.minimum(counts[at] + n, 65535)
+    def each(batches):
+        for batch in batches:
+            yield pd.DataFrame({"h": np.concatenate([np.frombuffer(c, np.uint64) >> np.uint64(1) for c in batch["counts"]] or [np.empty(0, np.uint64)]).astype(np.int64)})
+
+    got = least.select("counts").mapInPandas(each, "h long").distinct().orderBy("h").limit(LEAST_HASHES).collect()  # LEAST_HASHES rows
+    return len(got) if len(got) < LEAST_HASHES else (LEAST_HASHES - 1) * 2.0**63 / max(got[-1].h, 1)
 
 
 def _frequent(pieces: DataFrame, total: int) -> np.ndarray:
-    """One bit for each counter of the merged sketch that stands out from the mean
-    load: 2**SKETCH_LOG bits whatever the input. They only order shingles, so a
-    frequent shingle that is missed costs time, not links."""
+    """One bit for each counter of the merged sketch that stands out from the mean load:
+    2**SKETCH_LOG bits whatever the input. A shingle of more than a few millionths of all
+    entries is surely among them, so no list of a counted shingle is longer."""
     mean = total >> SKETCH_LOG
     limit = mean + 6 * isqrt(mean) + 24
 
@@ -147,36 +180,60 @@ def _frequent(pieces: DataFrame, total: int) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, n: int, frequent: np.ndarray, small: int, num: int, den: int) -> DataFrame:
-    """(token, node, n_shingles, pos): subset keys of small sets (pos -1) and the
-    inverted lists' entries of the others (pos: place in the order)."""
+    """(token, node, n, pos, counted): subset keys of small sets (pos -1) and, of the
+    others, all counted shingles (pos null; counted: how many the set has) and those that
+    fill up a prefix after them (pos: place in the order)."""
     frequent = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
 
-    def rows(batches):
-        is_frequent = np.unpackbits(frequent.value)
-        for batch in batches:
-            token, node, size, pos = [], [], [], []
-            for hashes in shingle_sets(batch["text"].tolist(), n):
-                k = len(hashes)
-                if not k:
+    def rows(frames):
+        bits, seen = frequent.value, set()
+        for frame in frames:
+            token, node, size, pos, counted = [], [], [], [], []
+
+            def add(keys, name, k, places, known, to=(token, node, size, pos, counted)):
+                for out, x, kind in zip(to, (keys, name, k, places, known), (np.int64, np.int64, np.int32, np.int32, np.int32), strict=True):
+                    out.append(np.broadcast_to(np.asarray(x, kind), len(keys)))
+
+            for hashes in shingle_sets(frame["text"].tolist(), n):
+                k, name = len(hashes), fold(hashes)
+                if not k or name in seen:
                     continue
-                keys = []
+                if len(seen) >= MOST_SEEN:
+                    seen.clear()
+                seen.add(name)
                 if k <= small:
                     picks = [p for c in subset_sizes(k, small, num, den) for p in combinations(range(k), c)]
-                    keys.append(np.array([fold(hashes[list(p)]) for p in picks], np.int64))
-                    pos.append(np.full(len(picks), -1, np.int32))
+                    add([fold(hashes[list(p)]) for p in picks], name, k, -1, 0)
                 if k * den > small * num:  # it may resemble a set above the boundary
-                    last = is_frequent[hashes >> np.uint64(64 - SKETCH_LOG)]
-                    order = np.concatenate([hashes[last == 0], hashes[last == 1]])[: k - ceil(num * k / den) + 1]
-                    keys.append(order.view(np.int64))
-                    pos.append(np.arange(len(order), dtype=np.int32))
-                for own in keys:
-                    token.append(own)
-                    node.append(np.full(len(own), fold(hashes), np.int64))
-                    size.append(np.full(len(own), k, np.int32))
+                    prefix = k - ceil(num * k / den) + 1
+                    cell = (hashes >> np.uint64(64 - SKETCH_LOG)).astype(np.int64)
+                    rare = (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 0
+                    known = rare & ((hashes & np.uint64(255)) < SAMPLED)
+                    rest = np.concatenate([hashes[rare & ~known], hashes[~rare]])[: max(0, prefix - int(known.sum()))]
+                    add(hashes[known].view(np.int64), name, k, -2, known.sum())
+                    add(rest.view(np.int64), name, k, known.sum() + np.arange(len(rest)), 0)
             if token:
-                yield pd.DataFrame({"token": np.concatenate(token), "node": np.concatenate(node), "n": np.concatenate(size), "pos": np.concatenate(pos)})
-
-    return docs.select("text").mapInPandas(rows, "token long, node long, n int, pos int")
+                yield pd.DataFrame({"token": np.concatenate(token), "node": np.concatenate(node), "n": np.concatenate(size), "pos": np.concatenate(pos), "counted": np.concatenate(counted)})
+
+    return in_slices(docs.select("text"), rows, "token long, node long, n int, pos int, counted int")
+
+
+def _lists(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """(token, node, n, pos): the subset keys, and the inverted lists of each set's prefix. A
+    counted shingle of one set alone stands before all others and has no list."""
+    spark = entries.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = Window.partitionBy("token")  # at most a few millionths of all entries, as frequent ones are not counted
+    met = entries.filter("pos = -2").repartition(parts, "token").select(
+        "token", "node", "n", "counted", F.count("*").over(own).alias("sets"), F.min("node").over(own).alias("low"), F.max("node").over(own).alias("high")
+    ).filter("low <> high")
+    order = Window.partitionBy("node")  # a set's shingles
+    met = met.repartition(parts, "node").dropDuplicates(["node", "token"])
+    placed = met.select(
+        "token", "node", "n", (F.col("counted") - F.count("*").over(order) + F.row_number().over(order.orderBy("sets", "token")) - 1).cast("int").alias("pos")
+    )
+    prefix = F.expr(f"n - ({num} * n + {den - 1}) div {den} + 1")
+    return placed.filter(F.col("pos") < prefix).unionByName(entries.filter("pos > -2").select("token", "node", "n", "pos").distinct())
 
 
 def _may_differ(x: str, y: str, num: int, den: int):
@@ -187,73 +244,71 @@ def _may_differ(x: str, y: str, num: int, den: int):
 
 
 def _close(pairs: DataFrame, first: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) but those of long sets whose finer signatures show that they cannot link."""
-    fine = first.filter("fine is not null")
-    a = fine.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa"))
-    b = fine.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb"))
+    """The pairs (a, b) but those whose signatures show that they cannot link."""
+    a = first.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"), F.col("fine").alias("fa"))
+    b = first.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"), F.col("fine").alias("fb"))
     unknown = F.col("fa").isNull() | F.col("fb").isNull()
-    return pairs.join(a, "a", "left").join(b, "b", "left").filter(unknown | _may_differ("fa", "fb", num, den)).select("a", "b")
+    near = _may_differ("ba", "bb", num, den) & (unknown | _may_differ("fa", "fb", num, den))
+    return pairs.join(a, "a").join(b, "b").filter(near).select("a", "b")
 
 
 def _can_reach(num: int, den: int):
-    """Whether a and b, met in a list, may reach num / den by size, by what can follow, and by their signatures."""
+    """Whether a and b, met in a list, may reach num / den by size and by what can follow."""
     need = F.expr(f"({num} * (na + nb) + {num + den - 1}) div {num + den}")
     rest = F.least(F.col("na") - F.greatest("pa", F.lit(0)), F.col("nb") - F.greatest("pb", F.lit(0)))
-    size = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & ((F.col("pa") < 0) | (rest >= need))
-    return size & _may_differ("ba", "bb", num, den)
+    return (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & ((F.col("pa") < 0) | (rest >= need))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach num / den. Only texts of these nodes'
-    first documents are hashed again; what the bit set lets through besides, the joins drop."""
+    first documents are hashed again; what else has their ids, the joins drop. A pair
+    takes one set along to the other's, which may belong to very many pairs."""
     members = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(first, "node")
-    texts = in_bits(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", bit_words(members, "doc_id", 24))
+    ids = stored(members.select(F.col("doc_id").alias("member")).distinct())
+    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids, F.col("doc_id").eqNullSafe(F.col("member")), "left_semi")
 
-    def hashed(batches):
-        for batch in batches:
-            sets = [s for s in shingle_sets(batch["text"].tolist(), n) if len(s)]
+    def hashed(frames):
+        for frame in frames:
+            sets = [s for s in shingle_sets(frame["text"].tolist(), n) if len(s)]
             yield pd.DataFrame({"node": [fold(s) for s in sets], "hashes": [s.view(np.int64) for s in sets]})
 
-    sets = texts.select("text").mapInPandas(hashed, "node long, hashes array<long>")
+    sets = in_slices(texts.select("text"), hashed, "node long, hashes array<long>")
     a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     b = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
-    return pairs.join(a, "a").join(b, "b").withColumn("both", both).filter(
+    return pairs.join(b, "b").join(a, "a").withColumn("both", both).filter(
         F.col("both") * (den + num) >= num * (F.size("ha") + F.size("hb"))
     ).select("a", "b").distinct()
 
 
 def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(sets, links): sets is (doc_id, n_shingles, node) of every row of docs; links
+    """(sets, links): sets is (doc_id, n_shingles, node, digest) of every row of docs; links
     is (node, component) for nodes linked with others by Jaccard >= num / den."""
     both = stored(_sets_and_sketch(docs, n))
     full = both.filter("piece is null and n_shingles > 0")
-    sets = both.filter("piece is null").select("doc_id", "n_shingles", "node")
-    stats = full.agg(F.sum("n_shingles"), F.count("*")).first()
+    sets = both.filter("piece is null").select("doc_id", "n_shingles", "node", "digest")
     sizes = {r[0]: r[1] for r in full.filter(F.col("n_shingles") <= MOST_SMALL).groupBy("n_shingles").count().collect()}
-    total = stats[0] or 0
-    frequent = _frequent(both.filter("piece is not null").select("piece", "counts"), total)
-    small = boundary(sizes, 1 + total / (1 << SKETCH_LOG), num, den)
+    total = full.agg(F.sum("n_shingles")).first()[0] or 0
+    frequent = _frequent(both.filter("piece >= 0").select("piece", "counts"), total)
+    small = boundary(sizes, total / max(_distinct(both.filter("piece = -1")), 1), num, den)
 
-    entries = _entries(docs, n, frequent, small, num, den)
     first = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bits").alias("bits"), F.any_value("fine").alias("fine"), F.any_value("n_shingles").alias("n")))
-    lists = stored(
-        entries.select("*", F.min("node").over(_by("token")).alias("head"), F.max("node").over(_by("token")).alias("tail"))
-        .filter("head <> tail").drop("head", "tail").join(first.select("node", "bits"), "node")
-    )
-    cluster = None
-    tried = links = None
-    for head in (F.min, F.max):
+    lists = stored(_lists(_entries(docs, n, frequent, small, num, den), num, den))
+    links, tried, cluster = None, None, None
+    for turn, (order, head) in enumerate((("pos", F.min), ("pos", F.min), ("component", F.max))):
         left = _unsettled(lists, cluster)
-        left = left.withColumn("head", head("node").over(_by("token")))
-        heads = left.filter("node = head").select("token", *_side("b")).dropDuplicates(["token"])
-        star = left.filter("node <> head").select("token", *_side("a")).join(heads, "token").filter("ca <> cb")
-        star = star.filter(_can_reach(num, den)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        star = stored(_close(star if tried is None else star.join(tried, ["a", "b"], "left_anti"), first, num, den))
+        heads = left.groupBy("token").agg(head(F.struct(order, *(c for c in ("pos", "component", "node", "n") if c != order))).alias("h")).select(
+            "token", F.col("h.node").alias("b"), F.col("h.n").alias("nb"), F.col("h.pos").alias("pb"), F.col("h.component").alias("cb"))
+        star = left.select("token", *_side("a")).join(heads, "token").filter("ca <> cb").filter(_can_reach(num, den)).groupBy("a", "b").count()
+        if tried is not None:
+            star = star.join(tried.unionByName(tried.select(F.col("a").alias("b"), F.col("b").alias("a"))), ["a", "b"], "left_anti")
+        star = star.groupBy("a").agg(F.max_by("b", F.struct("count", F.col("b"))).alias("b"))
+        star = stored(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         tried = star if tried is None else tried.unionByName(star)
-        found = stored(_verified(star, docs, first, n, num, den))
+        found = stored(_verified(stored(_close(star, first, num, den)), docs, first, n, num, den))
         links = found if links is None else links.unionByName(found)
-        cluster = components(links)
+        cluster = components(links) if turn != 1 else cluster  # the second round's links are few; they count from the last round on
 
     left = stored(_unsettled(lists, cluster))
     rest = left.select("token", *_side("a")).join(left.select("token", *_side("b")), "token").filter("ca < cb").filter(_can_reach(num, den))
@@ -262,19 +317,32 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
 
 
 def _side(s: str) -> list:
-    return [F.col(x).alias(f"{y}{s}" if y else s) for x, y in (("node", ""), ("n", "n"), ("pos", "p"), ("bits", "b"), ("component", "c"))]
+    return [F.col(x).alias(f"{y}{s}" if y else s) for x, y in (("node", ""), ("n", "n"), ("pos", "p"), ("component", "c"))]
 
 
 def _unsettled(lists: DataFrame, cluster: DataFrame | None) -> DataFrame:
     """Entries of lists whose nodes are not all of one component."""
     if cluster is None:
-        return lists.withColumn("component", F.col("node"))
-    left = lists.join(cluster, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return left.select("*", F.min("component").over(_by("token")).alias("low"), F.max("component").over(_by("token")).alias("high")).filter("low <> high").drop("low", "high")
+        left = lists.withColumn("component", F.col("node"))
+    else:
+        left = lists.join(cluster, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = left.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
+    return left.join(mixed, "token", "left_semi")
 
 
-def _by(key: str):
-    return Window.partitionBy(key)
+def _grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n_shingles, digest, component_id) of every row of docs; digest: a hash of the text."""
+    sets, linked = ngram_links(docs, n, num, den)
+    nodes = sets.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
+    nodes = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    low = nodes.groupBy("component").agg(F.min("low").alias("component_id"))
+    nodes = nodes.join(low, "component").select("node", "component_id")
+    with_words, without = sets.filter("n_shingles > 0"), sets.filter("n_shingles = 0")
+    return (
+        with_words.join(nodes, "node").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+        .select("doc_id", "n_shingles", "digest", "component_id")
+        .unionByName(without.select("doc_id", "n_shingles", "digest", F.col("doc_id").alias("component_id")))
+    )
 
 
 def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -286,22 +354,19 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) ->
     component is their own doc_id. Rows of equal sets are linked. Rows that share a
     doc_id are all returned, each with its own set. A null doc_id gets a null
     component and names none. An empty table gives an empty result."""
-    sets, linked = ngram_links(docs, n, num, den)
-    nodes = sets.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
-    nodes = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    low = nodes.groupBy("component").agg(F.min("low").alias("component_id"))
-    nodes = nodes.join(low, "component").select("node", "component_id")
-    with_words, without = sets.filter("n_shingles > 0"), sets.filter("n_shingles = 0")
-    return (
-        with_words.join(nodes, "node").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-        .select("doc_id", "n_shingles", "component_id")
-        .unionByName(without.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    )
+    return _grouped(docs, n, num, den).select("doc_id", "n_shingles", "component_id")
 
 
 def ngram_dedup(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """docs with one document of each group: the one of the smallest doc_id. Rows of
-    empty sets or null doc_id stay; of rows that share a doc_id in one group all stay."""
-    found = ngram_components(docs, n, num, den)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """docs with one document of each group: the one of the smallest doc_id; columns as in
+    docs. Rows of empty sets (null, empty and word-less texts) and of null doc_id stay; of
+    rows that share a doc_id in one group all stay, and rows that share a doc_id in different
+    groups are judged each by its own text. An empty table gives an empty result."""
+    found = _grouped(docs, n, num, den)
+    name, digest = fresh(docs, "gone_id", "gone_text")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name), F.col("digest").alias(digest)).distinct()
+    return docs.join(gone, (F.col("doc_id").cast("long") == F.col(name)) & (_digest() == F.col(digest)), "left_anti")
+
+
+def _digest():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
