@@ -15,7 +15,9 @@ from .apportion import sainte_lague
 from .shared import WORD, fresh, own_columns
 
 #: Primes above any number of blocks in a shard; a multiplier of the blocks' permutation is one of them.
-PRIMES = (1000003, 2000003, 3000017, 4000037, 5000011, 6000011, 7000003, 8000009)
+PRIMES = (2147483659, 2147483693, 2147483713, 2147483743, 2147483777, 2147483783, 2147483813, 2147483857)
+#: Shards of a source at the most: one task apportions a source's blocks to its shards.
+MOST_SHARDS = 1 << 16
 
 
 def _placed(
@@ -41,7 +43,7 @@ def _placed(
     t = t.withColumn("target", F.coalesce(F.least("cap", level * F.col("weight")), F.col("cap")))
     t = t.withColumn("blocks", F.round(F.sum("target").over(every) / block).cast("long"))
     quotas = sainte_lague(t.select("source", "source_size", "target", "blocks"), [], ["source"], "target", "blocks").withColumnRenamed("quota", "source_quota")
-    quotas = quotas.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long"))
+    quotas = quotas.withColumn("shards", F.greatest(F.lit(1), F.least(F.ceil(F.col("source_size") / shard), F.lit(MOST_SHARDS))).cast("long"))
 
     q = quotas.alias("q")
     placed = sized.alias("d").join(q, F.col("d.source").eqNullSafe(F.col("q.source"))).select(
