@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from .byte_pairs import byte_symbols
 from .shared import in_slices, stored
 
-#: Words of a generation whose ids a worker remembers (it keeps the one before too), and the
+#: Words of a generation whose ids a task remembers (it keeps the one before too), and the
 #: longest of them in characters: text without spaces is long words that seldom come again.
-MOST_WORDS, LONGEST = 120_000, 64
+MOST_WORDS, LONGEST = 300_000, 64
 #: Cells that tell words seen before, by hash.
 SEEN = 1 << 21
 #: The fill up to which a sequence is placed once more, and how many such sequences one task takes.
@@ -116,6 +116,10 @@ class WordIds(dict):
             self.seen[at] = 1
         return ids
 
+    def forget(self) -> None:
+        self.clear(), self.pieces.clear()
+        self.old, self.seen = {}, bytearray(SEEN)
+
     def of_texts(self, texts: list[str | None]) -> list[bytes]:
         if len(self) > MOST_WORDS:
             self.old, self.seen = dict(self), bytearray(SEEN)
@@ -163,6 +167,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 4096, end_id: int = 1,
                 "doc_id": frame["doc_id"].take(of).array, "piece": piece, "start": piece * capacity, "length": n,
                 "ids_crc32": list(map(zlib.crc32, cuts)), "sequence_id": placed[:, 0] + first, "offset": placed[:, 1],
             })
+        ids.forget()
 
     packed = stored(in_slices(docs.select("doc_id", "text"), rows, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"))
     moved = _repacked(packed, capacity, open_bins)
