@@ -79,22 +79,25 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return F.coalesce(*cases, none)
 
 
-def _moments(level: str, children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """(level, extra, pairs): how much more labelled children differ from their parent than by chance, and the
-    weight of that, by moments; their quotient is the share of rate * (1 - rate) that is spread."""
-    up = parents.filter("n > 0").select(F.col(key).alias("_key"), (F.col("k") / F.col("n")).alias("m"))
-    c = children.filter("n > 0").join(up, F.col(key) == F.col("_key"))
+def _moments(level: str, children: DataFrame) -> DataFrame:
+    """(level, extra, pairs) of children (n, k, m: their parent's rate): how much more labelled children differ from
+    their parent than by chance, and the weight of that, by moments; their quotient is the share of rate * (1 - rate) that is spread."""
     own = F.col("m") * (1 - F.col("m"))
-    return c.agg(
+    return children.filter("n > 0").agg(
         F.lit(level).alias("level"), F.sum(F.col("n") * F.pow(F.col("k") / F.col("n") - F.col("m"), 2) - own).alias("extra"), F.sum(own * (F.col("n") - 1)).alias("pairs"))
 
 
-def _posterior(rows: DataFrame, n: Column, k: Column, spread: float) -> DataFrame:
-    """rows with m and v, the mean and variance of the parent's rate, made those after k bad ones of n labels."""
-    own = F.col("m") * (1 - F.col("m"))
-    s = F.greatest(own / (F.col("v") + spread * own) - 1, F.lit(LEAST_STRENGTH))
-    rows = rows.withColumn("_s", s).withColumns({"m": (F.col("_s") * F.col("m") + k) / (F.col("_s") + n), "_total": F.col("_s") + n})
-    return rows.withColumn("v", F.col("m") * (1 - F.col("m")) / (F.col("_total") + 1)).drop("_s", "_total")
+def _posterior(first: Column, levels: list[tuple[Column, Column, float]]) -> Column:
+    """struct(m, v) of a rate after each level's (n labels, k bad ones, spread), from struct(m, v) of all."""
+    steps = F.array(*(F.struct(n.cast("double").alias("n"), k.cast("double").alias("k"), F.lit(float(spread)).alias("spread")) for n, k, spread in levels))
+
+    def after(p: Column, x: Column) -> Column:
+        own = p["m"] * (1 - p["m"])
+        s = F.greatest(own / (p["v"] + x["spread"] * own) - 1, F.lit(LEAST_STRENGTH))
+        m = (s * p["m"] + x["k"]) / (s + x["n"])
+        return F.struct(m.alias("m"), (m * (1 - m) / (s + x["n"] + 1)).alias("v"))
+
+    return F.aggregate(steps, first, after)
 
 
 def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> DataFrame:
@@ -108,23 +111,22 @@ def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> Da
     bad = labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(F.coalesce(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("long"), F.lit(0))).alias("bad"))
     counted = pages.select("page_id", url_host(F.col("url")).alias("host")).join(bad, "page_id", "left")
     hosts = stored(counted.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k")))
-    hosts = hosts.withColumns({"domain": url_domain(F.col("host")), "suffix": url_suffix(F.col("host")), "all": F.lit(0)})
+    hosts = hosts.withColumns({"domain": url_domain(F.col("host")), "suffix": url_suffix(F.col("host"))})
     up = lambda rows, *keys: rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    domains = up(hosts, "domain", "suffix", "all")
-    suffixes = up(domains, "suffix", "all")
-    every = up(suffixes, "all")
-    sums = every.select(F.lit("all").alias("level"), F.col("k").cast("double").alias("extra"), F.col("n").cast("double").alias("pairs"))
-    for name, children, parents, key in (("suffix", suffixes, every, "all"), ("domain", domains, suffixes, "suffix"), ("host", hosts, domains, "domain")):
-        sums = sums.unionByName(_moments(name, children, parents, key))
-    got = {r.level: (r.extra or 0.0, r.pairs or 0.0) for r in sums.collect()}
-    all_k, all_n = got.get("all", (0.0, 0.0))
-    spread = {level: min(max((extra + WEIGHT * SPREAD) / (pairs + WEIGHT), 0.001), 0.9) for level, (extra, pairs) in got.items()}
+    domains = up(hosts, "domain", "suffix")
+    suffixes = up(domains, "suffix")
+    all_n, all_k = (float(x or 0) for x in suffixes.agg(F.sum("n"), F.sum("k")).first())
+    rate = lambda rows, key: rows.filter("n > 0").select(key, (F.col("k") / F.col("n")).alias("m"))
+    sums = _moments("suffix", suffixes.withColumn("m", F.lit(all_k / max(all_n, 1.0))))
+    sums = sums.unionByName(_moments("domain", domains.join(rate(suffixes, "suffix"), "suffix"))).unionByName(_moments("host", hosts.join(rate(domains, "domain"), "domain")))
+    spread = {r.level: min(max(((r.extra or 0.0) + WEIGHT * SPREAD) / ((r.pairs or 0.0) + WEIGHT), 0.001), 0.9) for r in sums.collect()}
 
     kin = hosts.join(domains.select("domain", F.col("n").alias("nd"), F.col("k").alias("kd")), "domain").join(suffixes.select("suffix", F.col("n").alias("ns"), F.col("k").alias("ks")), "suffix")
     n, k, nd, kd, ns, ks = map(F.col, ("n", "k", "nd", "kd", "ns", "ks"))
-    kin = kin.withColumn("m", (all_k - ks + 0.5) / (all_n - ns + 1)).withColumn("v", F.col("m") * (1 - F.col("m")) / (all_n - ns + 2))
-    for level, own_n, own_k in (("suffix", ns - nd, ks - kd), ("domain", nd - n, kd - k), ("host", n, k)):
-        kin = _posterior(kin, own_n, own_k, spread.get(level, SPREAD))
+    m = (all_k - ks + 0.5) / (all_n - ns + 1)
+    first = F.struct(m.alias("m"), (m * (1 - m) / (all_n - ns + 2)).alias("v"))
+    kin = kin.withColumn("p", _posterior(first, [(ns - nd, ks - kd, spread["suffix"]), (nd - n, kd - k, spread["domain"]), (n, k, spread["host"])]))
+    kin = kin.select("host", "n", "k", F.col("p.m").alias("m"), F.col("p.v").alias("v"))
     low, high = (F.col("m") + x * F.sqrt("v") for x in (-z, z))
     return kin.select("host", "n", "k", F.col("m").alias("rate"), F.greatest(F.lit(0.0), low).alias("low"), F.least(F.lit(1.0), high).alias("high"))
 
