@@ -1,4 +1,4 @@
-"""The ten operators as queries over the driver's tables, each over its whole table."""
+"""The thirteen operators as queries over the driver's tables, each over its whole table."""
 
 from __future__ import annotations
 
@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from .byte_pairs import count_tokens
 from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
+from .graph_search import nearest
 from .language import predict_languages
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .oracles import ORACLE_SQL  # noqa: F401
 from .packing import pack
+from .periodic_runs import periodic_runs, planted, run_digest
 from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
+from .whitening import whiten
 
 
 def _vocabulary(name: str) -> str:
@@ -69,7 +72,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_read(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(periodic_runs(planted(_read(spark, sf_dir, "documents"))))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_embedding_near_dedup, op2_ngram_jaccard_join, op3_token_counts, op4_best_fit_packing, op5_substring_dedup, op6_mix_sources, op7_url_filters, op8_exact_dedup, op9_language_id, op10_line_dedup)
+    for f in (op1_embedding_near_dedup, op2_ngram_jaccard_join, op3_token_counts, op4_best_fit_packing, op5_substring_dedup, op6_mix_sources, op7_url_filters, op8_exact_dedup, op9_language_id, op10_line_dedup, op11_embedding_whitening, op12_periodic_runs, op13_nearest_neighbours)
 }

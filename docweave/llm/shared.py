@@ -164,12 +164,12 @@ def _small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, rows_per_file: int = 0) -> DataFrame:
     """The rows written once to the shared folder and read from there: later jobs
-    start from files that outlive executors."""
+    start from files that outlive executors. rows_per_file bounds files of very wide rows."""
     path = shared_path(df.sparkSession)
     with _small_batches(df.sparkSession):
-        df.write.parquet(path)
+        df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
