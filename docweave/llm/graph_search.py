@@ -26,7 +26,9 @@ SHARD, SHARD_VALUES = 8192, 1 << 21
 QUERIES = 256
 #: Vectors that a batch adds to a graph at most.
 BATCH = 256
-INDEX = "shard int, dim int, n int, degree int, start int, vectors binary, links binary, ends binary, ids binary"
+#: Places that a search starts from.
+STARTS = 16
+INDEX = "shard int, dim int, n int, degree int, starts binary, vectors binary, links binary, ends binary, ids binary"
 
 
 def _distances(x: np.ndarray, norms: np.ndarray, of: np.ndarray, q: np.ndarray, q_norms: np.ndarray) -> np.ndarray:
@@ -34,8 +36,8 @@ def _distances(x: np.ndarray, norms: np.ndarray, of: np.ndarray, q: np.ndarray,
     return norms[of] - 2 * np.matmul(x[of], q[:, :, None])[:, :, 0] + q_norms[:, None]
 
 
-def beam_search(x: np.ndarray, norms: np.ndarray, links: np.ndarray, start: int, q: np.ndarray, beam: int, expand: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """(places, squared distances) of the `beam` nearest that greedy searches from `start` find for each query,
+def beam_search(x: np.ndarray, norms: np.ndarray, links: np.ndarray, starts: np.ndarray, q: np.ndarray, beam: int, expand: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """(places, squared distances) of the `beam` nearest that greedy searches from `starts` find for each query,
     nearest first, -1 and inf where there are fewer. Each step follows the links of the `expand` nearest places
     of each beam that it has not followed yet, until none is left."""
     b, n = len(q), len(x)
@@ -45,8 +47,10 @@ def beam_search(x: np.ndarray, norms: np.ndarray, links: np.ndarray, start: int,
     place = np.full((b, beam), n)
     dist = np.full((b, beam), np.inf, np.float32)
     done = np.ones((b, beam), bool)
-    place[:, 0], done[:, 0], seen[:, start] = start, False, True
-    dist[:, 0] = _distances(x, norms, np.full((b, 1), start), q, q_norms)[:, 0]
+    starts = starts[:beam]
+    from_all = np.broadcast_to(starts, (b, len(starts)))
+    place[:, : len(starts)], done[:, : len(starts)], seen[:, starts] = starts, False, True
+    dist[:, : len(starts)] = _distances(x, norms, from_all, q, q_norms)
     live = np.arange(b)
     while len(live):
         nearest = np.argsort(np.where(done[live], np.inf, dist[live]), 1, kind="stable")[:, :expand]
@@ -97,9 +101,9 @@ def robust_prune(x: np.ndarray, norms: np.ndarray, of: np.ndarray, near: np.ndar
     return out
 
 
-def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, seed: int = 1) -> tuple[np.ndarray, int]:
-    """(links, start): each vector's links, len(x) where there are fewer, and the place that searches start from,
-    the vector nearest the mean. Lists may grow by a half before they are pruned back to `degree`."""
+def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(links, starts): each vector's links, len(x) where there are fewer, and the places that searches start from,
+    the vector nearest the mean and STARTS - 1 at random, so that a dense cluster around the mean holds no search. Lists may grow by a half before they are pruned back to `degree`."""
     n = len(x)
     norms = (x * x).sum(1)
     room = degree + degree // 2
@@ -108,11 +112,11 @@ def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, seed: int =
     start = int(((x - x.mean(0)) ** 2).sum(1).argmin())
     order = np.argsort(_stream(n, seed << 32), kind="stable")
     order = np.concatenate([[start], order[order != start]])
-    at = 1
+    starts, at = order[:STARTS], 1
     while at < n:
         new = order[at : at + min(BATCH, at)]
         at += len(new)
-        near, _ = beam_search(x, norms, links, start, x[new], beam)
+        near, _ = beam_search(x, norms, links, starts[: at - len(new)], x[new], beam)
         near = np.concatenate([near, np.broadcast_to(new, (len(new), len(new)))], 1) if len(new) <= 32 else near  # the first batches know one another
         own = robust_prune(x, norms, new, near, degree, alpha)
         links[new, :degree], links[new, degree:] = own, n
@@ -138,7 +142,7 @@ def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, seed: int =
                 own = robust_prune(x, norms, to[part], wide, degree, alpha)
                 links[to[part], :degree], links[to[part], degree:] = own, n
                 count[to[part]] = (own < n).sum(1)
-    return links[:n], start
+    return links[:n], starts
 
 
 def _classes(rows: DataFrame, ids: int) -> DataFrame:
@@ -168,10 +172,10 @@ def build_index(vectors: DataFrame, k: int = 10, degree: int = 32, beam: int = 6
         for dim in np.unique(dims):
             own = frame[dims == dim]
             v = np.stack(own["v"].tolist()).astype(np.float64)
-            links, start = build_graph(_searchable(v)[0], degree, beam, alpha)
+            links, starts = build_graph(_searchable(v)[0], degree, beam, alpha)
             ids = [np.asarray(i, np.int64) for i in own["ids"]]
             ends = np.cumsum([len(i) for i in ids]).astype(np.int64)
-            out.append((int(frame["shard"].iloc[0]), int(dim), len(v), links.shape[1], start, v.tobytes(), links.astype(np.int32).tobytes(), ends.tobytes(), np.concatenate(ids).tobytes()))
+            out.append((int(frame["shard"].iloc[0]), int(dim), len(v), links.shape[1], starts.astype(np.int64).tobytes(), v.tobytes(), links.astype(np.int32).tobytes(), ends.tobytes(), np.concatenate(ids).tobytes()))
         return pd.DataFrame(out, columns=[c.split(" ")[0] for c in INDEX.split(", ")])
 
     return stored(classes.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(build, INDEX), rows_per_file=8)
@@ -202,7 +206,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int =
                 ends, ids = np.frombuffer(r.ends, np.int64), np.frombuffer(r.ids, np.int64)
                 q = np.stack([np.asarray(y["v"], np.float64) for y in r.queries])
                 small, asked = _searchable(x, q)
-                place, _ = beam_search(small, (small * small).sum(1), links, r.start, asked, max(beam, k + 1))
+                place, _ = beam_search(small, (small * small).sum(1), links, np.frombuffer(r.starts, np.int64), asked, max(beam, k + 1))
                 answers = [_answers(x, ends, ids, y["id"], own, v, k) for y, own, v in zip(r.queries, place, q, strict=True)]
                 sizes = [len(a[0]) for a in answers]
                 yield pd.DataFrame({"query_id": np.repeat([y["id"] for y in r.queries], sizes), "h": np.repeat([y["h"] for y in r.queries], sizes), "vec_id": np.concatenate([a[0] for a in answers]), "score": np.concatenate([a[1] for a in answers])})
