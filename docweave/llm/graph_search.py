@@ -178,7 +178,8 @@ def build_index(vectors: DataFrame, k: int = 10, degree: int = 32, beam: int = 6
             out.append((int(frame["shard"].iloc[0]), int(dim), len(v), links.shape[1], starts.astype(np.int64).tobytes(), v.tobytes(), links.astype(np.int32).tobytes(), ends.tobytes(), np.concatenate(ids).tobytes()))
         return pd.DataFrame(out, columns=[c.split(" ")[0] for c in INDEX.split(", ")])
 
-    return stored(classes.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(build, INDEX), rows_per_file=8)
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not fewer: a shard is little to read and much to do
+    return stored(classes.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("int")).repartition(tasks, "shard").groupBy("shard").applyInPandas(build, INDEX), rows_per_file=8)
 
 
 def _searchable(v: np.ndarray, *more: np.ndarray) -> list[np.ndarray]:
