@@ -117,7 +117,6 @@ def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, seed: int =
         new = order[at : at + min(BATCH, at)]
         at += len(new)
         near, _ = beam_search(x, norms, links, starts[: at - len(new)], x[new], beam)
-        near = np.concatenate([near, np.broadcast_to(new, (len(new), len(new)))], 1) if len(new) <= 32 else near  # the first batches know one another
         own = robust_prune(x, norms, new, near, degree, alpha)
         links[new, :degree], links[new, degree:] = own, n
         count[new] = (own < n).sum(1)
@@ -142,7 +141,30 @@ def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, seed: int =
                 own = robust_prune(x, norms, to[part], wide, degree, alpha)
                 links[to[part], :degree], links[to[part], degree:] = own, n
                 count[to[part]] = (own < n).sum(1)
-    return links[:n], starts
+    return _reachable(x, norms, links, starts, beam)[:n], starts
+
+
+def _reachable(x: np.ndarray, norms: np.ndarray, links: np.ndarray, starts: np.ndarray, beam: int) -> np.ndarray:
+    """links with one more, from the nearest vector that a search finds, to each vector that pruning has cut off."""
+    n = len(x)
+    while True:
+        seen = np.zeros(n + 1, bool)
+        seen[n] = True
+        front = starts
+        while len(front):
+            seen[front] = True
+            front = np.unique(links[front])
+            front = front[~seen[front]]
+        lost = np.flatnonzero(~seen)[:BATCH]
+        if not len(lost):
+            return links
+        near, _ = beam_search(x, norms, links, starts, x[lost], beam)
+        for place, by in zip(lost, near[:, 0], strict=True):
+            free = np.flatnonzero(links[by] == n)
+            if not len(free):
+                links = np.pad(links, ((0, 0), (0, 1)), constant_values=n)
+                free = [links.shape[1] - 1]
+            links[by, free[0]] = place
 
 
 def _classes(rows: DataFrame, ids: int) -> DataFrame:

@@ -17,10 +17,10 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import in_slices
+from .shared import in_slices, stored
 
 #: Eight equal places side by side, as one number.
 _ALL = np.uint64(0x0101010101010101)
@@ -150,7 +150,7 @@ def periodic_runs(docs: DataFrame, least: int = 24, exponent: int = 3, unit: int
             yield _frame(batch, words, runs, ["doc_id"])
 
     out = in_slices(rows.filter(~long), whole, f"doc_id long, {OUT}")
-    longer = rows.filter(long).select("doc_id", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"))
+    longer = stored(rows.filter(long).select("doc_id", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2")))
     once = longer.dropDuplicates(["h1", "h2"])
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = in_slices(once, ranges, "h1 long, h2 long, first int, last int, ids binary").repartition(n, "h1", "first")
@@ -163,14 +163,19 @@ def planted(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with the words of those whose h = crc32(doc_id as text) ends in 0 made periodic: with
     g = h // 10, from word a = g % n on they repeat the p words there, p = 1 + (n - a) // (3 + g % 8)."""
     h = F.crc32(F.col("doc_id").cast("string"))
-    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)).alias("w"))
-    rows = rows.withColumn("n", F.size("w"))
-    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.pmod("g", "n")).cast("int"))
-    p = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
-    rows = rows.withColumn("p", p)
-    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int"))), 1, F.col("n") - F.col("a"))
-    made = F.array_join(F.concat(F.slice("w", 1, F.col("a")), tail), " ")
-    return rows.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int"))), 1, n - a)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, 1, a), tail), " "))
+
+    # A lambda's variable is its words once; as a column Catalyst would put their pattern in place of each use.
+    words = F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0))
+    made = F.when((h % 10 == 0) & F.col("text").isNotNull(), F.transform(words, repeated)[0])
+    return docs.select("doc_id", F.coalesce(made, "text").alias("text"))
 
 
 def run_digest(found: DataFrame) -> DataFrame:
