@@ -45,7 +45,7 @@ def beam_search(x: np.ndarray, norms: np.ndarray, links: np.ndarray, starts: np.
     seen = np.zeros((b, n + 1), bool)
     seen[:, n] = True  # where a list is shorter its links are n
     place = np.full((b, beam), n)
-    dist = np.full((b, beam), np.inf, np.float32)
+    dist = np.full((b, beam), np.inf, x.dtype)
     done = np.ones((b, beam), bool)
     starts = starts[:beam]
     from_all = np.broadcast_to(starts, (b, len(starts)))
@@ -64,7 +64,7 @@ def beam_search(x: np.ndarray, norms: np.ndarray, links: np.ndarray, starts: np.
         width = max(1, int(new.sum(1).max()))
         to = np.sort(to, 1)[:, :width]  # n is the largest: new ones stand in front
         seen[row, to] = True
-        far = np.where(to < n, _distances(x, norms, np.minimum(to, n - 1), q[live], q_norms[live]), np.inf).astype(np.float32)
+        far = np.where(to < n, _distances(x, norms, np.minimum(to, n - 1), q[live], q_norms[live]), np.inf).astype(x.dtype)
         every, far = np.concatenate([place[live], to], 1), np.concatenate([dist[live], far], 1)
         order = np.argsort(far, 1, kind="stable")[:, :beam]
         place[live], dist[live] = np.take_along_axis(every, order, 1), np.take_along_axis(far, order, 1)
@@ -205,10 +205,12 @@ def build_index(vectors: DataFrame, k: int = 10, degree: int = 32, beam: int = 6
 
 
 def _searchable(v: np.ndarray, *more: np.ndarray) -> list[np.ndarray]:
-    """Vectors for the search alone: moved and scaled as one so that single precision tells them apart well."""
-    mean = v.mean(0)
-    scale = max(np.abs(v - mean).max(), 1e-300)
-    return [((a - mean) / scale).astype(np.float32) for a in (v, *more)]
+    """Vectors for the search alone: moved and scaled as one, in single precision unless some are so far off that it
+    would not tell the others apart."""
+    every = [a - v.mean(0) for a in (v, *more)]
+    sizes = [max(np.abs(a).max(), 1e-300) for a in every]
+    kind = np.float64 if max(sizes) > 1000 * sizes[0] else np.float32
+    return [(a / max(sizes)).astype(kind) for a in every]
 
 
 def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = 192) -> DataFrame:
