@@ -26,10 +26,26 @@ def xml_escape(s: Column) -> Column:
     return s
 
 
+#: The entities that XML itself defines.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
+
 def xml_unescape(s: Column) -> Column:
-    for entity, raw in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(entity), F.lit(raw))
-    return s
+    """Entities and numeric references as their characters; a reference to no character stays."""
+    plain = s
+    for entity, raw in ENTITIES:
+        plain = F.replace(plain, F.lit(entity), F.lit(raw))
+    named = F.create_map(*(F.lit(x) for pair in ENTITIES for x in pair))
+    # Each reference by itself, so that what one gives is never read as another.
+    pieces = F.regexp_extract_all(s, F.lit(r"(?s)(&(?:[a-z]+|#[0-9]{1,7}|#x[0-9A-Fa-f]{1,6});|[^&]+|&)"), 1)
+
+    def piece(x: Column) -> Column:
+        number = F.regexp_extract(x, "^&#x?([0-9A-Fa-f]+);$", 1)
+        code = F.when(number != "", F.when(x.startswith("&#x"), F.conv(number, 16, 10)).otherwise(number).cast("long"))
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.coalesce(named[x], x))
+
+    return F.when(s.contains("&#"), F.array_join(F.transform(pieces, piece), "")).otherwise(plain)
 
 
 #: What a media type holds, in this order, and the extension it gets.

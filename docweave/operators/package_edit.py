@@ -10,16 +10,19 @@ they stand in their row. Row and column counts and cell addresses follow an edit
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions.text import replace_keys, xml_escape
-from docweave.operators.edit import free_name
 from docweave.sources.markup import assembled, attribute, put_back, tokens, with_attribute
-from docweave.sources.views import MEDIA
+from docweave.sources.views import MEDIA, field_spans, manifest
 
 #: Sizes of an inserted picture (about 100 mm) and of an inserted table.
 PICTURE, TABLE_WIDTH, ROW_HEIGHT = 28350, 40000, 5000
+#: Fixed value: ids are below this.
+MOST_ID = 1 << 32
 
 
 def _doc():
@@ -42,19 +45,28 @@ def first_sections(members: DataFrame) -> DataFrame:
     return first.select("doc", F.lit(0).alias("section"), F.col("p.entry").alias("entry"), F.decode("p.bytes", "UTF-8").alias("xml"))
 
 
+def _numbered(parts: DataFrame) -> DataFrame:
+    """parts with free_id: the first of the widest range of 32-bit ids that no tag of the part uses. New elements of an edit
+    count on from it, so no two share an id, nor do those of edits made one after the other."""
+    used = F.transform(F.regexp_extract_all("xml", F.lit(r'\sid="(\d{1,10})"'), 1), lambda x: x.cast("long"))
+    parts = parts.withColumn("_ids", F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0).cast("long"), F.lit(MOST_ID)), F.filter(used, lambda x: x < MOST_ID)))))
+    room = F.zip_with(F.slice("_ids", 2, F.size("_ids") - 1), F.slice("_ids", 1, F.size("_ids") - 1), lambda b, a: F.struct((b - a).alias("ids"), (-a).alias("after")))
+    return parts.withColumn("free_id", 1 - F.array_max(room)["after"]).drop("_ids")
+
+
 def _edits(t: DataFrame) -> DataFrame:
     """Edits of token rows that carry code and n."""
     codes = t.groupBy("doc", "entry").agg(F.max("code").alias("code"), F.max("n").cast("long").alias("n"))
     return codes.join(assembled(t), ["doc", "entry"]).withColumn("xml", F.when(F.col("code") == "ok", F.col("xml")))
 
 
-def _id(*what) -> Column:
-    """An id below 4,000,000,000 that the same edit of the same place gives again."""
-    return F.pmod(F.xxhash64("doc", "entry", *what), F.lit(4_000_000_000)).cast("string")
+def _id(nth: Column | int = 0) -> Column:
+    """The id of an edit's nth new element."""
+    return (F.col("free_id") + nth).cast("string")
 
 
-def _with_ids(tok: Column, *what) -> Column:
-    return F.when(tok.rlike(r'\sid="\d+"'), with_attribute(tok, "id", _id(*what))).otherwise(tok)
+def _with_ids(tok: Column, nth: Column) -> Column:
+    return F.when(tok.rlike(r'\sid="\d+"'), with_attribute(tok, "id", _id(nth))).otherwise(tok)
 
 
 def _if_said(tok: Column, name: str, value: Column) -> Column:
@@ -87,15 +99,17 @@ def _filled(t: DataFrame, where: Column, value: Column) -> DataFrame:
 
 # Paragraphs
 
-def _before_end(members: DataFrame, body: Column) -> DataFrame:
+def _before_end(members: DataFrame, body: Column, more: DataFrame | None = None) -> DataFrame:
     """Edits that put `body` before the section's end; it may use p_open and char_pr, the last
-    top-level paragraph's start tag with a fresh id and its first run's style."""
-    t = tokens(first_sections(members))
+    top-level paragraph's start tag with a fresh id and its first run's style, _id() from 1 on, and the columns of more (doc, ...)."""
+    t = tokens(_numbered(first_sections(members)))
+    if more is not None:
+        t = t.join(more, "doc")
     start = F.when((F.col("name") == "hp:p") & (F.col("in_p") == 1) & (F.col("kind") == "open"), F.struct("at", "tok"))
     run = F.when((F.col("name") == "hp:run") & F.col("kind").isin("open", "empty"), F.struct("paragraph", -F.col("at"), attribute(F.col("tok"), "charPrIDRef").alias("ref")))
     end = (F.col("name") == "hs:sec") & (F.col("kind") == "close")
     t = t.withColumns({"p_open": F.max(start).over(_doc())["tok"], "char_pr": F.coalesce(F.max(run).over(_doc())["ref"], F.lit("0")), "_ends": F.max(end).over(_doc())})
-    t = t.withColumn("p_open", _if_said(F.col("p_open"), "id", _id(F.lit("paragraph"))))
+    t = t.withColumn("p_open", _if_said(F.col("p_open"), "id", _id()))
     t = t.withColumns({"code": F.when(F.col("p_open").isNotNull() & F.col("_ends"), "ok").otherwise("target_missing"), "n": F.lit(1)})
     return _edits(t.withColumn("tok", F.when(end, F.concat(body, "tok")).otherwise(F.col("tok"))))
 
@@ -138,7 +152,7 @@ def set_paragraph_text(members: DataFrame, index: int, text: str) -> DataFrame:
 
 def _table(members: DataFrame, table: int) -> DataFrame:
     """Tokens of first sections with n_rows of the table, null without it, and n_cells of a token's row."""
-    t = tokens(first_sections(members))
+    t = tokens(_numbered(first_sections(members)))
     own = F.col("table") == table
     return t.withColumns({
         "own": F.coalesce(own, F.lit(False)), "n_rows": F.max(F.when(own, F.coalesce(F.col("row") + 1, F.lit(0)))).over(_doc()),
@@ -163,7 +177,7 @@ def append_row(members: DataFrame, table: int, texts: list[str]) -> DataFrame:
     nth = F.sum(((F.col("name") == "hp:t") & (F.col("kind") != "close")).cast("int")).over(_line().rowsBetween(Window.unboundedPreceding, 0)) - 1
     values = F.array(*map(F.lit, texts)) if texts else F.array().cast("array<string>")
     copy = _filled(last.withColumn("nth", nth), F.lit(True), F.coalesce(F.get(values, F.col("nth")), F.lit(""))).drop("nth")
-    tok = _with_ids(F.col("tok"), F.lit("row"), F.col("at"))
+    tok = _with_ids(F.col("tok"), F.row_number().over(_line()) - 1)
     tok = F.when((F.col("name") == "hp:cellAddr") & (F.col("in_tbl") == 1), _if_said(tok, "rowAddr", F.col("n_rows"))).otherwise(tok)
     copy = copy.withColumns({"tok": tok, "sub": F.row_number().over(_line()), "at": F.max("at").over(_doc())})
     return _edits(_renumbered(t, table, rows=F.col("n_rows") + 1).unionByName(copy))
@@ -177,7 +191,7 @@ def append_column(members: DataFrame, table: int, texts: list[str]) -> DataFrame
     last = t.filter(F.col("own") & (F.col("cell") == F.col("n_cells") - 1) & (F.col("in_lines") == 0))
     values = F.array(*map(F.lit, texts)) if texts else F.array().cast("array<string>")
     copy = _filled(last, F.lit(True), F.coalesce(F.get(values, F.col("row")), F.lit("")))
-    tok = _with_ids(F.col("tok"), F.lit("column"), F.col("at"))
+    tok = _with_ids(F.col("tok"), F.row_number().over(_line()) - 1)
     col = attribute(F.col("tok"), "colAddr").cast("int") + 1
     tok = F.when((F.col("name") == "hp:cellAddr") & (F.col("in_tbl") == 1), _if_said(tok, "colAddr", col)).otherwise(tok)
     row = Window.partitionBy("doc", "entry", "row")
@@ -244,18 +258,18 @@ def merge_vertical(members: DataFrame, table: int, col: int, start: int, count:
 def insert_table(members: DataFrame, headers: list[str], rows: list[list[str]]) -> DataFrame:
     """A paragraph with a table of the headers and rows at the section's end; n is its rows. Rows may differ in length."""
     every = F.array(*(F.array(*map(F.lit, r)) if r else F.array().cast("array<string>") for r in [headers, *rows]))
-    n, cols = len(rows) + 1, len(headers)
+    n, cols, widest = len(rows) + 1, len(headers), max(map(len, [headers, *rows]))
 
     def cell(text: Column, i: Column, j: Column) -> Column:
         return F.concat(
-            F.lit('<hp:tc><hp:subList id="'), _id(F.lit("list"), i, j), F.lit('" textDirection="HORIZONTAL" lineWrap="BREAK" vertAlign="TOP"><hp:p id="'), _id(F.lit("cell"), i, j),
+            F.lit('<hp:tc><hp:subList id="'), _id((i * widest + j) * 2 + 2), F.lit('" textDirection="HORIZONTAL" lineWrap="BREAK" vertAlign="TOP"><hp:p id="'), _id((i * widest + j) * 2 + 3),
             F.lit('" paraPrIDRef="0" styleIDRef="0" pageBreak="0" columnBreak="0" merged="0">'), _run(F.concat(F.lit("<hp:t>"), xml_escape(text), F.lit("</hp:t>"))),
             F.lit('</hp:p></hp:subList><hp:cellAddr colAddr="'), j.cast("string"), F.lit('" rowAddr="'), i.cast("string"), F.lit('"/><hp:cellSpan colSpan="1" rowSpan="1"/></hp:tc>'))
 
     line = lambda r, i: F.concat(F.lit("<hp:tr>"), F.array_join(F.transform(r, lambda x, j: cell(x, i, j)), ""), F.lit("</hp:tr>"))
     head = (f'" zOrder="0" numberingType="TABLE" textWrap="TOP_AND_BOTTOM" textFlow="BOTH_SIDES" pageBreak="CELL" repeatHeader="1" rowCnt="{n}" colCnt="{cols}" cellSpacing="0" borderFillIDRef="2" noAdjust="0">'
             f'<hp:sz width="{TABLE_WIDTH}" widthRelTo="ABSOLUTE" height="{ROW_HEIGHT * n}" heightRelTo="ABSOLUTE" protect="0"/>')
-    body = F.concat(F.lit('<hp:tbl id="'), _id(F.lit("table")), F.lit(head), F.array_join(F.transform(every, line), ""), F.lit("</hp:tbl>"))
+    body = F.concat(F.lit('<hp:tbl id="'), _id(1), F.lit(head), F.array_join(F.transform(every, line), ""), F.lit("</hp:tbl>"))
     return _before_end(members, F.concat("p_open", _run(body), F.lit("</hp:p>"))).withColumn("n", F.lit(n).cast("long"))
 
 
@@ -287,17 +301,20 @@ def fill_report(edits: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 
 def set_field(members: DataFrame, name: str, value: str) -> DataFrame:
-    """Text nodes between the start of the first field of that name and the next field end get the
-    value; n is how many. Without field, end or text node target_missing."""
+    """The first field of that name gets the value: its first text node holds it, its others are emptied, but fields
+    within it stay as they are. n is how many nodes that were. Without field, own end or text node of its own target_missing."""
     t = tokens(first_sections(members))
-    begin = F.col("name").isin("hp:fldBegin", "hp:fieldBegin") & (F.col("kind") != "close") & (attribute(F.col("tok"), "name") == F.lit(name.replace("&", "&amp;").replace("<", "&lt;")))
-    t = t.withColumn("_from", F.min(F.when(begin, F.col("at"))).over(_doc()))
-    end = F.col("name").isin("hp:fldEnd", "hp:fieldEnd") & (F.col("at") > F.col("_from"))
-    t = t.withColumn("_to", F.min(F.when(end, F.col("at"))).over(_doc()))
-    inside = F.coalesce(F.col("at").between(F.col("_from") + 1, F.col("_to") - 1), F.lit(False))
-    n = F.sum((inside & (F.col("name") == "hp:t") & (F.col("kind") != "close")).cast("int")).over(_doc())
-    t = t.withColumns({"n": n, "code": F.when(F.col("_to").isNotNull() & (n > 0), "ok").otherwise("target_missing")})
-    return _edits(_filled(t, inside, F.lit(value)))
+    spans = field_spans(t).select("doc", "entry", "ord", "name", F.col("start.at").alias("start"), F.col("stop.at").alias("stop"))
+    found = spans.filter(F.col("name") == name).groupBy("doc", "entry").agg(F.min_by(F.struct("start", "stop"), "ord").alias("f")).select("doc", "entry", "f.start", "f.stop")
+    inner = spans.alias("s").join(found.alias("o"), ["doc", "entry"]).filter((F.col("s.start") > F.col("o.start")) & (F.col("s.stop") < F.col("o.stop"))).groupBy("doc", "entry").agg(F.collect_list(F.struct(F.col("s.start").alias("a"), F.col("s.stop").alias("b"))).alias("inner"))
+    t = t.join(found.join(inner, ["doc", "entry"], "left"), ["doc", "entry"], "left")
+    between = (F.col("at") > F.col("start")) & (F.col("at") < F.col("stop"))
+    held = F.coalesce(F.exists("inner", lambda f: (F.col("at") >= f["a"]) & (F.col("at") <= f["b"])), F.lit(False))
+    t = t.withColumn("hit", F.coalesce(between & ~held, F.lit(False)))
+    t = t.withColumn("nth", F.sum((F.col("hit") & (F.col("name") == "hp:t") & (F.col("kind") != "close")).cast("int")).over(_line().rowsBetween(Window.unboundedPreceding, 0)))
+    n = F.max("nth").over(_doc())
+    t = t.withColumns({"n": n, "code": F.when(F.col("stop").isNotNull() & (n > 0), "ok").otherwise("target_missing")})
+    return _edits(_filled(t, F.col("hit"), F.when(F.col("nth") == 1, value).otherwise("")))
 
 
 # Styles
@@ -330,6 +347,9 @@ def apply_text_style(members: DataFrame, target: str, color: str | None = None,
     """The first run whose text holds `target` gets a new character style: a copy of the first one with
     what is given changed. Size changes only where the style has one; underline is accepted and not applied."""
 
+    if color and not re.fullmatch("#?[0-9A-Fa-f]{6}", color):
+        raise ValueError(f"bad_color: {color}")
+
     def change(style: Column) -> Column:
         if color:
             tag = f'<hc:color val="#{color.lstrip("#")}"/>'
@@ -350,6 +370,9 @@ def apply_paragraph_style(members: DataFrame, index: int, align: str | None = No
     """The paragraph gets a new paragraph style: a copy of the first one with alignment (its element, else
     an attribute) and indent changed. Line spacing is accepted and not applied."""
 
+    if align and not re.fullmatch("[A-Za-z_]+", align):
+        raise ValueError(f"bad_align: {align}")
+
     def change(style: Column) -> Column:
         if align:
             tag = f'<hh:align horizontal="{align}" vertical="BASELINE"/>'
@@ -364,22 +387,34 @@ def apply_paragraph_style(members: DataFrame, index: int, align: str | None = No
 
 # Images
 
+def free_item(members: DataFrame, ext: str) -> DataFrame:
+    """(doc, item, new_entry): the first imageN that no member of BinData, of any suffix and spelt imageN or imgN, and no
+    item of the manifest has, and the member's name with it."""
+    number = r"(?i)^(?:image|img)(\d{1,9})$"
+    names = members.filter(F.col("entry").startswith("BinData/")).select("doc", F.regexp_extract("entry", r"([^/]*?)(?:\.[^./]*)?$", 1).alias("name"))
+    names = names.unionByName(manifest(members).select("doc", F.col("item").alias("name"))).select("doc", F.regexp_extract("name", number, 1).alias("n"))
+    used = members.select("doc").distinct().join(names.filter("n <> ''").groupBy("doc").agg(F.collect_set(F.col("n").cast("int")).alias("used")), "doc", "left").withColumn("used", F.coalesce("used", F.array().cast("array<int>")))
+    free = F.array_min(F.array_except(F.sequence(F.lit(1), F.size("used") + 1), F.col("used")))
+    return used.select("doc", F.format_string("image%d", free).alias("item"), F.format_string(f"BinData/image%d.{ext}", free).alias("new_entry"))
+
+
+#: What the format wants of a picture beside its item and ids, before and after the item.
+PIC_HEAD = (f'" zOrder="0" numberingType="PICTURE" textWrap="TOP_AND_BOTTOM" textFlow="BOTH_SIDES" lock="0" href="" groupLevel="0" reverse="0"><hp:offset x="0" y="0"/><hp:orgSz width="{PICTURE}" height="{PICTURE}"/><hp:curSz width="{PICTURE}" height="{PICTURE}"/>'
+            f'<hp:imgRect><hc:pt0 x="0" y="0"/><hc:pt1 x="{PICTURE}" y="0"/><hc:pt2 x="{PICTURE}" y="{PICTURE}"/><hc:pt3 x="0" y="{PICTURE}"/></hp:imgRect><hp:imgClip left="0" right="{PICTURE}" top="0" bottom="{PICTURE}"/><hc:img binaryItemIDRef="')
+PIC_TAIL = (f'" bright="0" contrast="0" effect="REAL_PIC" alpha="0"/><hp:sz width="{PICTURE}" widthRelTo="ABSOLUTE" height="{PICTURE}" heightRelTo="ABSOLUTE" protect="0"/>'
+            '<hp:pos treatAsChar="1" affectLSpacing="0" flowWithText="1" allowOverlap="0" holdAnchorAndSO="0" vertRelTo="PARA" horzRelTo="COLUMN" vertAlign="TOP" horzAlign="LEFT" vertOffset="0" horzOffset="0"/></hp:pic>')
+
+
 def insert_image(members: DataFrame, content: Column, ext: str = "png") -> DataFrame:
-    """members with a new picture in every document that has a section: `content` under the first free name,
+    """members with a new picture in every document that has a section: `content` under the first free name (free_item),
     in the manifest if there is one, and a paragraph with the picture at the section's end. Only png, jpg,
     bmp and gif."""
     if ext not in ("png", "jpg", "bmp", "gif"):
         raise ValueError(f"bad_image_ext: {ext}")
-    names = free_name(members, ext)
-    size, w = PICTURE, f'width="{PICTURE}"'
-    item = F.regexp_extract("new_entry", r"([^/.]*)\.[^.]*$", 1)
-    pic = F.concat(
-        F.lit('<hp:pic id="'), _id(F.lit("picture")), F.lit('" zOrder="0" numberingType="PICTURE" textWrap="TOP_AND_BOTTOM" textFlow="BOTH_SIDES" lock="0" href="" groupLevel="0" reverse="0">'
-        f'<hp:orgSz {w} height="{size}"/><hp:curSz {w} height="{size}"/><hp:imgClip left="0" right="{size}" top="0" bottom="{size}"/><hc:img binaryItemIDRef="'), F.lit("{item}"),
-        F.lit(f'" bright="0" contrast="0" effect="REAL_PIC" alpha="0"/><hp:sz {w} widthRelTo="ABSOLUTE" height="{size}" heightRelTo="ABSOLUTE" protect="0"/></hp:pic>'))
-    edits = _before_end(members, F.concat("p_open", _run(pic), F.lit("</hp:p>"))).join(names.withColumnRenamed("entry", "new_entry"), "doc")
-    edits = edits.withColumn("xml", F.replace("xml", F.lit("{item}"), item))
-    put = edits.filter("code = 'ok'").select("doc", "new_entry", item.alias("item"))
+    names = free_item(members, ext)
+    pic = F.concat(F.lit('<hp:pic id="'), _id(1), F.lit(PIC_HEAD), "item", F.lit(PIC_TAIL))
+    edits = _before_end(members, F.concat("p_open", _run(pic), F.lit("</hp:p>")), names)
+    put = edits.filter("code = 'ok'").join(names, "doc").select("doc", "new_entry", "item")
     tag = F.concat(F.lit('<opf:item id="'), "item", F.lit('" href="'), "new_entry", F.lit(f'" media-type="{MEDIA[ext]}" isEmbeded="1"/></opf:manifest>'))
     hpf = members.filter("entry = 'Contents/content.hpf'").join(put, "doc").select("doc", "entry", F.replace(F.decode("bytes", "UTF-8"), F.lit("</opf:manifest>"), tag).alias("xml"))
     last = members.groupBy("doc").agg((F.max("seq") + 1).alias("seq"))

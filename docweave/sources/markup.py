@@ -34,7 +34,7 @@ def with_attribute(tag: Column, name: str, value: Column) -> Column:
 
 def tokens(parts: DataFrame) -> DataFrame:
     """Rows (doc, entry, section, at, sub, tok, name, kind, ...) of parts (doc, entry,
-    section, xml), `at` counting from 0 and sub 0. kind: open, close, empty, text or other.
+    section, xml), `at` counting from 0 and sub 0; further columns of parts stay. kind: open, close, empty, text or other.
 
     in_p, in_tbl, in_t, in_note, in_lines: how many such elements are open, a tag's own
     included. paragraph: the outermost paragraph's index; control: its last control's index so
@@ -42,7 +42,7 @@ def tokens(parts: DataFrame) -> DataFrame:
     cells in it. All are null outside of such an element. flat: index of the span from a
     paragraph's start to the next paragraph end, nested ones too; flat_opens: paragraphs that
     start in it, more than one where it holds others."""
-    t = parts.select("doc", "entry", "section", F.posexplode(F.regexp_extract_all("xml", F.lit(TOKEN), 1)).alias("at", "tok"))
+    t = parts.select(*(c for c in parts.columns if c != "xml"), F.posexplode(F.regexp_extract_all("xml", F.lit(TOKEN), 1)).alias("at", "tok"))
     tag = F.col("tok").rlike(r"^<[^!?]")
     t = t.withColumn("sub", F.lit(0)).withColumn("name", F.when(tag, F.regexp_extract("tok", r"^</?([^\s/>]+)", 1)).otherwise(""))
     t = t.withColumn("kind", F.when(~F.col("tok").startswith("<"), "text").when(~tag, "other").when(F.col("tok").startswith("</"), "close").when(F.col("tok").endswith("/>"), "empty").otherwise("open"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import re
+import urllib.parse
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.operators.report import markdown, numbered
@@ -32,23 +35,46 @@ def markdown_files(docs: DataFrame, flow: DataFrame, footnotes: DataFrame, membe
     return md.unionByName(image_files(flow.filter("kind = 'image'"), members, name="img_%03d.%s"))
 
 
-def write_files(files: DataFrame, folder: str | None = None) -> None:
-    """Writes rows (path, content). folder: where files go by the last part of their path's folder
-    and their name; else at their own paths. A file appears whole or not at all, so a task may run
-    again. Paths are local ones or URIs of stores that pyarrow reads; of equal paths the last by content counts."""
+def common_folder(paths: DataFrame, column: str) -> str:
+    """The folder that all paths of the column are below, from the smallest and the largest of them; ends in a slash."""
+    low, high = paths.agg(F.min(column), F.max(column)).first()
+    same = os.path.commonprefix([low or "", high or ""])
+    return same[: same.rfind("/") + 1]
+
+
+def opened(uri: str):
+    """(pyarrow file system, path in it) of a path or URI whose path is written as it is, spaces and all letters included."""
+    from pyarrow import fs
+
+    scheme, _, rest = uri.partition(":")
+    if uri.startswith("/") or not re.fullmatch("[A-Za-z][A-Za-z0-9+.-]*", scheme):
+        return fs.LocalFileSystem(), uri
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    authority, _, path = rest.removeprefix("//").partition("/")
+    return fs.FileSystem.from_uri(f"{scheme}://{authority}/{urllib.parse.quote(path)}")
+
+
+def write_files(files: DataFrame, folder: str | None = None, root: str | None = None) -> None:
+    """Writes rows (path, content), with doc or without. folder: where files go, each by its path below `root`, which unless
+    given is the folder that all docs (without doc: all paths) share; else at their own paths. A file appears whole or not at
+    all, so a task may run again. Paths are local ones or URIs of stores that pyarrow reads, unescaped. Equal rows are one
+    file; rows of one path with other contents end the job before anything is written (ValueError)."""
     if folder is not None:
-        files = files.withColumn("path", F.concat(F.lit(folder.rstrip("/") + "/"), F.regexp_extract("path", r"([^/]*/[^/]*)$", 1)))
-    once = files.withColumn("_nth", F.row_number().over(Window.partitionBy("path").orderBy(F.col("content").desc()))).filter("_nth = 1").select("path", "content")
+        top = common_folder(files, "doc" if "doc" in files.columns else "path") if root is None else root.rstrip("/") + "/"
+        below = F.when(F.col("path").startswith(top), F.substring(F.col("path"), F.lit(len(top) + 1), F.char_length("path")))
+        files = files.withColumn("path", F.concat(F.lit(folder.rstrip("/") + "/"), F.coalesce(below, F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:/*|^/+", ""))))
+    clash = files.select("path", F.sha2("content", 256).alias("sha")).groupBy("path").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).filter("a <> b").select("path").limit(1).collect()
+    if clash:
+        raise ValueError(f"path_clash: several contents for {clash[0]['path']}")
 
     def write(rows: Iterator) -> None:
-        from pyarrow import fs
-
         for row in rows:
-            store, path = fs.FileSystem.from_uri(row.path) if ":" in row.path else (fs.LocalFileSystem(), row.path)
+            store, path = opened(row.path)
             store.create_dir(path.rsplit("/", 1)[0], recursive=True)
             part = f"{path}.{uuid.uuid4().hex}.part"
             with store.open_output_stream(part) as out:
                 out.write(row.content)
             store.move(part, path)
 
-    once.foreachPartition(write)
+    files.select("path", "content").foreachPartition(write)

@@ -18,6 +18,8 @@ from docweave.sources.markup import attribute, tokens
 MEDIA = {"png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "bmp": "image/bmp", "svg": "image/svg+xml", "webp": "image/webp", "emf": "image/x-emf", "wmf": "image/x-wmf"}
 #: Which pages a header is for, as numbers.
 PAGES = {"BOTH": 0, "EVEN": 1, "ODD": 2}
+#: Marks of a field's start and end.
+FIELD_STARTS, FIELD_ENDS = ("hp:fldBegin", "hp:fieldBegin"), ("hp:fldEnd", "hp:fieldEnd")
 _KEY = ["doc", "section"]
 _PLACE = [*_KEY, "paragraph", "control"]
 
@@ -29,9 +31,13 @@ def body_tokens(members: DataFrame) -> DataFrame:
 
 
 def _said() -> Column:
-    """What a token adds to its paragraph's text: text in hp:t, line breaks and tabs; else null."""
-    within = F.col("in_t") > 0
-    return F.when(within & (F.col("kind") == "text"), xml_unescape(F.col("tok"))).when(within & (F.col("name") == "hp:lineBreak"), "\n").when(within & (F.col("name") == "hp:tab"), "\t")
+    """What a token adds to its paragraph's text: text and character data in hp:t, line breaks and tabs; else null."""
+    within, tok = F.col("in_t") > 0, F.col("tok")
+    raw = F.substring(tok, F.lit(len("<![CDATA[") + 1), F.char_length(tok) - len("<![CDATA[]]>"))
+    return (
+        F.when(within & (F.col("kind") == "text"), xml_unescape(tok)).when(within & tok.startswith("<![CDATA["), raw)
+        .when(within & (F.col("name") == "hp:lineBreak"), "\n").when(within & (F.col("name") == "hp:tab"), "\t")
+    )
 
 
 def _joined(value: Column, sep: str) -> Column:
@@ -162,16 +168,36 @@ def images(t: DataFrame, members: DataFrame) -> DataFrame:
     return found.select(*_PLACE, "entry", mime.alias("mime"), extension(mime).alias("ext"), "byte_length")
 
 
+def field_spans(t: DataFrame, *more: str) -> DataFrame:
+    """(doc, entry, section, ord, name, type, start, stop, after): the token at each field's start and the one at its own
+    end, as structs of `at` and the columns `more`. Ends close the latest open start, as brackets do: of marks at one
+    depth, each start goes with the end that follows it. A start without end has a null stop, and after, the next mark of
+    any kind, null at the last; an end without start is nobody's."""
+    begin = F.col("name").isin(*FIELD_STARTS) & (F.col("kind") != "close")
+    end = F.col("name").isin(*FIELD_ENDS) & (F.col("kind") != "close")
+    place = F.struct("at", *more)
+    marks = t.filter(begin | end).select("doc", "entry", "section", "at", place.alias("place"), begin.alias("begin"), attribute(F.col("tok"), "name").alias("name"), attribute(F.col("tok"), "type").alias("type"))
+    part = Window.partitionBy("doc", "entry").orderBy("at")
+    line = part.rowsBetween(Window.unboundedPreceding, 0)
+    marks = marks.withColumns({"_level": F.sum(F.when(F.col("begin"), 1).otherwise(-1)).over(line), "ord": F.sum(F.col("begin").cast("int")).over(line), "after": F.lead("place").over(part)})
+    # An end with nothing open takes the level to a new low: from there on that low is depth 0.
+    marks = marks.withColumn("_depth", F.col("_level") - F.least(F.min("_level").over(line), F.lit(0)) + F.when(F.col("begin"), 0).otherwise(1))
+    follow = F.lead(F.struct("place", "begin")).over(Window.partitionBy("doc", "entry", "_depth").orderBy("at"))
+    marks = marks.withColumn("stop", F.when(~follow["begin"], follow["place"]))
+    return marks.filter("begin").select("doc", "entry", "section", F.col("ord").cast("long").alias("ord"), xml_unescape(F.coalesce("name", F.lit("?"))).alias("name"), F.coalesce("type", F.lit("")).alias("type"), F.col("place").alias("start"), "stop", "after")
+
+
 def fields(t: DataFrame) -> DataFrame:
-    """(doc, section, ord, name, type, value): fields in order, the value being the text up to the field's end."""
-    begin, end = F.col("name").isin("hp:fldBegin", "hp:fieldBegin") & (F.col("kind") != "close"), F.col("name").isin("hp:fldEnd", "hp:fieldEnd") & (F.col("kind") != "close")
-    order = Window.partitionBy("doc", "entry").orderBy("at")
-    nth = F.sum(begin.cast("int")).over(order)
-    ends = F.sum(end.cast("int")).over(Window.partitionBy("doc", "entry", "_nth").orderBy("at"))
-    own = t.withColumn("_nth", nth).filter("_nth > 0").withColumn("_ends", ends).filter("_ends = 0")
-    tag = F.when(begin, F.col("tok"))
-    out = own.groupBy(*_KEY, "_nth").agg(F.max(attribute(tag, "name")).alias("name"), F.max(attribute(tag, "type")).alias("type"), _joined(_said(), "").alias("value"))
-    return out.select(*_KEY, F.col("_nth").alias("ord"), xml_unescape(F.coalesce("name", F.lit("?"))).alias("name"), F.coalesce("type", F.lit("")).alias("type"), "value")
+    """(doc, section, ord, name, type, value): fields in order, the value being all text up to the field's own end, that of
+    fields within it included. Without an end it is the text up to the next mark. A part's text is joined once, and each
+    value is cut from it."""
+    before = Window.partitionBy("doc", "entry").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("_text", _said()).withColumn("_off", F.coalesce(F.sum(F.char_length("_text")).over(before), F.lit(0)))
+    spans = field_spans(t, "_off").groupBy("doc", "entry").agg(F.collect_list(F.struct("section", "ord", "name", "type", F.col("start._off").alias("a"), F.coalesce(F.col("stop"), F.col("after"))["_off"].alias("b"))).alias("f"))
+    texts = t.filter("_text is not null").groupBy("doc", "entry").agg(_joined(F.col("_text"), "").alias("text"))
+    out = spans.join(texts, ["doc", "entry"], "left").select("doc", F.inline("f"), F.coalesce("text", F.lit("")).alias("text"))
+    value = F.substring(F.col("text"), F.col("a").cast("int") + 1, F.coalesce(F.col("b") - F.col("a"), F.char_length("text")).cast("int"))
+    return out.select(*_KEY, "ord", "name", "type", value.alias("value"))
 
 
 def pages(t: DataFrame) -> DataFrame:
