@@ -56,8 +56,8 @@ def _numbered(parts: DataFrame) -> DataFrame:
 
 def _edits(t: DataFrame) -> DataFrame:
     """Edits of token rows that carry code and n."""
-    codes = t.groupBy("doc", "entry").agg(F.max("code").alias("code"), F.max("n").cast("long").alias("n"))
-    return codes.join(assembled(t), ["doc", "entry"]).withColumn("xml", F.when(F.col("code") == "ok", F.col("xml")))
+    whole = assembled(t, code=F.max("code"), n=F.max("n").cast("long"))
+    return whole.select("doc", "entry", "code", "n", F.when(F.col("code") == "ok", F.col("xml")).alias("xml"))
 
 
 def _id(nth: Column | int = 0) -> Column:

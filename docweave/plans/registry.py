@@ -12,6 +12,7 @@ from docweave.operators import package_edit as P
 from docweave.operators import report as R
 from docweave.operators import tables as B
 from docweave.sources import package, views
+from docweave.sources.storage import stored
 
 from . import carriers as C
 
@@ -306,46 +307,54 @@ _L = f"WITH {C.LINES} "
 _BLANK = C.TRIM.format("text") + " = ''"
 
 
-def _dump(members: DataFrame) -> DataFrame:
-    t = views.body_tokens(members)
-    return R.full_text(members.select("doc"), views.paragraphs(t), views.headers_footers(t), views.footnotes(t), views.equations(t))
+def _tokens(members: DataFrame) -> DataFrame:
+    """Body tokens, cut once for all views."""
+    return stored(views.body_tokens(members))
+
+
+def _docs(spark, sf_dir) -> DataFrame:
+    return C.members(spark, sf_dir).select("doc").distinct()
+
+
+def _dump(docs: DataFrame, t: DataFrame) -> DataFrame:
+    return R.full_text(docs, views.paragraphs(t), views.headers_footers(t), views.footnotes(t), views.equations(t))
 
 
 @query(f"SELECT doc_id AS doc, CASE WHEN {_BLANK} THEN '{R.NO_TEXT}' ELSE text END AS text FROM documents")
 def package_text(spark, sf_dir):
     zipped = package.packages(C.members(spark, sf_dir)).withColumnRenamed("doc", "path")
-    members = package.entries(zipped)
-    return R.text(members.select("doc"), _dump(members)).select(C.doc_id(), "text")
+    docs = _docs(spark, sf_dir)
+    return R.text(docs, _dump(docs, _tokens(package.entries(zipped)))).select(C.doc_id(), "text")
 
 
 @query(_L + f"""SELECT doc, coalesce(string_agg({C.TRIM.format("line")}, chr(10) || chr(10) ORDER BY paragraph) FILTER ({C.TRIM.format("line")} <> ''), '{R.NO_MARKDOWN}') AS markdown FROM l GROUP BY doc""")
 def package_markdown(spark, sf_dir):
     members = C.members(spark, sf_dir)
-    t = views.body_tokens(members)
-    return R.markdown(members.select("doc"), views.flow(t, members), views.footnotes(t)).select(C.doc_id(), "markdown")
+    t = _tokens(members)
+    return R.markdown(_docs(spark, sf_dir), views.flow(t, members), views.footnotes(t)).select(C.doc_id(), "markdown")
 
 
 @query(_FILL.replace(C.PARAGRAPHS, C.LINES + ", p AS (SELECT doc, paragraph, replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS text FROM l)") + """SELECT doc,
 replace(replace(replace(string_agg(text, chr(10) ORDER BY paragraph), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text, CAST(count(*) FILTER (h0) + count(*) FILTER (h1) + count(*) FILTER (h2) AS BIGINT) AS n FROM f3 GROUP BY doc""")
 def package_fill(spark, sf_dir):
     members = C.members(spark, sf_dir)
-    edits = P.fill(members, PAIRS)
+    edits = stored(P.fill(members, PAIRS))
     counts = edits.groupBy("doc").agg(F.sum("n").alias("n"))
-    return _dump(P.applied(members, edits)).join(counts, "doc").select(C.doc_id(), "text", "n")
+    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(counts, "doc").select(C.doc_id(), "text", "n")
 
 
 @query(_L + """SELECT doc, string_agg(CASE WHEN paragraph = 1 THEN 'set $& text' ELSE line END, chr(10) ORDER BY paragraph) AS text, CASE WHEN count(*) > 1 THEN 'ok' ELSE 'index_range' END AS code FROM l GROUP BY doc""")
 def package_set_paragraph(spark, sf_dir):
     members = C.members(spark, sf_dir)
-    edits = P.set_paragraph_text(members, 1, "set $& text")
-    return _dump(P.applied(members, edits)).join(edits.select("doc", "code"), "doc").select(C.doc_id(), "text", "code")
+    edits = stored(P.set_paragraph_text(members, 1, "set $& text"))
+    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(edits.select("doc", "code"), "doc").select(C.doc_id(), "text", "code")
 
 
 @query(_L + """SELECT doc, coalesce(string_agg(line, chr(10) ORDER BY paragraph) FILTER (paragraph <> 2), '') AS text, CASE WHEN count(*) > 2 THEN 'ok' ELSE 'index_range' END AS code, CAST(count(*) AS BIGINT) AS n FROM l GROUP BY doc""")
 def package_delete_paragraph(spark, sf_dir):
     members = C.members(spark, sf_dir)
-    edits = P.delete_paragraph(members, 2)
-    return _dump(P.applied(members, edits)).join(edits.select("doc", "code", "n"), "doc").select(C.doc_id(), "text", "code", "n")
+    edits = stored(P.delete_paragraph(members, 2))
+    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(edits.select("doc", "code", "n"), "doc").select(C.doc_id(), "text", "code", "n")
 
 
 _TABLE = (["item", "a|b"], [["1", "x & y"], ["2", "<z>"]])
@@ -363,9 +372,9 @@ def insert_table(spark, sf_dir):
 def read_combined(spark, sf_dir):
     made = C.members(spark, sf_dir)
     members = P.applied(made, P.insert_table(made, *_TABLE))
-    t = views.body_tokens(members)
+    t = _tokens(members)
     tables = views.tables(t).withColumn("markdown", B.markdown(F.col("cells")))
-    return R.combined(_dump(members), tables, views.images(t, members)).select(C.doc_id(), "text")
+    return R.combined(_dump(_docs(spark, sf_dir), t), tables, views.images(t, members)).select(C.doc_id(), "text")
 
 
 @query("SELECT doc_id AS doc, CASE WHEN contains(text, 'the') THEN 'ok' ELSE 'target_missing' END AS code, CAST(CASE WHEN contains(text, 'the') THEN 1 ELSE 0 END AS BIGINT) AS runs FROM documents")

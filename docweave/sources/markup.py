@@ -1,18 +1,24 @@
 """Section XML as rows of tokens, each with its place in the document.
 
-A token is a tag or a run of text. Windows over a part's tokens count what is open at each,
-so paragraphs, controls, tables, rows and cells get their indexes at any nesting, and an
-edit is a filter, a projection or a union of token rows. A part's tokens meet in one task,
-as its text does in the file.
+A token is a tag or a run of text. A part is cut and counted in one pass over its text, in the task that has its row:
+running sums over its tokens give what is open at each, so paragraphs, controls, tables, rows and cells get their
+indexes at any nesting without a shuffle. An edit is a filter, a projection or a union of token rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Comments, character data, tags (a > in a quoted value does not end them), text.
-TOKEN = r"""(?s)(<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(?:[^<>"']++|"[^"]*"|'[^']*')++>|[^<]++)"""
+TOKEN = re.compile(r"""(?s)(<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(?:[^<>"']++|"[^"]*"|'[^']*')++>|[^<]++)""")
 #: Elements that count as controls of a paragraph, and those of them that hold paragraphs of their own.
 CONTROLS = ("hp:tbl", "hp:pic", "hp:equation", "hp:footNote", "hp:endNote", "hp:header", "hp:footer", "hp:fldBegin", "hp:fieldBegin")
 NOTES = ("hp:equation", "hp:footNote", "hp:endNote", "hp:header", "hp:footer")
@@ -32,6 +38,66 @@ def with_attribute(tag: Column, name: str, value: Column) -> Column:
     return F.when(tag.rlike(rf'\s{name}="'), F.regexp_replace(tag, F.lit(rf'^(<[^>]*?)\s{name}="[^"]*"'), put)).otherwise(F.regexp_replace(tag, F.lit(r"^(<[^\s/>]+)"), put))
 
 
+#: Tokens of a part that go to Spark at once.
+RUN = 1 << 16
+_COUNTERS = ("in_p", "in_tbl", "in_t", "in_note", "in_lines", "flat_opens", "flat", "paragraph", "table", "control", "row", "cell")
+_FIELDS = [StructField("at", IntegerType()), StructField("sub", IntegerType()), StructField("tok", StringType()), StructField("name", StringType()), StructField("kind", StringType()),
+           *(StructField(c, LongType()) for c in _COUNTERS), StructField("starts_control", BooleanType())]
+
+
+def _before(x: np.ndarray) -> np.ndarray:
+    """How many are true before each place."""
+    return np.cumsum(x) - x
+
+
+def _since(x: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """How many are true up to each place since the last place where start is."""
+    first = np.maximum.accumulate(np.where(start, np.arange(len(x)), 0))
+    return np.cumsum(x) - _before(x)[first]
+
+
+def _named(tok: str) -> tuple[str, str]:
+    """(name, kind) of a token."""
+    if tok[0] != "<":
+        return "", "text"
+    if tok[1] in "!?":
+        return "", "other"
+    return re.match(r"</?([^\s/>]*)", tok)[1], "close" if tok[1] == "/" else "empty" if tok.endswith("/>") else "open"
+
+
+def counted(toks: list[str]) -> dict[str, np.ndarray | list[str]]:
+    """name, kind, starts_control and the counters of a part's tokens in order; -1 where a counter is null."""
+    known = {t: _named(t) for t in set(toks)}
+    name, kind = ([known[t][i] for t in toks] for i in (0, 1))
+    ids = {x: i for i, x in enumerate(dict.fromkeys(name))}
+    at = np.fromiter((ids[x] for x in name), np.int32, len(name))
+    of = lambda *names: np.isin(at, [ids[x] for x in names if x in ids])
+    kinds = np.array(kind) if kind else np.empty(0, "<U5")
+    starts, ends = np.isin(kinds, ("open", "empty")), np.isin(kinds, ("close", "empty"))
+    depth = lambda own: np.cumsum(own & starts) - _before(own & ends)
+    p, tbl, tr, tc = of("hp:p"), of("hp:tbl"), of("hp:tr"), of("hp:tc")
+    out = {"in_p": depth(p), "in_tbl": depth(tbl), "in_t": depth(of("hp:t")), "in_note": depth(of(*NOTES)), "in_lines": depth(of("hp:linesegarray"))}
+    in_p, in_tbl = out["in_p"], out["in_tbl"]
+
+    group = _before(p & ends)  # from one paragraph's end to the next
+    opens = p & starts
+    many = np.bincount(group, opens, minlength=1).astype(np.int64) if len(at) else np.empty(0, np.int64)
+    nth = np.where(np.isin(group, group[p & ends]), _since(opens, np.diff(group, prepend=-1) > 0), 0)
+    out["flat_opens"] = many[group]
+    out["flat"] = np.where(nth > 0, np.cumsum(opens & (nth == 1)) - 1, -1)
+
+    first, outer = starts & (in_p == 1), starts & (in_tbl == 1)
+    top = (in_tbl == 0) | tbl & (in_tbl == 1)  # in no table, but for the table itself
+    control = of(*CONTROLS) & first & top
+    inside = lambda own: np.cumsum(own & outer) - _before(own & ends & (in_tbl == 1)) > 0
+    out["paragraph"] = np.where(in_p > 0, np.cumsum(p & first) - 1, -1)
+    out["table"] = np.where(in_tbl > 0, np.cumsum(tbl & outer) - 1, -1)
+    out["control"] = np.where(in_p > 0, _since(control, p & first) - 1, -2)  # -1: before a paragraph's first control
+    out["row"] = np.where(inside(tr), _since(tr & outer, tbl & outer) - 1, -1)
+    out["cell"] = np.where(inside(tc), _since(tc & outer, tr & outer) - 1, -1)
+    return out | {"name": name, "kind": kind, "starts_control": control}
+
+
 def tokens(parts: DataFrame) -> DataFrame:
     """Rows (doc, entry, section, at, sub, tok, name, kind, ...) of parts (doc, entry,
     section, xml), `at` counting from 0 and sub 0; further columns of parts stay. kind: open, close, empty, text or other.
@@ -42,47 +108,32 @@ def tokens(parts: DataFrame) -> DataFrame:
     cells in it. All are null outside of such an element. flat: index of the span from a
     paragraph's start to the next paragraph end, nested ones too; flat_opens: paragraphs that
     start in it, more than one where it holds others."""
-    t = parts.select(*(c for c in parts.columns if c != "xml"), F.posexplode(F.regexp_extract_all("xml", F.lit(TOKEN), 1)).alias("at", "tok"))
-    tag = F.col("tok").rlike(r"^<[^!?]")
-    t = t.withColumn("sub", F.lit(0)).withColumn("name", F.when(tag, F.regexp_extract("tok", r"^</?([^\s/>]+)", 1)).otherwise(""))
-    t = t.withColumn("kind", F.when(~F.col("tok").startswith("<"), "text").when(~tag, "other").when(F.col("tok").startswith("</"), "close").when(F.col("tok").endswith("/>"), "empty").otherwise("open"))
-    order = Window.partitionBy(*_PART).orderBy("at")
-    upto, before = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
-    starts, ends = F.col("kind").isin("open", "empty"), F.col("kind").isin("close", "empty")
-    n = lambda c, w: F.coalesce(F.sum(c.cast("int")).over(w), F.lit(0))
-
-    def depth(*names: str) -> Column:
-        own = F.col("name").isin(*names)
-        return n(own & starts, upto) - n(own & ends, before)
-
-    t = t.withColumns({"in_p": depth("hp:p"), "in_tbl": depth("hp:tbl"), "in_t": depth("hp:t"), "in_note": depth(*NOTES), "in_lines": depth("hp:linesegarray"),
-                       "_group": n((F.col("name") == "hp:p") & ends, before)})
-    group = Window.partitionBy(*_PART, "_group")
-    opens, closed = (F.col("name") == "hp:p") & starts, F.max((F.col("name") == "hp:p") & ends).over(group)
-    t = t.withColumns({"flat_opens": F.sum(opens.cast("int")).over(group), "_nth": F.when(closed, n(opens, group.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)))})
-    t = t.withColumn("flat", F.when(F.col("_nth") > 0, n(opens & (F.col("_nth") == 1), upto) - 1))
-    p, tbl = F.col("name") == "hp:p", F.col("name") == "hp:tbl"
-    top = (F.col("in_tbl") == 0) | tbl & (F.col("in_tbl") == 1)  # in no table, but for the table itself
-    first = starts & (F.col("in_p") == 1)
-    outer = starts & (F.col("in_tbl") == 1)
-    t = t.withColumns({
-        "paragraph": F.when(F.col("in_p") > 0, n(p & first, upto) - 1), "table": F.when(F.col("in_tbl") > 0, n(tbl & outer, upto) - 1),
-        "_control": F.col("name").isin(*CONTROLS) & first & top,
-        "_row": (F.col("name") == "hp:tr") & outer, "_cell": (F.col("name") == "hp:tc") & outer,
-        "_in_row": n((F.col("name") == "hp:tr") & outer, upto) - n((F.col("name") == "hp:tr") & ends & (F.col("in_tbl") == 1), before),
-        "_in_cell": n((F.col("name") == "hp:tc") & outer, upto) - n((F.col("name") == "hp:tc") & ends & (F.col("in_tbl") == 1), before),
-    })
-    within = lambda *k: Window.partitionBy(*_PART, *k).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("control", F.when(F.col("paragraph").isNotNull(), n(F.col("_control"), within("paragraph")) - 1))
-    t = t.withColumn("row", F.when(F.col("_in_row") > 0, n(F.col("_row"), within("table")) - 1))
-    t = t.withColumn("cell", F.when(F.col("_in_cell") > 0, n(F.col("_cell"), within("table", "row")) - 1))
-    return t.withColumn("starts_control", F.col("_control")).drop("_control", "_row", "_cell", "_in_row", "_in_cell", "_group", "_nth")
-
-
-def assembled(t: DataFrame) -> DataFrame:
-    """(doc, entry, xml) of token rows, in the order of at and sub."""
+    kept = [c for c in parts.columns if c != "xml"]
+    schema = StructType([*(parts.schema[c] for c in kept), *_FIELDS])
+    arrow = to_arrow_schema(schema)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, xml in enumerate(batch.column("xml").to_pylist()):
+                toks = TOKEN.findall(xml or "")
+                have = counted(toks)
+                columns = {"at": np.arange(len(toks), dtype=np.int32), "sub": np.zeros(len(toks), np.int32), "tok": toks, **have}
+                for at in range(0, len(toks), RUN):
+                    n = min(RUN, len(toks) - at)
+                    arrays = [batch.column(c).take(pa.array(np.full(n, i))) for c in kept]
+                    for f in _FIELDS:
+                        v = columns[f.name][at : at + n]
+                        null = v < (-1 if f.name == "control" else 0) if f.name in _COUNTERS else None
+                        arrays.append(pa.array(v, arrow.field(f.name).type, mask=null))
+                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    return parts.select(*kept, "xml").mapInArrow(cut, schema)
+
+
+def assembled(t: DataFrame, **more: Column) -> DataFrame:
+    """(doc, entry, xml) of token rows, in the order of at and sub, and aggregates `more` of the same rows."""
     rows = F.array_sort(F.collect_list(F.struct("at", "sub", "tok")))
-    return t.groupBy(*_PART).agg(F.array_join(F.transform(rows, lambda r: r["tok"]), "").alias("xml"))
+    return t.groupBy(*_PART).agg(F.array_join(F.transform(rows, lambda r: r["tok"]), "").alias("xml"), *(v.alias(k) for k, v in more.items()))
 
 
 def put_back(members: DataFrame, parts: DataFrame) -> DataFrame:
