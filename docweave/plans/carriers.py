@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docweave.functions.text import xml_escape
+from docweave.operators.edit_script import SCRIPT
 from docweave.sources import package
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -97,3 +99,39 @@ LINES = """l AS (SELECT doc_id AS doc, unnest(string_split(text, chr(10))) AS li
 
 def by_order(key: str, *order: str) -> Window:
     return Window.partitionBy(key).orderBy(*order)
+
+
+def table_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of a package for each document: a paragraph, a table of three rows and columns whose first cell holds the
+    whole text, and a field within another; a manifest and a picture that nothing shows."""
+    d = read(spark, sf_dir, "documents")
+    number = F.col("doc_id").cast("string")
+
+    def cell(r: int, c: int):
+        text = xml_escape(F.coalesce("text", F.lit(""))) if r == c == 0 else F.concat(F.lit(f"r{r}c{c}-"), number)
+        return F.concat(F.lit(f'<hp:tc><hp:subList><hp:p id="{10 + 3 * r + c}"><hp:run charPrIDRef="0"><hp:t>'), text,
+                        F.lit(f'</hp:t></hp:run></hp:p></hp:subList><hp:cellAddr colAddr="{c}" rowAddr="{r}"/><hp:cellSpan colSpan="1" rowSpan="1"/></hp:tc>'))
+
+    rows = [p for r in range(3) for p in (F.lit("<hp:tr>"), *(cell(r, c) for c in range(3)), F.lit("</hp:tr>"))]
+    mark = lambda x: f"<hp:ctrl>{x}</hp:ctrl>"
+    xml = F.concat(
+        F.lit('<hs:sec><hp:p id="1"><hp:run charPrIDRef="0"><hp:t>first</hp:t></hp:run></hp:p><hp:p id="2"><hp:run charPrIDRef="0"><hp:tbl id="3" rowCnt="3" colCnt="3">'), *rows, F.lit("</hp:tbl></hp:run></hp:p>"),
+        F.lit('<hp:p id="4"><hp:run charPrIDRef="0">' + mark('<hp:fieldBegin name="outer" type="CLICK_HERE"/>') + "<hp:t>A</hp:t>" + mark('<hp:fieldBegin name="inner" type="DATE"/>') + "<hp:t>"), number,
+        F.lit("</hp:t>" + mark("<hp:fieldEnd/>") + "<hp:t>C</hp:t>" + mark("<hp:fieldEnd/>") + "</hp:run></hp:p></hs:sec>"))
+    part = lambda seq, entry, content: F.struct(F.lit(seq).alias("seq"), F.lit(entry).alias("entry"), F.lit(8).alias("method"), content.cast("binary").alias("bytes"))
+    hpf = '<opf:package><opf:manifest><opf:item id="image1" href="BinData/image1.png" media-type="image/png"/></opf:manifest></opf:package>'
+    parts = F.array(part(0, "Contents/content.hpf", F.lit(hpf)), part(1, "Contents/section0.xml", xml), part(2, "BinData/image1.png", F.lit("png")))
+    return d.select(F.concat(F.lit("/docs/"), number, F.lit(".hwpx")).alias("doc"), F.inline(parts))
+
+
+#: The cells of table_members().
+GRID = f"""g AS (SELECT doc_id AS doc, CAST(r AS BIGINT) AS row, CAST(c AS BIGINT) AS col, CASE WHEN r = 0 AND c = 0 THEN coalesce({TRIM.format("text")}, '') ELSE 'r' || r || 'c' || c || '-' || doc_id END AS text
+FROM documents, range(3) AS a(r), range(3) AS b(c))"""
+
+
+def script(spark: SparkSession, sf_dir: str, *steps) -> DataFrame:
+    """An edit script of table_members(): steps (condition on doc_id, op, what it needs) in order, for the documents that meet their condition."""
+    fields = [c.split(" ") for c in SCRIPT.split(", ")]
+    rows = [F.when(when, F.struct(F.lit(i).alias("ord"), *((F.lit(op) if name == "op" else k.get(name, F.lit(None))).cast(kind).alias(name) for name, kind in fields))) for i, (when, op, k) in enumerate(steps)]
+    d = read(spark, sf_dir, "documents").select(F.concat(F.lit("/docs/"), F.col("doc_id").cast("string"), F.lit(".hwpx")).alias("doc"), F.explode(F.array_compact(F.array(*rows))).alias("s"))
+    return d.select("doc", "s.*")

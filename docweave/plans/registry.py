@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as T
 from docweave.operators import edit as E
+from docweave.operators import edit_script as S
 from docweave.operators import flow as O
 from docweave.operators import package_edit as P
 from docweave.operators import report as R
@@ -400,3 +401,94 @@ def create_document(spark, sf_dir):
     members = C.members(spark, sf_dir)
     n = views.paragraphs(views.body_tokens(members)).groupBy("doc").agg(F.count("*").alias("paragraphs"))
     return members.groupBy("doc").agg(F.count("*").alias("entries")).join(n, "doc").select(C.doc_id(), "entries", "paragraphs")
+
+
+# Edits on packages' markup that differ by document, and what is then read from them.
+
+_G = f"WITH {C.GRID} "
+
+
+def _n() -> Column:
+    return F.col("doc_id")
+
+
+def _scripted(spark, sf_dir, *steps) -> DataFrame:
+    """Body tokens of packages with tables after each document's own edits."""
+    members = C.table_members(spark, sf_dir)
+    edits, _ = S.apply_script(members, C.script(spark, sf_dir, *steps))
+    return _tokens(P.applied(members, edits))
+
+
+def _grid_cells(t: DataFrame, *more: str) -> DataFrame:
+    return views.table_cells(t).select(C.doc_id(), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *(F.col(c).cast("long").alias(c) for c in more), "text")
+
+
+def _texts(*x: str) -> Column:
+    return F.array(*map(F.lit, x))
+
+
+@query(_G + """SELECT doc, row, col, text FROM g WHERE doc % 4 = 0 UNION ALL
+SELECT doc, CASE WHEN row > 1 THEN row - 1 ELSE row END, col, text FROM g WHERE doc % 4 IN (1, 3) AND row <> 1 UNION ALL
+SELECT doc, row, col, text FROM g WHERE doc % 4 = 2 UNION ALL
+SELECT doc, CASE WHEN doc % 4 = 3 THEN 2 ELSE 3 END, col, CASE col WHEN 0 THEN '$1 & ' || doc WHEN 1 THEN '<b>' ELSE '' END FROM g WHERE doc % 4 IN (2, 3) AND row = 0""")
+def package_rows(spark, sf_dir):
+    n = _n() % 4
+    return _grid_cells(_scripted(
+        spark, sf_dir, (n.isin(1, 3), "delete_row", {"table": F.lit(0), "row": F.lit(1)}), (n.isin(2, 3), "append_row", {"table": F.lit(0), "texts": F.array(F.concat(F.lit("$1 & "), _n().cast("string")), F.lit("<b>"))}),
+        (n == 0, "delete_row", {"table": F.lit(0), "row": F.lit(3)})))
+
+
+@query(_G + """SELECT doc, row, CASE WHEN doc % 3 = 0 AND col > 1 THEN col - 1 WHEN doc % 3 = 2 THEN col - 1 ELSE col END AS col, text FROM g WHERE NOT (doc % 3 = 0 AND col = 1) AND NOT (doc % 3 = 2 AND col = 0) UNION ALL
+SELECT doc, row, CASE WHEN doc % 3 = 2 THEN 2 ELSE 3 END, CASE row WHEN 0 THEN 'h' WHEN 1 THEN 'v' ELSE '' END FROM g WHERE doc % 3 > 0 AND col = 0""")
+def package_columns(spark, sf_dir):
+    n = _n() % 3
+    return _grid_cells(_scripted(
+        spark, sf_dir, (n == 0, "delete_column", {"table": F.lit(0), "col": F.lit(1)}), (n == 2, "delete_column", {"table": F.lit(0), "col": F.lit(0)}),
+        (n > 0, "append_column", {"table": F.lit(0), "texts": _texts("h", "v")})))
+
+
+@query(_G + "SELECT doc, row, col, CASE WHEN row = doc % 3 AND col = doc % 2 THEN 'set $& ' || doc ELSE text END AS text FROM g")
+def package_cells(spark, sf_dir):
+    return _grid_cells(_scripted(spark, sf_dir, (F.lit(True), "set_cell", {"table": F.lit(0), "row": _n() % 3, "col": _n() % 2, "text": F.concat(F.lit("set $& "), _n().cast("string"))})))
+
+
+@query(_G + """SELECT doc, row, col, CAST(CASE WHEN doc % 2 = 1 AND row = 1 AND col = 0 THEN 2 ELSE 1 END AS BIGINT) AS row_span, CAST(CASE WHEN doc % 2 = 0 AND row = 1 AND col = 0 THEN 2 ELSE 1 END AS BIGINT) AS col_span, text
+FROM g WHERE NOT (doc % 2 = 0 AND row = 1 AND col = 1) AND NOT (doc % 2 = 1 AND row = 2 AND col = 0)""")
+def package_merges(spark, sf_dir):
+    at = {"table": F.lit(0), "row": F.lit(1), "col": F.lit(0), "count": F.lit(2)}
+    return _grid_cells(_scripted(spark, sf_dir, (_n() % 2 == 0, "merge_horizontal", at), (_n() % 2 == 1, "merge_vertical", at)), "row_span", "col_span")
+
+
+@query("""SELECT doc_id AS doc, CASE doc_id % 3 WHEN 0 THEN chr(10) || 'A' || doc_id || 'C' || chr(10) || 'more ' || doc_id WHEN 1 THEN 'new' || chr(10) || chr(10) || 'A' || doc_id || 'C'
+ELSE 'first' || chr(10) || chr(10) || 'A' || doc_id || 'C' || chr(10) || 'set again' END AS text FROM documents""")
+def package_script(spark, sf_dir):
+    """Paragraph and table edits in turns; each refers to what earlier ones left. Paragraphs: the first, those of nine cells, the
+    field's, those at the end."""
+    n, say = _n() % 3, lambda s: {"text": F.lit(s)}
+    t = _scripted(
+        spark, sf_dir, (n == 0, "delete_paragraph", {"index": F.lit(0)}), (n == 0, "append_paragraph", {"text": F.concat(F.lit("more "), _n().cast("string"))}), (n == 1, "set_paragraph", {"index": F.lit(0)} | say("new")),
+        (n == 2, "append_paragraph", say("at the end")), (n == 2, "delete_row", {"table": F.lit(0), "row": F.lit(2)}), (n == 2, "set_paragraph", {"index": F.lit(8)} | say("set")), (n == 2, "set_paragraph", {"index": F.lit(8)} | say("set again")),
+        (n == 1, "append_row", {"table": F.lit(0), "texts": _texts("r")}), (n == 1, "append_paragraph", say("gone")), (n == 1, "delete_paragraph", {"index": F.lit(14)}))
+    return _dump(t.select("doc").distinct(), t).select(C.doc_id(), "text")
+
+
+@query("SELECT doc_id AS doc, 1 AS ord, 'outer' AS name, 'CLICK_HERE' AS type, 'A' || doc_id || 'C' AS value FROM documents UNION ALL SELECT doc_id, 2, 'inner', 'DATE', CAST(doc_id AS VARCHAR) FROM documents")
+def package_fields(spark, sf_dir):
+    return views.fields(views.body_tokens(C.table_members(spark, sf_dir))).select(C.doc_id(), F.col("ord").cast("int").alias("ord"), "name", "type", "value")
+
+
+@query("SELECT doc_id AS doc, 'ok' AS code, CAST(2 AS BIGINT) AS n, name, CASE name WHEN 'outer' THEN 'v & $1' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS value FROM documents, (VALUES ('outer'), ('inner')) AS f(name)")
+def package_set_field(spark, sf_dir):
+    """The outer field's own nodes are set; the field within it stays whole."""
+    members = C.table_members(spark, sf_dir)
+    edits = stored(P.set_field(members, "outer", "v & $1"))
+    f = views.fields(_tokens(P.applied(members, edits))).join(edits.select("doc", "code", "n"), "doc")
+    return f.select(C.doc_id(), "code", "n", "name", "value")
+
+
+@query("""SELECT doc_id AS doc, entry, mime, size AS byte_length FROM documents, (VALUES ('BinData/image2.png', 'image/png', CAST(3 AS BIGINT)), ('BinData/image3.jpg', 'image/jpeg', 4)) AS i(entry, mime, size)""")
+def package_images(spark, sf_dir):
+    """A png, then a jpg, each under a number that no item has; both are read back."""
+    members = stored(P.insert_image(C.table_members(spark, sf_dir), F.lit(b"new"), "png"))
+    members = stored(P.insert_image(members, F.lit(b"more"), "jpg"))
+    return views.images(views.body_tokens(members), members).select(C.doc_id(), "entry", "mime", "byte_length")
