@@ -112,19 +112,21 @@ def kind_counts(rows: DataFrame, kinds: list[str], kind: str = "kind") -> DataFr
     return rows.groupBy("doc").agg(*(F.count_if(F.col(kind) == k).alias(f"n_{k}") for k in kinds), F.count_distinct(kind).alias("kinds"))
 
 
-def info(docs: DataFrame, sections: DataFrame, counts: DataFrame, fonts: DataFrame, version: DataFrame) -> DataFrame:
-    """(doc, text): version, sections, fonts (ten at most, then ?) and what the document holds. counts is (doc, kind)
+def info(docs: DataFrame, sections: DataFrame, counts: DataFrame, fonts: DataFrame, version: DataFrame, encrypted: DataFrame | None = None) -> DataFrame:
+    """(doc, text): version, sections, whether it is encrypted (by the codes (doc, code) of opening it, else ?), fonts (ten at most, then ?) and what the document holds. counts is (doc, kind)
     with a row for each table, image, footnote, equation, header and footer; pages need a layout engine and are `?`."""
     kinds = ["table", "image", "footnote", "equation", "header", "footer"]
     c = kind_counts(counts, kinds)
     f = fonts.groupBy("doc").agg(joined(F.when(F.col("n") <= 10, F.col("font")), F.col("n"), ", ").alias("fonts"))
     d = docs.select("doc").distinct().join(sections.groupBy("doc").agg(F.count_distinct("section").alias("sections")), "doc", "left").join(c, "doc", "left").join(f, "doc", "left").join(version, "doc", "left")
+    codes = encrypted.select("doc", F.when(F.col("code") == "encrypted", "true").when(F.col("code") == "ok", "false").otherwise("?").alias("_encrypted")) if encrypted is not None else None
+    d = d.withColumn("_encrypted", F.lit("?")) if codes is None else d.join(codes, "doc", "left")
     of = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("string")
     labels = zip(("표 (tables)", "이미지 (images)", "각주 (footnotes)", "수식 (equations)", "머리말 (headers)", "꼬리말 (footers)"), kinds, strict=True)
     said = lambda name: F.when(F.coalesce(F.col(name), F.lit("")) == "", "?").otherwise(F.col(name))
     return d.select("doc", F.concat_ws(
         "\n", F.concat(F.lit("# "), "doc"), F.concat(F.lit("버전 (version): "), said("version")), F.concat(F.lit("섹션 (sections): "), of("sections")), F.lit("페이지 (pages): ?"),
-        F.lit("암호화 (encrypted): false"), F.concat(F.lit("사용 글꼴 (fonts): "), said("fonts")), F.lit(""), *(F.concat(F.lit(f"{label}: "), of(f"n_{k}")) for label, k in labels)).alias("text"))
+        F.concat(F.lit("암호화 (encrypted): "), F.coalesce("_encrypted", F.lit("?"))), F.concat(F.lit("사용 글꼴 (fonts): "), said("fonts")), F.lit(""), *(F.concat(F.lit(f"{label}: "), of(f"n_{k}")) for label, k in labels)).alias("text"))
 
 
 def page_lines(docs: DataFrame, pages: DataFrame) -> DataFrame:
