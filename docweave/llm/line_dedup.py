@@ -91,7 +91,7 @@ def _short_leaves(firsts: DataFrame) -> DataFrame:
     return rows.select("id", F.xxhash64(F.lit(0), F.col("role") == SAME, m).alias("key"), "role", "part")
 
 
-def near_lines(docs: DataFrame, least_chars: int = 20) -> tuple[DataFrame, DataFrame]:
+def near_lines(docs: DataFrame, least_chars: int = 0) -> tuple[DataFrame, DataFrame]:
     """(firsts, later): firsts is (id, doc, pos, digest) of the earliest row of each
     distinct line; later is (id) of lines within one edit of an earlier one."""
     lines = _lines(docs)
@@ -138,7 +138,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def dedup_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_chars: int = 0) -> DataFrame:
     """docs with two more columns n_lines and n_removed, and with text less the lines
     of which an equal one, or one within one edit (insertion, deletion or substitution
     of a character), comes earlier: at a smaller doc_id, or in the same document before.

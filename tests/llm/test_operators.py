@@ -403,7 +403,7 @@ def test_line_dedup(spark, broadcast, hot, monkeypatch):
         kept = [x for p, x in enumerate(lines) if not x.strip() or (first[x] == (big if d is None else d, p) and x not in bad)]
         want.append((d, None if t is None else "\n".join(kept), 0 if t is None else len(lines), len(lines) - len(kept)))
     df = spark.createDataFrame(table, "doc_id long, text string")
-    got = line_dedup.dedup_lines(df.withColumn("id", F.lit(1))).select("doc_id", "text", "n_lines", "n_removed")
+    got = line_dedup.dedup_lines(df.withColumn("id", F.lit(1)), least_chars=20).select("doc_id", "text", "n_lines", "n_removed")
     assert bad and _sorted(got) == sorted(want, key=str)
     assert line_dedup.dedup_lines(df.filter("false")).count() == 0
 
