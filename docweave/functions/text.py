@@ -91,11 +91,16 @@ def replace_keys(s: Column, pairs: list[tuple[str, str]]) -> tuple[Column, list[
         raise ValueError("a key must not be empty")
     if not pairs:
         return s, []
-    steps = F.array(*(F.struct(xml_escape(F.lit(k)).alias("k"), xml_escape(F.lit(v)).alias("v")) for k, v in pairs))
+    done = replace_each(s, F.array(*(F.struct(xml_escape(F.lit(k)).alias("k"), xml_escape(F.lit(v)).alias("v")) for k, v in pairs)))
+    return done["text"], [done["hits"][i] for i in range(len(pairs))]
+
+
+def replace_each(s: Column, steps: Column) -> Column:
+    """struct(text, hits) of a text node after steps, an array of struct(k, v) that may differ by row: each k, as it is, replaced
+    by v at its last occurrence in what earlier ones left; hits tells which were there."""
     start = F.struct(s.alias("text"), F.array().cast("array<boolean>").alias("hits"))
-    done = F.aggregate(steps, start, lambda acc, kv: F.struct(
+    return F.aggregate(steps, start, lambda acc, kv: F.struct(
         replace_last(acc["text"], kv["k"], kv["v"]).alias("text"), F.array_append(acc["hits"], F.position(kv["k"], acc["text"]) > 0).alias("hits")))
-    return done["text"], [done["hits"][i] for i in range(len(pairs))]
 
 
 #: The suffix of a changed document's default path, by what was done.

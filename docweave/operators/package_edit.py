@@ -15,8 +15,10 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docweave.functions.text import replace_keys, xml_escape
+from docweave.functions.arguments import MOST_INDEX, json_pairs
+from docweave.functions.text import replace_each, replace_keys, xml_escape
 from docweave.sources.markup import assembled, attribute, put_back, tokens, with_attribute
+from docweave.sources.storage import stored
 from docweave.sources.views import MEDIA, field_spans, manifest
 
 #: Sizes of an inserted picture (about 100 mm) and of an inserted table.
@@ -300,6 +302,45 @@ def fill_report(edits: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return sums.select("doc", F.concat(F.format_string("총 %d건 치환 (%d replacements)\n\n", total, total), F.array_join(F.transform(F.array_sort(each), lambda x: x["line"]), "\n")).alias("report"))
 
 
+def fill_each(members: DataFrame, arguments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edits, outcome): each document filled by its own pairs. arguments: (doc, replacements), a row for a document, replacements
+    being a JSON object of strings; its pairs are taken in JavaScript's order of keys, as fill() takes pairs. outcome: (doc,
+    code, n, report) of each document of arguments: ok, bad_json, bad_value, empty_key, or not_found without
+    members; report lists each key's nodes: integer keys by size, then others by their first hit, then those
+    without one. Parts are filled where they stand, with no shuffle but the join on doc."""
+    told = arguments.select("doc", json_pairs("replacements").alias("j")).select("doc", F.col("j.code").alias("code"), F.col("j.pairs").alias("pairs"))
+    parts = members.filter(F.col("entry").rlike(r"(?i)^Contents/(section\d+|header)\.xml$")).select("doc", "entry", "seq", F.decode("bytes", "UTF-8").alias("was"))
+    parts = parts.join(told.filter("code = 'ok'"), "doc")
+    steps = F.transform("pairs", lambda p: F.struct(xml_escape(p["key"]).alias("k"), xml_escape(p["value"]).alias("v")))
+    node = r"(?s)^<hp:t(?:\s[^>]*)?>[^<]*</hp:t>$"
+
+    def piece(x: Column) -> Column:
+        start = F.regexp_extract(x, r"^(<[^>]*>)", 1)
+        text = F.substring(x, F.char_length(start) + 1, F.char_length(x) - F.char_length(start) - len("</hp:t>"))
+        done = replace_each(text, F.col("steps"))
+        new = F.struct(F.concat(start, done["text"], F.lit("</hp:t>")).alias("text"), done["hits"].alias("hits"))
+        return F.when(x.rlike(node), new).otherwise(F.struct(x.alias("text"), F.array().cast("array<boolean>").alias("hits")))
+
+    bits = F.regexp_extract_all("was", F.lit(r"(?s)(<hp:t(?:\s[^>]*)?>[^<]*</hp:t>|<[^>]*>|[^<]+)"), 1)
+    parts = parts.withColumn("steps", steps).withColumn("done", F.transform(bits, piece))
+    hit = F.transform("pairs", lambda _, i: F.size(F.filter("done", lambda d: F.coalesce(F.get(d["hits"], i), F.lit(False)))).cast("long"))
+    edits = stored(parts.select("doc", "entry", "code", "seq", "pairs", hit.alias("hits"), F.array_join(F.transform("done", lambda d: d["text"]), "").alias("xml")))
+    edits = edits.withColumn("n", F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x))
+
+    each = edits.select("doc", "seq", F.posexplode(F.arrays_zip("pairs", "hits")).alias("i", "x")).select("doc", "seq", "i", F.col("x.pairs.key").alias("key"), F.col("x.hits").alias("n"))
+    keys = each.groupBy("doc", "i", "key").agg(F.sum("n").alias("n"), F.min(F.when(F.col("n") > 0, F.col("seq"))).alias("first"))
+    index = F.col("key").rlike("^(0|[1-9][0-9]{0,9})$") & (F.expr("try_cast(key AS bigint)") < MOST_INDEX)
+    place = F.struct((~index).alias("other"), F.when(index, 0).otherwise(F.coalesce("first", F.lit((1 << 31) - 1))).alias("first"), "i", F.format_string("  '%s' → %d건", "key", "n").alias("line"))
+    lines = keys.groupBy("doc").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(place)).alias("lines"))
+    there = members.select("doc").distinct().withColumn("there", F.lit(True))
+    outcome = told.join(there, "doc", "left").join(lines, "doc", "left")
+    n = F.coalesce("n", F.lit(0).cast("long"))
+    code = F.when((F.col("code") == "ok") & F.col("there").isNull(), "not_found").otherwise(F.col("code"))
+    said = F.concat(F.format_string("총 %d건 치환 (%d replacements)\n\n", n, n), F.coalesce(F.array_join(F.transform("lines", lambda x: x["line"]), "\n"), F.lit("")))
+    outcome = outcome.select("doc", code.alias("code"), n.alias("n"), F.when(code == "ok", said).alias("report"))
+    return edits.select("doc", "entry", "code", "n", "xml"), outcome
+
+
 def set_field(members: DataFrame, name: str, value: str) -> DataFrame:
     """The first field of that name gets the value: its first text node holds it, its others are emptied, but fields
     within it stay as they are. n is how many nodes that were. Without field, own end or text node of its own target_missing."""

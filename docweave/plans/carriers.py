@@ -135,3 +135,48 @@ def script(spark: SparkSession, sf_dir: str, *steps) -> DataFrame:
     rows = [F.when(when, F.struct(F.lit(i).alias("ord"), *((F.lit(op) if name == "op" else k.get(name, F.lit(None))).cast(kind).alias(name) for name, kind in fields))) for i, (when, op, k) in enumerate(steps)]
     d = read(spark, sf_dir, "documents").select(F.concat(F.lit("/docs/"), F.col("doc_id").cast("string"), F.lit(".hwpx")).alias("doc"), F.explode(F.array_compact(F.array(*rows))).alias("s"))
     return d.select("doc", "s.*")
+
+
+def spanned_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of a package for each document: a section definition with children, a heading, and a table whose cells have
+    spans and no addresses, the first with the whole text, one with a table within; a picture and an equation."""
+    d = read(spark, sf_dir, "documents")
+    number = F.col("doc_id").cast("string")
+    p = lambda i, *body: F.concat(F.lit(f'<hp:p id="{i}" styleIDRef="0"><hp:run>'), *body, F.lit("</hp:run></hp:p>"))
+    t = lambda x: F.concat(F.lit("<hp:t>"), x, F.lit("</hp:t>"))
+
+    def cell(i: int, down: int, wide, *body) -> F.Column:
+        return F.concat(F.lit("<hp:tc><hp:subList>"), p(i, *body), F.lit(f'</hp:subList><hp:cellSpan rowSpan="{down}" colSpan="'), F.lit(wide).cast("string") if isinstance(wide, int) else wide, F.lit('"/></hp:tc>'))
+
+    row = lambda *cells: F.concat(F.lit("<hp:tr>"), *cells, F.lit("</hp:tr>"))
+    said = lambda s: t(F.concat(F.lit(f"{s}-"), number))
+    inner = F.concat(F.lit("<hp:tbl>"), row(cell(30, 1, 1, said("x")), cell(31, 1, 2, said("y"))), F.lit("</hp:tbl>"))
+    wide = (F.col("doc_id") % 3 + 1).cast("string")
+    table = F.concat(
+        F.lit('<hp:tbl id="9">'), row(cell(10, 2, 1, t(xml_escape(F.coalesce("text", F.lit(""))))), cell(11, 1, 2, said("top"))), row(cell(12, 1, 1, said("a")), cell(13, 1, 1, said("b"))),
+        row(cell(14, 1, wide, said("c"), inner), cell(15, 1, 1, said("d"))), F.lit("</hp:tbl>"))
+    xml = F.concat(
+        F.lit('<hs:sec><hp:p id="1" styleIDRef="1"><hp:run><hp:secPr id="" columns="2"><!-- c --><hp:pagePr width="'), number, F.lit('" note="a &lt; &quot;b&quot;"><hp:margin left="1" top="2"/></hp:pagePr> <hp:label>x &amp; y</hp:label></hp:secPr><hp:t>head</hp:t></hp:run></hp:p>'),
+        p(2, t(F.lit("before")), table), p(3, F.lit('<hp:t>A<hp:lineBreak/>B &amp; C</hp:t><hp:pic><hc:img binaryItemIDRef="image1"/></hp:pic><hp:equation><hp:script>a &lt; b</hp:script></hp:equation>')), F.lit("</hs:sec>"))
+    part = lambda seq, entry, content: F.struct(F.lit(seq).alias("seq"), F.lit(entry).alias("entry"), F.lit(8).alias("method"), content.cast("binary").alias("bytes"))
+    head = '<hh:head><hh:style id="0" type="PARA" name="Normal"/><hh:style id="1" type="PARA" name="Outline 2"/></hh:head>'
+    parts = F.array(part(0, "Contents/header.xml", F.lit(head)), part(1, "Contents/section0.xml", xml), part(2, "BinData/image1.png", F.lit("png")))
+    return d.select(F.concat(F.lit("/docs/"), number, F.lit(".hwpx")).alias("doc"), F.inline(parts))
+
+
+def arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc, replacements): JSON arguments of template fills, one for each document: integer keys behind others, a repeated key,
+    values that later keys find again; of every fifth document broken."""
+    number = F.col("doc_id").cast("string")
+    good = F.concat(F.lit('{"zz": "\\u0041", "the": "gone", "10": "ten & <'), number, F.lit('>", "1": "10", "the": "T-'), number, F.lit('", "ten": "the"}'))
+    return read(spark, sf_dir, "documents").select(
+        F.concat(F.lit("/docs/"), number, F.lit(".hwpx")).alias("doc"), F.when(F.col("doc_id") % 5 == 0, '{"the": }').otherwise(good).alias("replacements"))
+
+
+def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc, content): JSON content of new documents: the text, and a table; of every fifth document an object in place of an array."""
+    number = F.col("doc_id").cast("string")
+    text = F.to_json(F.struct(F.lit("text").alias("type"), F.coalesce("text", F.lit("")).alias("text")))
+    table = F.concat(F.lit('{"type": "table", "headers": ["id", 2], "rows": [['), number, F.lit(', "x & y"], [null]]}'))
+    good = F.concat(F.lit("["), text, F.lit(', {"type": "other"}, '), table, F.lit("]"))
+    return read(spark, sf_dir, "documents").select(F.concat(F.lit("/docs/"), number, F.lit(".hwpx")).alias("doc"), F.when(F.col("doc_id") % 5 == 0, "{}").otherwise(good).alias("content"))

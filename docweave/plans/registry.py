@@ -12,7 +12,7 @@ from docweave.operators import flow as O
 from docweave.operators import package_edit as P
 from docweave.operators import report as R
 from docweave.operators import tables as B
-from docweave.sources import package, views
+from docweave.sources import package, structure, views
 from docweave.sources.storage import stored
 
 from . import carriers as C
@@ -492,3 +492,59 @@ def package_images(spark, sf_dir):
     members = stored(P.insert_image(C.table_members(spark, sf_dir), F.lit(b"new"), "png"))
     members = stored(P.insert_image(members, F.lit(b"more"), "jpg"))
     return views.images(views.body_tokens(members), members).select(C.doc_id(), "entry", "mime", "byte_length")
+
+
+# Nested structure: section definitions, HTML, grids of cells without addresses.
+
+@query("""SELECT doc_id AS doc, '{"name":"hp:secPr","attributes":{"id":"","columns":"2"},"children":[{"name":"hp:pagePr","attributes":{"width":"' || doc_id || '","note":"a < \\"b\\""},"children":[' ||
+'{"name":"hp:margin","attributes":{"left":"1","top":"2"},"children":[]}]},{"name":"hp:label","attributes":{},"children":["x & y"]}]}' AS json FROM documents""")
+def page_definition(spark, sf_dir):
+    return structure.page_definitions(views.body_tokens(C.spanned_members(spark, sf_dir))).select(C.doc_id(), "json")
+
+
+@query("""SELECT doc_id AS doc, '<h2>head</h2><p>before</p><table><tr><td rowspan="2">' || CASE WHEN text = '' OR text IS NULL THEN '' ELSE '<p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' END || '</td><td colspan="2"><p>top-' || doc_id ||
+'</p></td></tr><tr><td><p>a-' || doc_id || '</p></td><td><p>b-' || doc_id || '</p></td></tr><tr><td' || CASE doc_id % 3 WHEN 0 THEN '' ELSE ' colspan="' || (doc_id % 3 + 1) || '"' END || '><p>c-' || doc_id ||
+'</p><table><tr><td><p>x-' || doc_id || '</p></td><td colspan="2"><p>y-' || doc_id || '</p></td></tr></table></td><td><p>d-' || doc_id || '</p></td></tr></table>' ||
+'<p>A<br>B &amp; C<img src="BinData/image1.png"><code>a &lt; b</code></p>' AS html FROM documents""")
+def flow_html(spark, sf_dir):
+    members = C.spanned_members(spark, sf_dir)
+    return structure.html(_tokens(members), members).select(C.doc_id(), "html")
+
+
+@query(f"""SELECT doc_id AS doc, CAST(CASE doc_id % 3 WHEN 2 THEN 4 ELSE 3 END AS BIGINT) AS n_cols, v.row, CASE v.nth WHEN 5 THEN doc_id % 3 + 1 ELSE v.col END AS col, v.down AS row_span, CASE v.nth WHEN 4 THEN doc_id % 3 + 1 ELSE v.wide END AS col_span,
+CASE v.nth WHEN 0 THEN coalesce({C.TRIM.format("text")}, '') ELSE v.said || '-' || doc_id END AS text FROM documents, (VALUES (0, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(2 AS BIGINT), CAST(1 AS BIGINT), ''), (1, 0, 1, 1, 2, 'top'), (2, 1, 1, 1, 1, 'a'), (3, 1, 2, 1, 1, 'b'), (4, 2, 0, 1, 1, 'c'), (5, 2, 1, 1, 1, 'd')) AS v(nth, row, col, down, wide, said)""")
+def spanned_grid(spark, sf_dir):
+    cells = views.table_cells(views.body_tokens(C.spanned_members(spark, sf_dir)))
+    return cells.select(C.doc_id(), *(F.col(c).cast("long").alias(c) for c in ("n_cols", "row", "col", "row_span", "col_span")), "text")
+
+
+# Arguments in JSON, each document its own.
+
+def _steps_sql(*pairs: tuple[str, str]) -> str:
+    """CTEs s1, s2, ... of l's lines, XML-escaped, after each pair (SQL of key and value), h1, h2, ... telling hits."""
+    out = "s0 AS (SELECT *, replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS t0 FROM l)"
+    for i, (k, v) in enumerate(pairs, 1):
+        done = f"CASE WHEN doc % 5 > 0 THEN {_last_sql(f't{i - 1}', k, v)} ELSE t{i - 1} END"
+        out += f", s{i} AS (SELECT *, doc % 5 > 0 AND instr(t{i - 1}, {k}) > 0 AS h{i}, {done} AS t{i} FROM s{i - 1})"
+    return out
+
+
+@query(_L + ", " + _steps_sql(("'1'", "'10'"), ("'10'", "'ten &amp; &lt;' || doc || '&gt;'"), ("'zz'", "'A'"), ("'the'", "'T-' || doc"), ("'ten'", "'the'")) + """,
+c AS (SELECT doc, string_agg(t5, chr(10) ORDER BY paragraph) AS t, count(*) FILTER (h1) AS n1, count(*) FILTER (h2) AS n2, count(*) FILTER (h3) AS n3, count(*) FILTER (h4) AS n4, count(*) FILTER (h5) AS n5 FROM s5 GROUP BY doc),
+k AS (SELECT doc, string_agg('  ' || chr(39) || key || chr(39) || ' → ' || n || '건', chr(10) ORDER BY NOT idx, CASE WHEN idx THEN 0 WHEN n > 0 THEN 1 ELSE 2 END, i) AS lines
+FROM (SELECT doc, unnest(['1', '10', 'zz', 'the', 'ten']) AS key, unnest([n1, n2, n3, n4, n5]) AS n, unnest([true, true, false, false, false]) AS idx, unnest([1, 2, 3, 4, 5]) AS i FROM c) GROUP BY doc)
+SELECT c.doc, CASE WHEN c.doc % 5 = 0 THEN 'bad_json' ELSE 'ok' END AS code, CAST(n1 + n2 + n3 + n4 + n5 AS BIGINT) AS n,
+CASE WHEN c.doc % 5 > 0 THEN '총 ' || (n1 + n2 + n3 + n4 + n5) || '건 치환 (' || (n1 + n2 + n3 + n4 + n5) || ' replacements)' || chr(10) || chr(10) || lines END AS report,
+replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text FROM c JOIN k ON c.doc = k.doc""")
+def package_fill_json(spark, sf_dir):
+    members = C.members(spark, sf_dir)
+    edits, outcome = P.fill_each(members, C.arguments(spark, sf_dir))
+    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(outcome, "doc").select(C.doc_id(), "code", "n", "report", "text")
+
+
+@query("""SELECT doc_id AS doc, CASE WHEN doc_id % 5 = 0 THEN 'bad_json' ELSE 'ok' END AS code,
+CASE WHEN doc_id % 5 > 0 THEN coalesce(text, '') || chr(10) || 'id | 2' || chr(10) || '--- | ---' || chr(10) || doc_id || ' | x & y' || chr(10) END AS text FROM documents""")
+def create_json(spark, sf_dir):
+    members, outcome = package.create_each(C.contents(spark, sf_dir))
+    t = _tokens(members)
+    return outcome.join(_dump(t.select("doc").distinct(), t), "doc", "left").select(C.doc_id(), "code", "text")

@@ -40,7 +40,7 @@ def with_attribute(tag: Column, name: str, value: Column) -> Column:
 
 #: Tokens of a part that go to Spark at once.
 RUN = 1 << 16
-_COUNTERS = ("in_p", "in_tbl", "in_t", "in_note", "in_lines", "flat_opens", "flat", "paragraph", "table", "control", "row", "cell")
+_COUNTERS = ("in_p", "in_tbl", "in_t", "in_note", "in_lines", "in_script", "in_props", "depth", "flat_opens", "flat", "paragraph", "table", "control", "row", "cell")
 _FIELDS = [StructField("at", IntegerType()), StructField("sub", IntegerType()), StructField("tok", StringType()), StructField("name", StringType()), StructField("kind", StringType()),
            *(StructField(c, LongType()) for c in _COUNTERS), StructField("starts_control", BooleanType())]
 
@@ -77,6 +77,7 @@ def counted(toks: list[str]) -> dict[str, np.ndarray | list[str]]:
     depth = lambda own: np.cumsum(own & starts) - _before(own & ends)
     p, tbl, tr, tc = of("hp:p"), of("hp:tbl"), of("hp:tr"), of("hp:tc")
     out = {"in_p": depth(p), "in_tbl": depth(tbl), "in_t": depth(of("hp:t")), "in_note": depth(of(*NOTES)), "in_lines": depth(of("hp:linesegarray"))}
+    out |= {"in_script": depth(of("hp:script")), "in_props": depth(of("hp:secPr")), "depth": depth(np.ones(len(at), bool))}
     in_p, in_tbl = out["in_p"], out["in_tbl"]
 
     group = _before(p & ends)  # from one paragraph's end to the next
@@ -102,8 +103,8 @@ def tokens(parts: DataFrame) -> DataFrame:
     """Rows (doc, entry, section, at, sub, tok, name, kind, ...) of parts (doc, entry,
     section, xml), `at` counting from 0 and sub 0; further columns of parts stay. kind: open, close, empty, text or other.
 
-    in_p, in_tbl, in_t, in_note, in_lines: how many such elements are open, a tag's own
-    included. paragraph: the outermost paragraph's index; control: its last control's index so
+    in_p, in_tbl, in_t, in_note, in_lines, in_script, in_props (hp:secPr): how many such elements are open, a tag's own
+    included; depth: how many of any kind. paragraph: the outermost paragraph's index; control: its last control's index so
     far, -1 before the first; table, row, cell: indexes of the outermost table and of rows and
     cells in it. All are null outside of such an element. flat: index of the span from a
     paragraph's start to the next paragraph end, nested ones too; flat_opens: paragraphs that

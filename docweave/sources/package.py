@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweave.functions.arguments import json_items
 from docweave.functions.text import extension, xml_escape
 from docweave.sources import views
 from docweave.sources.markup import tokens
@@ -118,6 +119,15 @@ def create(items: DataFrame) -> DataFrame:
     return body.select("doc", F.inline(rows))
 
 
+def create_each(arguments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, outcome): members of new documents, and (doc, code) of each row of arguments (doc, content), content being a
+    JSON array of items of create(): ok, bad_json or bad_item. Without an item a document has no paragraph."""
+    told = arguments.select("doc", json_items("content").alias("j")).select("doc", F.col("j.code").alias("code"), F.col("j.items").alias("items"))
+    ok = told.filter("code = 'ok'")
+    items = ok.select("doc", F.explode_outer("items").alias("x")).select("doc", F.coalesce("x.pos", F.lit(0)).alias("pos"), F.coalesce("x.type", F.lit("none")).alias("type"), "x.text", "x.headers", "x.rows")
+    return create(items), told.select("doc", "code")
+
+
 def write_packages(contents: DataFrame, folder: str) -> None:
     """Contents as Parquet rows (doc, content) in the folder: on a cluster files belong in a
     store that Spark writes; `doc` names them."""

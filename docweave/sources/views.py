@@ -6,6 +6,7 @@ hold what stands in top-level paragraphs; text inside tables, notes and headers
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,10 +73,43 @@ def _lines(t: DataFrame, of: list[str], depth: Column) -> DataFrame:
     return paras.groupBy(*of).agg(trimmed(_joined(F.col("line"), "\n")).alias("text"))
 
 
+def grid_columns(rows: list[int], addresses: list[int | None], row_spans: list[int], col_spans: list[int]) -> list[int]:
+    """The grid column of each cell of a table, cells being in order of row and place: its address, else the first column
+    behind the row's cell before it that no cell from a row above reaches into. What such cells cover is kept as intervals, so
+    time and memory do not grow with the spans."""
+    out: list[int] = []
+    above: list[tuple[int, int, int]] = []  # (first column, column behind the last, row behind the last) of cells of earlier rows
+    here: list[tuple[int, int, int]] = []
+    row = col = i = 0
+    for r, address, down, wide in zip(rows, addresses, row_spans, col_spans, strict=True):
+        if not out or r != row:
+            above = sorted(x for x in above + here if x[2] > r)
+            here, row, col, i = [], r, 0, 0
+        if address is not None:
+            col, i = address, i if address >= col else 0
+        else:
+            while i < len(above) and above[i][0] <= col:
+                col = max(col, above[i][1])
+                i += 1
+        out.append(col)
+        here.append((col, col + max(wide, 1), r + max(down, 1)))
+        col += max(wide, 1)
+    return out
+
+
+def _grid_columns(cells: pd.Series) -> pd.Series:
+    def of(table) -> list[int]:
+        number = lambda x: None if x is None or x != x else int(x)
+        values = [[number(c[k]) for c in table] for k in ("row", "address", "row_span", "col_span")]
+        return grid_columns(*values)
+
+    return cells.map(of)
+
+
 def table_cells(t: DataFrame) -> DataFrame:
     """(doc, section, paragraph, control, table, n_rows, n_cols, cell_idx, row, col, row_span, col_span,
-    text) of the physical cells of outermost tables. Addresses come from the cell, else from its
-    place; nested tables' text is left out."""
+    text) of the physical cells of outermost tables. Addresses come from the cell, else from its row's
+    place and the first column that no span from above or before covers; nested tables' text is left out."""
     inside = t.filter("table is not null")
     head = inside.filter("name = 'hp:tbl' and in_tbl = 1 and kind <> 'close'").select(
         *_KEY, "table", "paragraph", "control", attribute(F.col("tok"), "rowCnt").cast("int").alias("said_rows"), attribute(F.col("tok"), "colCnt").cast("int").alias("said_cols"))
@@ -87,11 +121,16 @@ def table_cells(t: DataFrame) -> DataFrame:
         F.coalesce(first("rowSpan", "hp:cellSpan", "hp:tc"), F.lit(1)).alias("row_span"), F.coalesce(first("colSpan", "hp:cellSpan", "hp:tc"), F.lit(1)).alias("col_span"))
     texts = _lines(cells, of, F.lit(True))
     every = facts.join(texts, of, "left").join(head, [*_KEY, "table"])
-    order, whole = Window.partitionBy(*_KEY, "table").orderBy("row", "cell"), Window.partitionBy(*_KEY, "table")
-    row, col = F.coalesce("row_addr", "row"), F.coalesce("col_addr", "cell")
-    return every.select(
-        *_KEY, "paragraph", "control", "table", F.coalesce("said_rows", (F.max(row).over(whole) + 1).cast("int")).alias("n_rows"), F.coalesce("said_cols", (F.max(col).over(whole) + 1).cast("int")).alias("n_cols"),
-        (F.row_number().over(order) - 1).alias("cell_idx"), row.cast("int").alias("row"), col.cast("int").alias("col"), "row_span", "col_span", F.coalesce("text", F.lit("")).alias("text"))
+    cell = F.struct(F.coalesce("row_addr", "row").cast("int").alias("row"), F.col("row").alias("nth"), "cell", F.col("col_addr").alias("address"), "row_span", "col_span", F.coalesce("text", F.lit("")).alias("text"))
+    whole = every.groupBy(*_KEY, "paragraph", "control", "table", "said_rows", "said_cols").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    whole = whole.withColumn("cols", F.pandas_udf(_grid_columns, "array<int>")(F.transform("cells", lambda c: F.struct(c["row"].alias("row"), c["address"].alias("address"), c["row_span"].alias("row_span"), c["col_span"].alias("col_span")))))
+    whole = whole.withColumn("cells", F.arrays_zip("cells", "cols"))
+    most = lambda x: F.array_max(F.transform("cells", x)).cast("int")
+    n_cols = most(lambda c: c["cols"] + F.when(c["cells"]["address"].isNull(), c["cells"]["col_span"]).otherwise(1))
+    out = whole.select(*_KEY, "paragraph", "control", "table", F.coalesce("said_rows", most(lambda c: c["cells"]["row"] + 1)).alias("n_rows"), F.coalesce("said_cols", n_cols).alias("n_cols"), F.inline("cells"))
+    return out.select(
+        *_KEY, "paragraph", "control", "table", "n_rows", "n_cols", (F.row_number().over(Window.partitionBy(*_KEY, "table").orderBy("cells.nth", "cells.cell")) - 1).alias("cell_idx"),
+        F.col("cells.row").alias("row"), F.col("cols").alias("col"), "cells.row_span", "cells.col_span", "cells.text")
 
 
 def tables(t: DataFrame) -> DataFrame:
