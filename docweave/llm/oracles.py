@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .url_filter import LEAST_STRENGTH, RULES, SPREAD, TWO_LABELS, WEIGHT
+from statistics import NormalDist
+
+from .url_filter import EXACT_STRENGTH, LEAST_STRENGTH, RULES, SPREAD, TERMS, TWO_LABELS, WEIGHT
 
 #: Words of documents and components over links (a, b) as SQL.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -79,6 +81,7 @@ def _moments(name: str, children: str, parents: str, key: str) -> str:
     return f"""{name} AS (SELECT sum(c.n * pow(c.k / c.n - p.k / p.n, 2) - (p.k / p.n) * (1 - p.k / p.n)) AS extra, sum((p.k / p.n) * (1 - p.k / p.n) * (c.n - 1)) AS pairs FROM {children} c JOIN {parents} p ON c.{key} = p.{key} WHERE c.n > 0 AND p.n > 0)"""
 
 
+_SURE = NormalDist().cdf(1.645)
 _TWO = ", ".join(f"'{s}'" for s in TWO_LABELS)
 URLS = f"""
     WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -90,8 +93,12 @@ URLS = f"""
     d AS (SELECT domain, suffix, everything, sum(n) AS n, sum(k) AS k FROM h GROUP BY ALL), s AS (SELECT suffix, everything, sum(n) AS n, sum(k) AS k FROM d GROUP BY ALL), a AS (SELECT everything, sum(n) AS n, sum(k) AS k FROM s GROUP BY ALL),
     {_moments("ms", "s", "a", "everything")}, {_moments("md", "d", "s", "suffix")}, {_moments("mh", "h", "d", "domain")},
     kin AS (SELECT h.*, d.n AS nd, d.k AS kd, s.n AS ns, s.k AS ks, (a.k - s.k + 0.5) / (a.n - s.n + 1) AS m, a.n - s.n AS others FROM h JOIN d ON h.domain = d.domain JOIN s ON h.suffix = s.suffix CROSS JOIN a),
-    ph AS ({_after(_after(_after("SELECT * EXCLUDE (others), m * (1 - m) / (others + 2) AS v FROM kin", "(ns - nd)", "(ks - kd)", "ms"), "(nd - n)", "(kd - k)", "md"), "n", "k", "mh")})
-    SELECT page_id, u.host, path, {_rule_case("rule")} AS rule, coalesce({_rule_case("verdict")}, CASE WHEN m - 1.645 * sqrt(v) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM (SELECT * FROM u) u JOIN (SELECT host AS of, m, v FROM ph) ON u.host = of
+    ph AS ({_after(_after(_after("SELECT * EXCLUDE (others), m * (1 - m) / (others + 2) AS v FROM kin", "(ns - nd)", "(ks - kd)", "ms"), "(nd - n)", "(kd - k)", "md"), "n", "k", "mh")}),
+    ph2 AS (SELECT host, m, v, m * (1 - m) / v - 1 AS s FROM ph),
+    ab AS (SELECT host, m >= 0.5 AS under, s, CASE WHEN m >= 0.5 THEN m * s ELSE (1 - m) * s END AS p, CASE WHEN m >= 0.5 THEN (1 - m) * s ELSE m * s END AS q FROM ph2 WHERE s <= {EXACT_STRENGTH} AND m >= {_SURE} * 0.5),
+    term AS (SELECT host, under, s, p, q, i, coalesce(sum(ln(0.5 * (s + i - 1) / (p + i))) FILTER (i > 0) OVER (PARTITION BY host ORDER BY i), 0) AS l FROM ab, range({TERMS}) AS r(i)),
+    tail AS (SELECT host, CASE WHEN any_value(under) THEN 1 - sum(exp(l + s * ln(0.5) + lgamma(s) - lgamma(p + 1) - lgamma(q))) ELSE sum(exp(l + s * ln(0.5) + lgamma(s) - lgamma(p + 1) - lgamma(q))) END AS above FROM term GROUP BY host)
+    SELECT page_id, u.host, path, {_rule_case("rule")} AS rule, coalesce({_rule_case("verdict")}, CASE WHEN sure THEN 'block' ELSE 'allow' END) AS verdict FROM (SELECT * FROM u) u JOIN (SELECT host AS of, CASE WHEN s <= {EXACT_STRENGTH} THEN coalesce(above > {_SURE}, false) ELSE m - 1.645 * sqrt(v) > 0.5 END AS sure FROM ph2 LEFT JOIN tail USING (host)) ON u.host = of
 """
 
 ORACLE_SQL = {

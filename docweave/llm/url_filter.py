@@ -11,6 +11,8 @@ limit unless a host or enough of its kin have labels. DataFrame functions only.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,10 @@ TWO_LABELS = (
 SPREAD, WEIGHT = 0.3, 1.0
 #: The weight of a prior in labels at the least: two make an even prior flat.
 LEAST_STRENGTH = 2.0
+#: A posterior of up to this strength in labels is summed in so many terms; a stronger one is as good as normal.
+EXACT_STRENGTH, TERMS = 1024.0, 512
+#: Coefficients of the series of ln gamma in 1/x, 1/x^3, 1/x^5.
+STIRLING = (1 / 12, -1 / 360, 1 / 1260)
 
 
 def url_suffix(host: Column) -> Column:
@@ -100,9 +106,38 @@ def _posterior(first: Column, levels: list[tuple[Column, Column, float]]) -> Col
     return F.aggregate(steps, first, after)
 
 
+def _ln_gamma(x: Column) -> Column:
+    """ln gamma of x > 0 to about 1e-10, by its series at x + 7."""
+    y = x + 7
+    below = F.ln(x)
+    for i in range(1, 7):
+        below = below + F.ln(x + i)
+    series = sum((c / F.pow(y, F.lit(2 * i + 1)) for i, c in enumerate(STIRLING)), F.lit(0.0))
+    return (y - 0.5) * F.ln(y) - y + F.lit(0.9189385332046727) + series - below
+
+
+def beta_above(m: Column, v: Column, limit: float) -> Column:
+    """P(rate > limit) of a beta distribution of mean m and variance v, 0 < limit < 1: the incomplete beta function by its
+    series of positive terms, of the side of the limit that does not hold the mean, where terms only fall."""
+    s = m * (1 - m) / v - 1
+    under = m >= limit  # the mean is above: the tail below is summed
+    a, b = F.when(under, m * s).otherwise((1 - m) * s), F.when(under, (1 - m) * s).otherwise(m * s)
+    given = F.struct(under.alias("under"), s.alias("s"), a.alias("a"), b.alias("b"), F.when(under, limit).otherwise(1.0 - limit).alias("x"))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"))
+
+    def tail(g: Column) -> Column:
+        ln = g["a"] * F.ln(g["x"]) + g["b"] * F.ln(1 - g["x"]) + _ln_gamma(g["s"]) - _ln_gamma(g["a"] + 1) - _ln_gamma(g["b"])
+        sums = F.aggregate(F.sequence(F.lit(0), F.lit(TERMS - 1)), start, lambda acc, i: F.struct(
+            (acc["term"] * g["x"] * (g["s"] + i) / (g["a"] + 1 + i)).alias("term"), (acc["sum"] + acc["term"]).alias("sum")))["sum"]
+        return F.when(g["under"], 1 - F.exp(ln) * sums).otherwise(F.exp(ln) * sums)
+
+    # The parameters go through an array of one, so that they are worked out once and not in each place.
+    return F.transform(F.array(given), tail)[0]
+
+
 def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> DataFrame:
-    """host, n, k, rate, low, high for every host of pages: labelled pages, bad ones
-    among them, posterior mean of the bad rate and its bounds (z standard deviations).
+    """host, n, k, rate, low, high, v for every host of pages: labelled pages, bad ones
+    among them, posterior mean of the bad rate, its bounds (z standard deviations) and its variance.
 
     A page is bad if a label of its id (doc_id of labels = page_id) has quality 0 or
     toxic 1; null grades are not bad. Without any label all rates are 0.5. Repeated rows
@@ -128,19 +163,28 @@ def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> Da
     kin = kin.withColumn("p", _posterior(first, [(ns - nd, ks - kd, spread["suffix"]), (nd - n, kd - k, spread["domain"]), (n, k, spread["host"])]))
     kin = kin.select("host", "n", "k", F.col("p.m").alias("m"), F.col("p.v").alias("v"))
     low, high = (F.col("m") + x * F.sqrt("v") for x in (-z, z))
-    return kin.select("host", "n", "k", F.col("m").alias("rate"), F.greatest(F.lit(0.0), low).alias("low"), F.least(F.lit(1.0), high).alias("high"))
+    return kin.select("host", "n", "k", F.col("m").alias("rate"), F.greatest(F.lit(0.0), low).alias("low"), F.least(F.lit(1.0), high).alias("high"), "v")
+
+
+def blocked_hosts(reputation: DataFrame, limit: float, z: float) -> DataFrame:
+    """Rows of host_reputation() whose bad rate is above the limit with the probability that z stands for (1.645: 0.95). A
+    mean under that share of the limit cannot give it (Markov), so its tail is not summed."""
+    sure = NormalDist().cdf(z)
+    m, v = F.col("rate"), F.col("v")
+    exact = F.when(m >= sure * limit, beta_above(m, v, limit)).otherwise(0.0) > sure
+    return reputation.filter(F.when(m * (1 - m) / v - 1 <= EXACT_STRENGTH, exact).otherwise(m - z * F.sqrt(v) > limit))
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = 0.5, z: float = 1.645) -> DataFrame:
     """page_id, host, path, rule, verdict of every row of pages (columns page_id and
     url; others are ignored).
 
-    verdict is the longest fitting rule's; without one, block where the lower
-    posterior bound of the host's bad rate exceeds `limit`, else allow. A null url, or
+    verdict is the longest fitting rule's; without one, block where the lower posterior bound of the host's bad rate,
+    the quantile of its beta posterior that z stands for, exceeds `limit`, else allow. A null url, or
     one without ://, has host and path empty. Repeated rows are all returned. A host of a
     third of all rows is one row of the blocked hosts; its pages are the side that Spark
     splits. An empty table gives an empty result."""
-    blocked = host_reputation(pages, labels, z).filter(F.col("low") > limit).select(F.col("host").alias("of"))
+    blocked = blocked_hosts(stored(host_reputation(pages, labels, z)), limit, z).select(F.col("host").alias("of"))
     out = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     out = out.withColumn("fits", rule_of(F.col("host"), F.col("path"), rules))
     judged = out.join(blocked, F.col("host") == F.col("of"), "left")

@@ -139,6 +139,30 @@ def test_host_reputation_equals_brute_force(spark):
         assert (g.n, g.k) == counts[g.host] and g.rate == pytest.approx(want[g.host][0], abs=1e-9) and g.low == pytest.approx(want[g.host][1], abs=1e-9)
 
 
+def _above(a, b, limit):
+    """P(rate > limit) of a beta distribution, by sums over fine steps of ln(p / (1 - p))."""
+    t = np.linspace(-60 / min(a, 1), 60 / min(b, 1), 2_000_001) + np.log(a / b)
+    ln = -a * np.logaddexp(0, -t) - b * np.logaddexp(0, t)
+    w = np.exp(ln - ln.max())
+    return w[t > np.log(limit / (1 - limit))].sum() / w.sum()
+
+
+def test_beta_tail_equals_integration(spark):
+    cases = [(a, b, x) for a, b in ((1, 1), (4, 1), (0.3, 2.2), (7.5, 0.4), (60, 55), (505, 519), (900, 124), (20, 980)) for x in (0.1, 0.5, 0.9)]
+    rows = spark.createDataFrame([(a / (a + b), a * b / ((a + b) ** 2 * (a + b + 1))) for a, b, _ in cases[::3]], "m double, v double")
+    got = rows.select(*(url_filter.beta_above(F.col("m"), F.col("v"), x).alias(str(x)) for x in (0.1, 0.5, 0.9))).collect()
+    for i, (a, b, x) in enumerate(cases):
+        assert got[i // 3][i % 3] == pytest.approx(_above(a, b, x), abs=2e-4)
+    assert got[0]["0.5"] == pytest.approx(0.5, abs=1e-9) and got[1]["0.5"] == pytest.approx(1 - 0.5**4, abs=1e-9)
+
+
+def test_blocked_by_the_posterior_quantile(spark):
+    """With a flat posterior of k bad labels the rate is above one half with probability 1 - 2**-(k + 1): 0.95 from four on."""
+    beta = lambda a, b: (f"{a},{b}", 0, 0, a / (a + b), 0.0, 1.0, a * b / ((a + b) ** 2 * (a + b + 1)))
+    rows = spark.createDataFrame([beta(4, 1), beta(5, 1), beta(600, 500), beta(2, 90)], "host string, n long, k long, rate double, low double, high double, v double")
+    assert {r.host for r in url_filter.blocked_hosts(rows, 0.5, 1.645).collect()} == {"5,1", "600,500"}
+
+
 def test_one_label_blocks_no_other_host(spark):
     pages = spark.createDataFrame([(1, "http://a.org/"), (2, "http://b.net/"), (3, "http://c.edu/"), (4, "http://d.a.org/")], "page_id long, url string")
     one = spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int")
