@@ -78,8 +78,8 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
     weight. taken is how many words of the document the mix takes: whole passes, and
     the words of chosen blocks of `block` words. It is at most ceiling * size. The
     choice depends on the rows and the seed alone; equal doc_ids are told apart by size
-    only, so repeated rows take places in any order. Sources without words have
-    target 0. An empty table gives an empty result."""
+    only, so repeated rows take places in any order. Rows of null doc_id are one shard of their source, whatever their
+    number. Sources without words have target 0. An empty table gives an empty result."""
     placed = _placed(docs, **options)
     some = F.expr(
         """CASE WHEN size = 0 OR rest = 0 THEN 0L ELSE aggregate(

@@ -163,6 +163,7 @@ def test_token_counts(docs, rows):
     t = Tokenizer.from_file(_vocabulary("byte_bpe_50k.json"))
     want = sorted(((i, len((x or "").encode()), n := len(t.encode(x or "", add_special_tokens=False).ids), n > 512) for i, x, *_ in rows), key=str)
     assert _sorted(byte_pairs.count_tokens(docs, _vocabulary("byte_bpe_50k.json"))) == want
+    assert byte_pairs.count_tokens(docs.filter("false"), _vocabulary("byte_bpe_50k.json")).collect() == []
     counter, r = byte_pairs.PairCounter(_vocabulary("byte_bpe_50k.json")), random.Random(1)
     bits = ["a", " ", "  ", "\n", "\t", "<|endoftext|>", "'s", "é", "\u00a0", "\u3000", "12", ".", "\x1c", "\x85", "한국", "😀", "The", "\x00"]
     for _ in range(3000):
