@@ -84,23 +84,24 @@ def _last(s: Column, key: Column) -> Column:
     return F.when(back > 0, F.char_length(s) - back - F.char_length(key) + 2).otherwise(0)
 
 
-def replace_keys(s: Column, pairs: list[tuple[str, str]]) -> tuple[Column, list[Column]]:
+def replace_keys(s: Column, pairs: list[tuple[str, str]], all_occurrences: bool = False) -> tuple[Column, list[Column]]:
     """Ordered pairs applied to a text node, each to its last occurrence, later ones to
-    what earlier ones left; and for each pair whether it hit. Values are XML-escaped. Empty keys are refused."""
+    what earlier ones left, or to all occurrences; and for each pair whether it hit. Values are XML-escaped. Empty keys are refused."""
     if not all(key for key, _ in pairs):
         raise ValueError("a key must not be empty")
     if not pairs:
         return s, []
-    done = replace_each(s, F.array(*(F.struct(xml_escape(F.lit(k)).alias("k"), xml_escape(F.lit(v)).alias("v")) for k, v in pairs)))
+    done = replace_each(s, F.array(*(F.struct(xml_escape(F.lit(k)).alias("k"), xml_escape(F.lit(v)).alias("v")) for k, v in pairs)), all_occurrences)
     return done["text"], [done["hits"][i] for i in range(len(pairs))]
 
 
-def replace_each(s: Column, steps: Column) -> Column:
+def replace_each(s: Column, steps: Column, all_occurrences: bool = False) -> Column:
     """struct(text, hits) of a text node after steps, an array of struct(k, v) that may differ by row: each k, as it is, replaced
-    by v at its last occurrence in what earlier ones left; hits tells which were there."""
+    by v at its last occurrence, or at all, in what earlier ones left; hits tells which were there."""
     start = F.struct(s.alias("text"), F.array().cast("array<boolean>").alias("hits"))
+    put = F.replace if all_occurrences else replace_last
     return F.aggregate(steps, start, lambda acc, kv: F.struct(
-        replace_last(acc["text"], kv["k"], kv["v"]).alias("text"), F.array_append(acc["hits"], F.position(kv["k"], acc["text"]) > 0).alias("hits")))
+        put(acc["text"], kv["k"], kv["v"]).alias("text"), F.array_append(acc["hits"], F.position(kv["k"], acc["text"]) > 0).alias("hits")))
 
 
 #: The suffix of a changed document's default path, by what was done.

@@ -277,9 +277,9 @@ def insert_table(members: DataFrame, headers: list[str], rows: list[list[str]])
 
 # Text of packages
 
-def fill(members: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+def fill(members: DataFrame, pairs: list[tuple[str, str]], all_occurrences: bool = False) -> DataFrame:
     """Edits of all section parts and the header: in each text node that holds text alone, each
-    pair's key once, at its last place, later pairs in what earlier ones left. hits: how many
+    pair's key once, at its last place, or at all with all_occurrences, later pairs in what earlier ones left. hits: how many
     nodes each pair changed, in order; n their sum. Written without a hit too."""
     parts = members.filter(F.col("entry").rlike(r"(?i)^Contents/(section\d+|header)\.xml$")).select("doc", "entry", F.lit(0).alias("section"), F.decode("bytes", "UTF-8").alias("xml"))
     bits = F.regexp_extract_all("xml", F.lit(r"(?s)(<hp:t(?:\s[^>]*)?>[^<]*</hp:t>|<[^>]*>|[^<]+)"), 1)
@@ -287,7 +287,7 @@ def fill(members: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     node = F.col("tok").rlike(r"(?s)^<hp:t(?:\s[^>]*)?>[^<]*</hp:t>$")
     start = F.regexp_extract("tok", r"^(<[^>]*>)", 1)
     text = F.substring(F.col("tok"), F.char_length(start) + 1, F.char_length("tok") - F.char_length(start) - len("</hp:t>"))
-    done, hits = replace_keys(F.when(node, text), pairs)
+    done, hits = replace_keys(F.when(node, text), pairs, all_occurrences)
     t = t.withColumns({"tok": F.when(node, F.concat(start, done, F.lit("</hp:t>"))).otherwise(F.col("tok")), "_hits": F.array(*(F.coalesce(h & node, F.lit(False)) for h in hits))})
     counts = t.groupBy("doc", "entry").agg(F.array(*(F.count_if(F.col("_hits")[i]) for i in range(len(pairs)))).alias("hits"))
     out = assembled(t).join(counts, ["doc", "entry"])
@@ -302,7 +302,7 @@ def fill_report(edits: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return sums.select("doc", F.concat(F.format_string("총 %d건 치환 (%d replacements)\n\n", total, total), F.array_join(F.transform(F.array_sort(each), lambda x: x["line"]), "\n")).alias("report"))
 
 
-def fill_each(members: DataFrame, arguments: DataFrame) -> tuple[DataFrame, DataFrame]:
+def fill_each(members: DataFrame, arguments: DataFrame, all_occurrences: bool = False) -> tuple[DataFrame, DataFrame]:
     """(edits, outcome): each document filled by its own pairs. arguments: (doc, replacements), a row for a document, replacements
     being a JSON object of strings; its pairs are taken in JavaScript's order of keys, as fill() takes pairs. outcome: (doc,
     code, n, report) of each document of arguments: ok, bad_json, bad_value, empty_key, or not_found without
@@ -317,7 +317,7 @@ def fill_each(members: DataFrame, arguments: DataFrame) -> tuple[DataFrame, Data
     def piece(x: Column) -> Column:
         start = F.regexp_extract(x, r"^(<[^>]*>)", 1)
         text = F.substring(x, F.char_length(start) + 1, F.char_length(x) - F.char_length(start) - len("</hp:t>"))
-        done = replace_each(text, F.col("steps"))
+        done = replace_each(text, F.col("steps"), all_occurrences)
         new = F.struct(F.concat(start, done["text"], F.lit("</hp:t>")).alias("text"), done["hits"].alias("hits"))
         return F.when(x.rlike(node), new).otherwise(F.struct(x.alias("text"), F.array().cast("array<boolean>").alias("hits")))
 

@@ -106,6 +106,10 @@ def test_fill_each(spark):
     said = {r.doc: (r.code, r.n, r.report) for r in outcome.collect()}
     assert said["a"] == ("ok", 5, "총 5건 치환 (5 replacements)\n\n  '7' → 1건\n  'k1' → 2건\n  '<K>' → 1건\n  'k2' → 1건\n  'none' → 0건")
     assert {d: x[0] for d, x in said.items()} == {"a": "ok", "b": "bad_value", "gone": "not_found", "empty": "bad_json"} and said["b"][1:] == (0, None)
+    edits, outcome = P.fill_each(members, arguments.filter("doc = 'a'"), all_occurrences=True)
+    assert {e.xml for e in edits.collect()} == {node("&lt;v&gt; &lt;v&gt;", "&amp;"), node("&lt;v&gt; $1 &lt;v&gt; $1")} and outcome.first().n == 5  # nodes, not places
+    every = P.fill(members.filter("doc = 'a'"), [("k1", "k1k1"), ("7", "\\1")], all_occurrences=True)
+    assert {e.xml: list(e.hits) for e in every.collect()} == {node("k1k1 k1k1", "&lt;K&gt;"): [1, 0], node("k2 \\1"): [0, 1]}
     nothing, none = P.fill_each(members, arguments.limit(0))
     assert nothing.count() == none.count() == 0
 
