@@ -11,6 +11,7 @@ from docweave.operators import edit_script as S
 from docweave.operators import flow as O
 from docweave.operators import package_edit as P
 from docweave.operators import report as R
+from docweave.operators import run_fill
 from docweave.operators import tables as B
 from docweave.sources import package, structure, views
 from docweave.sources.storage import stored
@@ -548,3 +549,20 @@ def create_json(spark, sf_dir):
     members, outcome = package.create_each(C.contents(spark, sf_dir))
     t = _tokens(members)
     return outcome.join(_dump(t.select("doc").distinct(), t), "doc", "left").select(C.doc_id(), "code", "text")
+
+
+# Keys split over runs.
+
+def _runs_sql(second: str) -> str:
+    """Each document's lines after `second` (SQL of t1) replaces the second key, and how many lines hold each key."""
+    return f"""{_L}, s1 AS (SELECT *, contains(line, 'the') AS h1, replace(line, 'the', 'T<') AS t1 FROM l), s2 AS (SELECT *, contains(t1, 'T<r') AS h2, {second} AS t2 FROM s1)
+SELECT doc, CAST(count(*) FILTER (h1) AS BIGINT) AS n_first, CAST(count(*) FILTER (h2) AS BIGINT) AS n_second, string_agg(t2, chr(10) ORDER BY paragraph) AS text FROM s2 GROUP BY doc"""
+
+
+@query(_runs_sql("replace(t1, 'T<r', '$1 th\\r')"))
+def package_fill_runs(spark, sf_dir):
+    """Keys that lie in several runs, all their places, the second in what the first left."""
+    members = C.run_members(spark, sf_dir)
+    edits = stored(run_fill.fill_across_runs(members, [("the", "T<"), ("T<r", "$1 th\\r")], all_occurrences=True))
+    n = edits.groupBy("doc").agg(F.sum(F.col("hits")[0]).alias("n_first"), F.sum(F.col("hits")[1]).alias("n_second"))
+    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(n, "doc").select(C.doc_id(), "n_first", "n_second", "text")
