@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions.text import xml_escape
-from docweave.operators.package_edit import _filled, _id, _if_said, _numbered, _with_ids, first_sections
+from docweave.operators.package_edit import _filled, _id, _if_said, _numbered, _with_ids, first_sections, merge_plan
 from docweave.sources.markup import assembled, attribute, tokens, with_attribute
 from docweave.sources.storage import stored
 
@@ -148,12 +148,12 @@ def _paragraph_turn(parts: DataFrame, steps: DataFrame) -> DataFrame:
 # Tables
 
 def _cell(row: int, c: dict) -> dict:
-    return {"row": row, "cell": c["cell"], "nodes": c["nodes"], "own": c["own"], "row_addr": c["row_addr"], "col_addr": c["col_addr"], "texts": {}, "row_span": None, "col_span": None, "copied": False}
+    return {"row": row, "cell": c["cell"], "nodes": c["nodes"], "own": c["own"], "row_addr": c["row_addr"], "col_addr": c["col_addr"], "texts": {}, "down": c["down"] or 1, "wide": c["wide"] or 1, "row_span": None, "col_span": None, "copied": False}
 
 
 def fold_tables(cells: list[dict], cols: dict[int, int | None], steps: list[dict]) -> tuple:
     """(tables, report): of each table edited its number, row and column counts and its rows, each with the row whose tags it
-    has and its cells. cells: (table, row, cell, nodes, own, row_addr, col_addr) in order, nodes being how many text nodes a cell
+    has and its cells. cells: (table, row, cell, nodes, own, row_addr, col_addr, down, wide) in order, nodes being how many text nodes a cell
     has, own the first that is not in a table within, cell null for a row without cells. report: (ord, code, n) of each edit."""
     tables: dict[int, list[dict]] = {}
     for c in cells:
@@ -217,25 +217,16 @@ def fold_tables(cells: list[dict], cols: dict[int, int | None], steps: list[dict
                 code = "target_missing"
             else:
                 here[col]["texts"][here[col]["own"]] = s["text"] or ""
-        elif op == "merge_horizontal":
-            said = count
-            if here is None:
-                code = "index_range"
-            elif None in (col, count) or count < 2 or col < 0 or col + count > len(here):
-                code = "bad_span"
-            else:
-                here[col]["col_span"] = count
-                del here[col + 1 : col + count]
         else:
-            said = count
-            if None in (col, count, row) or count < 2 or here is None or row + count > len(rows) or not 0 <= col < len(here):
-                code = "bad_span"
+            said, down = count, op == "merge_vertical"
+            if None in (row, col, count):
+                code = "bad_span" if down or here is not None else "index_range"
             else:
-                grid = lambda c, i: i if c["col_addr"] is None else c["col_addr"]
-                of = grid(here[col], col)
-                here[col]["row_span"] = count
-                for r in rows[row + 1 : row + count]:
-                    r["cells"] = [c for i, c in enumerate(r["cells"]) if grid(c, i) != of]
+                code, span, gone = merge_plan([[(c["col_addr"], c["down"], c["wide"]) for c in r["cells"]] for r in rows], row, col, count, down)
+            if code == "ok":
+                here[col] |= {"down": span, "row_span": span} if down else {"wide": span, "col_span": span}
+                for i, j in reversed(gone):
+                    del rows[i]["cells"][j]
         if code == "ok":
             touched.add(t)
         report.append((s["ord"], code, said))
@@ -255,12 +246,13 @@ def _table_turn(parts: DataFrame, steps: DataFrame) -> DataFrame:
     t = t.withColumn("nth", F.when(F.col("cell").isNotNull(), nth))
     own = F.col("in_tbl") == 1
     said = lambda name: F.max(F.when((F.col("name") == "hp:cellAddr") & own, attribute(F.col("tok"), name))).cast("long").alias
+    span = lambda name: F.max(F.when(F.col("name").isin("hp:cellSpan", "hp:tc") & own & (F.col("kind") != "close"), attribute(F.col("tok"), name))).cast("int").alias
     cells = t.filter("table is not null").groupBy(*within).agg(
-        F.count_if(node).alias("nodes"), F.min(F.when(node & own, F.col("nth"))).alias("own"), said("rowAddr")("row_addr"), said("colAddr")("col_addr"),
+        F.count_if(node).alias("nodes"), F.min(F.when(node & own, F.col("nth"))).alias("own"), said("rowAddr")("row_addr"), said("colAddr")("col_addr"), span("rowSpan")("down"), span("colSpan")("wide"),
         F.max(F.when((F.col("name") == "hp:tbl") & own & (F.col("kind") != "close"), attribute(F.col("tok"), "colCnt"))).cast("long").alias("cols"))
-    cells = cells.groupBy(*_PART).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("table", F.lit(-1)).alias("table"), F.coalesce("row", F.lit(-1)).alias("row"), F.coalesce("cell", F.lit(-1)).alias("cell"), "nodes", "own", "row_addr", "col_addr", "cols"))).alias("cells"))
+    cells = cells.groupBy(*_PART).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("table", F.lit(-1)).alias("table"), F.coalesce("row", F.lit(-1)).alias("row"), F.coalesce("cell", F.lit(-1)).alias("cell"), "nodes", "own", "row_addr", "col_addr", "down", "wide", "cols"))).alias("cells"))
     outline = t.select(*_PART).distinct().join(cells, _PART, "left").join(steps, "doc")
-    names = ("table", "row", "cell", "nodes", "own", "row_addr", "col_addr", "cols")
+    names = ("table", "row", "cell", "nodes", "own", "row_addr", "col_addr", "down", "wide", "cols")
 
     def fold(r) -> tuple:
         got = [{k: _whole(c[k]) for k in names} for c in (r.cells if r.cells is not None else [])]

@@ -1,7 +1,7 @@
 """Edits of packages: each takes the members of any number of documents and gives edits
 (doc, entry, code, n, xml), which `applied` puts back.
 
-code is ok, or says why nothing changes (xml is null then): index_range, bad_span,
+code is ok, or says why nothing changes (xml is null then): index_range, bad_span, overlap,
 target_missing, nested_target (a paragraph that holds others). n counts what the edit
 touched. Structural edits see each document's first section part; indexes count from 0,
 paragraphs by their ends (`flat` of the tokens), tables by the outermost ones, cells as
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from docweave.functions.arguments import MOST_INDEX, json_pairs
 from docweave.functions.text import replace_each, replace_keys, xml_escape
 from docweave.sources.markup import assembled, attribute, put_back, tokens, with_attribute
 from docweave.sources.storage import stored
-from docweave.sources.views import MEDIA, field_spans, manifest
+from docweave.sources.views import MEDIA, field_spans, grid_columns, manifest
 
 #: Sizes of an inserted picture (about 100 mm) and of an inserted table.
 PICTURE, TABLE_WIDTH, ROW_HEIGHT = 28350, 40000, 5000
@@ -222,39 +223,73 @@ def set_cell_text(members: DataFrame, table: int, row: int, col: int, text: str)
     return _edits(_filled(t, F.col("hit") & (F.col("nth") == 1), F.lit(text)))
 
 
-def _spanned(t: DataFrame, first: Column, name: str, count: int) -> DataFrame:
-    """Tokens with the span of the cell at `first` set: at its hp:cellSpan, else at the cell's tag."""
+def merge_plan(rows: list[list[tuple]], row: int, col: int, count: int, down: bool) -> tuple[str, int, list[tuple[int, int]]]:
+    """(code, span, gone) of a merge of `count` cells of a row, or of as many rows of a column if `down`, from the cell that stands at
+    `col` of `row`: the merged cell's span, and the (row, cell) that go. rows: (column address or None, row span, column span) of
+    the cells of each row. Cells go by the grid. overlap: a cell that the edit does not name lies in the merged area, or one
+    that it names reaches beyond it, so the area would be no rectangle of whole cells."""
+    here = rows[row] if 0 <= row < len(rows) else None
+    if here is None and not down:
+        return "index_range", 0, []
+    if here is None or count < 2 or not 0 <= col < len(here) or (row + count > len(rows) if down else col + count > len(here)):
+        return "bad_span", 0, []
+    cells = [(i, j, *c) for i, r in enumerate(rows) for j, c in enumerate(r)]
+    left = grid_columns(*([c[k] for c in cells] for k in (0, 2, 3, 4)))
+    area = {(i, j): (i, min(i + max(tall, 1), len(rows)), at, at + max(wide, 1)) for (i, j, _, tall, wide), at in zip(cells, left, strict=True)}
+    top, bottom, start, end = area[row, col]
+    if down:
+        bottom = row + count
+    else:
+        end = area[row, col + count - 1][3]
+    met = {k: x for k, x in area.items() if x[0] < bottom and x[1] > top and x[2] < end and x[3] > start}
+    if down:
+        fits = all(x[0] >= top and x[1] <= bottom and x[2:] == (start, end) for x in met.values())
+    else:
+        fits = set(met) == {(row, col + i) for i in range(count)} and all(x[:2] == (top, bottom) and x[2] >= start and x[3] <= end for x in met.values())
+    return ("ok", count if down else end - start, sorted(set(met) - {(row, col)})) if fits else ("overlap", 0, [])
+
+
+def _merge(members: DataFrame, table: int, row: int, col: int, count: int, down: bool) -> DataFrame:
+    t = _table(members, table)
+    said = lambda name, *tags: F.max(F.when(F.col("name").isin(*tags) & (F.col("in_tbl") == 1) & (F.col("kind") != "close"), attribute(F.col("tok"), name))).cast("int").alias
+    cells = t.filter("own and row is not null").groupBy("doc", "entry", "row", "cell").agg(
+        said("colAddr", "hp:cellAddr")("address"), said("rowSpan", "hp:cellSpan", "hp:tc")("down"), said("colSpan", "hp:cellSpan", "hp:tc")("wide"))
+    whole = cells.groupBy("doc", "entry").agg(F.array_sort(F.collect_list(F.struct("row", F.coalesce("cell", F.lit(-1)).alias("cell"), "address", "down", "wide"))).alias("cells"))
+
+    def plan(tables: pd.Series) -> pd.DataFrame:
+        out = []
+        for cells in tables:
+            rows: dict[int, list[tuple]] = {}
+            for c in cells:
+                line = rows.setdefault(int(c["row"]), [])
+                if c["cell"] >= 0:
+                    line.append((None if c["address"] is None else int(c["address"]), int(c["down"] or 1), int(c["wide"] or 1)))
+            code, span, gone = merge_plan([rows[r] for r in sorted(rows)], row, col, count, down)
+            out.append((code, span, [{"row": r, "cell": c} for r, c in gone]))
+        return pd.DataFrame(out, columns=["code", "span", "gone"])
+
+    plans = whole.select("doc", "entry", F.pandas_udf(plan, "code string, span int, gone array<struct<row:long,cell:long>>")("cells").alias("plan"))
+    t = t.join(plans, ["doc", "entry"], "left")
+    none = "bad_span" if down else "index_range"  # a table without rows
+    t = t.withColumns({"n": F.lit(count), "code": F.coalesce("plan.code", F.when(F.col("n_rows").isNull(), "index_range").otherwise(none))})
+    first = F.coalesce(F.col("own") & (F.col("row") == row) & (F.col("cell") == col) & (F.col("in_tbl") == 1), F.lit(False))
     has = F.max(first & (F.col("name") == "hp:cellSpan")).over(_doc())
-    put = first & (F.col("kind") != "close") & F.when(has, F.col("name") == "hp:cellSpan").otherwise(F.col("name") == "hp:tc")
-    return t.withColumn("tok", F.when(put, with_attribute(F.col("tok"), name, F.lit(count))).otherwise(F.col("tok")))
+    put = first & (F.col("kind") != "close") & F.when(has, F.col("name") == "hp:cellSpan").otherwise(F.col("name") == "hp:tc") & (F.col("code") == "ok")
+    t = t.withColumn("tok", F.when(put, with_attribute(F.col("tok"), "rowSpan" if down else "colSpan", F.col("plan.span"))).otherwise(F.col("tok")))
+    gone = F.col("own") & F.exists("plan.gone", lambda g: (g["row"] == F.col("row")) & (g["cell"] == F.col("cell")))
+    return _edits(t.filter(~F.coalesce(gone, F.lit(False))))
 
 
 def merge_horizontal(members: DataFrame, table: int, row: int, start: int, count: int) -> DataFrame:
-    """The cell gets the span, the next count - 1 cells of the row and their text go."""
-    t = _table(members, table)
-    at = F.coalesce(F.col("own") & (F.col("row") == row), F.lit(False))
-    cells = F.max(F.when(at, F.col("n_cells"))).over(_doc())
-    code = F.when(cells.isNull(), "index_range").when(F.lit(count < 2 or start < 0) | (F.lit(start + count) > cells), "bad_span").otherwise("ok")
-    t = t.withColumns({"n": F.lit(count), "code": code})
-    t = _spanned(t, at & (F.col("cell") == start) & (F.col("in_tbl") == 1), "colSpan", count)
-    gone = at & (F.col("cell") > start) & (F.col("cell") < start + count)
-    return _edits(t.filter(~F.coalesce(gone, F.lit(False)) | (F.col("code") != "ok")))
+    """The cell gets the span of the `count` cells, the next count - 1 cells of the row and their text go. overlap where these are
+    not side by side in the grid or not of one height."""
+    return _merge(members, table, row, start, count, False)
 
 
 def merge_vertical(members: DataFrame, table: int, col: int, start: int, count: int) -> DataFrame:
-    """The cell that stands at `col` of row `start` gets the span; from the next count - 1 rows
-    the cell in the same grid column goes, by its address where cells have one."""
-    t = _table(members, table)
-    cell = Window.partitionBy("doc", "entry", "table", "row", "cell")
-    address = F.max(F.when((F.col("name") == "hp:cellAddr") & (F.col("in_tbl") == 1), attribute(F.col("tok"), "colAddr").cast("int"))).over(cell)
-    t = t.withColumn("grid", F.when(F.col("own") & F.col("cell").isNotNull(), F.coalesce(address, "cell")))
-    first = F.coalesce((F.col("row") == start) & (F.col("cell") == col) & F.col("own"), F.lit(False))
-    t = t.withColumn("of", F.max(F.when(first, F.col("grid"))).over(_doc()))
-    rows = F.col("n_rows")
-    code = F.when(rows.isNull(), "index_range").when(F.lit(count < 2 or start < 0) | (F.lit(start + count) > rows) | F.col("of").isNull(), "bad_span").otherwise("ok")
-    t = _spanned(t.withColumns({"n": F.lit(count), "code": code}), first & (F.col("in_tbl") == 1), "rowSpan", count)
-    gone = F.col("own") & (F.col("row") > start) & (F.col("row") < start + count) & (F.col("grid") == F.col("of"))
-    return _edits(t.filter(~F.coalesce(gone, F.lit(False)) | (F.col("code") != "ok")))
+    """The cell that stands at `col` of row `start` gets the span; from the next count - 1 rows the cells in the same grid columns
+    go. overlap where one of them is wider or narrower or reaches below the last row."""
+    return _merge(members, table, start, col, count, True)
 
 
 def insert_table(members: DataFrame, headers: list[str], rows: list[list[str]]) -> DataFrame:

@@ -460,6 +460,18 @@ def package_merges(spark, sf_dir):
     return _grid_cells(_scripted(spark, sf_dir, (_n() % 2 == 0, "merge_horizontal", at), (_n() % 2 == 1, "merge_vertical", at)), "row_span", "col_span")
 
 
+@query(f"""SELECT doc_id AS doc, CASE WHEN doc_id % 2 = 0 THEN 'overlap' ELSE 'ok' END AS code, v.row, v.col, v.down AS row_span, CASE WHEN v.nth = 2 AND doc_id % 2 = 1 THEN CAST(2 AS BIGINT) ELSE v.wide END AS col_span,
+CASE v.nth WHEN 0 THEN coalesce({C.TRIM.format("text")}, '') ELSE v.said || '-' || doc_id END AS text FROM documents, (VALUES (0, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(2 AS BIGINT), CAST(1 AS BIGINT), ''), (1, 0, 1, 1, 2, 'top'), (2, 1, 1, 1, 1, 'a'), (3, 1, 2, 1, 1, 'b')) AS v(nth, row, col, down, wide, said)
+WHERE NOT (v.nth = 3 AND doc_id % 2 = 1)""")
+def package_merge_overlaps(spark, sf_dir):
+    """A cell over two rows takes none of one row beside it; two cells of one row become one."""
+    at = {"table": F.lit(0), "col": F.lit(0), "count": F.lit(2)}
+    members = C.spanned_members(spark, sf_dir)
+    edits, report = S.apply_script(members, C.script(spark, sf_dir, (F.lit(True), "merge_horizontal", at | {"row": _n() % 2})))
+    cells = _grid_cells(views.body_tokens(P.applied(members, edits)), "row_span", "col_span").filter("row < 2")
+    return cells.join(report.select(C.doc_id(), "code"), "doc")
+
+
 @query("""SELECT doc_id AS doc, CASE doc_id % 3 WHEN 0 THEN chr(10) || 'A' || doc_id || 'C' || chr(10) || 'more ' || doc_id WHEN 1 THEN 'new' || chr(10) || chr(10) || 'A' || doc_id || 'C'
 ELSE 'first' || chr(10) || chr(10) || 'A' || doc_id || 'C' || chr(10) || 'set again' END AS text FROM documents""")
 def package_script(spark, sf_dir):
