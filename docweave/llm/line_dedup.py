@@ -13,7 +13,7 @@ functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import fresh, own_columns, stored
@@ -24,7 +24,7 @@ LEAF = 24
 WHOLE = 20
 #: A line on more rows than this, and than a ten-thousandth, is taken from its first row alone.
 HOT_LINES = 500
-#: As many lines' hashes are broadcast at most, 8 bytes each; more are joined by a shuffle.
+#: As many lines' hashes are broadcast at most, 16 bytes each; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 SAME, SHORT, LONG = 0, 1, 2
 
@@ -34,7 +34,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return (
         docs.select(_order_of(F.col("doc_id")).alias("doc"), F.xxhash64(text).alias("digest"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-        .filter(F.col("line").rlike(r"\S")).select(F.xxhash64("line").alias("id"), "doc", "pos", "digest", "line")
+        .filter(F.col("line").rlike(r"\S")).select(F.struct(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")).alias("id"), "doc", "pos", "digest", "line")
     )
 
 
@@ -60,12 +60,17 @@ def _halves(text: Column, before: Column, roles: Column | None) -> Column:
     return F.when(roles == SAME, F.array(*every[:2])).when(roles == SHORT, F.array(*every[2:4])).otherwise(F.array(*every[4:]))
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """(key, roles) of the keys that several lines have: roles tells whether in several roles too. Keys are aggregated before they
+    are shuffled, so a half that very many lines share is one row a task."""
+    met = rows.groupBy("key").agg(*(f(c).alias(n) for n, f, c in (("i0", F.min, "id.a"), ("i1", F.max, "id.a"), ("r0", F.min, "role"), ("r1", F.max, "role"))))
+    return met.filter("i0 <> i1").select("key", (F.col("r0") != F.col("r1")).alias("roles"))
+
+
 def _meeting(rows: DataFrame) -> DataFrame:
-    """Rows (id, key, role, ...) whose key another line has, in the other role if roles differ."""
-    same = Window.partitionBy("key")
-    return rows.select(
-        "*", (F.min("id").over(same) != F.max("id").over(same)).alias("_ids"), (F.min("role").over(same) != F.max("role").over(same)).alias("_roles")
-    ).filter(F.col("_ids") & ((F.col("role") == SAME) | F.col("_roles"))).drop("_ids", "_roles")
+    """Rows (id, key, role, ...) whose key another line has, in the other role if roles differ. The join brings rows to keys, where
+    the tasks of a key with very many rows are split."""
+    return rows.join(stored(_met(rows)), "key").filter((F.col("role") == SAME) | F.col("roles")).drop("roles")
 
 
 def _variants(leaves: DataFrame) -> DataFrame:
@@ -145,7 +150,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 0) -> DataFrame:
 
     Lines end at newlines. Blank ones stay and are not compared; lines under
     `least_chars` characters, if it is set above 1, are compared for equality only. Lines are judged on the
-    input, and equal by a 64-bit hash. A null text counts as empty and stays null; a null doc_id counts as larger than all.
+    input, and equal by a 128-bit hash. A null text counts as empty and stays null; a null doc_id counts as larger than all.
     Rows that share doc_id and text count as one. Columns that docs has of
     those two names are replaced. An empty table gives an empty result."""
     firsts, later = near_lines(docs, least_chars)

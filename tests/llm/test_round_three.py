@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.llm import graph_search, periodic_runs, queries, whitening
+from docweave.llm import graph_search, line_dedup, periodic_runs, queries, whitening
 from tests.conftest import SF
 
 VECTORS = "vec_id long, embedding array<double>, label int, dim int, n long, id long, x string, v string, shard int, h1 long"
@@ -266,3 +266,32 @@ def test_op13_recall(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     want = _brute(rows, [i for i, _ in rows if i % 100 == 0])
     assert set(got) == set(want) and np.mean([len(got[q] & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.95
+
+
+def test_lines_that_share_a_half(spark):
+    """A half that a third of all lines have: each line's near copies are found, and keys meet by aggregates, not in one task's window."""
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    shared, lines = word(30), []
+    for i in range(240):
+        lines.append(shared + word(30) if i % 3 == 0 else word(r.choice([24, 59, 60])))
+        if i % 8 == 0:
+            at, old = r.randrange(len(lines[-1])), lines[-1]
+            lines.append(r.choice([old[:at] + old[at + 1 :], old[:at] + "z" + old[at + 1 :], old[:at] + "z" + old[at:]]))
+    docs = spark.createDataFrame([(i // 40, "\n".join(lines[i : i + 40])) for i in range(0, len(lines), 40)], "doc_id long, text string")
+    got = {x.doc_id: x.n_removed for x in line_dedup.dedup_lines(docs).collect()}
+
+    def near(a, b):
+        if abs(len(a) - len(b)) > 1 or a == b:
+            return a == b
+        i = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
+
+    want = dict.fromkeys(got, 0)
+    for j, line in enumerate(lines):
+        want[j // 40] += any(near(line, x) for x in lines[:j])
+    assert sum(want.values()) >= 30 and got == want
+    halves = line_dedup._halves(F.col("line"), F.lit(0), None)
+    rows = line_dedup._lines(docs).select("id", F.inline(F.transform(halves, lambda h: F.struct(h["key"].alias("key"), h["role"].alias("role")))))
+    plan = line_dedup._met(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan
