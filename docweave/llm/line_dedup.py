@@ -32,45 +32,56 @@ SAME, SHORT, LONG = 0, 1, 2
 def _lines(docs: DataFrame) -> DataFrame:
     """(id, doc, pos, digest, line) of every line that is not blank."""
     text = F.coalesce("text", F.lit(""))
+    texts = docs.select(_order_of(F.col("doc_id")).alias("doc"), F.xxhash64(text).alias("digest"), F.split(text, "\n", -1).alias("all"))  # once a text, not a line
     return (
-        docs.select(_order_of(F.col("doc_id")).alias("doc"), F.xxhash64(text).alias("digest"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+        texts.select("doc", "digest", F.posexplode("all").alias("pos", "line"))
         .filter(F.col("line").rlike(r"\S")).select(F.struct(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")).alias("id"), "doc", "pos", "digest", "line")
     )
 
 
+def _cut(text: Column, role: int, left: bool) -> tuple[Column, Column, Column]:
+    """(m, kept, part) of `text` with its left or right half kept: m is the length of the shorter of a pair, part what remains."""
+    n, extra = F.char_length(text), 1 if role == LONG else 0
+    m = n - extra
+    half = F.floor(m / 2).cast("int")
+    if left:  # the left half stays
+        return m, F.substring(text, F.lit(1), half), F.substring(text, half + 1, n)
+    return m, F.substring(text, half + 1 + extra, n), F.substring(text, F.lit(1), half + extra)
+
+
 def _halves(text: Column, before: Column, roles: Column | None) -> Column:
-    """Both ways to keep a half of `text`, in each role: array<struct<key, role, part>>;
-    key: hash of what is kept, part: what remains. before: hash of what was kept."""
-    n = F.char_length(text)
+    """Both ways to keep a half of `text` in its role: array<struct<key, role, left, part>>; key: hash of what is kept,
+    part: what remains. before: hash of what was kept. Of whole lines (roles is None) parts are not cut, as few lines need
+    them, and there are two roles: as the shorter a line keeps what it keeps as one of two of equal length, so SAME is both."""
 
     def of(role: int, left: bool) -> Column:
-        m = n - 1 if role == LONG else n  # the length of the shorter of a pair
-        half = F.floor(m / 2).cast("int")
-        tag = F.lit(10 * (role == SAME) + left)
-        from_left, extra = half, (1 if role == LONG else 0)
-        if left:  # the left half stays
-            kept, part = F.substring(text, F.lit(1), from_left), F.substring(text, half + 1, n)
-        else:
-            kept, part = F.substring(text, half + 1 + extra, n), F.substring(text, F.lit(1), half + extra)
-        return F.struct(F.xxhash64(before, tag, m, kept).alias("key"), F.lit(role).alias("role"), F.lit(left).alias("left"), part.alias("part"))
-
-    every = [of(role, left) for role in (SAME, SHORT, LONG) for left in (True, False)]
+        m, kept, part = _cut(text, role, left)
+        tag = F.lit(left if roles is None else 10 * (role == SAME) + left)
+        key = F.xxhash64(before, tag, m, kept)
+        return F.struct(key.alias("key"), F.lit(role).alias("role"), F.lit(left).alias("left"), *([] if roles is None else [part.alias("part")]))
+
     if roles is None:
-        return F.array(*every)
-    return F.when(roles == SAME, F.array(*every[:2])).when(roles == SHORT, F.array(*every[2:4])).otherwise(F.array(*every[4:]))
+        return F.array(*(of(role, left) for role in (SAME, LONG) for left in (True, False)))
+    same, short, long = (F.array(of(role, True), of(role, False)) for role in (SAME, SHORT, LONG))
+    return F.when(roles == SAME, same).when(roles == SHORT, short).otherwise(long)
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """(key, roles) of the keys that several lines have: roles tells whether in several roles too. Keys are aggregated before they
-    are shuffled, so a half that very many lines share is one row a task."""
-    met = rows.groupBy("key").agg(*(f(c).alias(n) for n, f, c in (("i0", F.min, "id.a"), ("i1", F.max, "id.a"), ("r0", F.min, "role"), ("r1", F.max, "role"))))
-    return met.filter("i0 <> i1").select("key", (F.col("r0") != F.col("r1")).alias("roles"))
+    """(key, same, roles) of the keys at which lines meet: same if several have the role SAME, roles if one is the longer and one
+    not. Keys are aggregated before they are shuffled, so a half that very many lines share is one row a task."""
+    alike = F.when(F.col("role") == SAME, F.col("id.a"))
+    had = F.when(F.col("role") == SAME, 1 << SAME).when(F.col("role") == SHORT, 1 << SHORT).otherwise(1 << LONG)
+    met = rows.groupBy("key").agg(F.min(alike).alias("i0"), F.max(alike).alias("i1"), F.bit_or(had).alias("had"))
+    both = (F.col("had") >= 1 << LONG) & (F.col("had") != 1 << LONG)
+    return met.select("key", F.coalesce(F.col("i0") != F.col("i1"), F.lit(False)).alias("same"), both.alias("roles")).filter("same or roles")
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
-    """Rows (id, key, role, ...) whose key another line has, in the other role if roles differ. The join brings rows to keys, where
-    the tasks of a key with very many rows are split."""
-    return rows.join(stored(_met(rows)), "key").filter((F.col("role") == SAME) | F.col("roles")).drop("roles")
+    """Rows (id, key, role, ...) whose key another line has, in the other role if roles differ, with what _met says of the key.
+    The join brings rows to keys; where keys are too many to broadcast, the tasks of a key with very many rows are split."""
+    met = stored(_met(rows))
+    met = F.broadcast(met) if met.count() <= MOST_BROADCAST else met
+    return rows.join(met, "key").filter((F.col("role") == SAME) | F.col("roles"))
 
 
 def _variants(leaves: DataFrame) -> DataFrame:
@@ -108,14 +119,17 @@ def near_lines(docs: DataFrame, least_chars: int = 0) -> tuple[DataFrame, DataFr
     hot = firsts.filter(F.col("rows") > max(HOT_LINES, total // 10_000)).select("id", F.col("first").alias("hot"))  # under 10,000
     once = lines.join(F.broadcast(hot), "id", "left").filter(F.col("hot").isNull() | (F.col("hot") == F.struct("doc", "pos", "digest")))
     once = once.filter(F.char_length("line") >= least)
-    halves = F.transform(_halves(F.col("line"), F.lit(0), None), lambda h: F.struct(h["key"].alias("key"), h["role"].alias("role"), h["left"].alias("left")))
-    met = stored(_meeting(once.select("id", F.inline(halves))).distinct())
+    halves = once.select("id", _halves(F.col("line"), F.lit(0), None).alias("halves"))  # not in the generator: so n is counted once
+    met = stored(_meeting(halves.select("id", F.inline("halves"))).distinct())
 
     ids = met.select("id").distinct()
     ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
     texts = stored(once.select("id", "line").join(ids, "id").distinct())
-    split = _halves(F.col("line"), F.lit(0), None)
-    level = texts.select("id", "line", F.inline(split)).join(met.select("id", "key", "role"), ["id", "key", "role"], "left_semi").select("id", "key", "role", "part")
+    taken = F.when(F.col("role") == LONG, F.array(F.lit(LONG))).when(~F.col("roles"), F.array(F.lit(SAME)))
+    taken = taken.when(~F.col("same"), F.array(F.lit(SHORT))).otherwise(F.array(F.lit(SAME), F.lit(SHORT)))
+    level = met.withColumn("role", F.explode(taken)).join(texts, "id")
+    rest = [F.when(F.col("left"), _cut(F.col("line"), role, True)[2]).otherwise(_cut(F.col("line"), role, False)[2]) for role in (SAME, LONG)]
+    level = level.select("id", "key", "role", F.when(F.col("role") == LONG, rest[1]).otherwise(rest[0]).alias("part"))
     leaves, deep = [_short_leaves(firsts)], stored(level)
     shorter = F.char_length("part") - F.when(F.col("role") == LONG, 1).otherwise(0)  # alike for both of a pair
     while True:
@@ -124,7 +138,7 @@ def near_lines(docs: DataFrame, least_chars: int = 0) -> tuple[DataFrame, DataFr
         if deep.isEmpty():
             break
         parts = deep.select("id", F.inline(_halves(F.col("part"), F.col("key"), F.col("role")))).select("id", "key", "role", "part")
-        deep = stored(_meeting(parts))
+        deep = stored(_meeting(parts).select("id", "key", "role", "part"))
     variants = _variants(_union(leaves))
     order = variants.join(firsts.select("id", "first"), "id").select("id", "key", "role", "first")
     best = order.groupBy("key").agg(*(F.min(F.when(F.col("role") == r, F.struct("first", "id"))).alias(f"r{r}") for r in (SAME, SHORT, LONG)))
