@@ -43,7 +43,7 @@ def _cut(text: Column, role: int, left: bool) -> tuple[Column, Column, Column]:
     """(m, kept, part) of `text` with its left or right half kept: m is the length of the shorter of a pair, part what remains."""
     n, extra = F.char_length(text), 1 if role == LONG else 0
     m = n - extra
-    half = F.floor(m / 2).cast("int")
+    half = F.shiftright(m, 1)
     if left:  # the left half stays
         return m, F.substring(text, F.lit(1), half), F.substring(text, half + 1, n)
     return m, F.substring(text, half + 1 + extra, n), F.substring(text, F.lit(1), half + extra)
@@ -52,17 +52,19 @@ def _cut(text: Column, role: int, left: bool) -> tuple[Column, Column, Column]:
 def _halves(text: Column, before: Column, roles: Column | None) -> Column:
     """Both ways to keep a half of `text` in its role: array<struct<key, role, left, part>>; key: hash of what is kept,
     part: what remains. before: hash of what was kept. Of whole lines (roles is None) parts are not cut, as few lines need
-    them, and there are two roles: as the shorter a line keeps what it keeps as one of two of equal length, so SAME is both."""
+    them, and there are two roles: as the shorter a line keeps what it keeps as one of two of equal length, so SAME is both.
+    Those of one byte a character are cut as bytes, which have the same hashes and are not walked through."""
 
-    def of(role: int, left: bool) -> Column:
+    def of(text: Column, role: int, left: bool) -> Column:
         m, kept, part = _cut(text, role, left)
         tag = F.lit(left if roles is None else 10 * (role == SAME) + left)
         key = F.xxhash64(before, tag, m, kept)
         return F.struct(key.alias("key"), F.lit(role).alias("role"), F.lit(left).alias("left"), *([] if roles is None else [part.alias("part")]))
 
     if roles is None:
-        return F.array(*(of(role, left) for role in (SAME, LONG) for left in (True, False)))
-    same, short, long = (F.array(of(role, True), of(role, False)) for role in (SAME, SHORT, LONG))
+        raw, chars = (F.array(*(of(x, role, left) for role in (SAME, LONG) for left in (True, False))) for x in (text.cast("binary"), text))
+        return F.when(F.octet_length(text) == F.char_length(text), raw).otherwise(chars)
+    same, short, long = (F.array(of(text, role, True), of(text, role, False)) for role in (SAME, SHORT, LONG))
     return F.when(roles == SAME, same).when(roles == SHORT, short).otherwise(long)
 
 
@@ -76,10 +78,10 @@ def _met(rows: DataFrame) -> DataFrame:
     return met.select("key", F.coalesce(F.col("i0") != F.col("i1"), F.lit(False)).alias("same"), both.alias("roles")).filter("same or roles")
 
 
-def _meeting(rows: DataFrame) -> DataFrame:
+def _meeting(rows: DataFrame, met: DataFrame | None = None) -> DataFrame:
     """Rows (id, key, role, ...) whose key another line has, in the other role if roles differ, with what _met says of the key.
     The join brings rows to keys; where keys are too many to broadcast, the tasks of a key with very many rows are split."""
-    met = stored(_met(rows))
+    met = stored(_met(rows)) if met is None else met
     met = F.broadcast(met) if met.count() <= MOST_BROADCAST else met
     return rows.join(met, "key").filter((F.col("role") == SAME) | F.col("roles"))
 
@@ -119,18 +121,23 @@ def near_lines(docs: DataFrame, least_chars: int = 0) -> tuple[DataFrame, DataFr
     hot = firsts.filter(F.col("rows") > max(HOT_LINES, total // 10_000)).select("id", F.col("first").alias("hot"))  # under 10,000
     once = lines.join(F.broadcast(hot), "id", "left").filter(F.col("hot").isNull() | (F.col("hot") == F.struct("doc", "pos", "digest")))
     once = once.filter(F.char_length("line") >= least)
-    halves = once.select("id", _halves(F.col("line"), F.lit(0), None).alias("halves"))  # not in the generator: so n is counted once
-    met = stored(_meeting(halves.select("id", F.inline("halves"))).distinct())
-
-    ids = met.select("id").distinct()
-    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
-    texts = stored(once.select("id", "line").join(ids, "id").distinct())
+    halves = once.select("id", "line", _halves(F.col("line"), F.lit(0), None).alias("halves"))  # not in the generator: so n is counted once
+    keys = halves.select("id", F.inline("halves"))
+    met = stored(_met(keys))
+    if met.count() <= MOST_BROADCAST:  # rows that meet none end where they are made, so lines may go along
+        near = stored(_meeting(halves.select("id", "line", F.inline("halves")), met).distinct())
+    else:
+        near = stored(_meeting(keys, met).distinct())
+        ids = near.select("id").distinct()
+        ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+        near = stored(near.join(once.select("id", "line").join(ids, "id").distinct(), "id"))
+    texts = near.select("id", "line").distinct()
     taken = F.when(F.col("role") == LONG, F.array(F.lit(LONG))).when(~F.col("roles"), F.array(F.lit(SAME)))
     taken = taken.when(~F.col("same"), F.array(F.lit(SHORT))).otherwise(F.array(F.lit(SAME), F.lit(SHORT)))
-    level = met.withColumn("role", F.explode(taken)).join(texts, "id")
+    level = near.withColumn("role", F.explode(taken))
     rest = [F.when(F.col("left"), _cut(F.col("line"), role, True)[2]).otherwise(_cut(F.col("line"), role, False)[2]) for role in (SAME, LONG)]
     level = level.select("id", "key", "role", F.when(F.col("role") == LONG, rest[1]).otherwise(rest[0]).alias("part"))
-    leaves, deep = [_short_leaves(firsts)], stored(level)
+    leaves, deep = [_short_leaves(firsts)], level
     shorter = F.char_length("part") - F.when(F.col("role") == LONG, 1).otherwise(0)  # alike for both of a pair
     while True:
         leaves.append(deep.filter(shorter <= LEAF))
@@ -140,11 +147,11 @@ def near_lines(docs: DataFrame, least_chars: int = 0) -> tuple[DataFrame, DataFr
         parts = deep.select("id", F.inline(_halves(F.col("part"), F.col("key"), F.col("role")))).select("id", "key", "role", "part")
         deep = stored(_meeting(parts).select("id", "key", "role", "part"))
     variants = _variants(_union(leaves))
-    order = variants.join(firsts.select("id", "first"), "id").select("id", "key", "role", "first")
+    order = stored(variants.join(firsts.select("id", "first"), "id").select("id", "key", "role", "first"))
     best = order.groupBy("key").agg(*(F.min(F.when(F.col("role") == r, F.struct("first", "id"))).alias(f"r{r}") for r in (SAME, SHORT, LONG)))
     rival = F.when(F.col("role") == SAME, F.col("r0")).when(F.col("role") == SHORT, F.col("r2")).otherwise(F.col("r1"))
     claims = order.join(best, "key").withColumn("rival", rival).filter(F.col("rival.first") < F.col("first")).select("id", F.col("rival.id").alias("by")).distinct()
-    texts = texts.select("id", "line").unionByName(firsts.filter("short is not null").select("id", F.col("short").alias("line")))
+    texts = texts.unionByName(firsts.filter("short is not null").select("id", F.col("short").alias("line")))
     a, b = texts.select("id", F.col("line").alias("a")), texts.select(F.col("id").alias("by"), F.col("line").alias("b"))
     verified = claims.join(a, "id").join(b, "by").filter(F.levenshtein("a", "b", 1) == 1)
     return firsts, verified.select("id").distinct()

@@ -42,3 +42,21 @@ def test_keys_tell_equal_lengths_from_one_more(spark):
         got.setdefault(x.pair, set()).add((x.line, x.role, x.same, x.roles))
     for i, (a, b, more) in pairs.items():
         assert got[i] == ({(a, 0, False, True), (b, 2, False, True)} if more else {(a, 0, True, False), (b, 0, True, False)})
+
+
+def test_lines_of_bytes_meet_lines_of_characters(spark):
+    """A line of one byte a character and one with a longer character in it have the keys of what they share."""
+    line = "a plain line of one byte a character, long enough for halves"
+    texts = [line, line[:9] + "é" + line[10:], line[:50] + "한" + line[50:], line[:-1] + "é", "é" + line]
+    for other in texts[1:]:
+        docs = spark.createDataFrame([(1, line), (2, other)], "doc_id long, text string")
+        assert [x.n_removed for x in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_keys_too_many_to_broadcast(spark, monkeypatch):
+    """Lines come by a join of their own then, with the same result."""
+    lines = ["a line of text that is long enough", "a line of text that is long enouch", "b line of text that is long enough!", "another line of about such a length"]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(line_dedup, "MOST_BROADCAST", most)
+        assert [x.n_removed for x in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 1, 0, 0]
