@@ -197,7 +197,7 @@ def near_vectors(
     # An id of several vectors joins their classes.
     several = each.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("a"), F.count("*").alias("k")).filter("k > 1 and a <> b").select("id", "b")
     edges = found.select(F.col("id").alias("a"), F.col("low").alias("b")).unionByName(each.join(several, "id").select(F.col("rep").alias("a"), "b"))
-    linked = components(edges)
+    linked = components(stored(edges))
     settled = each.join(linked, F.col("rep") == F.col("node"), "left").groupBy("id").agg(F.sum("n").alias("n_links"), F.min(F.coalesce("component", "rep")).alias("component"))
     out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(settled, F.col("vec_id") == F.col("id"), "left")
     component = F.coalesce("component", "vec_id")

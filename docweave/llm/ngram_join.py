@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import components, fold, fresh, gram_hashes, in_slices, mix, runs, stored, word_hashes
+from .shared import collect_garbage, components, fold, fresh, gram_hashes, in_slices, mix, runs, stored, word_hashes
 
 #: Counters of the sketch that finds very frequent shingles, and how many travel in one row.
 SKETCH_LOG, PIECE_LOG = 24, 16
@@ -158,7 +158,7 @@ def _distinct(least: DataFrame) -> float:
 
 def _frequent(pieces: DataFrame, total: int) -> np.ndarray:
     """One bit for each counter of the merged sketch that stands out from the mean load:
-    2**SKETCH_LOG bits whatever the input. A shingle of more than a few millionths of all
+    2**SKETCH_LOG bits whatever the input, eight a byte. A shingle of more than a few millionths of all
     entries is surely among them, so no list of a counted shingle is longer."""
     mean = total >> SKETCH_LOG
     limit = mean + 6 * isqrt(mean) + 24
@@ -176,14 +176,14 @@ def _frequent(pieces: DataFrame, total: int) -> np.ndarray:
     out = np.zeros(1 << (SKETCH_LOG - 3), np.uint8)
     for piece, bits in pieces.repartition(32, "piece").mapInPandas(merge, "piece int, bits binary").collect():  # 2**(SKETCH_LOG - PIECE_LOG) rows
         out[piece << (PIECE_LOG - 3) : (piece + 1) << (PIECE_LOG - 3)] = np.frombuffer(bits, np.uint8)
-    return np.unpackbits(out).astype(bool)
+    return out
 
 
 def _entries(docs: DataFrame, n: int, frequent: np.ndarray, small: int, num: int, den: int) -> DataFrame:
     """(token, node, n, pos, counted): subset keys of small sets (pos -1) and, of the
     others, all counted shingles (pos null; counted: how many the set has) and those that
     fill up a prefix after them (pos: place in the order)."""
-    frequent = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def rows(frames):
         bits, seen = frequent.value, set()
@@ -295,10 +295,12 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
 
     first = stored(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bits").alias("bits"), F.any_value("fine").alias("fine"), F.any_value("n_shingles").alias("n")))
     lists = stored(_lists(_entries(docs, n, frequent, small, num, den), num, den))
+    collect_garbage(docs.sparkSession)
     links, tried, cluster = None, None, None
     for turn, (order, head) in enumerate((("pos", F.min), ("pos", F.min), ("component", F.max))):
-        left = _unsettled(lists, cluster)
-        heads = left.groupBy("token").agg(head(F.struct(order, *(c for c in ("pos", "component", "node", "n") if c != order))).alias("h")).select(
+        left = _in_components(lists, cluster)
+        ends = [F.min("component").alias("low"), F.max("component").alias("high")]
+        heads = left.groupBy("token").agg(head(F.struct(order, *(c for c in ("pos", "component", "node", "n") if c != order))).alias("h"), *ends).filter("low <> high").select(
             "token", F.col("h.node").alias("b"), F.col("h.n").alias("nb"), F.col("h.pos").alias("pb"), F.col("h.component").alias("cb"))
         star = left.select("token", *_side("a")).join(heads, "token").filter("ca <> cb").filter(_can_reach(num, den)).groupBy("a", "b").count()
         if tried is not None:
@@ -308,24 +310,30 @@ def ngram_links(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> tupl
         tried = star if tried is None else tried.unionByName(star)
         found = stored(_verified(stored(_close(star, first, num, den)), docs, first, n, num, den))
         links = found if links is None else links.unionByName(found)
+        collect_garbage(docs.sparkSession)
         cluster = components(links) if turn != 1 else cluster  # the second round's links are few; they count from the last round on
 
     left = stored(_unsettled(lists, cluster))
     rest = left.select("token", *_side("a")).join(left.select("token", *_side("b")), "token").filter("ca < cb").filter(_can_reach(num, den))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    return sets, components(links.unionByName(_verified(stored(_close(rest, first, num, den)), docs, first, n, num, den)))
+    found = stored(_verified(stored(_close(rest, first, num, den)), docs, first, n, num, den))
+    return sets, cluster if found.isEmpty() else components(links.unionByName(found))
 
 
 def _side(s: str) -> list:
     return [F.col(x).alias(f"{y}{s}" if y else s) for x, y in (("node", ""), ("n", "n"), ("pos", "p"), ("component", "c"))]
 
 
+def _in_components(lists: DataFrame, cluster: DataFrame | None) -> DataFrame:
+    """Entries of lists with their nodes' components."""
+    if cluster is None:
+        return lists.withColumn("component", F.col("node"))
+    return lists.join(cluster, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def _unsettled(lists: DataFrame, cluster: DataFrame | None) -> DataFrame:
     """Entries of lists whose nodes are not all of one component."""
-    if cluster is None:
-        left = lists.withColumn("component", F.col("node"))
-    else:
-        left = lists.join(cluster, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    left = _in_components(lists, cluster)
     mixed = left.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
     return left.join(mixed, "token", "left_semi")
 
