@@ -1,7 +1,9 @@
-"""Column expressions for document text. All are built-in functions."""
+"""Column expressions for document text, all of built-in functions; a few on strings for steps that read a part whole."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,6 +50,35 @@ def xml_unescape(s: Column) -> Column:
     return F.when(s.contains("&#"), F.array_join(F.transform(pieces, piece), "")).otherwise(plain)
 
 
+_REFERENCE = re.compile(r"&(?:[a-z]+|#[0-9]{1,7}|#x[0-9A-Fa-f]{1,6});")
+_BLANK = " \t\n\x0b\f\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
+def stripped(s: str) -> str:
+    """trimmed() of a string."""
+    return s.strip(_BLANK)
+
+
+def unescaped(s: str) -> str:
+    """xml_unescape() of a string."""
+    if "&" not in s:
+        return s
+    if "&#" not in s:
+        for entity, raw in ENTITIES:
+            s = s.replace(entity, raw)
+        return s
+    named = dict(ENTITIES)
+
+    def of(m: re.Match) -> str:
+        x = m[0]
+        if x[1] != "#":
+            return named.get(x, x)
+        code = int(x[3:-1], 16) if x[2] == "x" else int(x[2:-1])
+        return chr(code) if 0 < code < 0x110000 and not 0xD800 <= code <= 0xDFFF else x
+
+    return _REFERENCE.sub(of, s)
+
+
 #: What a media type holds, in this order, and the extension it gets.
 EXTENSIONS = (("png", "png"), ("jpeg", "jpg"), ("jpg", "jpg"), ("gif", "gif"), ("bmp", "bmp"), ("svg", "svg"), ("webp", "webp"), ("emf", "emf"), ("wmf", "wmf"))
 

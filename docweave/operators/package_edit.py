@@ -11,21 +11,24 @@ they stand in their row. Row and column counts and cell addresses follow an edit
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from html import escape
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions.arguments import MOST_INDEX, json_pairs
-from docweave.functions.text import replace_each, replace_keys, xml_escape
-from docweave.sources.markup import assembled, attribute, put_back, tokens, with_attribute
+from docweave.functions.text import replace_each, xml_escape
+from docweave.sources.markup import CLOSE, EMPTY, MOST_ID, OPEN, TEXT, Cut, assembled, attribute, free_id, if_said, per_part, put_back, said, tokens, with_attribute, with_said
+from docweave.sources.part_views import field_marks, spans
 from docweave.sources.storage import stored
-from docweave.sources.views import MEDIA, field_spans, grid_columns, manifest
+from docweave.sources.views import MEDIA, grid_columns
 
 #: Sizes of an inserted picture (about 100 mm) and of an inserted table.
 PICTURE, TABLE_WIDTH, ROW_HEIGHT = 28350, 40000, 5000
-#: Fixed value: ids are below this.
-MOST_ID = 1 << 32
 
 
 def _doc():
@@ -102,28 +105,62 @@ def _filled(t: DataFrame, where: Column, value: Column) -> DataFrame:
 
 # Paragraphs
 
-def _before_end(members: DataFrame, body: Column, more: DataFrame | None = None) -> DataFrame:
-    """Edits that put `body` before the section's end; it may use p_open and char_pr, the last
-    top-level paragraph's start tag with a fresh id and its first run's style, _id() from 1 on, and the columns of more (doc, ...)."""
-    t = tokens(_numbered(first_sections(members)))
-    if more is not None:
-        t = t.join(more, "doc")
-    start = F.when((F.col("name") == "hp:p") & (F.col("in_p") == 1) & (F.col("kind") == "open"), F.struct("at", "tok"))
-    run = F.when((F.col("name") == "hp:run") & F.col("kind").isin("open", "empty"), F.struct("paragraph", -F.col("at"), attribute(F.col("tok"), "charPrIDRef").alias("ref")))
-    end = (F.col("name") == "hs:sec") & (F.col("kind") == "close")
-    t = t.withColumns({"p_open": F.max(start).over(_doc())["tok"], "char_pr": F.coalesce(F.max(run).over(_doc())["ref"], F.lit("0")), "_ends": F.max(end).over(_doc())})
-    t = t.withColumn("p_open", _if_said(F.col("p_open"), "id", _id()))
-    t = t.withColumns({"code": F.when(F.col("p_open").isNotNull() & F.col("_ends"), "ok").otherwise("target_missing"), "n": F.lit(1)})
-    return _edits(t.withColumn("tok", F.when(end, F.concat(body, "tok")).otherwise(F.col("tok"))))
+def whole_edits(parts: DataFrame, change: Callable[[Cut, list[dict]], Iterator[tuple]], more: str = "") -> DataFrame:
+    """Edits of parts that are read whole: change(cut, rows) gives code, n, the pieces of the new part and columns `more` for each part in
+    turn. Parts without tokens have no edit."""
+
+    def run(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
+        for row, size, (code, n, pieces, *rest) in zip(rows, cut.many(cut.kind >= 0), change(cut, rows), strict=True):
+            if size:
+                yield row["doc"], row["entry"], code, n, "".join(pieces) if code == "ok" else None, *rest
+
+    return per_part(parts, run, "doc string, entry string, code string, n long, xml string" + more)
+
+
+def run_of(text: str, ref: str) -> str:
+    return f'<hp:run charPrIDRef="{ref}">{text}</hp:run>'
+
+
+def node(text: str) -> str:
+    return f"<hp:t>{escape(text, quote=False)}</hp:t>"
+
+
+def run_ref(cut: Cut, runs: list[int]) -> str:
+    """The style of the first of the runs."""
+    return (said(cut.toks[runs[0]], "charPrIDRef") if runs else None) or "0"
 
 
-def _run(body: Column) -> Column:
-    return F.concat(F.lit('<hp:run charPrIDRef="'), "char_pr", F.lit('">'), body, F.lit("</hp:run>"))
+def _before_end(members: DataFrame, body: Callable[[int, dict, str], str], more: DataFrame | None = None, n: int = 1) -> DataFrame:
+    """Edits that put a paragraph like the last top-level one, with a fresh id and one run in the style of its first run, before the
+    section's end. body(id, row, style) is what the run holds; id counts on from the first fresh one, row has the columns
+    of more (doc, ...), which the edits keep, style is the run's."""
+    parts = first_sections(members)
+    kept = [c for c in more.columns if c != "doc"] if more is not None else []
+    parts = parts if more is None else parts.join(more.hint("merge"), "doc")
+
+    def change(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
+        own, styled = cut.of("hp:p") & (cut.in_p == 1) & (cut.kind == OPEN), cut.of("hp:run") & cut.starts
+        ends = cut.places(cut.of("hs:sec") & (cut.kind == CLOSE))
+        for i, (row, like, runs, end) in enumerate(zip(rows, cut.places(own), cut.places(styled), ends, strict=True)):
+            a, b = int(cut.bounds[i]), int(cut.bounds[i + 1])
+            if not like or not end:
+                yield "target_missing", n, (), *(row[c] for c in kept)
+                continue
+            last = max((cut.paragraph[r] for r in runs), default=0)
+            ref = run_ref(cut, [r for r in runs if cut.paragraph[r] == last])
+            fresh = free_id(row["xml"])
+            put = if_said(cut.toks[like[-1]], "id", fresh) + run_of(body(fresh, row, ref), ref) + "</hp:p>"
+            pieces = cut.toks[a:b]
+            for e in end:
+                pieces[e - a] = put + pieces[e - a]
+            yield "ok", n, pieces, *(row[c] for c in kept)
+
+    return whole_edits(parts, change, "".join(f", {c} {parts.schema[c].dataType.simpleString()}" for c in kept))
 
 
 def append_paragraph(members: DataFrame, text: str) -> DataFrame:
     """A paragraph like the last one, with one run of `text`, at the section's end."""
-    return _before_end(members, F.concat("p_open", _run(F.concat(F.lit("<hp:t>"), xml_escape(F.lit(text)), F.lit("</hp:t>"))), F.lit("</hp:p>")))
+    return _before_end(members, lambda *_: node(text))
 
 
 def _paragraph(members: DataFrame, index: int) -> DataFrame:
@@ -142,13 +179,29 @@ def delete_paragraph(members: DataFrame, index: int) -> DataFrame:
 
 def set_paragraph_text(members: DataFrame, index: int, text: str) -> DataFrame:
     """The paragraph becomes one run of `text` in its first run's style; n is how many paragraphs there are."""
-    t = _paragraph(members, index)
-    run = F.when(F.col("hit") & (F.col("name") == "hp:run") & F.col("kind").isin("open", "empty"), F.struct(-F.col("at"), attribute(F.col("tok"), "charPrIDRef").alias("ref")))
-    t = t.withColumn("char_pr", F.coalesce(F.max(run).over(_doc())["ref"], F.lit("0")))
-    body = _run(F.concat(F.lit("<hp:t>"), xml_escape(F.lit(text)), F.lit("</hp:t>")))
-    own = F.col("hit") & (F.col("name") == "hp:p")
-    tok = F.when(own & (F.col("kind") == "open"), F.concat("tok", body)).when(own & (F.col("kind") == "empty"), F.concat(F.regexp_replace("tok", r"\s*/>$", ">"), body, F.lit("</hp:p>")))
-    return _edits(t.filter(~F.col("hit") | own | (F.col("code") != "ok")).withColumn("tok", F.coalesce(tok, "tok")))
+
+    def change(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
+        hit = cut.flat == index
+        runs = cut.places(hit & cut.of("hp:run") & cut.starts)
+        for i, (own, styled, n) in enumerate(zip(cut.places(hit), runs, cut.many(cut.begins_flat), strict=True)):
+            if not own or cut.flat_opens[own[0]] > 1:
+                yield "nested_target" if own else "index_range", n, ()
+                continue
+            a, b = int(cut.bounds[i]), int(cut.bounds[i + 1])
+            yield "ok", n, [*cut.toks[a : own[0]], *set_paragraph(cut, own, node(text), run_ref(cut, styled)), *cut.toks[own[-1] + 1 : b]]
+
+    return whole_edits(first_sections(members), change)
+
+
+def set_paragraph(cut: Cut, own: list[int], node: str, ref: str) -> Iterator[str]:
+    """The tokens of a paragraph that holds no others, with one run of the node."""
+    for i in own:
+        if cut.p[i]:
+            tok = cut.toks[i]
+            if cut.kind[i] == EMPTY:
+                yield re.sub(r"(?a)\s*/>$", ">", tok) + run_of(node, ref) + "</hp:p>"
+            else:
+                yield tok + run_of(node, ref) if cut.kind[i] == OPEN else tok
 
 
 # Tables
@@ -294,20 +347,21 @@ def merge_vertical(members: DataFrame, table: int, col: int, start: int, count:
 
 def insert_table(members: DataFrame, headers: list[str], rows: list[list[str]]) -> DataFrame:
     """A paragraph with a table of the headers and rows at the section's end; n is its rows. Rows may differ in length."""
-    every = F.array(*(F.array(*map(F.lit, r)) if r else F.array().cast("array<string>") for r in [headers, *rows]))
-    n, cols, widest = len(rows) + 1, len(headers), max(map(len, [headers, *rows]))
+    every = [headers, *rows]
+    n, cols, widest = len(every), len(headers), max(map(len, every))
 
-    def cell(text: Column, i: Column, j: Column) -> Column:
-        return F.concat(
-            F.lit('<hp:tc><hp:subList id="'), _id((i * widest + j) * 2 + 2), F.lit('" textDirection="HORIZONTAL" lineWrap="BREAK" vertAlign="TOP"><hp:p id="'), _id((i * widest + j) * 2 + 3),
-            F.lit('" paraPrIDRef="0" styleIDRef="0" pageBreak="0" columnBreak="0" merged="0">'), _run(F.concat(F.lit("<hp:t>"), xml_escape(text), F.lit("</hp:t>"))),
-            F.lit('</hp:p></hp:subList><hp:cellAddr colAddr="'), j.cast("string"), F.lit('" rowAddr="'), i.cast("string"), F.lit('"/><hp:cellSpan colSpan="1" rowSpan="1"/></hp:tc>'))
+    def cell(text: str, i: int, j: int, fresh: int, ref: str) -> str:
+        nth = fresh + (i * widest + j) * 2
+        return (f'<hp:tc><hp:subList id="{nth + 2}" textDirection="HORIZONTAL" lineWrap="BREAK" vertAlign="TOP"><hp:p id="{nth + 3}" paraPrIDRef="0" styleIDRef="0" pageBreak="0" columnBreak="0" merged="0">'
+                f'{run_of(node(text), ref)}</hp:p></hp:subList><hp:cellAddr colAddr="{j}" rowAddr="{i}"/><hp:cellSpan colSpan="1" rowSpan="1"/></hp:tc>')
 
-    line = lambda r, i: F.concat(F.lit("<hp:tr>"), F.array_join(F.transform(r, lambda x, j: cell(x, i, j)), ""), F.lit("</hp:tr>"))
     head = (f'" zOrder="0" numberingType="TABLE" textWrap="TOP_AND_BOTTOM" textFlow="BOTH_SIDES" pageBreak="CELL" repeatHeader="1" rowCnt="{n}" colCnt="{cols}" cellSpacing="0" borderFillIDRef="2" noAdjust="0">'
             f'<hp:sz width="{TABLE_WIDTH}" widthRelTo="ABSOLUTE" height="{ROW_HEIGHT * n}" heightRelTo="ABSOLUTE" protect="0"/>')
-    body = F.concat(F.lit('<hp:tbl id="'), _id(1), F.lit(head), F.array_join(F.transform(every, line), ""), F.lit("</hp:tbl>"))
-    return _before_end(members, F.concat("p_open", _run(body), F.lit("</hp:p>"))).withColumn("n", F.lit(n).cast("long"))
+
+    def body(fresh: int, row: dict, ref: str) -> str:
+        return f'<hp:tbl id="{fresh + 1}{head}' + "".join("<hp:tr>" + "".join(cell(x, i, j, fresh, ref) for j, x in enumerate(r)) + "</hp:tr>" for i, r in enumerate(every)) + "</hp:tbl>"
+
+    return _before_end(members, body, n=n)
 
 
 # Text of packages
@@ -316,17 +370,30 @@ def fill(members: DataFrame, pairs: list[tuple[str, str]], all_occurrences: bool
     """Edits of all section parts and the header: in each text node that holds text alone, each
     pair's key once, at its last place, or at all with all_occurrences, later pairs in what earlier ones left. hits: how many
     nodes each pair changed, in order; n their sum. Written without a hit too."""
-    parts = members.filter(F.col("entry").rlike(r"(?i)^Contents/(section\d+|header)\.xml$")).select("doc", "entry", F.lit(0).alias("section"), F.decode("bytes", "UTF-8").alias("xml"))
-    bits = F.regexp_extract_all("xml", F.lit(r"(?s)(<hp:t(?:\s[^>]*)?>[^<]*</hp:t>|<[^>]*>|[^<]+)"), 1)
-    t = parts.select("doc", "entry", F.posexplode(bits).alias("at", "tok")).withColumn("sub", F.lit(0))
-    node = F.col("tok").rlike(r"(?s)^<hp:t(?:\s[^>]*)?>[^<]*</hp:t>$")
-    start = F.regexp_extract("tok", r"^(<[^>]*>)", 1)
-    text = F.substring(F.col("tok"), F.char_length(start) + 1, F.char_length("tok") - F.char_length(start) - len("</hp:t>"))
-    done, hits = replace_keys(F.when(node, text), pairs, all_occurrences)
-    t = t.withColumns({"tok": F.when(node, F.concat(start, done, F.lit("</hp:t>"))).otherwise(F.col("tok")), "_hits": F.array(*(F.coalesce(h & node, F.lit(False)) for h in hits))})
-    counts = t.groupBy("doc", "entry").agg(F.array(*(F.count_if(F.col("_hits")[i]) for i in range(len(pairs)))).alias("hits"))
-    out = assembled(t).join(counts, ["doc", "entry"])
-    return out.select("doc", "entry", F.lit("ok").alias("code"), F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"), "xml", "hits")
+    if not all(key for key, _ in pairs):
+        raise ValueError("a key must not be empty")
+    parts = members.filter(F.col("entry").rlike(r"(?i)^Contents/(section\d+|header)\.xml$")).select("doc", "entry", F.decode("bytes", "UTF-8").alias("xml"))
+    steps = [(escape(k, quote=False), escape(v, quote=False)) for k, v in pairs]
+
+    def change(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
+        # A node of text alone: its tags and at most one token of text between them.
+        kind, last = cut.kind, len(cut.toks) - 1
+        opens = cut.places(cut.t & (kind == OPEN))
+        for i, (starts, a, b) in enumerate(zip(opens, cut.bounds[:-1].tolist(), cut.bounds[1:].tolist(), strict=True)):
+            pieces, hits = cut.toks[a:b], [0] * len(steps)
+            for at in starts:
+                if at < last and kind[at + 1] == TEXT and at + 2 < b and cut.t[at + 2] and kind[at + 2] == CLOSE:
+                    text = was = cut.toks[at + 1]
+                    for k, (key, value) in enumerate(steps):
+                        place = text.rfind(key)
+                        if place >= 0:
+                            hits[k] += 1
+                            text = text.replace(key, value) if all_occurrences else text[:place] + value + text[place + len(key) :]
+                    if text is not was:
+                        pieces[at + 1 - a] = text
+            yield "ok", sum(hits), pieces, hits
+
+    return whole_edits(parts, change, ", hits array<long>")
 
 
 def fill_report(edits: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -379,18 +446,34 @@ def fill_each(members: DataFrame, arguments: DataFrame, all_occurrences: bool =
 def set_field(members: DataFrame, name: str, value: str) -> DataFrame:
     """The first field of that name gets the value: its first text node holds it, its others are emptied, but fields
     within it stay as they are. n is how many nodes that were. Without field, own end or text node of its own target_missing."""
-    t = tokens(first_sections(members))
-    spans = field_spans(t).select("doc", "entry", "ord", "name", F.col("start.at").alias("start"), F.col("stop.at").alias("stop"))
-    found = spans.filter(F.col("name") == name).groupBy("doc", "entry").agg(F.min_by(F.struct("start", "stop"), "ord").alias("f")).select("doc", "entry", "f.start", "f.stop")
-    inner = spans.alias("s").join(found.alias("o"), ["doc", "entry"]).filter((F.col("s.start") > F.col("o.start")) & (F.col("s.stop") < F.col("o.stop"))).groupBy("doc", "entry").agg(F.collect_list(F.struct(F.col("s.start").alias("a"), F.col("s.stop").alias("b"))).alias("inner"))
-    t = t.join(found.join(inner, ["doc", "entry"], "left"), ["doc", "entry"], "left")
-    between = (F.col("at") > F.col("start")) & (F.col("at") < F.col("stop"))
-    held = F.coalesce(F.exists("inner", lambda f: (F.col("at") >= f["a"]) & (F.col("at") <= f["b"])), F.lit(False))
-    t = t.withColumn("hit", F.coalesce(between & ~held, F.lit(False)))
-    t = t.withColumn("nth", F.sum((F.col("hit") & (F.col("name") == "hp:t") & (F.col("kind") != "close")).cast("int")).over(_line().rowsBetween(Window.unboundedPreceding, 0)))
-    n = F.max("nth").over(_doc())
-    t = t.withColumns({"n": n, "code": F.when(F.col("stop").isNotNull() & (n > 0), "ok").otherwise("target_missing")})
-    return _edits(_filled(t, F.col("hit"), F.when(F.col("nth") == 1, value).otherwise("")))
+
+    def change(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
+        begins, marks = field_marks(cut)
+        for i, at in enumerate(cut.places(marks)):
+            found = spans(cut, at, begins)
+            own = next((f for f in found if f["name"] == name), None)
+            if own is None or own["stop"] is None:
+                yield "target_missing", 0, ()
+                continue
+            a, b, first, end = int(cut.bounds[i]), int(cut.bounds[i + 1]), own["start"], own["stop"]
+            held = np.zeros(end - first, bool)
+            for f in found:
+                if f["stop"] is not None and f["start"] > first and f["stop"] < end:
+                    held[f["start"] - first : f["stop"] - first + 1] = True
+            pieces, n = cut.toks[a:b], 0
+            for j in range(first + 1, end):
+                if held[j - first]:
+                    continue
+                if cut.t[j]:
+                    if cut.starts[j]:
+                        n += 1
+                        text = escape(value, quote=False) if n == 1 else ""
+                        pieces[j - a] = cut.toks[j] + text if cut.kind[j] == OPEN else f"<hp:t>{text}</hp:t>"
+                elif cut.in_t[j] > 0:
+                    pieces[j - a] = ""
+            yield "ok" if n else "target_missing", n, pieces
+
+    return whole_edits(first_sections(members), change)
 
 
 # Styles
@@ -409,14 +492,21 @@ def _header(members: DataFrame, element: str, change) -> DataFrame:
     return head.select("doc", F.col("entry").alias("head"), "new_id", F.when(F.col("base") != "", xml).alias("head_xml"))
 
 
-def _restyled(t: DataFrame, heads: DataFrame, target: Column, ref: str) -> DataFrame:
-    """Edits of section and header: the token at the smallest `target` place refers to the new style."""
-    t = t.withColumn("_target", F.min(F.when(target, F.col("_owner"))).over(_doc())).join(heads, "doc", "left")
-    t = t.withColumns({"n": F.lit(1), "code": F.when(F.col("head_xml").isNull(), "target_missing").when(F.col("_target").isNull(), F.col("_miss")).otherwise("ok")})
-    t = t.withColumn("tok", F.when(F.col("at") == F.col("_target"), with_attribute(F.col("tok"), ref, F.col("new_id"))).otherwise(F.col("tok")))
-    body = _edits(t)
-    head = body.join(heads, "doc").filter("code = 'ok'").select("doc", F.col("head").alias("entry"), "code", F.lit(0).cast("long").alias("n"), F.col("head_xml").alias("xml"))
-    return body.unionByName(head)
+def _restyled(members: DataFrame, heads: DataFrame, target: Callable[[Cut], list[list[int]]], ref: str, miss: str) -> DataFrame:
+    """Edits of section and header: the first token of `target` in each part refers to the new style."""
+
+    def change(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
+        for i, (row, at) in enumerate(zip(rows, target(cut), strict=True)):
+            a, b = int(cut.bounds[i]), int(cut.bounds[i + 1])
+            code = "target_missing" if row["head_xml"] is None else "ok" if at else miss
+            pieces = cut.toks[a:b]
+            if code == "ok":
+                pieces[at[0] - a] = with_said(pieces[at[0] - a], ref, row["new_id"])
+            yield code, 1, pieces, row["head"], row["head_xml"] if code == "ok" else None
+
+    both = whole_edits(first_sections(members).join(heads.hint("merge"), "doc", "left"), change, ", head string, head_xml string")
+    edit = lambda entry, n, xml: F.struct(F.col(entry).alias("entry"), "code", F.lit(n).cast("long").alias("n"), F.col(xml).alias("xml"))
+    return both.select("doc", F.inline(F.array_compact(F.array(edit("entry", 1, "xml"), F.when(F.col("code") == "ok", edit("head", 0, "head_xml"))))))
 
 
 def apply_text_style(members: DataFrame, target: str, color: str | None = None, bold: bool | None = None, italic: bool | None = None, underline: bool | None = None, font_size: int | None = None) -> DataFrame:
@@ -435,11 +525,18 @@ def apply_text_style(members: DataFrame, target: str, color: str | None = None,
             style = style if value is None else with_attribute(style, name, F.lit("1" if value else "0"))
         return _if_said(style, "height", F.lit(font_size)) if font_size else style
 
-    t = tokens(first_sections(members))
-    run = (F.col("name") == "hp:run") & (F.col("kind") == "open")
-    t = t.withColumns({"_owner": F.last(F.when(run, F.col("at")), True).over(_line().rowsBetween(Window.unboundedPreceding, 0)), "_miss": F.lit("target_missing")})
-    hit = (F.col("kind") == "text") & (F.col("in_t") > 0) & F.col("tok").contains(F.coalesce(xml_escape(F.lit(target)), F.lit("")))
-    return _restyled(t, _header(members, "hh:charPr", change), hit, "charPrIDRef")
+    said_in_xml = escape(target or "", quote=False)
+
+    def owners(cut: Cut) -> list[list[int]]:
+        """The last run that starts before the first text that holds the target; texts before any run do not count."""
+        runs = cut.places(cut.of("hp:run") & (cut.kind == OPEN))
+        out = []
+        for own, texts in zip(runs, cut.places((cut.kind == TEXT) & (cut.in_t > 0)), strict=True):
+            hit = next((i for i in texts if own and own[0] < i and said_in_xml in cut.toks[i]), None)
+            out.append([] if hit is None else [own[bisect_left(own, hit) - 1]])
+        return out
+
+    return _restyled(members, _header(members, "hh:charPr", change), owners, "charPrIDRef", "target_missing")
 
 
 def apply_paragraph_style(members: DataFrame, index: int, align: str | None = None, indent: int | None = None, line_spacing: int | None = None) -> DataFrame:
@@ -456,22 +553,28 @@ def apply_paragraph_style(members: DataFrame, index: int, align: str | None = No
                 attribute(style, "horizontal").isNotNull(), with_attribute(style, "horizontal", F.lit(align))).otherwise(with_attribute(style, "align", F.lit(align)))
         return style if indent is None else with_attribute(style, "indent", F.lit(indent))
 
-    t = tokens(first_sections(members)).withColumns({"_owner": F.col("at"), "_miss": F.lit("index_range")})
-    start = (F.col("name") == "hp:p") & F.col("kind").isin("open", "empty") & (F.col("flat") == index)
-    return _restyled(t, _header(members, "hh:paraPr", change), start, "paraPrIDRef")
+    starts = lambda cut: cut.places(cut.p & cut.starts & (cut.flat == index))
+    return _restyled(members, _header(members, "hh:paraPr", change), starts, "paraPrIDRef", "index_range")
 
 
 # Images
 
+def _places(members: DataFrame, ext: str) -> DataFrame:
+    """(doc, item, new_entry, seq): what free_item() gives, and the number behind the document's last member."""
+    number = r"(?i)^(?:image|img)(\d{1,9})$"
+    stem = F.regexp_extract("entry", r"([^/]*?)(?:\.[^./]*)?$", 1)
+    tags = F.regexp_extract_all(F.decode("bytes", "UTF-8"), F.lit(r"(<opf:item\s[^>]*>)"), 1)
+    names = F.when(F.col("entry").startswith("BinData/"), F.array(stem)).when(F.col("entry") == "Contents/content.hpf", F.transform(tags, lambda x: attribute(x, "id"))).otherwise(F.array().cast("array<string>"))
+    numbers = F.transform(F.filter(F.transform(names, lambda x: F.regexp_extract(x, number, 1)), lambda x: x != ""), lambda x: x.cast("int"))
+    used = members.select("doc", "seq", numbers.alias("n")).groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("n"))).alias("used"), (F.max("seq") + 1).alias("seq"))
+    free = F.array_min(F.array_except(F.sequence(F.lit(1), F.size("used") + 1), F.col("used")))
+    return used.select("doc", F.format_string("image%d", free).alias("item"), F.format_string(f"BinData/image%d.{ext}", free).alias("new_entry"), "seq")
+
+
 def free_item(members: DataFrame, ext: str) -> DataFrame:
     """(doc, item, new_entry): the first imageN that no member of BinData, of any suffix and spelt imageN or imgN, and no
     item of the manifest has, and the member's name with it."""
-    number = r"(?i)^(?:image|img)(\d{1,9})$"
-    names = members.filter(F.col("entry").startswith("BinData/")).select("doc", F.regexp_extract("entry", r"([^/]*?)(?:\.[^./]*)?$", 1).alias("name"))
-    names = names.unionByName(manifest(members).select("doc", F.col("item").alias("name"))).select("doc", F.regexp_extract("name", number, 1).alias("n"))
-    used = members.select("doc").distinct().join(names.filter("n <> ''").groupBy("doc").agg(F.collect_set(F.col("n").cast("int")).alias("used")), "doc", "left").withColumn("used", F.coalesce("used", F.array().cast("array<int>")))
-    free = F.array_min(F.array_except(F.sequence(F.lit(1), F.size("used") + 1), F.col("used")))
-    return used.select("doc", F.format_string("image%d", free).alias("item"), F.format_string(f"BinData/image%d.{ext}", free).alias("new_entry"))
+    return _places(members, ext).drop("seq")
 
 
 #: What the format wants of a picture beside its item and ids, before and after the item.
@@ -487,12 +590,14 @@ def insert_image(members: DataFrame, content: Column, ext: str = "png") -> DataF
     bmp and gif."""
     if ext not in ("png", "jpg", "bmp", "gif"):
         raise ValueError(f"bad_image_ext: {ext}")
-    names = free_item(members, ext)
-    pic = F.concat(F.lit('<hp:pic id="'), _id(1), F.lit(PIC_HEAD), "item", F.lit(PIC_TAIL))
-    edits = _before_end(members, F.concat("p_open", _run(pic), F.lit("</hp:p>")), names)
-    put = edits.filter("code = 'ok'").join(names, "doc").select("doc", "new_entry", "item")
+    names = _places(members, ext)
+
+    def body(fresh: int, row: dict, ref: str) -> str:
+        return f'<hp:pic id="{fresh + 1}{PIC_HEAD}{row["item"]}{PIC_TAIL}'
+
+    edits = stored(_before_end(members, body, names))  # read by each part of the edit
+    put = edits.filter("code = 'ok'").select("doc", "new_entry", "item", "seq")
     tag = F.concat(F.lit('<opf:item id="'), "item", F.lit('" href="'), "new_entry", F.lit(f'" media-type="{MEDIA[ext]}" isEmbeded="1"/></opf:manifest>'))
-    hpf = members.filter("entry = 'Contents/content.hpf'").join(put, "doc").select("doc", "entry", F.replace(F.decode("bytes", "UTF-8"), F.lit("</opf:manifest>"), tag).alias("xml"))
-    last = members.groupBy("doc").agg((F.max("seq") + 1).alias("seq"))
-    new = put.join(last, "doc").select("doc", "seq", F.col("new_entry").alias("entry"), F.lit(8).alias("method"), content.alias("bytes"))
+    hpf = members.filter("entry = 'Contents/content.hpf'").join(put.hint("merge"), "doc").select("doc", "entry", F.replace(F.decode("bytes", "UTF-8"), F.lit("</opf:manifest>"), tag).alias("xml"))
+    new = put.select("doc", "seq", F.col("new_entry").alias("entry"), F.lit(8).alias("method"), content.alias("bytes"))
     return put_back(members, edits.select("doc", "entry", "xml").unionByName(hpf)).unionByName(new)

@@ -29,8 +29,7 @@ def numbered(rows: DataFrame, *order: str) -> DataFrame:
 
 def with_all(docs: DataFrame, found: DataFrame, column: str, message: str) -> DataFrame:
     """(doc, column) of every document; the message where the column is missing or blank."""
-    out = docs.select("doc").distinct().join(found.select("doc", column), "doc", "left")
-    return out.withColumn(column, F.when(trimmed(F.coalesce(column, F.lit(""))) == "", message).otherwise(F.col(column)))
+    return or_message(docs.select("doc").distinct().join(found.select("doc", column), "doc", "left"), column, message)
 
 
 def full_text(docs: DataFrame, paragraphs: DataFrame, headers_footers: DataFrame, footnotes: DataFrame, equations: DataFrame) -> DataFrame:
@@ -46,6 +45,22 @@ def full_text(docs: DataFrame, paragraphs: DataFrame, headers_footers: DataFrame
     })
 
 
+def full_text_of(texts: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    """(doc, text) of full_text() from part_views.texts(), with one shuffle on doc; docs may name documents without a section."""
+    kinds = ("headers", "body", "footers", "footnotes", "equations")
+    every = texts if docs is None else texts.unionByName(docs.select("doc"), allowMissingColumns=True)
+    rows = F.array_sort(F.collect_list(F.when(F.col("section").isNotNull(), F.struct("section", *kinds))))
+    g = every.groupBy("doc").agg(rows.alias("r"))
+    of = lambda k: F.array_join(F.transform("r", lambda x: x[k]), "\n")
+    some = lambda k: F.exists("r", lambda x: x[k].isNotNull())
+    return g.select("doc", F.concat_ws("\n\n", *(of(k) if k == "body" else F.when(some(k), F.concat(F.lit(f"--- {k} ---\n"), of(k))) for k in kinds)).alias("text"))
+
+
+def or_message(found: DataFrame, column: str, message: str) -> DataFrame:
+    """found with the message where the column is missing or blank."""
+    return found.withColumn(column, F.when(trimmed(F.coalesce(column, F.lit(""))) == "", message).otherwise(F.col(column)))
+
+
 def text(docs: DataFrame, dump: DataFrame) -> DataFrame:
     """(doc, text) of full_text(), with the message for blank ones."""
     return with_all(docs, dump, "text", NO_TEXT)
@@ -57,7 +72,11 @@ def equation_lines(equations: DataFrame) -> DataFrame:
 
 def dump_lines(dump: DataFrame) -> DataFrame:
     """(doc, n): lines of the whole text, banners and blank ones too, which is what the combined view calls paragraphs."""
-    return dump.select("doc", F.size(F.split("text", "\n", -1)).cast("long").alias("n"))
+    return dump.select("doc", _line_count().alias("n"))
+
+
+def _line_count() -> Column:
+    return F.size(F.split("text", "\n", -1)).cast("long")
 
 
 def table_blocks(tables: DataFrame) -> DataFrame:
@@ -87,7 +106,7 @@ def combined(dump: DataFrame, tables: DataFrame, images: DataFrame) -> DataFrame
     """(doc, text): title, counts, the whole text, tables under headings, then the images."""
     t = table_blocks(tables).groupBy("doc").agg(F.count("*").alias("n_tables"), joined(F.concat(F.lit("\n"), "heading", F.lit("\n"), "markdown"), F.col("n"), "\n").alias("tables"))
     i = image_lines(images, suffix=False).groupBy("doc").agg(F.count("*").alias("n_images"), joined(F.col("line"), F.col("n"), "\n").alias("images"))
-    d = dump.join(dump_lines(dump), "doc").join(t, "doc", "left").join(i, "doc", "left")
+    d = dump.withColumn("n", _line_count()).join(t.hint("merge"), "doc", "left").join(i.hint("merge"), "doc", "left")
     title = F.concat(F.lit("# "), F.regexp_extract("doc", r"([^/]*)$", 1))
     counts = F.format_string("형식: %s | 문단: %d개 | 표: %d개 | 이미지: %d개", F.upper(F.regexp_extract("doc", r"(\.[^./]*)$", 1)), "n", F.coalesce("n_tables", F.lit(0)), F.coalesce("n_images", F.lit(0)))
     return d.select("doc", F.concat_ws("\n", title, counts, F.lit(""), "text", "tables", F.when(F.col("images").isNotNull(), F.concat(F.lit("\n---\n## 포함된 이미지\n"), "images"))).alias("text"))

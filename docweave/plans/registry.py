@@ -13,7 +13,7 @@ from docweave.operators import package_edit as P
 from docweave.operators import report as R
 from docweave.operators import run_fill
 from docweave.operators import tables as B
-from docweave.sources import package, structure, views
+from docweave.sources import package, part_views, structure, views
 from docweave.sources.storage import stored
 
 from . import carriers as C
@@ -504,7 +504,7 @@ def package_images(spark, sf_dir):
     """A png, then a jpg, each under a number that no item has; both are read back."""
     members = stored(P.insert_image(C.table_members(spark, sf_dir), F.lit(b"new"), "png"))
     members = stored(P.insert_image(members, F.lit(b"more"), "jpg"))
-    return views.images(views.body_tokens(members), members).select(C.doc_id(), "entry", "mime", "byte_length")
+    return part_views.images(members).select(C.doc_id(), "entry", "mime", "byte_length")
 
 
 # Nested structure: section definitions, HTML, grids of cells without addresses.

@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from docweave.functions.arguments import json_items
 from docweave.functions.text import extension, xml_escape
 from docweave.sources import views
-from docweave.sources.markup import tokens
+from docweave.sources.markup import arrow_batches, tokens
 
 ENTRIES = "doc string, seq int, entry string, method int, bytes binary"
 #: The package's media type, stored uncompressed under this name.
@@ -53,17 +57,22 @@ def entries(files: DataFrame) -> DataFrame:
     """The members of each package in archive order. A file that is not a package gives one
     row with a null entry."""
 
-    def unzip(batches):
+    kind = StructType.fromDDL(ENTRIES)
+    arrow = to_arrow_schema(kind)
+
+    def rows(path: str, content: bytes) -> Iterator[tuple]:
+        try:
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                yield from [(path, i, m.filename, m.compress_type, z.read(m)) for i, m in enumerate(z.infolist())]
+        except zipfile.BadZipFile:
+            yield path, 0, None, None, None
+
+    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        rows = [(path, i, m.filename, m.compress_type, z.read(m)) for i, m in enumerate(z.infolist())]
-                except zipfile.BadZipFile:
-                    rows = [(path, 0, None, None, None)]
-                yield pd.DataFrame(rows, columns=["doc", "seq", "entry", "method", "bytes"])
+            every = (r for path, content in zip(batch["path"], batch["content"], strict=True) for r in rows(path.as_py(), content.as_py()))
+            yield from arrow_batches(every, arrow, lambda r: len(r[4] or b""))
 
-    return files.select("path", "content").mapInPandas(unzip, ENTRIES)
+    return files.select("path", "content").mapInArrow(unzip, kind)
 
 
 def sections(members: DataFrame) -> DataFrame:
@@ -92,16 +101,25 @@ def packages(members: DataFrame) -> DataFrame:
     """(doc, content): each document's entries zipped again, mimetype stored and first.
     One document's entries meet in one task, as they do in its file."""
 
-    def pack(key, rows):
-        rows = rows.sort_values("seq", kind="stable")
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=6) as z:
-            for name, content in zip(rows["entry"], rows["bytes"], strict=True):
-                info = zipfile.ZipInfo(name)
-                z.writestr(info, content, zipfile.ZIP_STORED if name == "mimetype" else zipfile.ZIP_DEFLATED)
-        return pd.DataFrame({"doc": [key[0]], "content": [out.getvalue()]})
-
-    return members.filter("entry is not null").groupBy("doc").applyInPandas(pack, "doc string, content binary")
+    kind = StructType.fromDDL("doc string, content binary")
+    arrow = to_arrow_schema(kind)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """A file for each document, whose members follow each other."""
+        rows = (r for b in batches for r in zip(*(b[c] for c in ("doc", "entry", "bytes")), strict=True))
+        for doc, members in groupby(rows, key=lambda r: r[0].as_py()):
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=6) as z:
+                for _, entry, content in members:
+                    name = entry.as_py()
+                    z.writestr(zipfile.ZipInfo(name), content.as_py(), zipfile.ZIP_STORED if name == MIMETYPE[0] else zipfile.ZIP_DEFLATED)
+            yield doc, out.getvalue()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return arrow_batches(packed(batches), arrow, lambda r: len(r[1]))
+
+    rows = members.filter("entry is not null").repartition("doc").sortWithinPartitions("doc", "seq")
+    return rows.select("doc", "entry", "bytes").mapInArrow(pack, kind)
 
 
 def create(items: DataFrame) -> DataFrame:

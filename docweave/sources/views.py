@@ -25,10 +25,10 @@ _KEY = ["doc", "section"]
 _PLACE = [*_KEY, "paragraph", "control"]
 
 
-def body_tokens(members: DataFrame) -> DataFrame:
-    """Tokens of all body sections, the number in the entry's name as section."""
+def body_tokens(members: DataFrame, *only: str) -> DataFrame:
+    """Tokens of all body sections, the number in the entry's name as section; of their columns those named, else all."""
     number = F.regexp_extract("entry", r"(?i)^Contents/section(\d+)\.xml$", 1)
-    return tokens(members.filter(number != "").select("doc", number.cast("int").alias("section"), "entry", F.decode("bytes", "UTF-8").alias("xml")))
+    return tokens(members.filter(number != "").select("doc", number.cast("int").alias("section"), "entry", F.decode("bytes", "UTF-8").alias("xml")), *only)
 
 
 def _said() -> Column:
