@@ -414,14 +414,14 @@ def _n() -> Column:
 
 
 def _scripted(spark, sf_dir, *steps) -> DataFrame:
-    """Body tokens of packages with tables after each document's own edits."""
+    """Members of packages with tables after each document's own edits."""
     members = C.table_members(spark, sf_dir)
     edits, _ = S.apply_script(members, C.script(spark, sf_dir, *steps))
-    return _tokens(P.applied(members, edits))
+    return P.applied(members, edits)
 
 
-def _grid_cells(t: DataFrame, *more: str) -> DataFrame:
-    return views.table_cells(t).select(C.doc_id(), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *(F.col(c).cast("long").alias(c) for c in more), "text")
+def _grid_cells(members: DataFrame, *more: str) -> DataFrame:
+    return part_views.table_cells(members).select(C.doc_id(), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *(F.col(c).cast("long").alias(c) for c in more), "text")
 
 
 def _texts(*x: str) -> Column:
@@ -468,8 +468,8 @@ def package_merge_overlaps(spark, sf_dir):
     at = {"table": F.lit(0), "col": F.lit(0), "count": F.lit(2)}
     members = C.spanned_members(spark, sf_dir)
     edits, report = S.apply_script(members, C.script(spark, sf_dir, (F.lit(True), "merge_horizontal", at | {"row": _n() % 2})))
-    cells = _grid_cells(views.body_tokens(P.applied(members, edits)), "row_span", "col_span").filter("row < 2")
-    return cells.join(report.select(C.doc_id(), "code"), "doc")
+    cells = _grid_cells(P.applied(members, edits), "row_span", "col_span").filter("row < 2")
+    return cells.join(report.select(C.doc_id(), "code").hint("merge"), "doc")
 
 
 @query("""SELECT doc_id AS doc, CASE doc_id % 3 WHEN 0 THEN chr(10) || 'A' || doc_id || 'C' || chr(10) || 'more ' || doc_id WHEN 1 THEN 'new' || chr(10) || chr(10) || 'A' || doc_id || 'C'
@@ -478,10 +478,11 @@ def package_script(spark, sf_dir):
     """Paragraph and table edits in turns; each refers to what earlier ones left. Paragraphs: the first, those of nine cells, the
     field's, those at the end."""
     n, say = _n() % 3, lambda s: {"text": F.lit(s)}
-    t = _scripted(
+    members = _scripted(
         spark, sf_dir, (n == 0, "delete_paragraph", {"index": F.lit(0)}), (n == 0, "append_paragraph", {"text": F.concat(F.lit("more "), _n().cast("string"))}), (n == 1, "set_paragraph", {"index": F.lit(0)} | say("new")),
         (n == 2, "append_paragraph", say("at the end")), (n == 2, "delete_row", {"table": F.lit(0), "row": F.lit(2)}), (n == 2, "set_paragraph", {"index": F.lit(8)} | say("set")), (n == 2, "set_paragraph", {"index": F.lit(8)} | say("set again")),
         (n == 1, "append_row", {"table": F.lit(0), "texts": _texts("r")}), (n == 1, "append_paragraph", say("gone")), (n == 1, "delete_paragraph", {"index": F.lit(14)}))
+    t = _tokens(members)
     return _dump(t.select("doc").distinct(), t).select(C.doc_id(), "text")
 
 
