@@ -382,8 +382,8 @@ def read_combined(spark, sf_dir):
 @query("SELECT doc_id AS doc, CASE WHEN contains(text, 'the') THEN 'ok' ELSE 'target_missing' END AS code, CAST(CASE WHEN contains(text, 'the') THEN 1 ELSE 0 END AS BIGINT) AS runs FROM documents")
 def char_style_alloc(spark, sf_dir):
     members = C.members(spark, sf_dir)
-    edits = P.apply_text_style(members, "the", color="FF0000", bold=True)
-    t = views.body_tokens(P.applied(members, edits))
+    edits = stored(P.apply_text_style(members, "the", color="FF0000", bold=True))
+    t = views.body_tokens(P.applied(members, edits), "tok")
     runs = t.groupBy("doc").agg(F.count_if(F.col("tok").contains('charPrIDRef="1"')).alias("runs"))
     return edits.filter(F.col("entry").contains("section")).select("doc", "code").join(runs, "doc").select(C.doc_id(), "code", "runs")
 
@@ -391,10 +391,10 @@ def char_style_alloc(spark, sf_dir):
 @query("SELECT doc_id AS doc, CASE WHEN len(string_split(text, chr(10))) > 2 THEN 'ok' ELSE 'index_range' END AS code, CAST(CASE WHEN len(string_split(text, chr(10))) > 2 THEN 2 ELSE -1 END AS BIGINT) AS styled FROM documents")
 def para_style_alloc(spark, sf_dir):
     members = C.members(spark, sf_dir)
-    edits = P.apply_paragraph_style(members, 2, align="CENTER", indent=10)
-    t = views.body_tokens(P.applied(members, edits))
+    edits = stored(P.apply_paragraph_style(members, 2, align="CENTER", indent=10))
+    t = views.body_tokens(P.applied(members, edits), "tok", "paragraph")
     styled = t.groupBy("doc").agg(F.coalesce(F.max(F.when(F.col("tok").contains('paraPrIDRef="1"'), F.col("paragraph"))), F.lit(-1)).cast("long").alias("styled"))
-    return edits.filter(F.col("entry").contains("section")).select("doc", "code").join(styled, "doc").select(C.doc_id(), "code", "styled")
+    return edits.filter(F.col("entry").contains("section")).select("doc", "code").hint("merge").join(styled, "doc").select(C.doc_id(), "code", "styled")
 
 
 @query(_L + "SELECT doc, CAST(6 AS BIGINT) AS entries, CAST(count(*) AS BIGINT) AS paragraphs FROM l GROUP BY doc")
