@@ -90,12 +90,22 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return package.create(items)
 
 
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc): the names of members()'s documents."""
+    return read(spark, sf_dir, "documents").select(F.concat(F.lit("/docs/"), F.col("doc_id").cast("string"), F.lit(".hwpx")).alias("doc"))
+
+
 def run_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """members() with runs that end within words: before the last letter of each "the", and of every other document before each r."""
-    xml, again = F.decode("bytes", "UTF-8"), F.lit('</hp:t></hp:run><hp:run charPrIDRef="0"><hp:t>')
-    inside = r"(?=[^<>]*</hp:t>)"
-    cut = F.regexp_replace(xml, F.lit("th(?=e)" + inside), F.concat(F.lit("th"), again))
-    cut = F.when(doc_id() % 2 == 0, F.regexp_replace(cut, F.lit("(?=r)" + inside), again)).otherwise(cut)
+    # Escaped text holds no <, so that it can stand for a cut until both kinds are made; all text stands in hp:t.
+    again, start = '</hp:t></hp:run><hp:run charPrIDRef="0"><hp:t>', "hp:t>"
+
+    def cut(x: F.Column) -> F.Column:
+        text = F.replace(F.substring(x, F.lit(len(start) + 1), F.char_length(x)), F.lit("the"), F.lit("th<e"))
+        text = F.when(doc_id() % 2 == 0, F.replace(text, F.lit("r"), F.lit("<r"))).otherwise(text)
+        return F.when(x.startswith(start), F.concat(F.lit(start), F.replace(text, F.lit("<"), F.lit(again)))).otherwise(x)
+
+    cut = F.array_join(F.transform(F.split(F.decode("bytes", "UTF-8"), "<"), cut), "<")
     section = F.col("entry").rlike(r"^Contents/section\d+\.xml$")
     return members(spark, sf_dir).withColumn("bytes", F.when(section, F.encode(cut, "UTF-8")).otherwise(F.col("bytes")))
 

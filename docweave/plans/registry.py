@@ -314,26 +314,21 @@ def _tokens(members: DataFrame) -> DataFrame:
     return stored(views.body_tokens(members))
 
 
-def _docs(spark, sf_dir) -> DataFrame:
-    return C.members(spark, sf_dir).select("doc").distinct()
-
-
-def _dump(docs: DataFrame, t: DataFrame) -> DataFrame:
-    return R.full_text(docs, views.paragraphs(t), views.headers_footers(t), views.footnotes(t), views.equations(t))
+def _dump(members: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    return R.full_text_of(part_views.texts(members), docs)
 
 
 @query(f"SELECT doc_id AS doc, CASE WHEN {_BLANK} THEN '{R.NO_TEXT}' ELSE text END AS text FROM documents")
 def package_text(spark, sf_dir):
     zipped = package.packages(C.members(spark, sf_dir)).withColumnRenamed("doc", "path")
-    docs = _docs(spark, sf_dir)
-    return R.text(docs, _dump(docs, _tokens(package.entries(zipped)))).select(C.doc_id(), "text")
+    return R.or_message(_dump(package.entries(zipped), C.names(spark, sf_dir)), "text", R.NO_TEXT).select(C.doc_id(), "text")
 
 
 @query(_L + f"""SELECT doc, coalesce(string_agg({C.TRIM.format("line")}, chr(10) || chr(10) ORDER BY paragraph) FILTER ({C.TRIM.format("line")} <> ''), '{R.NO_MARKDOWN}') AS markdown FROM l GROUP BY doc""")
 def package_markdown(spark, sf_dir):
     members = C.members(spark, sf_dir)
     t = _tokens(members)
-    return R.markdown(_docs(spark, sf_dir), views.flow(t, members), views.footnotes(t)).select(C.doc_id(), "markdown")
+    return R.markdown(C.names(spark, sf_dir), views.flow(t, members), views.footnotes(t)).select(C.doc_id(), "markdown")
 
 
 @query(_FILL.replace(C.PARAGRAPHS, C.LINES + ", p AS (SELECT doc, paragraph, replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS text FROM l)") + """SELECT doc,
@@ -342,21 +337,21 @@ def package_fill(spark, sf_dir):
     members = C.members(spark, sf_dir)
     edits = stored(P.fill(members, PAIRS))
     counts = edits.groupBy("doc").agg(F.sum("n").alias("n"))
-    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(counts, "doc").select(C.doc_id(), "text", "n")
+    return _dump(P.applied(members, edits), C.names(spark, sf_dir)).join(counts.hint("merge"), "doc").select(C.doc_id(), "text", "n")
 
 
 @query(_L + """SELECT doc, string_agg(CASE WHEN paragraph = 1 THEN 'set $& text' ELSE line END, chr(10) ORDER BY paragraph) AS text, CASE WHEN count(*) > 1 THEN 'ok' ELSE 'index_range' END AS code FROM l GROUP BY doc""")
 def package_set_paragraph(spark, sf_dir):
     members = C.members(spark, sf_dir)
     edits = stored(P.set_paragraph_text(members, 1, "set $& text"))
-    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(edits.select("doc", "code"), "doc").select(C.doc_id(), "text", "code")
+    return _dump(P.applied(members, edits), C.names(spark, sf_dir)).join(edits.select("doc", "code").hint("merge"), "doc").select(C.doc_id(), "text", "code")
 
 
 @query(_L + """SELECT doc, coalesce(string_agg(line, chr(10) ORDER BY paragraph) FILTER (paragraph <> 2), '') AS text, CASE WHEN count(*) > 2 THEN 'ok' ELSE 'index_range' END AS code, CAST(count(*) AS BIGINT) AS n FROM l GROUP BY doc""")
 def package_delete_paragraph(spark, sf_dir):
     members = C.members(spark, sf_dir)
     edits = stored(P.delete_paragraph(members, 2))
-    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(edits.select("doc", "code", "n"), "doc").select(C.doc_id(), "text", "code", "n")
+    return _dump(P.applied(members, edits), C.names(spark, sf_dir)).join(edits.select("doc", "code", "n"), "doc").select(C.doc_id(), "text", "code", "n")
 
 
 _TABLE = (["item", "a|b"], [["1", "x & y"], ["2", "<z>"]])
@@ -373,10 +368,9 @@ def insert_table(spark, sf_dir):
 '### 표 1 (3행 x 2열)' || chr(10) || '| item | a\|b |' || chr(10) || '| --- | --- |' || chr(10) || '| 1 | x & y |' || chr(10) || '| 2 | <z> |' AS text FROM documents""")
 def read_combined(spark, sf_dir):
     made = C.members(spark, sf_dir)
-    members = P.applied(made, P.insert_table(made, *_TABLE))
-    t = _tokens(members)
-    tables = views.tables(t).withColumn("markdown", B.markdown(F.col("cells")))
-    return R.combined(_dump(_docs(spark, sf_dir), t), tables, views.images(t, members)).select(C.doc_id(), "text")
+    members = stored(P.applied(made, P.insert_table(made, *_TABLE)))
+    tables = part_views.tables(members).withColumn("markdown", B.markdown(F.col("cells")))
+    return R.combined(_dump(members, C.names(spark, sf_dir)), tables, part_views.images(members)).select(C.doc_id(), "text")
 
 
 @query("SELECT doc_id AS doc, CASE WHEN contains(text, 'the') THEN 'ok' ELSE 'target_missing' END AS code, CAST(CASE WHEN contains(text, 'the') THEN 1 ELSE 0 END AS BIGINT) AS runs FROM documents")
@@ -482,8 +476,7 @@ def package_script(spark, sf_dir):
         spark, sf_dir, (n == 0, "delete_paragraph", {"index": F.lit(0)}), (n == 0, "append_paragraph", {"text": F.concat(F.lit("more "), _n().cast("string"))}), (n == 1, "set_paragraph", {"index": F.lit(0)} | say("new")),
         (n == 2, "append_paragraph", say("at the end")), (n == 2, "delete_row", {"table": F.lit(0), "row": F.lit(2)}), (n == 2, "set_paragraph", {"index": F.lit(8)} | say("set")), (n == 2, "set_paragraph", {"index": F.lit(8)} | say("set again")),
         (n == 1, "append_row", {"table": F.lit(0), "texts": _texts("r")}), (n == 1, "append_paragraph", say("gone")), (n == 1, "delete_paragraph", {"index": F.lit(14)}))
-    t = _tokens(members)
-    return _dump(t.select("doc").distinct(), t).select(C.doc_id(), "text")
+    return _dump(members).select(C.doc_id(), "text")
 
 
 @query("SELECT doc_id AS doc, 1 AS ord, 'outer' AS name, 'CLICK_HERE' AS type, 'A' || doc_id || 'C' AS value FROM documents UNION ALL SELECT doc_id, 2, 'inner', 'DATE', CAST(doc_id AS VARCHAR) FROM documents")
@@ -553,15 +546,14 @@ replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS text FRO
 def package_fill_json(spark, sf_dir):
     members = C.members(spark, sf_dir)
     edits, outcome = P.fill_each(members, C.arguments(spark, sf_dir))
-    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(outcome, "doc").select(C.doc_id(), "code", "n", "report", "text")
+    return _dump(P.applied(members, edits), C.names(spark, sf_dir)).join(outcome, "doc").select(C.doc_id(), "code", "n", "report", "text")
 
 
 @query("""SELECT doc_id AS doc, CASE WHEN doc_id % 5 = 0 THEN 'bad_json' ELSE 'ok' END AS code,
 CASE WHEN doc_id % 5 > 0 THEN coalesce(text, '') || chr(10) || 'id | 2' || chr(10) || '--- | ---' || chr(10) || doc_id || ' | x & y' || chr(10) END AS text FROM documents""")
 def create_json(spark, sf_dir):
     members, outcome = package.create_each(C.contents(spark, sf_dir))
-    t = _tokens(members)
-    return outcome.join(_dump(t.select("doc").distinct(), t), "doc", "left").select(C.doc_id(), "code", "text")
+    return outcome.join(_dump(members), "doc", "left").select(C.doc_id(), "code", "text")
 
 
 # Keys split over runs.
@@ -578,4 +570,4 @@ def package_fill_runs(spark, sf_dir):
     members = C.run_members(spark, sf_dir)
     edits = stored(run_fill.fill_across_runs(members, [("the", "T<"), ("T<r", "$1 th\\r")], all_occurrences=True))
     n = edits.groupBy("doc").agg(F.sum(F.col("hits")[0]).alias("n_first"), F.sum(F.col("hits")[1]).alias("n_second"))
-    return _dump(_docs(spark, sf_dir), _tokens(P.applied(members, edits))).join(n, "doc").select(C.doc_id(), "n_first", "n_second", "text")
+    return _dump(P.applied(members, edits), C.names(spark, sf_dir)).join(n.hint("merge"), "doc").select(C.doc_id(), "n_first", "n_second", "text")
