@@ -7,12 +7,18 @@ text nodes part, are searched as one. The value goes to the node where the key s
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
 from html import escape
+from itertools import groupby
+from operator import itemgetter
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.sources.markup import tokens
+from docweave.operators.package_edit import whole_edits
+from docweave.sources.markup import TEXT, Cut
 
 #: Stands between the texts of a stretch; no XML text may hold it.
 BORDER = "\x01"
@@ -20,17 +26,26 @@ BORDER = "\x01"
 THIN = ("hp:run", "hp:t")
 
 
-def _replaced(s: Column, key: str, value: str, all_occurrences: bool) -> tuple[Column, Column]:
-    """The joined texts with the key's last occurrence, or all, replaced, borders within it put behind the value; and whether
-    there was one."""
+def _step(key: str, value: str, all_occurrences: bool) -> Callable[[str], str | None]:
+    """What replaces a key's last occurrence, or all, in joined texts, borders within it put behind the value; null without one."""
     key, value = escape(key, quote=False), escape(value, quote=False)
-    pattern = f"({BORDER}*)".join(f"\\x{{{ord(c):x}}}" for c in key)
-    put = "".join("\\" + c if c in "\\$" else c for c in value)
-    if all_occurrences:
-        borders = "".join(f"${i}" for i in range(1, len(key)))
-    else:  # named, so that no digit of the value is read as the group's
-        pattern, put, borders = f"(?s)^(?<before>.*){pattern}", "${before}" + put, "".join(f"${i}" for i in range(2, len(key) + 1))
-    return F.regexp_replace(s, F.lit(pattern), F.lit(put + borders)), F.replace(s, F.lit(BORDER), F.lit("")).contains(key)
+    pattern = f"({BORDER}*)".join(map(re.escape, key))
+    every = re.compile(pattern)
+    last = re.compile(f"(?s)^(.*){pattern}")
+
+    def of(s: str) -> str | None:
+        if BORDER not in s:
+            at = s.rfind(key)
+            if at < 0:
+                return None
+            return s.replace(key, value) if all_occurrences else s[:at] + value + s[at + len(key) :]
+        if key not in s.replace(BORDER, ""):
+            return None
+        if all_occurrences:
+            return every.sub(lambda m: value + "".join(m.groups()), s)
+        return last.sub(lambda m: m[1] + value + "".join(m.groups()[1:]), s)
+
+    return of
 
 
 def fill_across_runs(members: DataFrame, pairs: list[tuple[str, str]], all_occurrences: bool = False) -> DataFrame:
@@ -43,30 +58,29 @@ def fill_across_runs(members: DataFrame, pairs: list[tuple[str, str]], all_occur
     character that stands for the border, which no XML may hold, stay as they are. A key must not be empty, and neither key nor value hold it."""
     if not all(key for key, _ in pairs) or any(BORDER in x for pair in pairs for x in pair):
         raise ValueError("a key must not be empty, nor a pair hold U+0001")
-    parts = members.filter(F.col("entry").rlike(r"(?i)^Contents/(section\d+|header)\.xml$")).select("doc", "entry", F.lit(0).alias("section"), F.decode("bytes", "UTF-8").alias("xml"))
-    t = tokens(parts)
-    node = (F.col("kind") == "text") & (F.col("in_t") > 0)
-    ends = (F.col("kind") != "text") & ~F.col("name").isin(*THIN) & (F.col("in_lines") == 0)
-    upto = Window.partitionBy("doc", "entry").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.select("doc", "entry", "at", "tok", node.alias("node"), F.sum(ends.cast("long")).over(upto).alias("stretch"))
-    stretches = t.groupBy("doc", "entry", "stretch").agg(F.array_sort(F.collect_list(F.struct("at", "node", "tok"))).alias("toks"))
-    texts = F.transform(F.filter("toks", lambda x: x["node"]), lambda x: x["tok"])
-    stretches = stretches.withColumn("texts", texts).withColumn("s", F.when(F.size("texts") > 0, F.array_join("texts", BORDER)))
-    done, hits = F.col("s"), []
-    for key, value in pairs:
-        done, hit = _replaced(done, key, value, all_occurrences)
-        name = f"s{len(hits)}"
-        stretches = stretches.withColumns({name: done, f"h{len(hits)}": F.coalesce(hit, F.lit(False))})
-        hits.append(F.col(f"h{len(hits)}"))
-        done = F.col(name)
-    whole = F.size(F.split("s", BORDER, -1)) == F.size("texts")
-    changed = whole & (F.array_contains(F.array(*hits), True) if hits else F.lit(False))
-    start = F.struct(F.lit("").alias("xml"), F.lit(0).alias("i"))
-    new = F.aggregate("toks", start, lambda acc, x: F.struct(
-        F.concat(acc["xml"], F.when(x["node"], F.get(F.col("new"), acc["i"])).otherwise(x["tok"])).alias("xml"), (acc["i"] + x["node"].cast("int")).alias("i")))["xml"]
-    same = F.array_join(F.transform("toks", lambda x: x["tok"]), "")
-    stretches = stretches.withColumn("new", F.split(done, BORDER, -1)).select("doc", "entry", "stretch", F.when(changed, new).otherwise(same).alias("xml"), F.array(*(h & whole for h in hits)).cast("array<boolean>").alias("hit"))
-    out = stretches.groupBy("doc", "entry").agg(
-        F.array_sort(F.collect_list(F.struct("stretch", "xml"))).alias("x"), F.array(*(F.count_if(F.coalesce(F.get("hit", F.lit(i)), F.lit(False))) for i in range(len(pairs)))).cast("array<bigint>").alias("hits"))
-    total = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x)
-    return out.select("doc", "entry", F.lit("ok").alias("code"), total.alias("n"), F.array_join(F.transform("x", lambda x: x["xml"]), "").alias("xml"), "hits")
+    parts = members.filter(F.col("entry").rlike(r"(?i)^Contents/(section\d+|header)\.xml$")).select("doc", "entry", F.decode("bytes", "UTF-8").alias("xml"))
+    steps = [_step(k, v, all_occurrences) for k, v in pairs]
+
+    def change(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
+        ends = (cut.kind != TEXT) & ~cut.of(*THIN) & (cut.in_lines == 0)
+        stretch = np.cumsum(ends)
+        nodes = cut.places((cut.kind == TEXT) & (cut.in_t > 0))
+        for own, a, b in zip(nodes, cut.bounds[:-1].tolist(), cut.bounds[1:].tolist(), strict=True):
+            pieces, hits = cut.toks[a:b], [0] * len(steps)
+            for _, at in groupby(zip(stretch[own].tolist() if own else (), own, strict=True), key=itemgetter(0)):
+                at = [i for _, i in at]
+                texts = [cut.toks[i] for i in at]
+                if any(BORDER in x for x in texts):
+                    continue
+                s = was = BORDER.join(texts)
+                for k, step in enumerate(steps):
+                    new = step(s)
+                    if new is not None:
+                        hits[k] += 1
+                        s = new
+                if s is not was:
+                    for i, x in zip(at, s.split(BORDER), strict=True):
+                        pieces[i - a] = x
+            yield "ok", sum(hits), pieces, hits
+
+    return whole_edits(parts, change, ", hits array<long>")
