@@ -54,3 +54,8 @@ def test_f10_package_fill_runs(spark, monkeypatch):
 def test_f11_package_fill(spark, monkeypatch):
     plan = _reads_whole(spark, monkeypatch, "package_fill")
     assert "MapInArrow" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_f12_read_combined(spark, monkeypatch):
+    plan = _reads_whole(spark, monkeypatch, "read_combined")
+    assert "MapInArrow" in plan and "BroadcastHashJoin" not in plan
