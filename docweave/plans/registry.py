@@ -481,7 +481,7 @@ def package_script(spark, sf_dir):
 
 @query("SELECT doc_id AS doc, 1 AS ord, 'outer' AS name, 'CLICK_HERE' AS type, 'A' || doc_id || 'C' AS value FROM documents UNION ALL SELECT doc_id, 2, 'inner', 'DATE', CAST(doc_id AS VARCHAR) FROM documents")
 def package_fields(spark, sf_dir):
-    return views.fields(views.body_tokens(C.table_members(spark, sf_dir))).select(C.doc_id(), F.col("ord").cast("int").alias("ord"), "name", "type", "value")
+    return part_views.fields(C.table_members(spark, sf_dir)).select(C.doc_id(), F.col("ord").cast("int").alias("ord"), "name", "type", "value")
 
 
 @query("SELECT doc_id AS doc, 'ok' AS code, CAST(2 AS BIGINT) AS n, name, CASE name WHEN 'outer' THEN 'v & $1' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS value FROM documents, (VALUES ('outer'), ('inner')) AS f(name)")

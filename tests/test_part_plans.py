@@ -64,3 +64,8 @@ def test_f12_read_combined(spark, monkeypatch):
 def test_f13_package_set_paragraph(spark, monkeypatch):
     plan = _reads_whole(spark, monkeypatch, "package_set_paragraph")
     assert "MapInArrow" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_f14_package_fields(spark, monkeypatch):
+    plan = _reads_whole(spark, monkeypatch, "package_fields")
+    assert "MapInArrow" in plan and "BroadcastHashJoin" not in plan
