@@ -489,7 +489,7 @@ def package_set_field(spark, sf_dir):
     """The outer field's own nodes are set; the field within it stays whole."""
     members = C.table_members(spark, sf_dir)
     edits = stored(P.set_field(members, "outer", "v & $1"))
-    f = views.fields(_tokens(P.applied(members, edits))).join(edits.select("doc", "code", "n"), "doc")
+    f = part_views.fields(P.applied(members, edits)).join(edits.select("doc", "code", "n").hint("merge"), "doc")
     return f.select(C.doc_id(), "code", "n", "name", "value")
 
 

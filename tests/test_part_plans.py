@@ -69,3 +69,8 @@ def test_f13_package_set_paragraph(spark, monkeypatch):
 def test_f14_package_fields(spark, monkeypatch):
     plan = _reads_whole(spark, monkeypatch, "package_fields")
     assert "MapInArrow" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_f15_package_set_field(spark, monkeypatch):
+    plan = _reads_whole(spark, monkeypatch, "package_set_field")
+    assert "MapInArrow" in plan and "BroadcastHashJoin" not in plan
