@@ -360,8 +360,7 @@ _TABLE = (["item", "a|b"], [["1", "x & y"], ["2", "<z>"]])
 @query("""SELECT doc_id AS doc, CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, v.text AS text FROM documents CROSS JOIN (VALUES (0, 0, 'item'), (0, 1, 'a|b'), (1, 0, '1'), (1, 1, 'x & y'), (2, 0, '2'), (2, 1, '<z>')) AS v(row, col, text)""")
 def insert_table(spark, sf_dir):
     members = C.members(spark, sf_dir)
-    t = views.body_tokens(P.applied(members, P.insert_table(members, *_TABLE)))
-    return views.table_cells(t).select(C.doc_id(), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "text")
+    return part_views.table_cells(P.applied(members, P.insert_table(members, *_TABLE))).select(C.doc_id(), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "text")
 
 
 @query(r"""SELECT doc_id AS doc, '# ' || doc_id || '.hwpx' || chr(10) || '형식: .HWPX | 문단: ' || (len(string_split(text, chr(10))) + 1) || '개 | 표: 1개 | 이미지: 0개' || chr(10) || chr(10) || text || chr(10) || chr(10) || chr(10) ||

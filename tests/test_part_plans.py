@@ -74,3 +74,8 @@ def test_f14_package_fields(spark, monkeypatch):
 def test_f15_package_set_field(spark, monkeypatch):
     plan = _reads_whole(spark, monkeypatch, "package_set_field")
     assert "MapInArrow" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_f16_insert_table(spark, monkeypatch):
+    plan = _reads_whole(spark, monkeypatch, "insert_table")
+    assert "MapInArrow" in plan and "BroadcastHashJoin" not in plan
