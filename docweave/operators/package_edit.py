@@ -130,32 +130,35 @@ def run_ref(cut: Cut, runs: list[int]) -> str:
     return (said(cut.toks[runs[0]], "charPrIDRef") if runs else None) or "0"
 
 
-def _before_end(members: DataFrame, body: Callable[[int, dict, str], str], more: DataFrame | None = None, n: int = 1) -> DataFrame:
-    """Edits that put a paragraph like the last top-level one, with a fresh id and one run in the style of its first run, before the
-    section's end. body(id, row, style) is what the run holds; id counts on from the first fresh one, row has the columns
-    of more (doc, ...), which the edits keep, style is the run's."""
-    parts = first_sections(members)
-    kept = [c for c in more.columns if c != "doc"] if more is not None else []
-    parts = parts if more is None else parts.join(more.hint("merge"), "doc")
+def _ended(cut: Cut, rows: list[dict], body: Callable[[int, dict, str], str]) -> Iterator[list[str] | None]:
+    """Each part's pieces with a paragraph like the last top-level one, with a fresh id and one run in the style of its first run, before the
+    section's end; null where there is no such paragraph or end. body(id, row, style) is what the run holds; id counts on
+    from the first fresh one, style is the run's."""
+    own, styled = cut.p & (cut.in_p == 1) & (cut.kind == OPEN), cut.of("hp:run") & cut.starts
+    ends = cut.places(cut.of("hs:sec") & (cut.kind == CLOSE))
+    for i, (row, like, runs, end) in enumerate(zip(rows, cut.places(own), cut.places(styled), ends, strict=True)):
+        a, b = int(cut.bounds[i]), int(cut.bounds[i + 1])
+        if not like or not end:
+            yield None
+            continue
+        last = max((cut.paragraph[r] for r in runs), default=0)
+        ref = run_ref(cut, [r for r in runs if cut.paragraph[r] == last])
+        fresh = free_id(row["xml"])
+        put = if_said(cut.toks[like[-1]], "id", fresh) + run_of(body(fresh, row, ref), ref) + "</hp:p>"
+        pieces = cut.toks[a:b]
+        for e in end:
+            pieces[e - a] = put + pieces[e - a]
+        yield pieces
+
+
+def _before_end(members: DataFrame, body: Callable[[int, dict, str], str], n: int = 1) -> DataFrame:
+    """Edits that put a paragraph before the section's end, as _ended() does."""
 
     def change(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
-        own, styled = cut.of("hp:p") & (cut.in_p == 1) & (cut.kind == OPEN), cut.of("hp:run") & cut.starts
-        ends = cut.places(cut.of("hs:sec") & (cut.kind == CLOSE))
-        for i, (row, like, runs, end) in enumerate(zip(rows, cut.places(own), cut.places(styled), ends, strict=True)):
-            a, b = int(cut.bounds[i]), int(cut.bounds[i + 1])
-            if not like or not end:
-                yield "target_missing", n, (), *(row[c] for c in kept)
-                continue
-            last = max((cut.paragraph[r] for r in runs), default=0)
-            ref = run_ref(cut, [r for r in runs if cut.paragraph[r] == last])
-            fresh = free_id(row["xml"])
-            put = if_said(cut.toks[like[-1]], "id", fresh) + run_of(body(fresh, row, ref), ref) + "</hp:p>"
-            pieces = cut.toks[a:b]
-            for e in end:
-                pieces[e - a] = put + pieces[e - a]
-            yield "ok", n, pieces, *(row[c] for c in kept)
+        for pieces in _ended(cut, rows, body):
+            yield "target_missing" if pieces is None else "ok", n, pieces or ()
 
-    return whole_edits(parts, change, "".join(f", {c} {parts.schema[c].dataType.simpleString()}" for c in kept))
+    return whole_edits(first_sections(members), change)
 
 
 def append_paragraph(members: DataFrame, text: str) -> DataFrame:
@@ -590,14 +593,37 @@ def insert_image(members: DataFrame, content: Column, ext: str = "png") -> DataF
     bmp and gif."""
     if ext not in ("png", "jpg", "bmp", "gif"):
         raise ValueError(f"bad_image_ext: {ext}")
-    names = _places(members, ext)
+    # Where parts stand, first whether a section can take the picture, then all that changes: no part meets its document's others.
+    part = F.col("entry").rlike(r"(?i)^Contents/section\d+\.xml$")
+    sections = members.filter(part)
+
+    def takes(cut: Cut, rows: list[dict]) -> Iterator[tuple]:
+        for row, pieces in zip(rows, _ended(cut, rows, lambda *_: ""), strict=True):
+            yield row["doc"], row["seq"], pieces is not None
+
+    able = per_part(sections.select("doc", "seq", F.decode("bytes", "UTF-8").alias("xml")), takes, "doc string, at int, able boolean")
+    first = able.groupBy("doc").agg(F.min_by(F.struct("at", "able"), "at").alias("f")).filter("f.able").select("doc", F.col("f.at").alias("at"))
+    put = stored(_places(members, ext).join(first.hint("merge"), "doc"))
 
     def body(fresh: int, row: dict, ref: str) -> str:
         return f'<hp:pic id="{fresh + 1}{PIC_HEAD}{row["item"]}{PIC_TAIL}'
 
-    edits = stored(_before_end(members, body, names))  # read by each part of the edit
-    put = edits.filter("code = 'ok'").select("doc", "new_entry", "item", "seq")
+    def change(_, rows: list[dict]) -> Iterator[tuple]:
+        own = [r for r in rows if r["at"] == r["seq"]]
+        own = [r | {"xml": r["xml"].decode()} for r in own]
+        new = zip(own, _ended(Cut([r["xml"] for r in own]), own, body), strict=True)
+        new = {(r["doc"], r["seq"]): "".join(pieces).encode() for r, pieces in new}
+        for r in rows:
+            yield r["doc"], r["seq"], r["entry"], r["method"], new.get((r["doc"], r["seq"]), r["xml"])
+
+    said_of = "doc string, seq int, entry string, method int, bytes binary"
+    edited = per_part(sections.withColumnRenamed("bytes", "xml").join(put.select("doc", "at", "item").hint("merge"), "doc", "left"), change, said_of, False)
+    hpf = F.coalesce(F.col("entry") == "Contents/content.hpf", F.lit(False))
     tag = F.concat(F.lit('<opf:item id="'), "item", F.lit('" href="'), "new_entry", F.lit(f'" media-type="{MEDIA[ext]}" isEmbeded="1"/></opf:manifest>'))
-    hpf = members.filter("entry = 'Contents/content.hpf'").join(put.hint("merge"), "doc").select("doc", "entry", F.replace(F.decode("bytes", "UTF-8"), F.lit("</opf:manifest>"), tag).alias("xml"))
+    listed = members.filter(hpf).join(put.drop("seq").hint("merge"), "doc", "left")
+    listed = listed.withColumn("bytes", F.when(F.col("item").isNotNull(), F.encode(F.replace(F.decode("bytes", "UTF-8"), F.lit("</opf:manifest>"), tag), "UTF-8")).otherwise(F.col("bytes")))
     new = put.select("doc", "seq", F.col("new_entry").alias("entry"), F.lit(8).alias("method"), content.alias("bytes"))
-    return put_back(members, edits.select("doc", "entry", "xml").unionByName(hpf)).unionByName(new)
+    every = members.filter(~hpf & ~F.coalesce(part, F.lit(False)))
+    for rows in (edited, listed, new):
+        every = every.select("doc", "seq", "entry", "method", "bytes").unionByName(rows.select("doc", "seq", "entry", "method", "bytes"))
+    return every

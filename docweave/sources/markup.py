@@ -196,7 +196,7 @@ def per_part(parts: DataFrame, change: Callable[[Cut | None, list[dict]], Iterab
         for batch in batches:
             rows = batch.to_pylist()
             for a, b in together([r["xml"] for r in rows]):
-                yield from arrow_batches(change(Cut([r["xml"] for r in rows[a:b]]) if cut else None, rows[a:b]), arrow, lambda r: sum(len(x) for x in r if isinstance(x, str)))
+                yield from arrow_batches(change(Cut([r["xml"] for r in rows[a:b]]) if cut else None, rows[a:b]), arrow, lambda r: sum(len(x) for x in r if isinstance(x, str | bytes)))
 
     return parts.mapInArrow(run, kind)
 
