@@ -409,8 +409,7 @@ def _n() -> Column:
 def _scripted(spark, sf_dir, *steps) -> DataFrame:
     """Members of packages with tables after each document's own edits."""
     members = C.table_members(spark, sf_dir)
-    edits, _ = S.apply_script(members, C.script(spark, sf_dir, *steps))
-    return P.applied(members, edits)
+    return S.scripted(members, C.script(spark, sf_dir, *steps))[0]
 
 
 def _grid_cells(members: DataFrame, *more: str) -> DataFrame:
@@ -460,8 +459,8 @@ def package_merge_overlaps(spark, sf_dir):
     """A cell over two rows takes none of one row beside it; two cells of one row become one."""
     at = {"table": F.lit(0), "col": F.lit(0), "count": F.lit(2)}
     members = C.spanned_members(spark, sf_dir)
-    edits, report = S.apply_script(members, C.script(spark, sf_dir, (F.lit(True), "merge_horizontal", at | {"row": _n() % 2})))
-    cells = _grid_cells(P.applied(members, edits), "row_span", "col_span").filter("row < 2")
+    edited, report = S.scripted(members, C.script(spark, sf_dir, (F.lit(True), "merge_horizontal", at | {"row": _n() % 2})))
+    cells = _grid_cells(edited, "row_span", "col_span").filter("row < 2")
     return cells.join(report.select(C.doc_id(), "code").hint("merge"), "doc")
 
 

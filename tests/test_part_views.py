@@ -83,3 +83,18 @@ def test_parts_cut_together_count_alone():
         assert whole.toks[a:b] == alone.toks
         for c in ("kind", *markup._COUNTERS, "starts_control", "begins_flat"):
             assert getattr(whole, c)[a:b].tolist() == getattr(alone, c).tolist(), (i, c)
+
+
+def test_scripted_members_are_those_of_apply_script(spark, members):
+    """In the first section alone, where documents have several, and with edits that change nothing."""
+    from docweave.operators import edit_script
+
+    step = "{}, cast(null as int) table, cast(null as int) row, cast(null as int) col, cast(null as int) count, '{}' text, cast(null as array<string>) texts"
+    script = spark.sql(" union all ".join(f"select '{doc}' doc, {i} ord, '{op}' op, " + step.format(f"{at} index", text) for doc, i, op, at, text in (
+        ("a", 0, "set_paragraph", 2, "new"), ("a", 1, "append_paragraph", 0, "end"), ("b", 0, "delete_paragraph", 9, ""), ("e", 0, "set_paragraph", 0, "x"), ("a", 2, "what", 0, ""))))
+    edits, report = edit_script.apply_script(members, script)
+    got, told = edit_script.scripted(members, script)
+    columns = ["doc", "seq", "entry", "method", "bytes"]
+    _same(got, package_edit.applied(members, edits), columns)
+    _same(told, report, ["doc", "ord", "op", "code", "n"])
+    assert {(r.doc, r.ord): r.code for r in told.collect()} == {("a", 0): "ok", ("a", 1): "ok", ("a", 2): "bad_op", ("b", 0): "index_range", ("e", 0): "no_section"}
